@@ -1,0 +1,100 @@
+"""Run registered queries in Spark and their oracle SQL in DuckDB; compare exactly.
+
+Comparison: same column names, same row count, same multiset of rows, where a
+row is its values in column-name order and floats are compared bit-for-bit
+(after normalising -0.0 and NaN/None).
+
+CLI:  python tests/oracle_compare.py [sf_dir] [query ...]
+"""
+
+from __future__ import annotations
+
+import math
+import os
+import sys
+from collections import Counter
+
+import duckdb
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+          "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        path = f"{sf_dir}/{t}.parquet"
+        if os.path.exists(path):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}')")
+    return con
+
+
+def _norm(v):
+    if v is None:
+        return None
+    if isinstance(v, float):
+        if math.isnan(v):
+            return None
+        return 0.0 if v == 0 else v
+    if hasattr(v, "isoformat"):
+        return v.isoformat(sep=" ") if hasattr(v, "hour") else v.isoformat()
+    if hasattr(v, "item"):
+        return _norm(v.item())
+    return v
+
+
+def _rows(records, cols):
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    return Counter(tuple(_norm(r[i]) for i in order) for r in records)
+
+
+def compare(spark, con, name: str, fn, sql: str, sf_dir: str) -> tuple[bool, str]:
+    sdf = fn(spark, sf_dir)
+    s_cols = sdf.columns
+    s_rows = [tuple(r) for r in sdf.collect()]
+    res = con.execute(sql)
+    d_cols = [d[0] for d in res.description]
+    d_rows = res.fetchall()
+    if sorted(s_cols) != sorted(d_cols):
+        return False, f"columns differ: spark-only={sorted(set(s_cols)-set(d_cols))} duck-only={sorted(set(d_cols)-set(s_cols))}"
+    if len(s_rows) != len(d_rows):
+        return False, f"row count spark={len(s_rows)} duck={len(d_rows)}"
+    a, b = _rows(s_rows, s_cols), _rows(d_rows, d_cols)
+    if a == b:
+        return True, f"{len(s_rows)} rows match"
+    only_s = list((a - b).elements())[:3]
+    only_d = list((b - a).elements())[:3]
+    cols = sorted(s_cols)
+    return False, f"values differ ({sum((a-b).values())} rows); cols={cols}\n spark: {only_s}\n duck:  {only_d}"
+
+
+def main(argv):
+    from gridmart.session import get_spark
+    import __spark_entry__ as E
+    sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
+    wanted = argv[2:]
+    spark = get_spark(cores=8)
+    con = duck(sf_dir)
+    qs, sqls = E.queries(), E.oracle_sql()
+    bad = 0
+    for name, fn in qs.items():
+        if wanted and name not in wanted:
+            continue
+        if name not in sqls:
+            print(f"{name:22s} (no oracle)")
+            continue
+        try:
+            ok, msg = compare(spark, con, name, fn, sqls[name], sf_dir)
+        except Exception as exc:  # report and continue with the next query
+            ok, msg = False, f"ERROR {type(exc).__name__}: {str(exc)[:800]}"
+        bad += not ok
+        print(f"{name:22s} {'OK ' if ok else 'BAD'} {msg}")
+    print(f"mismatches: {bad}")
+    return bad
+
+
+if __name__ == "__main__":
+    sys.exit(1 if main(sys.argv) else 0)
