@@ -1,0 +1,178 @@
+"""Golden and invariant tests for silver/gold assets on small hand-written inputs."""
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from gridmart.plans import gold, silver
+from gridmart.plans.bronze import ingest_capacity, ingest_long
+from gridmart.sources.fallback import fallback_capacity
+from gridmart.sources.files import read_seed
+
+RUN = datetime(2026, 1, 1, 6, 0)
+
+GEN = {  # year -> source -> TWh (the reference's 3-year mart fixture)
+    2020: {"Geothermal": 5.5, "Hydro": 3.2, "Wind": 0.0, "Solar": 0.1, "Gas": 0.8},
+    2021: {"Geothermal": 5.7, "Hydro": 3.0, "Wind": 1.8, "Solar": 0.3, "Gas": 0.6},
+    2022: {"Geothermal": 5.9, "Hydro": 2.8, "Wind": 1.8, "Solar": 0.4, "Gas": 0.5},
+}
+
+
+def _long_rows(extra=()):
+    rows = []
+    for y, srcs in GEN.items():
+        for s, v in srcs.items():
+            rows.append(("KEN", "Kenya", str(y), "Electricity generation", "Fuel", s, "TWh", str(v)))
+    rows.extend(extra)
+    return rows
+
+
+LONG_SCHEMA = ("`ISO 3 code` string, Country string, Year string, Category string, Subcategory string, "
+               "Variable string, Unit string, `Value` string")
+
+
+@pytest.fixture()
+def unified(spark):
+    raw = ingest_long(spark.createDataFrame(_long_rows(), LONG_SCHEMA), RUN, entities=["KEN"])
+    ember = silver.stg_ember_generation(raw)
+    cap = silver.stg_irena_capacity(ingest_capacity(fallback_capacity(spark), "fallback", RUN))
+    ctx = spark.createDataFrame([("KEN", y) for y in GEN], "iso_code string, year int").withColumn(
+        "_ingested_at", F.lit(RUN))
+    owid = silver.stg_owid_energy(ctx)
+    cats = silver.stg_source_categories(read_seed(spark))
+    return silver.stg_energy_unified(ember, cap, owid, cats)
+
+
+def test_renewable_mix_golden(spark, unified):
+    mix = {r["year"]: r for r in gold.renewable_mix(unified).collect()}
+    assert [mix[y]["total_generation_twh"] for y in (2020, 2021, 2022)] == [9.6, 11.4, 11.4]
+    assert [mix[y]["renewable_twh"] for y in (2020, 2021, 2022)] == [8.8, 10.8, 10.9]
+    assert [mix[y]["renewable_share_pct"] for y in (2020, 2021, 2022)] == [91.7, 94.7, 95.6]
+    assert [mix[y]["fossil_share_pct"] for y in (2020, 2021, 2022)] == [8.3, 5.3, 4.4]
+    assert [mix[y]["renewable_share_yoy_pp"] for y in (2020, 2021, 2022)] == [None, 3.0, 0.9]
+    # YoY count = years - 1
+    assert sum(r["renewable_share_yoy_pp"] is not None for r in mix.values()) == len(GEN) - 1
+
+
+def test_unified_solar_never_joins_and_shares(spark, unified):
+    rows = {(r["year"], r["source_type"]): r for r in unified.collect()}
+    solar = rows[(2022, "Solar")]
+    assert solar["capacity_mw"] is None and solar["cuf"] is None      # capacity says "Solar PV"
+    geo = rows[(2022, "Geothermal")]
+    assert geo["capacity_mw"] == 929.0
+    assert geo["cuf"] == pytest.approx(round(5.9e6 / (929 * 8760), 4))
+    assert 0.0 <= geo["cuf"] <= 1.0
+    for y in GEN:
+        total = sum(r["share_pct"] for (yy, _), r in rows.items() if yy == y)
+        assert abs(total - 100.0) < 1.5
+
+
+def test_share_denominator_excludes_imports(spark):
+    extra = [("KEN", "Kenya", "2022", "Electricity generation", "Fuel", "Imports", "TWh", "2.0")]
+    raw = ingest_long(spark.createDataFrame(_long_rows(extra), LONG_SCHEMA), RUN)
+    ember = silver.stg_ember_generation(raw)
+    cap = silver.stg_irena_capacity(ingest_capacity(fallback_capacity(spark), "fallback", RUN))
+    owid = silver.stg_owid_energy(spark.createDataFrame([("KEN", 2022, RUN)],
+                                                        "iso_code string, year int, _ingested_at timestamp"))
+    u = silver.stg_energy_unified(ember, cap, owid, silver.stg_source_categories(read_seed(spark)))
+    imports = u.filter("year = 2022 AND source_type = 'Imports'").first()
+    assert imports["year_total_twh"] == pytest.approx(11.4)
+    assert imports["share_pct"] == round(2.0 / 11.4 * 100, 2)
+    gbs = gold.generation_by_source(u)
+    assert gbs.filter("source_type = 'Imports'").count() == 0
+
+
+def test_sum_of_only_nulls_is_zero(spark):
+    extra = [("KEN", "Kenya", "2022", "Electricity generation", "Fuel", "Coal", "TWh", "-1.0")]
+    raw = ingest_long(spark.createDataFrame(_long_rows(extra), LONG_SCHEMA), RUN)
+    ember = silver.stg_ember_generation(raw)
+    assert ember.filter("variable = 'Coal'").first()["value_clean"] is None
+    cap = silver.stg_irena_capacity(ingest_capacity(fallback_capacity(spark), "fallback", RUN))
+    owid = silver.stg_owid_energy(spark.createDataFrame([("KEN", 2022, RUN)],
+                                                        "iso_code string, year int, _ingested_at timestamp"))
+    u = silver.stg_energy_unified(ember, cap, owid, silver.stg_source_categories(read_seed(spark)))
+    assert u.filter("source_type = 'Coal'").first()["generation_twh"] == 0.0
+
+
+# Golden capacity trend from the 53 curated rows (FIXTURES.md): year -> (geo, hydro, wind, solar, bio,
+# total, added, growth); None is NULL.
+CAP_GOLDEN = {
+    2000: (45, 677, 0, 0, 0, 722, None, None),
+    2005: (129, 677, None, None, None, 806, 84, 11.6),
+    2010: (167, 766, None, None, None, 933, 127, 15.8),
+    2015: (594, 826, 0, 1, 5, 1426, 493, 52.8),
+    2016: (636, 826, None, None, None, 1462, 36, 2.5),
+    2017: (661, 826, 0, None, None, 1487, 25, 1.7),
+    2018: (823, 836, 0, 51, None, 1710, 223, 15.0),
+    2019: (863, 836, 310, 51, 5, 2065, 355, 20.8),
+    2020: (863, 836, 310, 91, 5, 2105, 40, 1.9),
+    2021: (863, 836, 435, 156, 5, 2295, 190, 9.0),
+    2022: (929, 836, 435, 233, 5, 2438, 143, 6.2),
+    2023: (929, 836, 435, 233, 5, 2438, 0, 0.0),
+    2024: (929, 836, 435, 283, 5, 2488, 50, 2.1),
+}
+
+
+def test_capacity_trend_golden(spark, unified):
+    cap = silver.stg_irena_capacity(ingest_capacity(fallback_capacity(spark), "fallback", RUN))
+    assert cap.count() == 53
+    got = {r["year"]: r for r in gold.capacity_trend(cap, unified).collect()}
+    assert sorted(got) == sorted(CAP_GOLDEN)
+    for y, (g, h, w, s, b, tot, add, growth) in CAP_GOLDEN.items():
+        r = got[y]
+        assert (r["geothermal_mw"], r["hydro_mw"], r["wind_mw"], r["solar_mw"], r["bioenergy_mw"]) == (g, h, w, s, b)
+        assert r["total_renewable_mw"] == tot
+        assert r["mw_added_yoy"] == add and r["capacity_growth_pct"] == growth
+    assert got[2022]["geothermal_cuf"] == round(round(5.9e6 / (929 * 8760), 4), 3)
+    assert got[2022]["solar_cuf"] is None
+
+
+def test_generation_by_source_rank_and_flags(spark, unified):
+    rows = gold.generation_by_source(unified).collect()
+    assert all(r["rank_within_year"] == 1 for r in rows if r["source_type"] == "Geothermal")
+    assert {r["is_renewable"] for r in rows if r["source_type"] == "Gas"} == {False}
+    ties = [r for r in rows if r["year"] == 2021 and r["source_type"] in ("Wind",)]
+    assert ties[0]["rank_within_year"] == 3
+    r22 = {r["source_type"]: r["rank_within_year"] for r in rows if r["year"] == 2022}
+    assert r22 == {"Geothermal": 1, "Hydro": 2, "Wind": 3, "Gas": 4, "Solar": 5}
+
+
+def test_rank_ties_share(spark):
+    df = spark.createDataFrame(
+        [("E", 2020, "A", 1.0, "Renewables"), ("E", 2020, "B", 1.0, "Renewables"),
+         ("E", 2020, "C", 0.5, "Fossil Fuels")],
+        "entity string, year int, source_type string, generation_twh double, category string")
+    u = df.select("*", *[F.lit(None).cast("double").alias(c) for c in ("share_pct", "capacity_mw", "cuf")],
+                  F.lit(None).cast("string").alias("color_hex"))
+    ranks = {r["source_type"]: r["rank_within_year"] for r in gold.generation_by_source(u).collect()}
+    assert ranks == {"A": 1, "B": 1, "C": 3}
+
+
+def test_energy_kpis(spark, unified):
+    mix = gold.renewable_mix(unified)
+    ctx = silver.stg_owid_energy(spark.createDataFrame(
+        [("KEN", y, float(150 + y - 2020)) for y in (1999, 2020, 2021, 2022)],
+        "iso_code string, year int, per_capita_electricity double").withColumn("_ingested_at", F.lit(RUN)))
+    k = {r["year"]: r for r in gold.energy_kpis(ctx, mix).collect()}
+    assert sorted(k) == [2020, 2021, 2022]                    # year >= 2000
+    assert k[2022]["gap_to_100pct_target"] == 4.4
+    assert k[2022]["target_progress_ratio"] == 0.956
+    assert k[2022]["decade"] == "2020s"
+    assert k[2021]["per_capita_elec_kwh"] == 151.0
+
+
+def test_two_entities_are_independent(spark):
+    rows = _long_rows() + [("UGA", "Uganda", str(y), "Electricity generation", "Fuel", "Hydro", "TWh", "1.0")
+                           for y in (2020, 2022)]
+    raw = ingest_long(spark.createDataFrame(rows, LONG_SCHEMA), RUN)
+    ember = silver.stg_ember_generation(raw)
+    cap = silver.stg_irena_capacity(ingest_capacity(fallback_capacity(spark), "fallback", RUN))
+    owid = silver.stg_owid_energy(spark.createDataFrame([("KEN", 2022, RUN)],
+                                                        "iso_code string, year int, _ingested_at timestamp"))
+    u = silver.stg_energy_unified(ember, cap, owid, silver.stg_source_categories(read_seed(spark)))
+    mix = {(r["entity"], r["year"]): r for r in gold.renewable_mix(u).collect()}
+    assert mix[("UGA", 2020)]["renewable_share_pct"] == 100.0
+    assert mix[("UGA", 2020)]["renewable_share_yoy_pp"] is None     # first UGA year
+    assert mix[("UGA", 2022)]["renewable_share_yoy_pp"] == 0.0      # previous present UGA year
+    assert mix[("KEN", 2021)]["renewable_share_yoy_pp"] == 3.0
