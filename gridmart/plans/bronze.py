@@ -38,11 +38,17 @@ def ingest_long(raw: DataFrame, run_ts: datetime, entities=None) -> DataFrame:
 
 
 def ingest_wide(raw: DataFrame, run_ts: datetime, entities=None,
-                code_column: str = "iso_code") -> DataFrame:
+                code_column: str = "iso_code", drop_empty_columns: bool = True) -> DataFrame:
     """Wide indicator rows -> bronze (S2 + P3, P7, P8): entity filter, all-NULL
-    columns dropped (one counting pass), ``year`` as int, metadata."""
+    columns dropped (one counting pass), ``year`` as int, metadata.
+
+    ``drop_empty_columns=False`` skips the counting pass when only silver reads
+    the result: silver gives a typed NULL for any missing column, so dropping an
+    all-NULL column cannot change a silver value.
+    """
     df = filter_entity(raw, code_column, entities)
-    df = drop_all_null_columns(df, keep=(code_column, "year"))
+    if drop_empty_columns:
+        df = drop_all_null_columns(df, keep=(code_column, "year"))
     df = df.withColumn("year", F.col("year").cast("int"))
     return add_metadata(df, WIDE_SOURCE, run_ts)
 

@@ -50,6 +50,11 @@ class Pipeline:
     def raw_wide(self) -> DataFrame:
         return ingest_wide(proxies.wide_rows(self.spark, self.sf_dir), self.run_ts)
 
+    @cached_property
+    def raw_wide_for_silver(self) -> DataFrame:
+        return ingest_wide(proxies.wide_rows(self.spark, self.sf_dir), self.run_ts,
+                           drop_empty_columns=False)
+
     @cached_property
     def raw_messy_long(self) -> DataFrame:
         return ingest_long(proxies.messy_long_rows(self.spark, self.sf_dir), self.run_ts)
@@ -80,7 +85,7 @@ class Pipeline:
 
     @cached_property
     def context(self) -> DataFrame:
-        return silver.stg_owid_energy(self.raw_wide, PROXY_CONTEXT_YEARS)
+        return silver.stg_owid_energy(self.raw_wide_for_silver, PROXY_CONTEXT_YEARS)
 
     @cached_property
     def unified(self) -> DataFrame:

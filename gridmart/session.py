@@ -9,6 +9,7 @@ Settings are chosen for scale, not for the local test box:
   below the threshold; otherwise the join is shuffled.  Explicit ``broadcast``
   hints are only used through :func:`gridmart.operators.joins.bounded_broadcast`.
 * Session time zone pinned to UTC so year extraction is stable.
+* Python call-site capture for DataFrame errors is off (plan-building speed).
 """
 
 from __future__ import annotations
@@ -27,6 +28,10 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # PySpark 4 records the Python call site of every Column call by default
+    # (extra JVM round-trips per expression); plans here are built from many
+    # expressions, so keep it off.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridmart.sources.literal import literal_frame
+
 # Curated end-of-year installed capacity (technology, year, MW)
 # for the default entity, used verbatim as the fallback capacity table.
 FALLBACK_ENTITY = "KEN"
@@ -45,9 +47,8 @@ FALLBACK_CAPACITY = [
 
 def fallback_capacity(spark: SparkSession) -> DataFrame:
     """The curated records as a bronze capacity frame (53 rows, fixed size)."""
-    df = spark.createDataFrame(
-        [(t, y, float(mw)) for t, y, mw in FALLBACK_CAPACITY],
-        "technology string, year int, capacity_mw double")
+    df = literal_frame(spark, [(t, y, float(mw)) for t, y, mw in FALLBACK_CAPACITY],
+                       [("technology", "string"), ("year", "int"), ("capacity_mw", "double")])
     return df.withColumns({
         "country": F.lit(FALLBACK_COUNTRY),
         "country_code": F.lit(FALLBACK_ENTITY),

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridmart.sources.fallback import fallback_capacity
+from gridmart.sources.literal import literal_frame
 
 log = logging.getLogger(__name__)
 
@@ -124,8 +125,7 @@ def read_seed(spark: SparkSession, path: str | None = None) -> DataFrame:
     with open(SEED_PATH, newline="") as fh:
         rows = list(csv.DictReader(fh))
     cols = list(rows[0].keys())
-    return spark.createDataFrame([tuple(r[c] for c in cols) for r in rows],
-                                 ", ".join(f"{c} string" for c in cols))
+    return literal_frame(spark, [[r[c] for c in cols] for r in rows], [(c, "string") for c in cols])
 
 
 def select_resources(resources: Sequence[dict], dataset_key: str,
