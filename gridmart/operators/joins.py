@@ -29,7 +29,8 @@ def keyword_join(left: DataFrame, right: DataFrame, on: Sequence[str],
 
     The equality keys drive a hash/sort-merge join; the substring test is a
     residual condition evaluated only on matching key pairs, so no cross product
-    is ever formed.  ``text`` must come from ``left``, ``keyword`` from ``right``.
+    is ever formed.  ``text`` and ``keyword`` refer to the sides through the
+    aliases ``l`` and ``r`` (e.g. ``F.col("r.text")``).
     """
     l, r = left.alias("l"), right.alias("r")
     cond = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in on]

@@ -197,6 +197,8 @@ QUERIES = {
     "lines": _q(lambda p: p.lines),
     "layer_counts": _q(lambda p: geo.layer_counts(p.lines, p.substations)),
     "geojson_features": _q(lambda p: geo.geo_features(p.lines, p.substations)),
+    # theta join (equal keys + keyword LIKE)
+    "keyword_cuf": _q(lambda p: gold.keyword_cuf(p.capacity, p.ember, *PROXY_CUF)),
     # data quality
     "checks": _q(lambda p: p.checks()),
 }

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from gridmart.functions.rounding import round_half_away as R
 from gridmart.functions.rules import DEFAULT_SOURCE_COLOR, decade, flag_like
+from gridmart.operators.joins import keyword_join
 from gridmart.operators.windows import lag_of, rank_desc
 
 # Which sources/categories feed each mart column.
@@ -148,3 +149,35 @@ def generation_by_source(unified: DataFrame, excluded: Sequence[str] = ("Imports
         flag_like("category", "renewable").alias("is_renewable"),
         rank_desc("generation_twh", ("entity", "year")).alias("rank_within_year"),
     )
+
+
+# Technology word -> keyword searched in generation labels.
+CUF_KEYWORDS = (("geothermal", "geothermal"), ("hydro", "hydro"), ("wind", "wind"), ("solar", "solar"))
+
+
+def keyword_cuf(capacity: DataFrame, ember: DataFrame, energy_scale: float = 1e6,
+                hours: float = 8760.0) -> DataFrame:
+    """Capacity rows matched to generation by (entity, year) and keyword.
+
+    A capacity row matches every generation label of the same entity and year
+    that contains its technology keyword (case-insensitive LIKE).  Generation is
+    first summed per (entity, year, label), so the residual LIKE runs on one row
+    per label, never on raw rows.  Unmatched capacity rows keep a NULL sum; the
+    factor is clamped with LEAST/GREATEST (a NULL ratio clamps to 0.0).
+    """
+    low = F.lower(F.col("technology_raw"))
+    kw = None
+    for word, key in CUF_KEYWORDS:
+        cond = low.contains(word)
+        kw = F.when(cond, F.lit(key)) if kw is None else kw.when(cond, F.lit(key))
+    cap = capacity.select("entity", "year", "technology_raw", "capacity_mw", kw.otherwise(low).alias("keyword"))
+    gen = (ember.filter(F.col("variable").isNotNull())
+           .groupBy("entity", "year", F.lower("variable").alias("label"))
+           .agg(F.sum("value_clean").alias("gen")))
+    j = keyword_join(cap, gen, ["entity", "year"], F.col("r.label"), F.col("l.keyword"), "left")
+    grouped = (j.groupBy(F.col("l.entity").alias("entity"), F.col("l.year").alias("year"),
+                         F.col("l.technology_raw").alias("technology"), F.col("l.capacity_mw").alias("capacity_mw"))
+               .agg(F.sum("r.gen").alias("gen_twh")))
+    ratio = F.try_divide(F.col("gen_twh") * F.lit(float(energy_scale)),
+                         F.col("capacity_mw") * F.lit(float(hours)))
+    return grouped.withColumn("cuf", F.least(F.lit(1.0), F.greatest(F.lit(0.0), ratio)))

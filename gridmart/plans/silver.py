@@ -56,6 +56,8 @@ def stg_irena_capacity(raw: DataFrame, years: tuple[int, int] = CAPACITY_YEARS,
                        entity_col: str = "country_code") -> DataFrame:
     """M3: map technology labels (P17, P18), non-negative capacity (P13), years."""
     cap = F.col("capacity_mw").cast("double")
+    if entity_col not in raw.columns:      # capacity files may carry only the country name
+        entity_col = "country"
     return (raw
             .filter(_years("year", years) & F.col("capacity_mw").isNotNull() & (cap >= 0))
             .select(
