@@ -36,6 +36,13 @@ DEFAULT_CONF = {
 }
 
 
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8192",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+}
+
+
 def get_spark(master: str | None = None, cores: int | None = None,
               shuffle_partitions: int | None = None, app: str = "gridmart",
               extra: dict | None = None) -> SparkSession:
@@ -56,6 +63,10 @@ def get_spark(master: str | None = None, cores: int | None = None,
     conf = dict(DEFAULT_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    elif not master:
+        # Cluster: start wide (a 100 TB join shuffle needs thousands of
+        # partitions) and let AQE coalesce small stages toward the advisory size.
+        conf.update(CLUSTER_CONF)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

@@ -16,18 +16,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from gridmart.session import checkpoint_dir
+
 
 def land_incremental(spark: SparkSession, source_dir: str, schema: StructType | str, target_dir: str,
-                     checkpoint: str, transform: Callable[[DataFrame], DataFrame] | None = None,
+                     checkpoint: str | None = None, transform: Callable[[DataFrame], DataFrame] | None = None,
                      fmt: str = "csv", options: dict | None = None,
                      max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Append newly landed files under ``source_dir`` to the Parquet table at
     ``target_dir``; returns the (finishing) query.  ``checkpoint`` must be on
-    shared storage."""
+    shared storage; by default it is a folder under the session's
+    ``spark.checkpoint.dir`` named after the target table."""
+    if checkpoint is None:
+        name = os.path.basename(os.path.normpath(target_dir))
+        checkpoint = os.path.join(checkpoint_dir(spark), "landing", name)
     opts = {"header": "true"} if fmt == "csv" else {}
     opts.update(options or {})
     if max_files_per_trigger:
