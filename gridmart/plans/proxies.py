@@ -209,46 +209,49 @@ def _k() -> Column:
 def geo_feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flattened GeoJSON features (properties map, geometry type, coordinates JSON).
 
-    One frame per geometry family (user_id bands), stacked: lines with 0-3
-    vertices, points (some empty), two-vertex multi-lines, and features without
-    geometry (text ``null``).
+    One frame per geometry family, stacked: lines with 0-3 vertices, points (some
+    empty), two-vertex multi-lines, and features without geometry (text ``null``).
+    Every band is taken from a column whose distribution does not depend on the
+    table size (``props.k`` 0-99, minute/second/hour of ``ts``), so each family
+    grows in proportion to ``events``.
     """
     ev = (table(spark, sf_dir, "events").filter(F.col("event_type") != "signup")
-          .select("event_id", "user_id", "event_type", "value", _k().alias("k")))
-    k, uid, eid = F.col("k"), F.col("user_id"), F.col("event_id")
-    east = F.lit(170000) + uid * F.lit(3700) + k * F.lit(11)
-    north = F.lit(9480000) + F.floor(F.col("value") * F.lit(1000)).cast("bigint")
+          .select("event_id", "user_id", "event_type", "value", _k().alias("k"),
+                  F.minute("ts").alias("mi"), F.second("ts").alias("se"), F.hour("ts").alias("hr")))
+    k, mi, se, eid = F.col("k"), F.col("mi"), F.col("se"), F.col("event_id")
+    east = F.lit(170000) + mi * F.lit(9000) + se * F.lit(150)
+    north = F.lit(9480000) + F.floor(F.col("value") * F.lit(800)).cast("bigint")
 
     def vertex(i: int) -> Column:
         return F.array(east + F.lit(250 * i), north + F.lit(400 * i))
 
-    n_line = F.when(k < 10, F.lit(1)).when(k < 15, F.lit(0)).when(k < 50, F.lit(2)).otherwise(F.lit(3))
+    n_line = F.when(se < 6, F.lit(1)).when(se < 9, F.lit(0)).when(se < 36, F.lit(2)).otherwise(F.lit(3))
     families = [
-        (uid < 50, "LineString", F.to_json(F.slice(F.array(vertex(0), vertex(1), vertex(2)), 1, n_line))),
-        (uid.between(50, 109), "Point",
-         F.when(k.between(90, 94), F.lit("[]")).otherwise(F.to_json(vertex(0)))),
-        (uid.between(110, 129), "MultiLineString", F.to_json(F.array(F.array(vertex(0), vertex(1))))),
-        (uid >= 130, None, F.lit("null")),
+        (k < 40, "LineString", F.to_json(F.slice(F.array(vertex(0), vertex(1), vertex(2)), 1, n_line))),
+        (k.between(40, 79), "Point",
+         F.when(se.between(54, 56), F.lit("[]")).otherwise(F.to_json(vertex(0)))),
+        (k.between(80, 89), "MultiLineString", F.to_json(F.array(F.array(vertex(0), vertex(1))))),
+        (k >= 90, None, F.lit("null")),
     ]
-    resource = (F.when(k < 20, F.lit("220kV Network")).when(k < 40, F.lit("132kV Network"))
-                .when(k < 60, F.lit("66kV Network")).when(k < 80, F.lit("Transmission Stations"))
+    resource = (F.when(mi < 12, F.lit("220kV Network")).when(mi < 24, F.lit("132kV Network"))
+                .when(mi < 36, F.lit("66kV Network")).when(mi < 48, F.lit("Transmission Stations"))
                 .otherwise(F.lit("Other Layer")))
-    voltage = (F.when(k < 20, F.lit("220")).when(k < 40, F.lit("132")).when(k < 60, F.lit("66"))
+    voltage = (F.when(mi < 12, F.lit("220")).when(mi < 24, F.lit("132")).when(mi < 36, F.lit("66"))
                .otherwise(F.lit(None).cast("string")))
     props = F.create_map(
         F.lit("name_ims11"), F.concat(F.lit("STN-"), eid.cast("string")),
-        F.lit("county2"), F.concat(F.lit("County "), F.floor(uid / F.lit(10)).cast("bigint").cast("string")),
+        F.lit("county2"), F.concat(F.lit("County "), F.floor(F.col("user_id") / F.lit(10)).cast("bigint").cast("string")),
         F.lit("ownershi23"), F.when(F.col("value") < 100, F.lit("KPLC")).otherwise(F.lit("KETRACO")),
         F.lit("source"), F.col("event_type"),
-        F.lit("status"), F.when(k < 50, F.lit("Existing")).otherwise(F.lit("Planned")),
-        F.lit("manned50"), F.when(uid < 75, F.lit("Yes")).otherwise(F.lit(None).cast("string")),
+        F.lit("status"), F.when(se < 30, F.lit("Existing")).otherwise(F.lit("Planned")),
+        F.lit("manned50"), F.when(mi < 30, F.lit("Yes")).otherwise(F.lit(None).cast("string")),
         F.lit("voltage47"), voltage,
     )
     frames = [ev.filter(band).select(
-        F.when(k < 95, props).alias("properties"),
+        F.when(F.col("hr") < 23, props).alias("properties"),
         F.lit(gtype).cast("string").alias("geometry_type"), wkt.alias("geometry_wkt"),
         F.col("event_type").alias("dataset"), resource.alias("resource_name"),
-        F.concat(F.lit("res-"), F.floor(k / F.lit(20)).cast("bigint").cast("string")).alias("resource_id"),
+        F.concat(F.lit("res-"), F.floor(mi / F.lit(12)).cast("bigint").cast("string")).alias("resource_id"),
     ) for band, gtype, wkt in families]
     out = frames[0]
     for f in frames[1:]:
