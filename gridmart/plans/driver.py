@@ -117,6 +117,10 @@ class Pipeline:
     def substations(self) -> DataFrame:
         return geo.geo_map_substations(self.raw_geo)
 
+    @cached_property
+    def located_substations(self) -> DataFrame:
+        return geo.geo_map_substations(self.raw_geo, located_only=True)
+
     @cached_property
     def lines(self) -> DataFrame:
         return geo.geo_map_lines(self.raw_geo)
@@ -192,11 +196,12 @@ QUERIES = {
     "by_dataset": _q(lambda p: serving.by_dataset(p.geo_infrastructure)),
     "by_geom": _q(lambda p: serving.by_geom(p.geo_infrastructure)),
     "by_resource": _q(lambda p: serving.by_resource(p.geo_infrastructure)),
-    "substations": _q(lambda p: serving.geo_map_substations_source(geo.geo_map_substations_view(p.substations))),
+    "substations": _q(lambda p: serving.geo_map_substations_source(
+        geo.geo_map_substations_view(p.located_substations, located=True))),
     "substation_table": _q(lambda p: serving.substation_table(p.substations)),
     "lines": _q(lambda p: p.lines),
-    "layer_counts": _q(lambda p: geo.layer_counts(p.lines, p.substations)),
-    "geojson_features": _q(lambda p: geo.geo_features(p.lines, p.substations)),
+    "layer_counts": _q(lambda p: geo.layer_counts(p.lines, p.located_substations, located=True)),
+    "geojson_features": _q(lambda p: geo.geo_features(p.lines, p.located_substations, located=True)),
     # theta join (equal keys + keyword LIKE)
     "keyword_cuf": _q(lambda p: gold.keyword_cuf(p.capacity, p.ember, *PROXY_CUF)),
     # data quality

@@ -42,8 +42,16 @@ def geo_infrastructure(raw_geo: DataFrame) -> DataFrame:
                  F.min("_ingested_at").alias("first_ingested_at")))
 
 
-def geo_map_substations(raw_geo: DataFrame, zone: int = UTM_ZONE, south: bool = UTM_SOUTH) -> DataFrame:
-    """Every Point feature as a station with WGS84 lat/lng (G1)."""
+def geo_map_substations(raw_geo: DataFrame, zone: int = UTM_ZONE, south: bool = UTM_SOUTH,
+                        located_only: bool = False) -> DataFrame:
+    """Every Point feature as a station with WGS84 lat/lng (G1).
+
+    lat/lng are NULL exactly when the grid x or y does not parse (the series
+    maps finite input to finite or NaN output, never NULL).  ``located_only``
+    keeps just the located stations by testing x/y right after parsing; a filter
+    on the finished lat/lng would be pushed down through the projection chain
+    with the whole series substituted into it.
+    """
     pts = raw_geo.filter((F.col("geometry_type") == "Point") & F.col("geometry_wkt").isNotNull()
                          & ~F.col("geometry_wkt").isin(*EMPTY_GEOMETRIES))
     attrs = ["station_name", "county", "owner", "source", "status", "manned", "feature_type"]
@@ -57,6 +65,8 @@ def geo_map_substations(raw_geo: DataFrame, zone: int = UTM_ZONE, south: bool =
         F.lit(POINT_FEATURE_TYPE).alias("feature_type"),
         F.get_json_object("geometry_wkt", "$[0]").try_cast("double").alias("__x"),
         F.get_json_object("geometry_wkt", "$[1]").try_cast("double").alias("__y"))
+    if located_only:
+        xy = xy.filter(F.col("__x").isNotNull() & F.col("__y").isNotNull())
     xi_p, eta_p = utm_prime(F.col("__x"), F.col("__y"), south)
     staged = xy.select(*attrs, xi_p.alias("__xi"), eta_p.alias("__eta"))
     lng, lat = prime_to_lnglat(F.col("__xi"), F.col("__eta"), zone)
@@ -91,14 +101,21 @@ def geo_map_lines(raw_geo: DataFrame, zone: int = UTM_ZONE, south: bool = UTM_SO
                      geometry.alias("geojson_wgs84"))
 
 
-def geo_map_substations_view(subst: DataFrame) -> DataFrame:
+def _located(subst: DataFrame, located: bool) -> DataFrame:
+    """Stations with both coordinates; ``located=True`` when ``subst`` was built
+    with ``located_only`` (or is otherwise known to hold only located rows)."""
+    return subst if located else subst.filter(F.col("lat").isNotNull() & F.col("lng").isNotNull())
+
+
+def geo_map_substations_view(subst: DataFrame, located: bool = False) -> DataFrame:
     """Located stations with 5-dp coordinates (sorted by station name when served)."""
-    return (subst.filter(F.col("lat").isNotNull() & F.col("lng").isNotNull())
+    return (_located(subst, located)
             .select("station_name", "county", "owner", "manned", "feature_type",
                     R("lat", 5).alias("lat"), R("lng", 5).alias("lng")))
 
 
-def geo_features(lines: DataFrame, subst: DataFrame, digits: int = GEOJSON_DIGITS) -> DataFrame:
+def geo_features(lines: DataFrame, subst: DataFrame, digits: int = GEOJSON_DIGITS,
+                 located: bool = False) -> DataFrame:
     """One GeoJSON Feature (JSON text) per line and per located station.
 
     Rows stay distributed; write them with ``sources.files.write_geojson`` (one
@@ -118,16 +135,16 @@ def geo_features(lines: DataFrame, subst: DataFrame, digits: int = GEOJSON_DIGIT
         F.coalesce("manned", empty).alias("manned")), keep_nulls)
     point_geom = F.concat(F.lit('{"type":"Point","coordinates":['), _fixed(F.col("lng"), digits),
                           F.lit(","), _fixed(F.col("lat"), digits), F.lit("]}"))
-    point_feats = (subst.filter(F.col("lat").isNotNull() & F.col("lng").isNotNull())
+    point_feats = (_located(subst, located)
                    .select(F.concat(F.lit('{"type":"Feature","geometry":'), point_geom,
                                     F.lit(',"properties":'), point_props, F.lit("}")).alias("feature")))
     return line_feats.unionByName(point_feats)
 
 
-def layer_counts(lines: DataFrame, subst: DataFrame) -> DataFrame:
+def layer_counts(lines: DataFrame, subst: DataFrame, located: bool = False) -> DataFrame:
     """Segments per mapped network plus the located station count (map legend)."""
     segs = lines.select(F.lit("transmission_line").alias("layer"), "resource_name")
-    pts = (subst.filter(F.col("lat").isNotNull() & F.col("lng").isNotNull())
+    pts = (_located(subst, located)
            .select(F.lit("substation").alias("layer"), F.lit("Substations").alias("resource_name")))
     return (segs.unionByName(pts).groupBy("layer", "resource_name")
             .agg(F.count(F.lit(1)).cast("bigint").alias("feature_count")))

@@ -190,3 +190,17 @@ def test_table_round_trip_and_seed(spark, tmpdir_path):
 def test_normalize_headers(spark):
     df = spark.createDataFrame([(1, 2)], "`Country Code` int, `Value (x)` int")
     assert normalize_headers(df).columns == ["country_code", "value_x"]
+
+
+def test_located_only_equals_lat_lng_filter(spark):
+    rows = [({"name_ims11": "a"}, "Point", "[257634.5018, 9857079.966]"),
+            ({"name_ims11": "b"}, "Point", '["x", 9857079.966]'),
+            ({"name_ims11": "c"}, "Point", "[574171.7589]"),
+            (None, "Point", "[574171.7589, 9553033.8165]")]
+    raw = spark.createDataFrame(rows, "properties map<string,string>, geometry_type string, geometry_wkt string")
+    full = geo.geo_map_substations(raw)
+    assert full.count() == 4                                       # unlocated stations stay in the mart
+    a = sorted((tuple(r) for r in geo.geo_map_substations_view(full).collect()), key=repr)
+    b = sorted((tuple(r) for r in geo.geo_map_substations_view(
+        geo.geo_map_substations(raw, located_only=True), located=True).collect()), key=repr)
+    assert a == b and len(a) == 2
