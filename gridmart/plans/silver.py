@@ -136,7 +136,8 @@ def stg_energy_unified(ember: DataFrame, capacity: DataFrame, context: DataFrame
     """M5: one row per (entity, year, source_type).
 
     1. generation = sum of cleaned values of the generation slice (A1; NULL-only
-       sums are 0.0); rows without a source label are not grouped.
+       sums are 0.0); rows without an entity or source label are not grouped
+       (a groupby drops NULL keys).
     2. capacity = max MW per mapped technology (A2), left-joined (J1).
     3. CUF (M13), 4 dp half-even, clamped.
     4. categories left-joined on source_type (J2, bounded broadcast).
@@ -151,11 +152,11 @@ def stg_energy_unified(ember: DataFrame, capacity: DataFrame, context: DataFrame
            .filter((F.col("unit") == GENERATION_SLICE["unit"])
                    & (F.col("category") == GENERATION_SLICE["category"])
                    & (F.col("subcategory") == GENERATION_SLICE["subcategory"])
-                   & F.col("variable").isNotNull())
+                   & F.col("entity").isNotNull() & F.col("variable").isNotNull())
            .groupBy("entity", "year", F.col("variable").alias("source_type"))
            .agg(F.coalesce(F.sum("value_clean"), F.lit(0.0)).alias("generation_twh")))
     cap = (capacity
-           .filter(F.col("technology").isNotNull())
+           .filter(F.col("entity").isNotNull() & F.col("technology").isNotNull())
            .groupBy("entity", "year", F.col("technology").alias("source_type"))
            .agg(F.max("capacity_mw").alias("capacity_mw")))
     cats = bounded_broadcast(categories.select("source_type", "category", "color_hex"))
