@@ -1,7 +1,8 @@
 """Silver assets (M1-M5): typed, cleaned, unified tables keyed by entity.
 
 Every table carries ``entity`` first; every aggregate and window is keyed by it,
-so one job serves any number of countries.
+so one job serves any number of countries.  Rows without an entity are not kept
+(with an entity list, bronze never passes them in the first place).
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ def stg_ember_generation(raw: DataFrame, years: tuple[int, int] = GENERATION_YEA
                          entity_col: str = "country_code") -> DataFrame:
     """M1: trim labels, null negative TWh (P14), flags (P15, P16), year window."""
     return (raw
-            .filter(_years("year", years) & F.col("value").isNotNull())
+            .filter(_years("year", years) & F.col("value").isNotNull() & F.col(entity_col).isNotNull())
             .select(
                 F.col(entity_col).alias("entity"),
                 F.col("year").cast("int").alias("year"),
@@ -59,7 +60,8 @@ def stg_irena_capacity(raw: DataFrame, years: tuple[int, int] = CAPACITY_YEARS,
     if entity_col not in raw.columns:      # capacity files may carry only the country name
         entity_col = "country"
     return (raw
-            .filter(_years("year", years) & F.col("capacity_mw").isNotNull() & (cap >= 0))
+            .filter(_years("year", years) & F.col("capacity_mw").isNotNull() & (cap >= 0)
+                    & F.col(entity_col).isNotNull())
             .select(
                 F.col(entity_col).alias("entity"),
                 F.col("year").cast("int").alias("year"),
@@ -110,7 +112,7 @@ def stg_owid_energy(raw: DataFrame, years: tuple[int, int] = CONTEXT_YEARS,
         else:
             cols.append(R(col_or_null(raw, src).cast("double"), digits).alias(out))
     cols.append(F.col("_ingested_at"))
-    return raw.filter(_years("year", years)).select(*cols)
+    return raw.filter(_years("year", years) & F.col(entity_col).isNotNull()).select(*cols)
 
 
 def stg_source_categories(seed: DataFrame) -> DataFrame:
