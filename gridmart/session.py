@@ -79,12 +79,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder used to cut lineage.
 
     The cluster names it in ``spark.checkpoint.dir``; that setting is read from the
-    session and always wins.  Only when it is unset (local tests) a private
-    scratch folder is created and registered.
+    session and always wins.  Only when it is unset in local mode (tests) a
+    private scratch folder is created; on a cluster an unset value is an error,
+    never a machine-local fallback.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
         configured = tempfile.mkdtemp(prefix="gridmart-ckpt-")
         sc.setCheckpointDir(configured)
     elif not sc.getCheckpointDir():

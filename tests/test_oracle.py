@@ -36,3 +36,24 @@ def test_entry_smoke(spark):
 def test_rows_only_query_runs(spark):
     df = E.queries()["geojson_features"](spark, SF)
     assert df.columns == ["feature"] and df.count() > 0
+
+
+def test_geojson_features_brute_force(spark):
+    """The rows-only query, checked feature by feature against the line and station marts."""
+    import json
+    feats = [json.loads(r["feature"]) for r in E.queries()["geojson_features"](spark, SF).collect()]
+    lines = E.queries()["lines"](spark, SF).collect()
+    subst = E.queries()["substation_table"](spark, SF).collect()
+    line_feats = [f for f in feats if f["properties"]["layer"] == "transmission_line"]
+    point_feats = [f for f in feats if f["properties"]["layer"] == "substation"]
+    assert len(line_feats) == len(lines) and len(point_feats) == len(subst)
+    got_lines = sorted(json.dumps([f["geometry"], f["properties"]["resource_name"], f["properties"]["voltage_kv"],
+                                   f["properties"]["line_color"]], sort_keys=True) for f in line_feats)
+    want_lines = sorted(json.dumps([json.loads(r["geojson_wgs84"]), r["resource_name"], r["voltage_kv"],
+                                    r["line_color"]], sort_keys=True) for r in lines)
+    assert got_lines == want_lines
+    got_pts = sorted((f["properties"]["station_name"], round(f["geometry"]["coordinates"][1], 4),
+                      round(f["geometry"]["coordinates"][0], 4)) for f in point_feats)
+    want_pts = sorted((r["station_name"] or "", r["latitude"], r["longitude"]) for r in subst)
+    assert all(g[0] == w[0] and abs(g[1] - w[1]) < 1.1e-4 and abs(g[2] - w[2]) < 1.1e-4
+               for g, w in zip(got_pts, want_pts))
