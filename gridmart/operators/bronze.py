@@ -80,10 +80,15 @@ def drop_all_null_columns(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return df.drop(*empty) if empty else df
 
 
+def run_timestamp(run_ts: datetime) -> Column:
+    """The run time as a ``timestamp_ntz`` literal, independent of any time zone setting."""
+    return F.lit(run_ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+
+
 def add_metadata(df: DataFrame, source: str, run_ts: datetime) -> DataFrame:
     """Stamp ``_ingested_at`` (one run timestamp, reproducible reruns) and ``_source``."""
     return df.withColumns({
-        "_ingested_at": F.lit(run_ts).cast("timestamp_ntz"),
+        "_ingested_at": run_timestamp(run_ts),
         "_source": F.lit(source),
     })
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridmart.operators.bronze import (
-    add_metadata, concat_by_name, drop_all_null_columns, drop_null_rows, filter_entity,
+    add_metadata, run_timestamp, concat_by_name, drop_all_null_columns, drop_null_rows, filter_entity,
     filter_entity_ci, normalize_headers, resolve_column, select_existing,
 )
 
@@ -58,7 +58,7 @@ def ingest_capacity(raw: DataFrame, source_tag: str, run_ts: datetime,
     """Capacity rows -> bronze (S3 + P4): case-insensitive country filter."""
     df = filter_entity_ci(raw, "country", country_names)
     return df.withColumns({"_source": F.lit(source_tag),
-                           "_ingested_at": F.lit(run_ts).cast("timestamp_ntz")})
+                           "_ingested_at": run_timestamp(run_ts)})
 
 
 def ingest_geo(frames: Sequence[DataFrame], run_ts: datetime, spark=None) -> DataFrame:
