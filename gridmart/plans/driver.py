@@ -1,6 +1,6 @@
 """The full pipeline over the driver tables, and the registered queries.
 
-``Pipeline`` wires stand-in inputs (``proxies``) through the library's bronze,
+``Assets`` wires stand-in inputs (``proxies``) through the library's bronze,
 silver, gold, geo and serving functions.  Tables are built lazily and memoised
 as DataFrames (plans, not data), so a query only plans what it reads.
 
@@ -29,7 +29,7 @@ PROXY_CUF = (1.0, 12.0)          # energy scale, hours (months) per year
 PROXY_DECADE_FILTER = "2000s"
 
 
-class Pipeline:
+class Assets:
     def __init__(self, spark: SparkSession, sf_dir: str, run_ts=proxies.RUN_TS):
         self.spark, self.sf_dir, self.run_ts = spark, sf_dir, run_ts
 
@@ -156,7 +156,7 @@ CHECK_SPECS = {
 
 
 def _q(fn):
-    return lambda spark, sf_dir: fn(Pipeline(spark, sf_dir))
+    return lambda spark, sf_dir: fn(Assets(spark, sf_dir))
 
 
 QUERIES = {
