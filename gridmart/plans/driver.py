@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from gridmart.operators import checks as C
 from gridmart.plans import gold, geo, proxies, serving, silver
 from gridmart.plans.bronze import ingest_capacity, ingest_geo, ingest_long, ingest_wide
+from gridmart.plans.build import CHECKS
 from gridmart.sources.files import read_seed, station_rows
 
 PROXY_YEARS = (1996, 2030)
@@ -128,7 +129,8 @@ class Assets:
     # --- checks -----------------------------------------------------------
     def checks(self) -> DataFrame:
         tables = {
-            "raw_ember_generation": self.raw_long, "raw_irena_capacity": self.raw_capacity,
+            "raw_ember_generation": self.raw_long, "raw_owid_energy": self.raw_wide,
+            "raw_irena_capacity": self.raw_capacity,
             "stg_ember_generation": self.ember, "stg_irena_capacity": self.capacity,
             "stg_owid_energy": self.context, "renewable_mix": self.mix,
             "capacity_trend": self.capacity_trend, "energy_kpis": self.kpis,
@@ -137,22 +139,8 @@ class Assets:
         return C.run_table_checks(tables, CHECK_SPECS, self.spark)
 
 
-# The declared column checks of each asset.
-CHECK_SPECS = {
-    "raw_ember_generation": [C.not_null("country_code"), C.not_null("year"), C.not_null("variable"),
-                             C.not_null("value")],
-    "raw_irena_capacity": [C.not_null("country"), C.not_null("year"), C.not_null("technology"),
-                           C.not_null("capacity_mw")],
-    "stg_ember_generation": [C.not_null("year"), C.accepted_range("year", 2000, 2030),
-                             C.not_null("variable"), C.not_null("unit"), C.not_null("value_clean")],
-    "stg_irena_capacity": [C.not_null("year"), C.not_null("technology"), C.not_null("capacity_mw")],
-    "stg_owid_energy": [C.not_null("year"), C.accepted_range("year", 1990, 2030), C.not_null("country")],
-    "renewable_mix": [C.not_null("year"), C.unique("entity", "year"), C.accepted_range("year", 2000, 2030),
-                      C.not_null("total_generation_twh"), C.accepted_range("renewable_share_pct", 0, 100)],
-    "capacity_trend": [C.not_null("year"), C.unique("entity", "year"), C.not_null("total_renewable_mw")],
-    "energy_kpis": [C.not_null("year"), C.unique("entity", "year")],
-    "generation_by_source": [C.not_null("year"), C.not_null("source_type"), C.not_null("generation_twh")],
-}
+# The declared column checks of each stored asset, keyed by table name.
+CHECK_SPECS = {name.split("/")[1]: checks for name, checks in CHECKS.items()}
 
 
 def _q(fn):
