@@ -168,9 +168,9 @@ def wide_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         (d("p4") / mega).alias("other_renewable_electricity"),
         (d("p5") / mega).alias("fossil_electricity"),
         F.lit(None).cast("double").alias("nuclear_electricity"),
-        (ren / d("p_all") * F.lit(100.0)).alias("renewables_share_elec"),
-        (ren / d("p_all") * F.lit(100.0)).alias("low_carbon_share_elec"),
-        (d("p5") / d("p_all") * F.lit(100.0)).alias("fossil_share_elec"),
+        (F.try_divide(ren, d("p_all")) * F.lit(100.0)).alias("renewables_share_elec"),
+        (F.try_divide(ren, d("p_all")) * F.lit(100.0)).alias("low_carbon_share_elec"),
+        (F.try_divide(d("p5"), d("p_all")) * F.lit(100.0)).alias("fossil_share_elec"),
         (d("p_all") / F.lit(4e5)).alias("primary_energy_consumption"),
         (d("p5") / F.lit(1e7)).alias("greenhouse_gas_emissions"),
     )
