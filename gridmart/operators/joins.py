@@ -2,10 +2,11 @@
 
 ``bounded_broadcast`` is the only place an explicit broadcast hint is issued: the
 side is broadcast only after proving it holds at most ``max_rows`` rows.  The
-proof costs ``limit(max_rows + 1).count()``, which stops after ``max_rows + 1``
-rows, so checking a large side never scans it.  Above the bound the frame is
-returned unhinted and Spark plans a shuffle join (AQE may still broadcast it if
-its measured size is below ``spark.sql.autoBroadcastJoinThreshold``).
+proof is ``limit(max_rows + 1).count()``: each task stops after ``max_rows + 1``
+rows, so checking a large side costs a bounded read per task, not a full scan.
+Above the bound the frame is returned unhinted and Spark plans a shuffle join
+(AQE may still broadcast it if its measured size is below
+``spark.sql.autoBroadcastJoinThreshold``).
 """
 
 from __future__ import annotations
