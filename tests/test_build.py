@@ -96,3 +96,13 @@ def test_land_incremental(spark, tmpdir_path):
     assert sorted((r["year"], r["variable"]) for r in rows) == [("2020", "Hydro"), ("2021", "Hydro")]
     land_and_wait(spark, src, schema, target, ckpt, transform=bronze)     # nothing new: no duplicates
     assert spark.read.parquet(target).count() == 2
+
+
+def test_cli_build_and_checks(spark, tmpdir_path):
+    from gridmart.__main__ import main
+    long_csv = _long_csv(tmpdir_path)
+    wide = _write(os.path.join(tmpdir_path, "w.csv"), "iso_code,country,year,per_capita_electricity\nKEN,Kenya,2021,160\n")
+    out = os.path.join(tmpdir_path, "wh")
+    assert main(["build", "--long", long_csv, "--wide", wide, "--entities", "KEN", "--out", out]) == 0
+    assert files.read_table(spark, os.path.join(out, "mart/renewable_mix")).count() == 2
+    assert main(["checks", "--out", out]) == 0
