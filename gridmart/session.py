@@ -17,6 +17,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -48,22 +49,27 @@ def get_spark(master: str | None = None, cores: int | None = None,
               extra: dict | None = None) -> SparkSession:
     """Return (or create) a session with the defaults above.
 
-    On a cluster, leave ``master`` unset and let spark-submit decide.  For local
-    runs pass ``master="local[8]"``; shuffle partitions then default to the core
-    count instead of Spark's 200.
+    On a cluster, leave ``master`` unset and let spark-submit decide; the cluster
+    settings apply when the effective master is not local.  For local runs pass
+    ``master="local[8]"`` or ``cores``; shuffle partitions then default to the
+    core count.  An already running session is returned unchanged.
     """
+    active = SparkSession.getActiveSession()
+    if active is not None and master is None and cores is None and not extra:
+        return active                      # never reconfigure a running session
     builder = SparkSession.builder.appName(app)
     if master is None and cores is not None:
         master = f"local[{cores}]"
     if master:
         builder = builder.master(master)
-        if shuffle_partitions is None:
-            shuffle_partitions = cores or os.cpu_count() or 8
-        builder = builder.config("spark.driver.memory", "16g")
+    effective = master or SparkConf().get("spark.master", "local[*]")
     conf = dict(DEFAULT_CONF)
-    if shuffle_partitions:
+    if effective.startswith("local"):
+        builder = builder.config("spark.driver.memory", "16g")
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or cores or os.cpu_count() or 8)
+    elif shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    elif not master:
+    else:
         # Cluster: start wide (a 100 TB join shuffle needs thousands of
         # partitions) and let AQE coalesce small stages toward the advisory size.
         conf.update(CLUSTER_CONF)
