@@ -1,8 +1,8 @@
 """Run registered queries in Spark and their oracle SQL in DuckDB; compare exactly.
 
-Comparison: same column names, same row count, same multiset of rows, where a
-row is its values in column-name order and floats are compared bit-for-bit
-(after normalising -0.0 and NaN/None).
+Comparison: same column names and types, same row count, same multiset of rows,
+where a row is its values in column-name order and floats are compared
+bit-for-bit (after normalising -0.0 and NaN/None).
 
 CLI:  python tests/oracle_compare.py [sf_dir] [query ...]
 """
@@ -51,9 +51,17 @@ def _rows(records, cols):
     return Counter(tuple(_norm(r[i]) for i in order) for r in records)
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+
+
 def compare(spark, con, name: str, fn, sql: str, sf_dir: str) -> tuple[bool, str]:
     sdf = fn(spark, sf_dir)
     s_cols = sdf.columns
+    d_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    types = {c: (t, d_types.get(c)) for c, t in sdf.dtypes if SPARK_TO_DUCK.get(t, t) != d_types.get(c)}
+    if types:
+        return False, f"column types differ: {types}"
     s_rows = [tuple(r) for r in sdf.collect()]
     res = con.execute(sql)
     d_cols = [d[0] for d in res.description]
