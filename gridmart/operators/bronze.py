@@ -96,12 +96,11 @@ def add_metadata(df: DataFrame, source: str, run_ts: datetime) -> DataFrame:
 def tag_resource(df: DataFrame, dataset: str, resource_name: str | None = None,
                  resource_id: str | None = None) -> DataFrame:
     """Attach dataset / resource identifiers to landed geo rows."""
-    cols: dict[str, Column] = {"dataset": F.lit(dataset)}
-    if resource_name is not None:
-        cols["resource_name"] = F.lit(resource_name)
-    if resource_id is not None:
-        cols["resource_id"] = F.lit(resource_id)
-    return df.withColumns(cols)
+    return df.withColumns({
+        "dataset": F.lit(dataset).cast("string"),
+        "resource_name": F.lit(resource_name).cast("string"),
+        "resource_id": F.lit(resource_id).cast("string"),
+    })
 
 
 def concat_by_name(frames: Sequence[DataFrame], empty_schema=None, spark=None) -> DataFrame:

@@ -14,18 +14,21 @@ machine-local one on a cluster.
 
 from __future__ import annotations
 
+import logging
 import os
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from gridmart.operators import checks as C
+from gridmart.operators.bronze import tag_resource
 from gridmart.plans import geo, gold, silver
 from gridmart.plans.bronze import ingest_capacity, ingest_geo, ingest_long, ingest_wide
 from gridmart.sources import files
 
+log = logging.getLogger(__name__)
+
 
 @dataclass
 class Inputs:
@@ -83,6 +86,8 @@ class Builder:
 
 
 def _geo_frames(spark: SparkSession, resources: list[dict]) -> list[DataFrame]:
+    """Read every selected geo resource (S9); one that cannot be read is skipped
+    with a warning, the others still land."""
     frames = []
     by_dataset: dict[str, list[dict]] = {}
     for r in resources:
@@ -90,17 +95,15 @@ def _geo_frames(spark: SparkSession, resources: list[dict]) -> list[DataFrame]:
     for dataset, res in by_dataset.items():
         for kind, r in files.select_resources(res, dataset):
             reader = files.read_geojson if kind == "geojson" else files.read_station_csv
-            df = reader(spark, r["path"])
-            frames.append(df.withColumns({
-                "dataset": _lit(dataset), "resource_name": _lit(r.get("name")), "resource_id": _lit(r.get("id")),
-            }))
+            try:
+                df = reader(spark, r["path"])
+            except Exception as exc:  # unreadable resource: skip it, keep the rest
+                log.warning("skipped geo resource %s (%s)", r.get("path"), exc)
+                continue
+            frames.append(tag_resource(df, dataset, r.get("name"), r.get("id")))
     return frames
 
 
-def _lit(v):
-    return F.lit(v).cast("string")
-
-
 def build_all(spark: SparkSession, inputs: Inputs, out_dir: str | None = None,
               run_ts: datetime | None = None, params: Params | None = None) -> dict[str, str]:
     """Run the whole pipeline; return {table name: stored location}."""

@@ -47,7 +47,9 @@ def test_build_all(spark, tmpdir_path):
     st = _write(os.path.join(d, "stations.csv"), "station,elev\nNarok,1890\n")
     res = [{"dataset": "transmission_network", "name": "220kV Network", "id": "a", "format": "GeoJSON", "path": gj},
            {"dataset": "solar_radiation", "name": "stations", "id": "b", "format": "CSV", "path": st},
-           {"dataset": "transmission_network", "name": "doc", "id": "c", "format": "PDF", "path": gj}]
+           {"dataset": "transmission_network", "name": "doc", "id": "c", "format": "PDF", "path": gj},
+           {"dataset": "transmission_network", "name": "gone", "id": "d", "format": "JSON",
+            "path": os.path.join(d, "missing.geojson")}]
     out = os.path.join(d, "warehouse")
     paths = build_all(spark, Inputs(long_csv, wide, None, res, entities=["KEN"]), out, RUN)
     mix = {r["year"]: r for r in files.read_table(spark, paths["mart/renewable_mix"]).collect()}
