@@ -108,3 +108,15 @@ def test_cli_build_and_checks(spark, tmpdir_path):
     assert main(["build", "--long", long_csv, "--wide", wide, "--entities", "KEN", "--out", out]) == 0
     assert files.read_table(spark, os.path.join(out, "mart/renewable_mix")).count() == 2
     assert main(["checks", "--out", out]) == 0
+
+
+def test_land_incremental_default_checkpoint(spark, tmpdir_path):
+    from gridmart.session import checkpoint_dir
+    src = os.path.join(tmpdir_path, "landing2")
+    target = os.path.join(tmpdir_path, "bronze_default_ckpt")
+    schema = ("Area string, `Country code` string, Year string, Category string, Subcategory string, "
+              "Variable string, Unit string, Value string")
+    _write(os.path.join(src, "a.csv"), LONG_HEADER + "Kenya,KEN,2020,Electricity generation,Fuel,Hydro,TWh,3.2\n")
+    land_and_wait(spark, src, schema, target, transform=lambda df: ingest_long(df, RUN))
+    assert spark.read.parquet(target).count() == 1
+    assert os.path.isdir(os.path.join(checkpoint_dir(spark).replace("file:", ""), "landing", "bronze_default_ckpt"))
