@@ -13,7 +13,8 @@ from gridmart.operators.bronze import (
     filter_entity_ci, normalize_headers, resolve_column, select_existing,
 )
 
-# Column names the long statistics file may carry.
+# Column names the long statistics file may carry, and the
+# ``_source`` tag written for each landed input.
 LONG_CODE_CANDIDATES = ("iso_3_code", "country_code")
 LONG_KEEP = ("country_code", "area", "country", "year", "category", "subcategory",
              "variable", "unit", "value", "source", "source_name", "ember_region")

@@ -20,7 +20,7 @@ from gridmart.operators import checks as C
 from gridmart.plans import gold, geo, proxies, serving, silver
 from gridmart.plans.bronze import ingest_capacity, ingest_geo, ingest_long, ingest_wide
 from gridmart.plans.build import CHECKS
-from gridmart.sources.files import read_seed, station_rows
+from gridmart.sources.files import CAPACITY_FILE_SOURCE, read_seed, station_rows
 
 PROXY_YEARS = (1996, 2030)
 PROXY_CONTEXT_YEARS = (1990, 2030)
@@ -45,7 +45,7 @@ class Assets:
 
     @cached_property
     def raw_capacity(self) -> DataFrame:
-        return ingest_capacity(proxies.capacity_rows(self.monthly), "irena_api", self.run_ts)
+        return ingest_capacity(proxies.capacity_rows(self.monthly), CAPACITY_FILE_SOURCE, self.run_ts)
 
     @cached_property
     def raw_wide(self) -> DataFrame:
@@ -62,7 +62,7 @@ class Assets:
 
     @cached_property
     def raw_labelled_capacity(self) -> DataFrame:
-        return ingest_capacity(proxies.labelled_capacity_rows(self.spark, self.sf_dir), "irena_api",
+        return ingest_capacity(proxies.labelled_capacity_rows(self.spark, self.sf_dir), CAPACITY_FILE_SOURCE,
                                self.run_ts)
 
     @cached_property

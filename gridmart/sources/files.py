@@ -54,7 +54,11 @@ def read_wide_csv(spark: SparkSession, path) -> DataFrame:
     return read_csv(spark, path)
 
 
+# Columns a capacity file must carry, and the ``_source`` tags of
+# a landed file and of the curated fallback.
 CAPACITY_REQUIRED = ("country", "technology", "year", "capacity_mw")
+CAPACITY_FILE_SOURCE = "irena_api"
+CAPACITY_FALLBACK_SOURCE = "irena_curated_fallback"
 
 
 def read_capacity(spark: SparkSession, path: str | None) -> tuple[DataFrame, str]:
@@ -71,10 +75,10 @@ def read_capacity(spark: SparkSession, path: str | None) -> tuple[DataFrame, str
             missing = [c for c in CAPACITY_REQUIRED if c not in df.columns]
             if missing:
                 raise ValueError(f"capacity file lacks {missing}")
-            return df, "irena_api"
+            return df, CAPACITY_FILE_SOURCE
         except Exception as exc:  # unreadable or incomplete file: use curated data
             log.warning("capacity file unusable (%s); using curated fallback", exc)
-    return fallback_capacity(spark), "irena_curated_fallback"
+    return fallback_capacity(spark), CAPACITY_FALLBACK_SOURCE
 
 
 def explode_features(fc: DataFrame) -> DataFrame:
