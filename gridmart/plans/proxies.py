@@ -20,6 +20,7 @@ registered queries run on top of them (``gridmart.plans.driver``).
 
 from __future__ import annotations
 
+import hashlib
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -71,7 +72,15 @@ SEGMENT_LABELS = (
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table, resolved once per session as a temporary view.
+
+    The view keeps the file listing and the Parquet schema, so later queries on
+    the same table skip schema inference; every query still scans the files.
+    """
+    view = "gm_" + hashlib.sha1(f"{sf_dir}/{name}".encode()).hexdigest()[:16] + "_" + name
+    if not spark.catalog.tableExists(view):
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(view)
+    return spark.table(view)
 
 
 def _case(col: Column, pairs, default=None) -> Column:
