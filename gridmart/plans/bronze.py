@@ -28,12 +28,15 @@ def ingest_long(raw: DataFrame, run_ts: datetime, entities=None) -> DataFrame:
 
     Headers are normalised, the code column is resolved from its known names and
     renamed ``country_code``, rows are kept for ``entities`` (None: all), the
-    known columns are kept, rows without a value dropped, metadata stamped.
+    known columns are kept, ``year``/``value`` typed int/double (so later year
+    windows push into Parquet scans of the stored table), rows without a value
+    dropped, metadata stamped.
     """
     df = normalize_headers(raw)
     df = resolve_column(df, LONG_CODE_CANDIDATES, "country_code")
     df = filter_entity(df, "country_code", entities)
     df = select_existing(df, LONG_KEEP)
+    df = df.withColumns({"year": F.col("year").cast("int"), "value": F.col("value").cast("double")})
     df = drop_null_rows(df, ["value"])
     return add_metadata(df, LONG_SOURCE, run_ts)
 

@@ -95,7 +95,7 @@ def test_land_incremental(spark, tmpdir_path):
            "Kenya,KEN,2021,Electricity generation,Fuel,Wind,TWh,\n")
     land_and_wait(spark, src, schema, target, ckpt, transform=bronze)
     rows = spark.read.parquet(target).collect()
-    assert sorted((r["year"], r["variable"]) for r in rows) == [("2020", "Hydro"), ("2021", "Hydro")]
+    assert sorted((r["year"], r["variable"]) for r in rows) == [(2020, "Hydro"), (2021, "Hydro")]
     land_and_wait(spark, src, schema, target, ckpt, transform=bronze)     # nothing new: no duplicates
     assert spark.read.parquet(target).count() == 2
 
@@ -120,3 +120,18 @@ def test_land_incremental_default_checkpoint(spark, tmpdir_path):
     land_and_wait(spark, src, schema, target, transform=lambda df: ingest_long(df, RUN))
     assert spark.read.parquet(target).count() == 1
     assert os.path.isdir(os.path.join(checkpoint_dir(spark).replace("file:", ""), "landing", "bronze_default_ckpt"))
+
+
+def test_year_window_pushed_into_stored_bronze(spark, tmpdir_path):
+    from gridmart.plans import silver
+    out = os.path.join(tmpdir_path, "wh2")
+    paths = build_all(spark, Inputs(_long_csv(tmpdir_path), _write(os.path.join(tmpdir_path, "w2.csv"),
+                                    "iso_code,country,year\nKEN,Kenya,2021\n")), out, RUN)
+    stored = files.read_table(spark, paths["ingestion/raw_ember_generation"])
+    assert dict(stored.dtypes)["year"] == "int" and dict(stored.dtypes)["value"] == "double"
+    import contextlib, io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        silver.stg_ember_generation(stored).explain("formatted")
+    pushed = [ln for ln in buf.getvalue().splitlines() if ln.startswith("PushedFilters")][0]
+    assert "GreaterThanOrEqual(year,2000)" in pushed and "LessThanOrEqual(year,2030)" in pushed
