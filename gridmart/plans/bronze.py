@@ -59,9 +59,12 @@ def ingest_wide(raw: DataFrame, run_ts: datetime, entities=None,
 
 def ingest_capacity(raw: DataFrame, source_tag: str, run_ts: datetime,
                     country_names: Sequence[str] | None = None) -> DataFrame:
-    """Capacity rows -> bronze (S3 + P4): case-insensitive country filter."""
+    """Capacity rows -> bronze (S3 + P4): case-insensitive country filter, ``year``
+    and ``capacity_mw`` typed int/double."""
     df = filter_entity_ci(raw, "country", country_names)
-    return df.withColumns({"_source": F.lit(source_tag),
+    return df.withColumns({"year": F.col("year").cast("int"),
+                           "capacity_mw": F.col("capacity_mw").cast("double"),
+                           "_source": F.lit(source_tag),
                            "_ingested_at": run_timestamp(run_ts)})
 
 
