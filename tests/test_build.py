@@ -135,3 +135,22 @@ def test_year_window_pushed_into_stored_bronze(spark, tmpdir_path):
         silver.stg_ember_generation(stored).explain("formatted")
     pushed = [ln for ln in buf.getvalue().splitlines() if ln.startswith("PushedFilters")][0]
     assert "GreaterThanOrEqual(year,2000)" in pushed and "LessThanOrEqual(year,2030)" in pushed
+
+
+def test_land_geojson_features_incrementally(spark, tmpdir_path):
+    import json as _json
+    from gridmart.operators.bronze import tag_resource
+    src = os.path.join(tmpdir_path, "geo_landing")
+    target = os.path.join(tmpdir_path, "geo_bronze")
+    feat = {"type": "Feature", "properties": {"name_ims11": "Juja", "voltage47": 220},
+            "geometry": {"type": "Point", "coordinates": [257634.5018, 9857079.966]}}
+    _write(os.path.join(src, "f1.json"), _json.dumps(feat) + "\n" + _json.dumps({**feat, "geometry": None}) + "\n")
+
+    def bronze(df):
+        return tag_resource(files.features_to_rows(df), "transmission_stations", "stations", "r1")
+
+    land_and_wait(spark, src, files.FEATURE_SCHEMA, target, transform=bronze, fmt="json")
+    rows = spark.read.parquet(target).collect()
+    assert {r["geometry_wkt"] for r in rows} == {"null", "[257634.5018, 9857079.966]"}
+    assert {r["dataset"] for r in rows} == {"transmission_stations"}
+    assert [r["properties"]["voltage47"] for r in rows if r["geometry_type"] == "Point"] == ["220"]
