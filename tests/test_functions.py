@@ -3,7 +3,6 @@
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from gridmart.functions import (
     clean_value, cuf, decade, flag_fossil, flag_like, line_color, map_technology, parse_bool,
