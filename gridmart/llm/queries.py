@@ -5,10 +5,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from gridmart.llm.common import Scratch, load
 from gridmart.llm.exact_dedup import exact_groups
+from gridmart.llm.packing import pack
+from gridmart.llm.wavelet import read_tokens, write_tokens
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +21,16 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(docs, Scratch(spark, "op4")).drop("_key")
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(load(spark, sf_dir, "documents"), TOKENIZER)
+
+
+def op9_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_tokens(write_tokens(load(spark, sf_dir, "documents"), TOKENIZER, Scratch(spark, "op9")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
+    "op7_packing": op7_packing,
+    "op9_wavelet_tokens": op9_wavelet_tokens,
 }
