@@ -10,12 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gridmart.llm.common import Scratch, load
 from gridmart.llm.exact_dedup import exact_groups
+from gridmart.llm.langid import identify
+from gridmart.llm.mixing import mix
 from gridmart.llm.packing import pack
 from gridmart.llm.wavelet import read_tokens, write_tokens
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(load(spark, sf_dir, "documents"), Scratch(spark, "op3"))
+    return mixed.select("row.doc_id", "size", "source_size", "target", "copies", "taken")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     return exact_groups(docs, Scratch(spark, "op4")).drop("_key")
@@ -25,12 +32,19 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(load(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = identify(load(spark, sf_dir, "documents"), Scratch(spark, "op8"), carry=["doc_id"])
+    return found.select("row.doc_id", "held_out", "lang_pred", "score", "ambiguous")
+
+
 def op9_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(write_tokens(load(spark, sf_dir, "documents"), TOKENIZER, Scratch(spark, "op9")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_mixing": op3_mixing,
     "op4_exact_dedup": op4_exact_dedup,
     "op7_packing": op7_packing,
+    "op8_language_id": op8_language_id,
     "op9_wavelet_tokens": op9_wavelet_tokens,
 }
