@@ -3,6 +3,25 @@
 from __future__ import annotations
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_near_dedup": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                 ELSE list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) END AS s
+                 FROM words),
+        classes AS (SELECT list_sort(s) AS s, min(doc_id) AS rep FROM sets WHERE len(s) > 0 GROUP BY ALL),
+        items AS (SELECT rep, len(s) AS n, unnest(s) AS item FROM classes),
+        links AS (SELECT a.rep AS a, b.rep AS b FROM items a JOIN items b ON a.item = b.item AND a.rep < b.rep
+                  GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+        both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+        reach AS (SELECT rep AS node, rep AS other FROM classes
+                  UNION SELECT r.node, l.b FROM reach r JOIN both_ways l ON r.other = l.a),
+        component AS (SELECT node, min(other) AS c FROM reach GROUP BY node)
+        SELECT t.doc_id, len(t.s)::BIGINT AS n_shingles, coalesce(c.c, t.doc_id) AS component_id,
+               coalesce(c.c, t.doc_id) = t.doc_id AS kept
+        FROM sets t LEFT JOIN classes k ON len(t.s) > 0 AND list_sort(t.s) = k.s
+        LEFT JOIN component c ON c.node = k.rep""",
     "op4_exact_dedup": """
         WITH t AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                                                    'abcdefghijklmnopqrstuvwxyz')) AS text_sha256,

@@ -12,12 +12,17 @@ from gridmart.llm.common import Scratch, load
 from gridmart.llm.exact_dedup import exact_groups
 from gridmart.llm.langid import identify
 from gridmart.llm.mixing import mix
+from gridmart.llm.near_dedup import near_groups
 from gridmart.llm.packing import pack
 from gridmart.llm.wavelet import read_tokens, write_tokens
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(load(spark, sf_dir, "documents"), Scratch(spark, "op2"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(load(spark, sf_dir, "documents"), Scratch(spark, "op3"))
     return mixed.select("row.doc_id", "size", "source_size", "target", "copies", "taken")
@@ -42,6 +47,7 @@ def op9_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_near_dedup": op2_near_dedup,
     "op3_mixing": op3_mixing,
     "op4_exact_dedup": op4_exact_dedup,
     "op7_packing": op7_packing,
