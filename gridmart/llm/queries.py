@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,4 +54,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_packing": op7_packing,
     "op8_language_id": op8_language_id,
     "op9_wavelet_tokens": op9_wavelet_tokens,
+    "pipeline": corpus_pipeline.run,
 }
