@@ -9,6 +9,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from gridmart.llm.ann import nearest
 from gridmart.llm.common import Scratch, load
 from gridmart.llm.exact_dedup import exact_groups
 from gridmart.llm.langid import identify
@@ -34,6 +35,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(docs, Scratch(spark, "op4")).drop("_key")
 
 
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(load(spark, sf_dir, "embeddings"), Scratch(spark, "op6"), every=20)
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(load(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -51,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_near_dedup": op2_near_dedup,
     "op3_mixing": op3_mixing,
     "op4_exact_dedup": op4_exact_dedup,
+    "op6_nearest": op6_nearest,
     "op7_packing": op7_packing,
     "op8_language_id": op8_language_id,
     "op9_wavelet_tokens": op9_wavelet_tokens,
