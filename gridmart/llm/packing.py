@@ -131,10 +131,10 @@ def pack(docs: DataFrame, tokenizer: str, max_tokens: int = MAX_TOKENS, max_segm
     limits = (max_tokens, max_segments, max_loss_tokens or max_tokens)
     prompt = F.coalesce(F.col(prompt_tokens).cast("long"), F.lit(0)) if prompt_tokens else F.lit(0).cast("long")
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), prompt.alias("prompt"))
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, rows=3000, size="12m")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).document
+        encode = encoder(tokenizer).documents
         # a document: its id, token count, the bytes of its ids from a token on, and that token
         packer = Packer(limits, rest=lambda d, start: (d[0], d[1], d[2][4 * start:], start))
         base = TaskContext.get().partitionId() << 32
@@ -151,8 +151,8 @@ def pack(docs: DataFrame, tokenizer: str, max_tokens: int = MAX_TOKENS, max_segm
             return pa.RecordBatch.from_arrays(columns, names)
 
         for batch in batches:
-            for one, body, first in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                ids = encode(body)
+            for one, ids, first in zip(batch.column(0).to_pylist(), encode(batch.column(1)), batch.column(2).to_pylist(),
+                                       strict=True):
                 packer.add((one, len(ids) // 4, ids, 0), len(ids) // 4, first)
             yield out()
         packer.finish()

@@ -52,12 +52,12 @@ class WaveletMatrix:
         now = ids.astype(np.uint16 if levels <= 16 else np.uint32)
         planes, zeros = [], []
         for level in range(levels):
-            bits = (now >> (levels - 1 - level) & 1).astype(bool)
+            bits = (now & now.dtype.type(1 << (levels - 1 - level))) != 0
             packed = np.packbits(bits)
             planes.append(np.concatenate([packed, np.zeros(-len(packed) % 8, np.uint8)]))
-            low = now[~bits]
+            low = now.compress(~bits)
             zeros.append(len(low))
-            now = np.concatenate([low, now[bits]])
+            now = np.concatenate([low, now.compress(bits)])
         return cls(planes, zeros, len(ids))
 
     def decode(self) -> np.ndarray:
@@ -67,8 +67,8 @@ class WaveletMatrix:
         for level in range(levels - 1, -1, -1):
             bits = np.unpackbits(self.planes[level], count=self.n).view(bool)
             up = np.empty_like(now)
-            up[~bits] = now[: self.zeros[level]]
-            up[bits] = now[self.zeros[level]:] | now.dtype.type(1 << (levels - 1 - level))
+            up[np.flatnonzero(~bits)] = now[: self.zeros[level]]
+            up[np.flatnonzero(bits)] = now[self.zeros[level]:] | now.dtype.type(1 << (levels - 1 - level))
             now = up
         return now.astype(np.uint32)
 
@@ -173,12 +173,12 @@ def write_tokens(docs: DataFrame, tokenizer: str, scratch: Scratch, doc_id: str
                  shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """Writes the shard files and returns their table: ``part``, ``shard``, ``before`` (tokens of the
     partition's earlier shards), ``n_tokens``, ``n_docs``, ``file`` (the file's bytes)."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, rows=3000, size="12m")
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     source = source.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part = encoder(tokenizer).document, TaskContext.get().partitionId()
+        encode, part = encoder(tokenizer).documents, TaskContext.get().partitionId()
         ids, blobs, size, shard, before = [], [], 0, 0, 0
 
         def flush() -> pa.RecordBatch:
@@ -188,9 +188,9 @@ def write_tokens(docs: DataFrame, tokenizer: str, scratch: Scratch, doc_id: str
                 "n_docs": pa.array([len(ids)], pa.int64()), "file": pa.array([write_shard(ids, blobs)], pa.binary())})
 
         for batch in batches:
-            for one, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for one, blob in zip(batch.column(0).to_pylist(), encode(batch.column(1)), strict=True):
                 ids.append(one)
-                blobs.append(encode(body))
+                blobs.append(blob)
                 size += len(blobs[-1]) // 4
                 if size >= shard_tokens:
                     yield flush()
