@@ -8,6 +8,7 @@ from collections.abc import Callable
 import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridmart.llm.ann import nearest
 from gridmart.llm.common import Scratch, load
@@ -16,11 +17,25 @@ from gridmart.llm.langid import identify
 from gridmart.llm.mixing import mix
 from gridmart.llm.near_dedup import near_groups
 from gridmart.llm.packing import pack
+from gridmart.llm.url_rules import judge, mine
 from gridmart.llm.wavelet import read_tokens, write_tokens
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page shows the document whose number ends its url's path, so that document's labels are the page's;
+    bad is toxic or of low quality."""
+    pages, labels = load(spark, sf_dir, "pages").select("page_id", "url"), load(spark, sf_dir, "labels")
+    shown = F.expr("try_cast(regexp_extract(url, '/([0-9]+)(?:[/.?#][^/]*)?$', 1) AS BIGINT)")
+    bad = (F.coalesce(F.col("toxic"), F.lit(0)) == 1) | (F.coalesce(F.col("quality"), F.lit(1)) == 0)
+    labelled = pages.withColumn("doc_id", shown).join(labels.select("doc_id", bad.alias("bad")), "doc_id").select("url", "bad")
+    scratch = Scratch(spark, "op1")
+    judged = judge(pages, mine(labelled, scratch), scratch)
+    return judged.select("row.page_id", "host", "path", "rule", "verdict", F.array_join("mined", " ").alias("mined_rule"),
+                         "confidence")
+
+
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(load(spark, sf_dir, "documents"), Scratch(spark, "op2"))
 
@@ -53,6 +68,7 @@ def op9_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_rules": op1_url_rules,
     "op2_near_dedup": op2_near_dedup,
     "op3_mixing": op3_mixing,
     "op4_exact_dedup": op4_exact_dedup,
