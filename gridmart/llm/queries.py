@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from gridmart.llm.ann import nearest
 from gridmart.llm.common import Scratch, load
 from gridmart.llm.exact_dedup import exact_groups
+from gridmart.llm.hmm import score
 from gridmart.llm.langid import identify
 from gridmart.llm.mixing import mix
 from gridmart.llm.near_dedup import near_groups
@@ -50,6 +51,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(docs, Scratch(spark, "op4")).drop("_key")
 
 
+def op5_hmm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(load(spark, sf_dir, "documents"), Scratch(spark, "op5"))
+
+
 def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(load(spark, sf_dir, "embeddings"), Scratch(spark, "op6"), every=20)
 
@@ -72,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_near_dedup": op2_near_dedup,
     "op3_mixing": op3_mixing,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_hmm_score": op5_hmm_score,
     "op6_nearest": op6_nearest,
     "op7_packing": op7_packing,
     "op8_language_id": op8_language_id,
