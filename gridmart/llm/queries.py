@@ -15,6 +15,7 @@ from gridmart.llm.common import Scratch, load
 from gridmart.llm.exact_dedup import exact_groups
 from gridmart.llm.hmm import score
 from gridmart.llm.langid import identify
+from gridmart.llm.line_dedup import line_groups
 from gridmart.llm.mixing import mix
 from gridmart.llm.near_dedup import near_groups
 from gridmart.llm.packing import pack
@@ -72,6 +73,10 @@ def op9_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(write_tokens(load(spark, sf_dir, "documents"), TOKENIZER, Scratch(spark, "op9")))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_groups(load(spark, sf_dir, "documents"), Scratch(spark, "op10"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_rules": op1_url_rules,
     "op2_near_dedup": op2_near_dedup,
@@ -82,5 +87,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_packing": op7_packing,
     "op8_language_id": op8_language_id,
     "op9_wavelet_tokens": op9_wavelet_tokens,
+    "op10_line_dedup": op10_line_dedup,
     "pipeline": corpus_pipeline.run,
 }
