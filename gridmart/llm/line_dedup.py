@@ -140,7 +140,8 @@ def dedup_lines(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text:
     groups = line_groups(docs, scratch, doc_id, text)
     gone = scratch.write(groups.filter("NOT kept").groupBy(F.col("doc_id").alias("_gone_id")).agg(
         F.collect_set("line_no").alias("_gone")), "gone")
-    joined = docs.join(gone, F.col(f"`{doc_id}`").eqNullSafe(F.col("_gone_id")), "left")
-    body = F.array_join(F.filter(F.split(F.col(f"`{text}`"), "\n"), lambda x, i: ~F.array_contains("_gone", i)), "\n")
-    return joined.select(*[F.when(F.col("_gone").isNotNull(), body).otherwise(F.col(f"`{c}`")).alias(c) if c == text
-                           else F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(doc_id).alias("_id"))
+    joined = rows.join(gone, F.col("_id").eqNullSafe(F.col("_gone_id")), "left")
+    body = F.array_join(F.filter(F.split(F.col(f"row.`{text}`"), "\n"), lambda x, i: ~F.array_contains("_gone", i)), "\n")
+    body = F.when(F.col("_gone").isNotNull(), body).otherwise(F.col(f"row.`{text}`"))
+    return joined.select(*[(body if c == text else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

@@ -212,4 +212,5 @@ def near_dedup(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text:
     """The rows of ``docs`` whose document stands for its component, with all their columns."""
     gone = near_groups(docs, scratch, doc_id, text).filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
     gone = scratch.write(gone, "gone")
-    return docs.join(gone, F.col(f"`{doc_id}`") == F.col("_gone"), "left_anti")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(doc_id).alias("_id"))
+    return rows.join(gone, F.col("_id") == F.col("_gone"), "left_anti").select("row.*")

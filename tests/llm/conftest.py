@@ -1,0 +1,37 @@
+import random
+
+import pytest
+
+from gridmart.llm.common import Scratch
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, _key string, row int, k1 long, size long, _gone int"
+
+
+@pytest.fixture()
+def scratch(spark):
+    return Scratch(spark, "test")
+
+
+def frame(spark, rows):
+    """Documents with further columns whose names the operators use inside."""
+    return spark.createDataFrame([(i, t, lang, src, len(t or ""), "x", 1, 2, 3, 4) for i, t, lang, src in rows], SCHEMA)
+
+
+def words(seed, n, vocabulary=400):
+    r = random.Random(seed)
+    return " ".join(f"w{r.randrange(vocabulary)}" for _ in range(n))
+
+
+def edge_rows():
+    """Nulls, empty and long texts, ties, equal and near copies, repeated rows."""
+    base, long_ = words(1, 120), words(2, 9000)
+    parts = base.split()
+    near = " ".join(parts[:60] + ["other"] + parts[61:])
+    far = " ".join(parts[:60] + words(3, 60).split())
+    rows = [(1, base, "aa", "s1"), (2, base.upper(), "aa", "s1"), (3, near, "aa", "s2"), (4, far, "aa", None),
+            (5, None, "aa", "s1"), (6, "", None, "s2"), (7, " \t\n\x0b\x0c\r ", "bb", "s3"), (8, "one two", "bb", "s3"),
+            (9, "ONE  two", "bb", "s3"), (10, "one two three", None, None), (11, long_, "bb", "s1"), (12, long_ + " end", "bb", "s1"),
+            (13, "Éa éA", "bb", "s2"), (14, "éa éa", "bb", "s2"), (15, base, "aa", "s1"), (15, base, "aa", "s1"),
+            (None, base, "aa", "s1"), (None, "alone", None, None), (16, "x\ty x", "aa", "s9"), (17, "12 34 !?", "aa", "s9"),
+            (18, "日本語の文章です", "cc", "s9"), (19, None, None, None)]
+    return rows

@@ -1,0 +1,53 @@
+import hashlib
+from collections import defaultdict
+
+from gridmart.llm.exact_dedup import exact_dedup, exact_groups
+from tests.llm.conftest import edge_rows, frame, words
+
+AZ = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def brute(rows):
+    groups = defaultdict(list)
+    for i, t, *_ in rows:
+        groups[(t or "").translate(AZ)].append(i)
+    out = []
+    for t, ids in groups.items():
+        keep = max(ids, key=lambda i: -1 if i is None else i)
+        sha = hashlib.sha256(t.encode()).hexdigest()
+        out += [(i, keep, len(ids), sha) for i in ids]
+    return sorted(out, key=str)
+
+
+def check(spark, scratch, rows):
+    got = exact_groups(frame(spark, rows), scratch).collect()
+    assert sorted([(r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in got], key=str) == brute(rows)
+    # exactly one row of each text stays, and it is one with the largest id
+    kept = [r for r in got if r.kept]
+    assert len(kept) == len({(t or "").translate(AZ) for _, t, *_ in rows})
+    assert all(r.doc_id == r.keep_id for r in kept)
+
+
+def test_edges_against_brute_force(spark, scratch):
+    check(spark, scratch, edge_rows())
+
+
+def test_hot_group_and_texts_of_several_blocks(spark, scratch):
+    long_ = words(5, 6000)
+    rows = [(i, long_ if i % 3 else words(i, 40), None, "s") for i in range(1500)]
+    rows += [(2000, long_[:-1], None, "s"), (2001, long_ + "x", None, "s"), (2002, long_[:4096], None, "s"), (2003, long_[:8192], None, "s")]
+    check(spark, scratch, rows)
+
+
+def test_rows_that_stay_keep_their_columns(spark, scratch):
+    rows = edge_rows()
+    out = exact_dedup(frame(spark, rows), scratch)
+    assert out.columns == frame(spark, rows).columns
+    got = out.collect()
+    assert len(got) == len({(t or "").translate(AZ) for _, t, *_ in rows})
+    assert all(r._key == "x" and r.row == 1 and r._gone == 4 for r in got)
+
+
+def test_empty_table(spark, scratch):
+    assert exact_groups(frame(spark, []), scratch).count() == 0
+    assert exact_dedup(frame(spark, []), scratch).count() == 0
