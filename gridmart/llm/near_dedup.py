@@ -14,9 +14,12 @@ A pair at similarity 0.75 has 48 of 64 collisions on average and fewer than ``MA
 chance of about 2 in a million; no other step loses a link.
 
 Large groups: pairs inside a group that is connected already are not needed, so not all are made.
-First each posting links its members to its smallest document only (within a factor of the
-sizes that can be similar); the links found give components.  Then only pairs across
-different components of a posting are made, all of them, so no link between components is lost.
+First each posting links its members to one of its documents only, that which shares most of its
+own postings (within a factor of the sizes that can be similar); the links found give components.
+The documents of postings that hold more than one component meet once more by exact prefixes of their
+sets: ordered by how many of these documents have a shingle, similar sets share one of their rarest quarter, and what is
+left of both sets there bounds what they have in common.  So copies which were each changed in many places do not meet at
+what they all have, and all pairs across components that can be similar are confirmed.
 Components come from ``graph.components``.
 
 Sets hold 64-bit hashes of shingles, built from hashes of words; a class is a 128-bit digest
@@ -37,7 +40,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridmart.llm.common import Scratch, small_batches
@@ -137,6 +140,44 @@ def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
+def rare_shingles(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """``doc``, ``n``, ``item``, ``rest``: of each set, ordered from the rarest shingle among these documents on, the first ones,
+    one of which two similar sets must share; ``rest`` is how many shingles of the set are left from that one on."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingles(t) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(
+                [s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["doc", "n", "items"])
+
+    sets = docs.select("doc_id", "text").mapInArrow(run, "doc long, n long, items array<long>")
+    items = scratch.write(sets, "sets").select("doc", "n", F.explode("items").alias("item"))
+    shared = items.groupBy("item").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
+    # shingles that one document alone has come first and meet nothing
+    own = Window.partitionBy("doc", "n")
+    listed = items.join(shared, "item").select(
+        "doc", "n", "item", F.row_number().over(own.orderBy("held", "item")).alias("at"), F.count(F.lit(1)).over(own).alias("listed"))
+    # this one is at place n - listed + at of n; the places up to n - ceil(THRESHOLD% of n) + 1 count
+    return listed.withColumn("rest", F.col("listed") - F.col("at") + 1).filter(
+        F.col("rest") >= F.ceil(F.col("n") * THRESHOLD / 100)).select("doc", "n", "item", "rest")
+
+
+def prefix_postings(sigs: DataFrame, k: int, match: int) -> DataFrame:
+    """``doc``, ``n``, ``shared`` (postings with other documents), ``token``, ``step``: the postings that must be merged to find
+    every pair with ``match`` of ``k`` collisions; ``sigs``: ``doc``, ``n``, ``k1``, ``sig``."""
+    # a token is a coordinate and its value in one integer
+    tokens = sigs.select("doc", "k1", "n", F.posexplode("sig").alias("i", "v")).select(
+        "doc", "k1", "n", (F.shiftleft(F.col("i").cast("long"), 32) + F.col("v").cast("long") + (1 << 31)).alias("token"))
+    shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("posted")).filter("posted > 1")
+    # of a document's k tokens those with one document come first in the order and are not in the list
+    listed = tokens.join(shared, "token").groupBy("doc", "k1", "n").agg(
+        F.sort_array(F.collect_list(F.struct("posted", "token"))).alias("list"))
+    listed = listed.withColumn("shared", F.size("list")).withColumn("places", F.col("shared") - (match - 1)).filter("places > 0")
+    # documents whose sizes can be similar are in one or two neighbouring steps: each goes to both of its keys
+    step = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(100 / THRESHOLD) + 1e-6))
+    return listed.select("doc", "n", "shared", F.explode(F.slice("list", F.lit(1), F.col("places"))).alias("t"), step.alias("step")).select(
+        "doc", "n", "shared", F.col("t.token").alias("token"), F.explode(F.array("step", F.col("step") + 1)).alias("step")).distinct()
+
+
 def near_groups(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id``, ``kept``."""
     small_batches(docs.sparkSession)
@@ -149,58 +190,51 @@ def near_groups(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text:
     reps = scratch.write(full.join(classes, ["k1", "k2"]).filter("doc_id = rep").select(
         F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), "k1", "sig").dropDuplicates(["doc", "k1"]), "reps")
 
-    # postings: a token is a coordinate and its value in one integer
-    tokens = reps.select("doc", "k1", "n", F.posexplode("sig").alias("i", "v")).select(
-        "doc", "k1", "n", (F.shiftleft(F.col("i").cast("long"), 32) + F.col("v").cast("long") + (1 << 31)).alias("token"))
-    shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("posted")).filter("posted > 1")
-    # of a document's K tokens those with one document come first in the order and are not in the list
-    listed = tokens.join(shared, "token").groupBy("doc", "k1", "n").agg(
-        F.sort_array(F.collect_list(F.struct("posted", "token"))).alias("list"))
-    listed = listed.withColumn("places", F.lit(K - MATCH + 1) - (F.lit(K) - F.size("list"))).filter("places > 0")
-    # documents whose sizes can be similar are in one or two neighbouring steps: each goes to both of its keys
-    step = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(100 / THRESHOLD) + 1e-6))
-    postings = scratch.write(listed.select("doc", "n", F.explode(F.slice("list", F.lit(1), F.col("places"))).alias("t"),
-                                           step.alias("step")).select(
-        "doc", "n", F.col("t.token").alias("token"), F.explode(F.array("step", F.col("step") + 1)).alias("step")).distinct(),
-        "postings")
-    sigs = reps.select("doc", "sig")
+    postings = scratch.write(prefix_postings(reps, K, MATCH), "postings")
     bodies = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
-    def linked(pairs: DataFrame, name: str) -> DataFrame:
-        """Counts collisions, then confirms."""
-        counted = pairs.join(sigs.select(F.col("doc").alias("a"), F.col("sig").alias("sa")), "a").join(
-            sigs.select(F.col("doc").alias("b"), F.col("sig").alias("sb")), "b")
-        same = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda z: z))
-        candidates = scratch.write(counted.filter(same >= MATCH).select("a", "b").distinct(), f"{name}-candidates")
-        return scratch.write(confirm(candidates, bodies).distinct(), f"{name}-links")
-
     def similar_sizes(x: str, y: str):
         return 100 * F.least(x, y) >= THRESHOLD * F.greatest(x, y)
 
-    hubs = scratch.write(postings.groupBy("token", "step").agg(F.min(F.struct("doc", "n")).alias("hub"),
-                                                              F.count(F.lit(1)).alias("m")).filter("m > 1").select(
-        "token", "step", F.col("hub.doc").alias("hub"), F.col("hub.n").alias("hub_n")), "hubs")
+    # the document that shares most of its postings is in the middle of a group, and links most of it
+    hubs = scratch.write(postings.groupBy("token", "step").agg(
+        F.max(F.struct("shared", (-F.col("doc")).alias("minus"), "n")).alias("hub"), F.count(F.lit(1)).alias("m")).filter("m > 1").select(
+        "token", "step", (-F.col("hub.minus")).alias("hub"), F.col("hub.n").alias("hub_n")), "hubs")
     first = scratch.write(postings.join(hubs, ["token", "step"]).filter(
         (F.col("doc") != F.col("hub")) & similar_sizes("n", "hub_n")).select(
-        F.col("hub").alias("a"), F.col("doc").alias("b")).distinct(), "hub-pairs")
-    links = linked(first, "hub")
-
-    group = components(links, scratch)
-    grouped = postings.join(group.withColumnRenamed("node", "doc"), "doc", "left").withColumn(
-        "c", F.coalesce("component", "doc")).drop("component")
-    grouped = scratch.write(grouped, "grouped")
-    open_keys = scratch.write(grouped.groupBy("token", "step").agg(F.min("c").alias("low"), F.max("c").alias("high"))
-                              .filter("low < high").select("token", "step"), "open")
-    rest = scratch.write(grouped.join(open_keys, ["token", "step"]), "rest")
-    parts = rest.select("token", "step", "c").distinct()
-    crossing = parts.select("token", "step", F.col("c").alias("ca")).join(
-        parts.select("token", "step", F.col("c").alias("cb")), ["token", "step"]).filter("ca < cb")
-    left = rest.select("token", "step", F.col("c").alias("ca"), F.col("doc").alias("a"), F.col("n").alias("na"))
-    right = rest.select("token", "step", F.col("c").alias("cb"), F.col("doc").alias("b"), F.col("n").alias("nb"))
-    second = crossing.join(left, ["token", "step", "ca"]).join(right, ["token", "step", "cb"]).filter(
-        similar_sizes("na", "nb")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        F.least("hub", "doc").alias("a"), F.greatest("hub", "doc").alias("b")).distinct(), "hub-pairs")
+    counted = first.join(reps.select(F.col("doc").alias("a"), F.col("sig").alias("sa")), "a").join(
+        reps.select(F.col("doc").alias("b"), F.col("sig").alias("sb")), "b")
+    same = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda z: z))
+    candidates = scratch.write(counted.filter(same >= MATCH).select("a", "b").distinct(), "candidates")
+    links = scratch.write(confirm(candidates, bodies).distinct(), "links")
+
+    group = scratch.write(components(links, scratch).withColumnRenamed("node", "doc"), "groups")
+
+    def in_open_postings(rows: DataFrame, *posting: str) -> DataFrame:
+        """The rows whose posting has documents of more than one component ``c``."""
+        placed = scratch.write(rows.join(group, "doc", "left").withColumn("c", F.coalesce("component", "doc")).drop("component"), "placed")
+        open_ = placed.groupBy(*posting).agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low < high").select(*posting)
+        return placed.join(scratch.write(open_, "open"), list(posting))
+
+    # the documents of such postings once more, by their rarest shingles
+    here = scratch.write(in_open_postings(postings, "token", "step").select(F.col("doc").alias("doc_id")).distinct(), "here")
+    rare = scratch.write(in_open_postings(rare_shingles(bodies.join(here, "doc_id"), scratch), "item"), "rare")
+
+    def possible(rest_x: str, n_x: str, rest_y: str, n_y: str):
+        """Whether sets that first meet with so much left can be similar."""
+        return (100 + THRESHOLD) * F.least(rest_x, rest_y) >= THRESHOLD * (F.col(n_x) + F.col(n_y))
+
+    parts = rare.groupBy("item", "c").agg(F.max("rest").alias("rest"), F.min("n").alias("n"))
+    side = lambda x, frame: frame.select("item", *[F.col(c).alias(c + x) for c in frame.columns if c != "item"])
+    crossing = side("_1", parts).join(side("_2", parts), "item").filter(
+        (F.col("c_1") < F.col("c_2")) & possible("rest_1", "n_1", "rest_2", "n_2")).drop("rest_1", "n_1")
+    crossing = crossing.join(side("_1", rare), ["item", "c_1"]).filter(possible("rest_1", "n_1", "rest_2", "n_2")).drop("rest_2", "n_2")
+    crossing = crossing.join(side("_2", rare), ["item", "c_2"]).filter(
+        possible("rest_1", "n_1", "rest_2", "n_2") & similar_sizes("n_1", "n_2"))
+    second = crossing.select(F.least("doc_1", "doc_2").alias("a"), F.greatest("doc_1", "doc_2").alias("b")).distinct()
     second = scratch.write(second.join(first, ["a", "b"], "left_anti"), "cross-pairs")
-    more = linked(second, "cross")
+    more = scratch.write(confirm(second, bodies).distinct(), "cross-links")
 
     component = components(copies.unionByName(links).unionByName(more), scratch)
     return rows.select("doc_id", "n_shingles").join(component.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
