@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import functools
 import os
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +53,7 @@ class Encoder:
         # one word alone needs no pre-tokenizer, only its bytes in the model's alphabet
         alphabet = ByteLevel(add_prefix_space=False, use_regex=False)
         self.model = self.tokenizer.model
+        self.letters = frozenset(_LETTERS)
         self.bytes = {ord(c): alphabet.pre_tokenize_str(c)[0][0] for c in [" ", *_LETTERS]}
 
     def whole(self, text: str) -> bytes:
@@ -60,8 +62,8 @@ class Encoder:
 
     def _new(self, part: str) -> bytes:
         word = part[1:] if part[:1] == " " else part
-        if word.isalpha() and max(word) < "\u0250":
-            return np.array([t.id for t in self.model.tokenize(part.translate(self.bytes))], dtype="<u4").tobytes()
+        if word.isalpha() and (word.isascii() or self.letters.issuperset(word)):
+            return array("I", [t.id for t in self.model.tokenize(part.translate(self.bytes))]).tobytes()
         return self.whole(part)
 
     def _word(self, part: str) -> bytes:
@@ -92,15 +94,18 @@ class Encoder:
         lists = pc.split_pattern(plain, " ")
         bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
         parts = lists.flatten().dictionary_encode()
-        codes, known = parts.indices.to_numpy().copy(), parts.dictionary.to_pylist()
+        codes, known = parts.indices.to_numpy().copy(), parts.dictionary.to_numpy(zero_copy_only=False).tolist()
         firsts = bounds[:-1]                                # a text's first part has no space in front
-        blobs = [self._part(" " + p) for p in known] + [self._part(known[c]) for c in codes[firsts]]
+        cache, other = self.cache, self._part
+        blobs = [cache[" " + p] if p.isalpha() else other(" " + p) for p in known] + [other(known[c]) for c in codes[firsts]]
         codes[firsts] = np.arange(len(known), len(blobs))
-        sizes = np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4
+        sizes = np.fromiter(map(len, blobs), np.int32, len(blobs)) // 4
         flat = np.frombuffer(b"".join(blobs), "<u4")
         n = sizes[codes]
-        ends = np.cumsum(n)
-        ids = flat[np.repeat((np.cumsum(sizes) - sizes)[codes] - (ends - n), n) + np.arange(ends[-1])]
+        ends = np.cumsum(n, dtype=np.int32)                 # a batch's text is bounded, so this is enough
+        places = np.repeat((np.cumsum(sizes, dtype=np.int32) - sizes)[codes] - (ends - n), n)
+        places += np.arange(len(places), dtype=np.int32)
+        ids = flat.take(places)
         stops = ends[bounds[1:] - 1].tolist()
         rows = np.flatnonzero(~np.array(odd.to_pylist(), bool)).tolist()
         for row, start, stop in zip(rows, [0, *stops[:-1]], stops, strict=True):
