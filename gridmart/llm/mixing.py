@@ -11,9 +11,10 @@ undecided documents at most are left.
 Distribution: each source is dealt into groups of at most about ``GROUP_ROWS`` documents by a hash
 (a source with a third of all rows has so many groups more); each group's flight leaves two
 documents at most, and these are dealt into fewer groups, round after round, until one group of a
-source is left.  There a few documents of all sizes wait, and land together with its last two on the
-whole choice nearest to the expected words.  Documents go
-into a flight by falling size, so those left at its end are small.
+source is left.  One group of each source waits for that last flight, so that what is left of the others has
+documents of all sizes to move against; of them a few wait for the landing, and land together with the
+last two on the whole choice nearest to the expected words.  Very
+large documents go into a flight first, so those left at its end are seldom large.
 
 Defined results: a null text has size 0; a source is null, too, as a value of its own, last in order;
 repeated rows and doc_ids are documents of their own; documents of equal size are ordered by a hash;
@@ -35,6 +36,7 @@ WEIGHTS = (5, 2, 1)       # by the source's place in order, repeating
 SHARE = 1.5               # of all words
 MOST = 2.0                # of a source's words
 GROUP_ROWS = 2000
+LARGE = 4                 # times a group's mean size
 HELD = 12                 # documents that wait for a source's landing
 
 
@@ -128,10 +130,14 @@ def mix(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str = "
     units = rows.drop("row").join(goal, F.col("source").eqNullSafe(F.col("_s"))).select(
         "_row", F.xxhash64("_id", "_row").alias("_order"), F.hash("source").alias("_source"), "source", "size", "_n",
         F.greatest(ratio - sure, F.lit(0.0)).alias("chance"))
-    units = scratch.write(units.withColumn("_groups", F.ceil(F.col("_n") / group_rows)).drop("_n"), "units")
+    units = units.withColumn("_groups", F.ceil(F.col("_n") / group_rows)).drop("_n")
+    units = scratch.write(units.withColumn("_waits", F.pmod("_order", "_groups") == 0), "units")
 
     def settle(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["size", "_order", "_row"], ascending=[False, True, True], ignore_index=True)
+        # very large documents first, then the others in hashed order: only against sizes that differ much can a
+        # large document's probability move far before the others are settled
+        part["_large"] = np.where(part["size"] > LARGE * max(1.0, part["size"].mean()), -part["size"], 0)
+        part = part.sort_values(["_large", "_order", "_row"], ignore_index=True).drop(columns="_large")
         n = part["size"].to_numpy(float)
         last = part["_groups"].iloc[0] == 1
         move = flight_and_landing if last else flight
@@ -140,12 +146,13 @@ def mix(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str = "
 
     settled, most_groups = [], units.agg(F.max("_groups")).first()[0] or 0
     while most_groups:
-        dealt = units.withColumn("_group", F.pmod("_order", F.col("_groups")))
+        waits = F.col("_waits") & (F.col("_groups") > 1)
+        dealt = units.filter(~waits).withColumn("_group", F.pmod("_order", F.col("_groups")))
         out = scratch.write(dealt.groupBy("source", "_group").applyInPandas(settle, units.schema), "flight")
         whole = (F.col("chance") <= 0) | (F.col("chance") >= 1)
         settled.append(out.filter(whole).select("_row", F.col("chance").cast("long").alias("extra")))
         # two documents at most are left of a group
-        units = out.filter(~whole).withColumn("_groups", F.ceil(F.col("_groups") * 2 / group_rows))
+        units = out.filter(~whole).unionByName(units.filter(waits)).withColumn("_groups", F.ceil(F.col("_groups") * 2 / group_rows))
         most_groups = 0 if most_groups == 1 else -(-most_groups * 2 // group_rows)
     if not settled:
         settled = [units.select("_row", F.lit(0).cast("long").alias("extra"))]
