@@ -6,7 +6,7 @@ the nearest point.  Balanced k-means on a bounded sample gives about sqrt(n) cen
 searched best-first by each vector.  A vector goes to its nearest list and, near a boundary, to
 up to ``REPLICAS`` lists whose centroids are at most ``1 + REPLICA_RATIO`` times as far.  A query
 searches every list its graph search finds whose centroid is at most ``1 + QUERY_RATIO`` times as
-far as the nearest one.  Scores are sums of products in double precision in the order of the components.
+far as the nearest one, and more of the nearest until they hold ``LEAST * top`` vectors.  Scores are sums of products in double precision in the order of the components.
 
 Equal vectors are one class, indexed once; of a class only the ``TOP + 1`` smallest ids can be
 among anyone's nearest, so no large group of copies is gathered.  Lists are dealt into
@@ -35,6 +35,7 @@ SAMPLE = 20_000           # vectors that the index is fitted on, on average
 MAX_LISTS = 8192
 REPLICAS, REPLICA_RATIO = 4, 0.10
 QUERY_RATIO = 0.20
+LEAST = 25                # times ``top`` vectors are looked at, whatever their lists' distances
 DEGREE, BEAM = 16, 96
 BLOCK, QUERY_BLOCK = 2048, 2048
 
@@ -151,6 +152,11 @@ def nearest(vectors: DataFrame, scratch: Scratch, every: int, top: int = TOP, ve
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row)), part.column(1).take(pa.array(row)),
                                                   pa.array(ids[row, at], pa.int32())], ["cid", "v", "list"])
 
+    posted = scratch.write(classes.select("cid", "v").mapInArrow(assign, "cid long, v array<double>, list int"), "posted")
+    held = np.zeros(lists, np.int64)                          # vectors of each list
+    for r in posted.groupBy("list").count().collect():
+        held[r["list"]] = r["count"]
+
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in (batch.slice(i, 512) for i in range(0, len(batch), 512)):
@@ -158,11 +164,11 @@ def nearest(vectors: DataFrame, scratch: Scratch, every: int, top: int = TOP, ve
                 x = x / np.linalg.norm(x, axis=1, keepdims=True)
                 x = np.concatenate([x, np.zeros((len(x), 1))], axis=1).astype(np.float32)
                 ids, far = graph.value.search(x, BEAM)
-                row, at = np.nonzero(far <= (1 + query_ratio) * far[:, :1] + 1e-12)
+                before = np.cumsum(held[ids], axis=1) - held[ids]
+                row, at = np.nonzero((far <= (1 + query_ratio) * far[:, :1] + 1e-12) | (before < LEAST * top))
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row)), part.column(1).take(pa.array(row)),
                                                   pa.array(ids[row, at], pa.int32())], ["qcid", "q", "list"])
 
-    posted = scratch.write(classes.select("cid", "v").mapInArrow(assign, "cid long, v array<double>, list int"), "posted")
     asked = classes.join(queries.select(F.col("qcid").alias("cid")).distinct(), "cid", "left_semi")
     asked = scratch.write(asked.select("cid", "v").mapInArrow(probe, "qcid long, q array<double>, list int"), "asked")
     blocks = F.broadcast(posted.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("nb")))

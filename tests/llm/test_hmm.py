@@ -1,0 +1,91 @@
+import itertools
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from gridmart.llm import hmm
+from tests.llm.conftest import edge_rows, frame, words
+
+
+def small_model(states=3, symbols=5, seed=1):
+    r = np.random.default_rng(seed)
+    emit = r.random((symbols, states)) + 0.1
+    move = r.random((states, states)) + 0.1
+    start = r.random(states) + 0.1
+    return hmm.Model(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
+
+
+def paths(seq, m):
+    """Every state path's probability and itself."""
+    for path in itertools.product(range(len(m.start)), repeat=len(seq)):
+        p = m.start[path[0]] * m.emit[seq[0], path[0]]
+        for a, b, s in zip(path, path[1:], seq[1:], strict=False):
+            p *= m.move[a, b] * m.emit[s, b]
+        yield p, path
+
+
+def test_forward_equals_sum_over_paths():
+    m = small_model()
+    seqs = [np.array(s) for s in ([0], [1, 2, 3, 4, 0], [4, 4], [2, 0, 1, 3, 2, 1])]
+    got = hmm.log_likelihood(seqs, m)
+    assert got == pytest.approx([math.log(sum(p for p, _ in paths(s, m))) for s in seqs])
+
+
+def test_expected_counts_equal_sum_over_paths():
+    m = small_model(2)
+    seqs = [np.array(s) for s in ([0, 1, 2, 3], [4], [3, 3, 1])]
+    start, moves, emitted = np.zeros(2), np.zeros((2, 2)), np.zeros((5, 2))
+    for s in seqs:
+        total = sum(p for p, _ in paths(s, m))
+        for p, path in paths(s, m):
+            start[path[0]] += p / total
+            for a, b in zip(path, path[1:], strict=False):
+                moves[a, b] += p / total
+            for x, j in zip(s, path, strict=True):
+                emitted[x, j] += p / total
+    for got, want in zip(hmm.expected_counts(seqs, m), (start, moves, emitted), strict=True):
+        assert got == pytest.approx(want)
+
+
+def test_a_model_is_a_distribution_over_classes():
+    m = hmm.estimate(np.ones(4), np.eye(4), np.random.default_rng(0).random((hmm.CLASSES + 1, 4)))
+    assert m.start.sum() == pytest.approx(1) and m.move.sum(axis=1) == pytest.approx(np.ones(4))
+    assert m.emit.sum(axis=0) == pytest.approx(np.ones(4), rel=1e-3)
+
+
+def brute_base(rows):
+    tokens = {}
+    for n, (_, t, *_) in enumerate(rows):
+        tokens[n] = [*hmm.words_of(t), b"<end>"]
+    learn = [n for n, (i, *_) in enumerate(rows) if i is not None and zlib.crc32(str(i).encode()) % 10]
+    count = Counter(w for n in learn for w in tokens[n])
+    total, distinct = sum(count.values()), len(count)
+    return [(rows[n][0], len(x), sum(count[w] > 0 for w in x), total,
+             sum(math.log10((count[w] + 0.1) / (total + 0.1 * (distinct + 1))) for w in x)) for n, x in tokens.items()]
+
+
+def test_counts_and_base_score_against_brute_force(spark, scratch):
+    rows = edge_rows() + [(200 + i, words(i, 30, 50), None, "s") for i in range(40)]
+    got = hmm.score(frame(spark, rows), scratch).collect()
+    key = lambda x: (str(x[0]), x[1], round(x[4], 6))
+    have = sorted([(r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in got], key=key)
+    want = sorted(brute_base(rows), key=key)
+    assert [h[:4] for h in have] == [w[:4] for w in want]
+    assert [h[4] for h in have] == pytest.approx([w[4] for w in want])
+    assert all(r.score < 0 and math.isfinite(r.score) for r in got)
+    assert all(r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 10 == 0) for r in got)
+
+
+def test_empty_tables(spark, scratch):
+    assert hmm.score(frame(spark, []), scratch).count() == 0
+    none = hmm.score(frame(spark, [(None, "a b", None, None)]), scratch).collect()
+    assert none[0].n_known == 0 and none[0].train_tokens == 0 and math.isfinite(none[0].score)
+
+
+def test_held_out_texts_are_likelier_than_under_the_base(spark, scratch):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = hmm.score(docs, scratch).filter("held_out").collect()
+    assert sum(r.score for r in got) > sum(r.base_score for r in got)
