@@ -36,6 +36,25 @@ def resolve_column(df: DataFrame, candidates: Sequence[str], target: str) -> Dat
     return df if found == target else df.withColumnRenamed(found, target)
 
 
+# Cells that stand for a missing value in landed CSV files.
+MISSING_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+                  "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+
+
+def null_tokens(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Missing-value tokens in string columns become NULL (exact match, as landed)."""
+    text = [c for c, kind in df.dtypes if kind == "string" and (columns is None or c in columns)]
+    return df.withColumns({c: F.when(~F.col(f"`{c}`").isin(*MISSING_TOKENS), F.col(f"`{c}`")) for c in text})
+
+
+def uncastable(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """One row per column: ``column_name``, ``uncastable`` = cells that are not NULL and no value of the
+    column's type (they become NULL when cast)."""
+    counts = [F.count(F.when(F.col(c).isNotNull() & F.col(c).try_cast(kind).isNull(), 1)).alias(c) for c, kind in columns.items()]
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("uncastable")) for c in columns])
+    return df.agg(*counts).select(F.inline(pairs))
+
+
 def filter_entity(df: DataFrame, column: str, values) -> DataFrame:
     """Keep rows whose ``column`` equals one of ``values``.
 
@@ -69,14 +88,21 @@ def drop_null_rows(df: DataFrame, subset: Sequence[str]) -> DataFrame:
     return df.na.drop(how="any", subset=list(subset))
 
 
+def non_null_counts(df: DataFrame) -> DataFrame:
+    """One row per column: ``column_name``, ``non_null`` (P7's counts), in one aggregation pass."""
+    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(df.columns)])
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"c{i}").alias("non_null"))
+                                            for i, c in enumerate(df.columns)])))
+
+
 def drop_all_null_columns(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Drop columns that hold no non-NULL value.
 
-    One aggregation pass computes ``count(col)`` for every column at once (partial
-    counts per task, one tiny shuffle); only the per-column counts reach the driver.
+    The columns of the result depend on the data, so this runs a job: use it on a stored
+    table, where counting reads each column once.  Only the per-column counts reach the driver.
     """
-    counts = df.agg(*[F.count(F.col(c)).alias(f"c{i}") for i, c in enumerate(df.columns)]).first()
-    empty = [c for i, c in enumerate(df.columns) if counts[f"c{i}"] == 0 and c not in keep]
+    empty = [r["column_name"] for r in non_null_counts(df).filter("non_null = 0").collect()]
+    empty = [c for c in empty if c not in keep]
     return df.drop(*empty) if empty else df
 
 

@@ -1,13 +1,5 @@
-"""Join helpers.
-
-``bounded_broadcast`` is the only place an explicit broadcast hint is issued: the
-side is broadcast only after proving it holds at most ``max_rows`` rows.  The
-proof is ``limit(max_rows + 1).count()``: each task stops after ``max_rows + 1``
-rows, so checking a large side costs a bounded read per task, not a full scan.
-Above the bound the frame is returned unhinted and Spark plans a shuffle join
-(AQE may still broadcast it if its measured size is below
-``spark.sql.autoBroadcastJoinThreshold``).
-"""
+"""Join helpers.  No broadcast hints are given: Spark broadcasts a side whose planned
+or measured size is below the thresholds set in ``gridmart.session``."""
 
 from __future__ import annotations
 
@@ -16,13 +8,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 100_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def keyword_join(left: DataFrame, right: DataFrame, on: Sequence[str],
                  text: Column, keyword: Column, how: str = "inner") -> DataFrame:

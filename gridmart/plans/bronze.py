@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridmart.operators.bronze import (
-    add_metadata, run_timestamp, concat_by_name, drop_all_null_columns, drop_null_rows, filter_entity,
+    add_metadata, run_timestamp, concat_by_name, drop_null_rows, filter_entity,
     filter_entity_ci, normalize_headers, resolve_column, select_existing,
 )
 
@@ -30,40 +30,59 @@ def ingest_long(raw: DataFrame, run_ts: datetime, entities=None) -> DataFrame:
     renamed ``country_code``, rows are kept for ``entities`` (None: all), the
     known columns are kept, ``year``/``value`` typed int/double (so later year
     windows push into Parquet scans of the stored table), rows without a value
-    dropped, metadata stamped.
+    dropped, metadata stamped.  Cells that are no number count as no value
+    (``operators.bronze.uncastable`` reports them); missing-value tokens are NULL
+    already (``operators.bronze.null_tokens``, which the CSV readers apply).
     """
     df = normalize_headers(raw)
     df = resolve_column(df, LONG_CODE_CANDIDATES, "country_code")
     df = filter_entity(df, "country_code", entities)
     df = select_existing(df, LONG_KEEP)
-    df = df.withColumns({"year": F.col("year").cast("int"), "value": F.col("value").cast("double")})
+    df = df.withColumns({"year": F.col("year").try_cast("int"), "value": F.col("value").try_cast("double")})
     df = drop_null_rows(df, ["value"])
     return add_metadata(df, LONG_SOURCE, run_ts)
 
 
 def ingest_wide(raw: DataFrame, run_ts: datetime, entities=None,
-                code_column: str = "iso_code", drop_empty_columns: bool = True) -> DataFrame:
-    """Wide indicator rows -> bronze (S2 + P3, P7, P8): entity filter, all-NULL
-    columns dropped (one counting pass), ``year`` as int, metadata.
+                code_column: str = "iso_code") -> DataFrame:
+    """Wide indicator rows -> bronze (S2 + P3, P8): entity filter, ``year`` as int, metadata.
 
-    ``drop_empty_columns=False`` skips the counting pass when only silver reads
-    the result: silver gives a typed NULL for any missing column, so dropping an
-    all-NULL column cannot change a silver value.
+    All-NULL columns (P7) are dropped on the stored table (``plans.build``), where counting
+    reads columns and starts no second parse.  Silver gives a typed NULL for any missing
+    column, so dropping one cannot change a silver value.
     """
     df = filter_entity(raw, code_column, entities)
-    if drop_empty_columns:
-        df = drop_all_null_columns(df, keep=(code_column, "year"))
-    df = df.withColumn("year", F.col("year").cast("int"))
+    df = df.withColumn("year", F.col("year").try_cast("int"))
     return add_metadata(df, WIDE_SOURCE, run_ts)
 
 
+def country_codes(raw_long: DataFrame) -> DataFrame:
+    """``name_key`` (trimmed, lower-cased country name) -> ``country_code``, from the long table's pairs.
+
+    A name with several codes keeps the smallest; codes combine map-side, so a country's many
+    rows cost one row per task."""
+    names = [c for c in ("country", "area") if c in raw_long.columns]
+    name = F.lower(F.trim(F.coalesce(*names)))
+    return (raw_long.select(name.alias("name_key"), "country_code").dropna()
+            .groupBy("name_key").agg(F.min("country_code").alias("country_code")))
+
+
 def ingest_capacity(raw: DataFrame, source_tag: str, run_ts: datetime,
-                    country_names: Sequence[str] | None = None) -> DataFrame:
+                    country_names: Sequence[str] | None = None, codes: DataFrame | None = None) -> DataFrame:
     """Capacity rows -> bronze (S3 + P4): case-insensitive country filter, ``year``
-    and ``capacity_mw`` typed int/double."""
+    and ``capacity_mw`` typed int/double.
+
+    A file that names countries but gives no codes needs ``codes`` (see :func:`country_codes`): generation is
+    keyed by code, and capacity keyed by name would never meet it.  A name that ``codes`` does not
+    have gets a NULL code, which ``plans.build`` refuses.
+    """
     df = filter_entity_ci(raw, "country", country_names)
-    return df.withColumns({"year": F.col("year").cast("int"),
-                           "capacity_mw": F.col("capacity_mw").cast("double"),
+    if "country_code" not in df.columns:
+        if codes is None:
+            raise KeyError("capacity rows carry no country_code and no name-to-code pairs were given")
+        df = (df.withColumn("name_key", F.lower(F.trim("country"))).join(codes, "name_key", "left").drop("name_key"))
+    return df.withColumns({"year": F.col("year").try_cast("int"),
+                           "capacity_mw": F.col("capacity_mw").try_cast("double"),
                            "_source": F.lit(source_tag),
                            "_ingested_at": run_timestamp(run_ts)})
 

@@ -15,12 +15,14 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridmart.operators import checks as C
+from gridmart.operators.bronze import non_null_counts, null_tokens, tag_resource
 from gridmart.plans import gold, geo, proxies, serving, silver
-from gridmart.plans.bronze import ingest_capacity, ingest_geo, ingest_long, ingest_wide
+from gridmart.plans.bronze import country_codes, ingest_capacity, ingest_geo, ingest_long, ingest_wide
 from gridmart.plans.build import CHECKS
-from gridmart.sources.files import CAPACITY_FILE_SOURCE, read_seed, station_rows
+from gridmart.sources.files import CAPACITY_FILE_SOURCE, FEATURE_SCHEMA, features_to_rows, read_seed, station_rows
 
 PROXY_YEARS = (1996, 2030)
 PROXY_CONTEXT_YEARS = (1990, 2030)
@@ -28,6 +30,9 @@ PROXY_KPI_MIN_YEAR = 1996
 PROXY_DECADES = (1990, 2000)
 PROXY_CUF = (1.0, 12.0)          # energy scale, hours (months) per year
 PROXY_DECADE_FILTER = "2000s"
+PROXY_REGION = "ASIA"
+PROXY_COUNTRIES = [" brand#11 ", " BRAND#7 "]
+PROXY_DIGITS = 6                 # so that every engine writes the same text
 
 
 class Assets:
@@ -51,11 +56,6 @@ class Assets:
     def raw_wide(self) -> DataFrame:
         return ingest_wide(proxies.wide_rows(self.spark, self.sf_dir), self.run_ts)
 
-    @cached_property
-    def raw_wide_for_silver(self) -> DataFrame:
-        return ingest_wide(proxies.wide_rows(self.spark, self.sf_dir), self.run_ts,
-                           drop_empty_columns=False)
-
     @cached_property
     def raw_messy_long(self) -> DataFrame:
         return ingest_long(proxies.messy_long_rows(self.spark, self.sf_dir), self.run_ts)
@@ -65,6 +65,30 @@ class Assets:
         return ingest_capacity(proxies.labelled_capacity_rows(self.spark, self.sf_dir), CAPACITY_FILE_SOURCE,
                                self.run_ts)
 
+    @cached_property
+    def raw_token_long(self) -> DataFrame:
+        return ingest_long(null_tokens(proxies.token_long_rows(self.spark, self.sf_dir)), self.run_ts)
+
+    @cached_property
+    def raw_region_long(self) -> DataFrame:
+        keys = proxies.region_entities(self.spark, self.sf_dir, PROXY_REGION)
+        return ingest_long(proxies.messy_long_rows(self.spark, self.sf_dir), self.run_ts, entities=keys)
+
+    @cached_property
+    def raw_named_capacity(self) -> DataFrame:
+        return ingest_capacity(proxies.named_capacity_rows(self.monthly), CAPACITY_FILE_SOURCE, self.run_ts,
+                               codes=country_codes(self.raw_long))
+
+    @cached_property
+    def raw_brand_capacity(self) -> DataFrame:
+        return ingest_capacity(proxies.labelled_capacity_rows(self.spark, self.sf_dir), CAPACITY_FILE_SOURCE,
+                               self.run_ts, country_names=PROXY_COUNTRIES)
+
+    @cached_property
+    def landed_features(self) -> DataFrame:
+        parsed = proxies.feature_lines(self.spark, self.sf_dir).select(F.from_json("line", FEATURE_SCHEMA).alias("f"))
+        return tag_resource(features_to_rows(parsed.select("f.*")), "events", "Event layer", "ev-1")
+
     @cached_property
     def raw_geo(self) -> DataFrame:
         feats = proxies.geo_feature_rows(self.spark, self.sf_dir)
@@ -86,7 +110,7 @@ class Assets:
 
     @cached_property
     def context(self) -> DataFrame:
-        return silver.stg_owid_energy(self.raw_wide_for_silver, PROXY_CONTEXT_YEARS)
+        return silver.stg_owid_energy(self.raw_wide, PROXY_CONTEXT_YEARS)
 
     @cached_property
     def unified(self) -> DataFrame:
@@ -124,7 +148,13 @@ class Assets:
 
     @cached_property
     def lines(self) -> DataFrame:
-        return geo.geo_map_lines(self.raw_geo)
+        return geo.geo_map_lines(self.raw_geo, digits=PROXY_DIGITS)
+
+    @cached_property
+    def unified_by_name(self) -> DataFrame:
+        """The unified table when the capacity file gives names only."""
+        capacity = silver.stg_irena_capacity(self.raw_named_capacity, PROXY_YEARS)
+        return silver.stg_energy_unified(self.ember, capacity, self.context, self.categories, *PROXY_CUF)
 
     # --- checks -----------------------------------------------------------
     def checks(self) -> DataFrame:
@@ -161,6 +191,15 @@ QUERIES = {
     "raw_wide": _q(lambda p: p.raw_wide),
     "clean_value": _q(lambda p: silver.stg_ember_generation(p.raw_messy_long)),
     "raw_long_messy": _q(lambda p: p.raw_messy_long),
+    "raw_wide_counts": _q(lambda p: non_null_counts(p.raw_wide)),
+    "raw_long_tokens": _q(lambda p: p.raw_token_long),
+    "raw_long_region": _q(lambda p: p.raw_region_long),
+    "capacity_countries": _q(lambda p: silver.stg_irena_capacity(p.raw_brand_capacity)),
+    "unified_by_name": _q(lambda p: p.unified_by_name),
+    "source_categories": _q(lambda p: silver.stg_source_categories(proxies.seed_rows(p.spark, p.sf_dir))),
+    "landed_features": _q(lambda p: p.landed_features.select(
+        F.col("properties")["name"].alias("name"), F.col("properties")["level"].alias("level"), "geometry_type", "geometry_wkt",
+        "dataset", "resource_name", "resource_id")),
     "map_technology": _q(lambda p: silver.stg_irena_capacity(p.raw_labelled_capacity)),
     # overview / capacity / KPI / sources pages
     "latest": _q(lambda p: serving.latest(p.kpis)),
@@ -185,11 +224,13 @@ QUERIES = {
     "by_geom": _q(lambda p: serving.by_geom(p.geo_infrastructure)),
     "by_resource": _q(lambda p: serving.by_resource(p.geo_infrastructure)),
     "substations": _q(lambda p: serving.geo_map_substations_source(
-        geo.geo_map_substations_view(p.located_substations, located=True))),
-    "substation_table": _q(lambda p: serving.substation_table(p.substations)),
+        geo.geo_map_substations_view(geo.geo_map_substations(
+            p.raw_geo, located_only=True, order=serving.SUBSTATION_ORDER), located=True))),
+    "substation_table": _q(lambda p: serving.substation_table(
+        geo.geo_map_substations(p.raw_geo, order=serving.SUBSTATION_TABLE_ORDER))),
     "lines": _q(lambda p: p.lines),
     "layer_counts": _q(lambda p: geo.layer_counts(p.lines, p.located_substations, located=True)),
-    "geojson_features": _q(lambda p: geo.geo_features(p.lines, p.located_substations, located=True)),
+    "geojson_features": _q(lambda p: geo.geo_features(p.lines, p.located_substations, PROXY_DIGITS, located=True)),
     # theta join (equal keys + keyword LIKE)
     "keyword_cuf": _q(lambda p: gold.keyword_cuf(p.capacity, p.ember, *PROXY_CUF)),
     # data quality

@@ -27,7 +27,6 @@ LINE_NETWORKS = ("220kV Network", "132kV Network", "66kV Network")
 POINT_FEATURE_TYPE = "Substation"
 EMPTY_GEOMETRIES = ("null", "[]")
 UTM_ZONE, UTM_SOUTH = 37, True
-GEOJSON_DIGITS = 6
 
 
 def _prop(key: str) -> Column:
@@ -43,7 +42,7 @@ def geo_infrastructure(raw_geo: DataFrame) -> DataFrame:
 
 
 def geo_map_substations(raw_geo: DataFrame, zone: int = UTM_ZONE, south: bool = UTM_SOUTH,
-                        located_only: bool = False) -> DataFrame:
+                        located_only: bool = False, order: Sequence[str] = ()) -> DataFrame:
     """Every Point feature as a station with WGS84 lat/lng (G1).
 
     lat/lng are NULL exactly when the grid x or y does not parse (the series
@@ -51,6 +50,11 @@ def geo_map_substations(raw_geo: DataFrame, zone: int = UTM_ZONE, south: bool =
     keeps just the located stations by testing x/y right after parsing; a filter
     on the finished lat/lng would be pushed down through the projection chain
     with the whole series substituted into it.
+
+    ``order`` (attribute names) gives the served order, NULLs last.  The parsed rows are sorted,
+    not the finished ones, so the sort's sampling pass does not run the series; grid x and y
+    break ties, so rows that share a name (or have none) are spread over the sort's tasks
+    and always come in the same order.
     """
     pts = raw_geo.filter((F.col("geometry_type") == "Point") & F.col("geometry_wkt").isNotNull()
                          & ~F.col("geometry_wkt").isin(*EMPTY_GEOMETRIES))
@@ -67,21 +71,24 @@ def geo_map_substations(raw_geo: DataFrame, zone: int = UTM_ZONE, south: bool =
         F.get_json_object("geometry_wkt", "$[1]").try_cast("double").alias("__y"))
     if located_only:
         xy = xy.filter(F.col("__x").isNotNull() & F.col("__y").isNotNull())
+    if order:
+        xy = xy.orderBy(*[F.col(c).asc_nulls_last() for c in (*order, "__x", "__y", *attrs)])
     xi_p, eta_p = utm_prime(F.col("__x"), F.col("__y"), south)
     staged = xy.select(*attrs, xi_p.alias("__xi"), eta_p.alias("__eta"))
     lng, lat = prime_to_lnglat(F.col("__xi"), F.col("__eta"), zone)
     return staged.select(*attrs, lat.alias("lat"), lng.alias("lng"))
 
 
-def _fixed(x: Column, digits: int) -> Column:
-    return F.format_string(f"%.{digits}f", R(x, digits))
+def _fixed(x: Column, digits: int | None) -> Column:
+    """JSON number text: every digit of the double, or ``digits`` fixed decimals."""
+    return x.cast("string") if digits is None else F.format_string(f"%.{digits}f", R(x, digits))
 
 
 def geo_map_lines(raw_geo: DataFrame, zone: int = UTM_ZONE, south: bool = UTM_SOUTH,
-                  networks: Sequence[str] = LINE_NETWORKS, digits: int = GEOJSON_DIGITS) -> DataFrame:
+                  networks: Sequence[str] = LINE_NETWORKS, digits: int | None = None) -> DataFrame:
     """LineStrings of the named networks with >= 2 vertices, re-projected
-    vertex by vertex inside ``transform`` and written as GeoJSON geometry text with
-    ``digits`` fixed decimals (6 dp is about 0.1 m)."""
+    vertex by vertex inside ``transform`` and written as GeoJSON geometry text in full
+    precision, or with ``digits`` fixed decimals (6 dp is about 0.1 m)."""
     ln = raw_geo.filter((F.col("geometry_type") == "LineString")
                         & F.col("resource_name").isin(*networks)
                         & F.col("geometry_wkt").isNotNull()
@@ -114,7 +121,7 @@ def geo_map_substations_view(subst: DataFrame, located: bool = False) -> DataFra
                     R("lat", 5).alias("lat"), R("lng", 5).alias("lng")))
 
 
-def geo_features(lines: DataFrame, subst: DataFrame, digits: int = GEOJSON_DIGITS,
+def geo_features(lines: DataFrame, subst: DataFrame, digits: int | None = None,
                  located: bool = False) -> DataFrame:
     """One GeoJSON Feature (JSON text) per line and per located station.
 

@@ -13,7 +13,7 @@ registered queries run on top of them (``gridmart.plans.driver``).
   technology of the capacity file, MW = that month's quantity.
 * wide indicators  <- orders x customer per (nation, order year).
 * geo features     <- events: dataset = event type, layer, geometry and
-  coordinates derived from the event's columns; station CSV rows likewise.
+  coordinates derived from the event's columns; station CSV rows <- supplier.
 * messy long rows  <- customer (negative balances, NULL and padded labels).
 * capacity labels  <- part (technology words from the part name).
 """
@@ -224,6 +224,52 @@ def labelled_capacity_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def token_long_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messy long rows as a CSV reader gives them: all strings, with missing-value tokens and a cell that is no number."""
+    rows = messy_long_rows(spark, sf_dir)
+    nat = F.col("ISO 3 code")
+    value = (F.when(nat < 3, F.lit("NA")).when(nat < 6, F.lit("n/a")).when(nat < 8, F.lit("null"))
+             .when(nat < 9, F.lit("12 GWh")).otherwise(F.col("Value").cast("string")))
+    subcategory = F.when(nat == 20, F.lit("NaN")).when(nat == 21, F.lit("#N/A")).otherwise(F.col("Subcategory"))
+    return rows.withColumns({"Value": value, "Subcategory": subcategory, "Year": F.col("Year").cast("string"),
+                             "ISO 3 code": nat.cast("string")})
+
+
+def named_capacity_rows(monthly: DataFrame) -> DataFrame:
+    """Capacity rows that name the country, in other letters, and give no code."""
+    rows = capacity_rows(monthly)
+    return rows.withColumn("country", F.concat(F.lit(" "), F.lower("country"))).drop("country_code")
+
+
+def region_entities(spark: SparkSession, sf_dir: str, region: str) -> DataFrame:
+    """Key table: the entities of a region."""
+    n, r = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    return n.join(r.filter(F.col("r_name") == region), n["n_regionkey"] == r["r_regionkey"]).select("n_nationkey")
+
+
+def seed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Category rows with padded labels and flags in several spellings."""
+    p = table(spark, sf_dir, "part").select("p_name", "p_brand", "p_type", "p_size")
+    flag = _case(F.col("p_size") % 8, [(0, "TRUE"), (1, " true "), (2, "1"), (3, "Yes"), (4, "False"), (5, "0"), (6, None)], "x")
+    return p.select(
+        F.concat(F.lit(" "), F.col("p_type")).alias("source_type"), F.concat(F.col("p_brand"), F.lit("  ")).alias("category"),
+        F.col("p_name").alias("subcategory"), flag.alias("is_renewable"),
+        F.concat(F.lit(" #"), F.col("p_size").cast("string"), F.lit(" ")).alias("color_hex"))
+
+
+def feature_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GeoJSON Features as landed text, one per event."""
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "value", _k().alias("k"))
+    point = F.concat(F.lit("[17"), F.col("k").cast("string"), F.lit(".5,"), F.col("user_id").cast("string"), F.lit("]"))
+    geometry = (F.when(F.col("k") < 60, F.concat(F.lit('{"type":"Point","coordinates":'), point, F.lit("}")))
+                .when(F.col("k") < 90, F.concat(F.lit('{"type":"LineString","coordinates":['), point, F.lit(","), point, F.lit("]}")))
+                .otherwise(F.lit("null")))
+    props = F.when(F.col("value") < 20, F.lit("null")).otherwise(F.concat(
+        F.lit('{"name":"STN-'), F.col("event_id").cast("string"), F.lit('","level":'), F.col("user_id").cast("string"), F.lit("}")))
+    return ev.select("event_id", F.concat(F.lit('{"type":"Feature","properties":'), props, F.lit(',"geometry":'), geometry,
+                                          F.lit("}")).alias("line"))
+
+
 def _k() -> Column:
     return F.get_json_object("props", "$.k").cast("int")
 
@@ -231,13 +277,13 @@ def _k() -> Column:
 def geo_feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flattened GeoJSON features (properties map, geometry type, coordinates JSON).
 
-    One frame per geometry family, stacked: lines with 0-3 vertices, points (some
-    empty), two-vertex multi-lines, and features without geometry (text ``null``).
-    Every band is taken from a column whose distribution does not depend on the
-    table size (``props.k`` 0-99, minute/second/hour of ``ts``), so each family
-    grows in proportion to ``events``.
+    One pass over events, one feature each: lines with 0-3 vertices, points (some
+    empty), two-vertex multi-lines, and features without geometry (text ``null``; also
+    those without a band).  Every band is taken from a column whose distribution does not
+    depend on the table size (``props.k`` 0-99, minute/second/hour of ``ts``), so each
+    family grows in proportion to ``events``.
     """
-    ev = (table(spark, sf_dir, "events").filter(F.col("event_type") != "signup")
+    ev = (table(spark, sf_dir, "events")
           .select("event_id", "user_id", "event_type", "value", _k().alias("k"),
                   F.minute("ts").alias("mi"), F.second("ts").alias("se"), F.hour("ts").alias("hr")))
     k, mi, se, eid = F.col("k"), F.col("mi"), F.col("se"), F.col("event_id")
@@ -248,13 +294,11 @@ def geo_feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.array(east + F.lit(250 * i), north + F.lit(400 * i))
 
     n_line = F.when(se < 6, F.lit(1)).when(se < 9, F.lit(0)).when(se < 36, F.lit(2)).otherwise(F.lit(3))
-    families = [
-        (k < 40, "LineString", F.to_json(F.slice(F.array(vertex(0), vertex(1), vertex(2)), 1, n_line))),
-        (k.between(40, 79), "Point",
-         F.when(se.between(54, 56), F.lit("[]")).otherwise(F.to_json(vertex(0)))),
-        (k.between(80, 89), "MultiLineString", F.to_json(F.array(F.array(vertex(0), vertex(1))))),
-        (k >= 90, None, F.lit("null")),
-    ]
+    gtype = (F.when(k < 40, F.lit("LineString")).when(k < 80, F.lit("Point")).when(k < 90, F.lit("MultiLineString")))
+    wkt = (F.when(k < 40, F.to_json(F.slice(F.array(vertex(0), vertex(1), vertex(2)), 1, n_line)))
+           .when(k < 80, F.when(se.between(54, 56), F.lit("[]")).otherwise(F.to_json(vertex(0))))
+           .when(k < 90, F.to_json(F.array(F.array(vertex(0), vertex(1)))))
+           .otherwise(F.lit("null")))
     resource = (F.when(mi < 12, F.lit("220kV Network")).when(mi < 24, F.lit("132kV Network"))
                 .when(mi < 36, F.lit("66kV Network")).when(mi < 48, F.lit("Transmission Stations"))
                 .otherwise(F.lit("Other Layer")))
@@ -269,25 +313,19 @@ def geo_feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("manned50"), F.when(mi < 30, F.lit("Yes")).otherwise(F.lit(None).cast("string")),
         F.lit("voltage47"), voltage,
     )
-    frames = [ev.filter(band).select(
+    return ev.select(
         F.when(F.col("hr") < 23, props).alias("properties"),
-        F.lit(gtype).cast("string").alias("geometry_type"), wkt.alias("geometry_wkt"),
+        gtype.alias("geometry_type"), wkt.alias("geometry_wkt"),
         F.col("event_type").alias("dataset"), resource.alias("resource_name"),
-        F.concat(F.lit("res-"), F.floor(mi / F.lit(12)).cast("bigint").cast("string")).alias("resource_id"),
-    ) for band, gtype, wkt in families]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+        F.concat(F.lit("res-"), F.floor(mi / F.lit(12)).cast("bigint").cast("string")).alias("resource_id"))
 
 
 def station_csv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Station summary CSV rows (no geometry columns; bronze adds NULL ones)."""
-    ev = table(spark, sf_dir, "events").filter(F.col("event_type") == "signup")
-    return ev.select(
-        F.col("event_id").alias("station_id"),
-        F.concat(F.lit("Station "), F.col("user_id").cast("string")).alias("station_name"),
-        F.col("value").alias("elevation_m"),
+    return table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("station_id"),
+        F.col("s_name").alias("station_name"),
+        F.col("s_acctbal").alias("elevation_m"),
         F.lit("solar_radiation").alias("dataset"),
         F.lit("Station summary").alias("resource_name"),
     )

@@ -26,19 +26,23 @@ def energy_kpis_source(kpis: DataFrame) -> DataFrame:            # Q2
 
 
 def generation_by_source_source(gbs: DataFrame) -> DataFrame:    # Q3, Q21
-    return gbs.orderBy("entity", "year", F.col("generation_twh").desc())
+    return gbs.orderBy("entity", "year", F.col("generation_twh").desc(), "source_type")
 
 
 def geo_infrastructure_source(geo: DataFrame) -> DataFrame:      # Q4, Q26, Q31
-    return geo.orderBy(F.col("dataset").asc_nulls_last(), F.col("feature_count").desc())
+    return geo.orderBy(F.col("dataset").asc_nulls_last(), F.col("feature_count").desc(), "resource_name", "geometry_type")
 
 
 def renewable_mix_source(mix: DataFrame) -> DataFrame:           # Q5, Q8
     return mix.orderBy("entity", "year")
 
 
-def geo_map_substations_source(view: DataFrame) -> DataFrame:    # Q6 (view built by geo.G5)
-    return view.orderBy(F.col("station_name").asc_nulls_last())
+SUBSTATION_ORDER = ("station_name",)                             # Q6
+SUBSTATION_TABLE_ORDER = ("county", "station_name")              # Q28
+
+
+def geo_map_substations_source(view: DataFrame) -> DataFrame:    # Q6 (view built by geo.G5 over stations
+    return view                                                  # in SUBSTATION_ORDER; projections keep it)
 
 
 # --- Q7-Q11: overview page --------------------------------------------------
@@ -154,10 +158,9 @@ def geo_totals(geo: DataFrame) -> DataFrame:                       # Q27 / A10
                    F.sum("feature_count").cast("bigint").alias("total_features"))
 
 
-def substation_table(subst: DataFrame) -> DataFrame:               # Q28
+def substation_table(subst: DataFrame) -> DataFrame:               # Q28 (stations in SUBSTATION_TABLE_ORDER)
     return (subst.select("station_name", "county", "owner", "manned",
-                         R("lat", 4).alias("latitude"), R("lng", 4).alias("longitude"))
-            .orderBy(F.col("county").asc_nulls_last(), F.col("station_name").asc_nulls_last()))
+                         R("lat", 4).alias("latitude"), R("lng", 4).alias("longitude")))
 
 
 def by_dataset(geo: DataFrame) -> DataFrame:                       # Q29 / A11
@@ -172,4 +175,4 @@ def by_geom(geo: DataFrame) -> DataFrame:                          # Q30 / A11
 
 def by_resource(geo: DataFrame) -> DataFrame:                      # Q31
     return (geo.select("dataset", "resource_name", "geometry_type", "feature_count")
-            .orderBy(F.col("dataset").asc_nulls_last(), F.col("feature_count").desc()))
+            .orderBy(F.col("dataset").asc_nulls_last(), F.col("feature_count").desc(), "resource_name", "geometry_type"))

@@ -18,7 +18,6 @@ from gridmart.functions.rules import (
     clean_value, cuf, flag_fossil, flag_like, map_technology, parse_bool, tech_group,
 )
 from gridmart.operators.bronze import col_or_null
-from gridmart.operators.joins import bounded_broadcast
 
 GENERATION_YEARS = (2000, 2030)
 CAPACITY_YEARS = (2000, 2030)
@@ -57,8 +56,6 @@ def stg_irena_capacity(raw: DataFrame, years: tuple[int, int] = CAPACITY_YEARS,
                        entity_col: str = "country_code") -> DataFrame:
     """M3: map technology labels (P17, P18), non-negative capacity (P13), years."""
     cap = F.col("capacity_mw").cast("double")
-    if entity_col not in raw.columns:      # capacity files may carry only the country name
-        entity_col = "country"
     return (raw
             .filter(_years("year", years) & F.col("capacity_mw").isNotNull() & (cap >= 0)
                     & F.col(entity_col).isNotNull())
@@ -76,7 +73,7 @@ def stg_irena_capacity(raw: DataFrame, years: tuple[int, int] = CAPACITY_YEARS,
             ))
 
 
-# (output column, input column, digits; None = typed NULL placeholder)
+# Fixed values: (output column, input column, digits; None = typed NULL placeholder)
 OWID_COLUMNS = (
     ("access_to_electricity_pct", None, None),
     ("per_capita_elec_kwh", "per_capita_electricity", 2),
@@ -142,7 +139,7 @@ def stg_energy_unified(ember: DataFrame, capacity: DataFrame, context: DataFrame
        (a groupby drops NULL keys).
     2. capacity = max MW per mapped technology (A2), left-joined (J1).
     3. CUF (M13), 4 dp half-even, clamped.
-    4. categories left-joined on source_type (J2, bounded broadcast).
+    4. categories left-joined on source_type (J2).
     5. context indicators left-joined on (entity, year) (J3).
     6. year total over ``total_categories`` by a window sum (J4, A3) and the
        share of it, 2 dp half-even (W6); total 0 gives a NULL share.
@@ -161,7 +158,7 @@ def stg_energy_unified(ember: DataFrame, capacity: DataFrame, context: DataFrame
            .filter(F.col("entity").isNotNull() & F.col("technology").isNotNull())
            .groupBy("entity", "year", F.col("technology").alias("source_type"))
            .agg(F.max("capacity_mw").alias("capacity_mw")))
-    cats = bounded_broadcast(categories.select("source_type", "category", "color_hex"))
+    cats = categories.select("source_type", "category", "color_hex")
     ctx = context.select("entity", "year", *CONTEXT_FIELDS)
 
     unified = (gen.join(cap, ["entity", "year", "source_type"], "left")

@@ -7,8 +7,7 @@ Settings are chosen for scale, not for the local test box:
 * ``autoBroadcastJoinThreshold`` is Spark's own size check for broadcasting: a
   side is broadcast only when its estimated size at planning (10 MB, the default,
   since scans report compressed sizes) or its measured size at runtime (AQE,
-  32 MB) is below the threshold; otherwise the join is shuffled.  Explicit ``broadcast``
-  hints are only used through :func:`gridmart.operators.joins.bounded_broadcast`.
+  32 MB) is below the threshold; otherwise the join is shuffled.
 * Session time zone pinned to UTC so year extraction is stable.
 * Python call-site capture for DataFrame errors is off (plan-building speed).
 """

@@ -12,10 +12,12 @@ import logging
 import os
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridmart.operators.bronze import concat_by_name, null_tokens
 from gridmart.sources.fallback import fallback_capacity
 from gridmart.sources.literal import literal_frame
 
@@ -40,8 +42,30 @@ COLLECTION_SCHEMA = T.StructType([
 GEO_COLUMNS = "properties map<string,string>, geometry_type string, geometry_wkt string, dataset string, resource_name string, resource_id string"
 
 
+def _files(spark: SparkSession, path: str | Sequence[str]) -> list[str]:
+    """The files that paths, folders and glob patterns stand for, in name order."""
+    jvm, out = spark.sparkContext._jvm, []
+    for one in [path] if isinstance(path, str) else path:
+        p = jvm.org.apache.hadoop.fs.Path(one)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for status in fs.globStatus(p) or []:
+            found = fs.listStatus(status.getPath()) if status.isDirectory() else [status]
+            out += [f.getPath().toString() for f in found if not f.getPath().getName().startswith(("_", "."))]
+    return sorted(out)
+
+
 def read_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    return spark.read.option("header", True).option("inferSchema", False).csv(path)
+    """CSV with a header, all columns as strings, cells that mean "missing" as NULL.
+
+    Files are matched by their headers, not by position: those with the same header are
+    one read, and the reads are stacked by column name."""
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    reader = spark.read.option("header", True).option("inferSchema", False)
+    for f in _files(spark, path):
+        layouts.setdefault(tuple(reader.csv(f).columns), []).append(f)
+    if not layouts:
+        return reader.csv(path)            # Spark's own error for a path that is not there
+    return null_tokens(concat_by_name([reader.option("enforceSchema", False).csv(fs) for fs in layouts.values()]))
 
 
 def read_long_csv(spark: SparkSession, path) -> DataFrame:
@@ -59,6 +83,7 @@ def read_wide_csv(spark: SparkSession, path) -> DataFrame:
 CAPACITY_REQUIRED = ("country", "technology", "year", "capacity_mw")
 CAPACITY_FILE_SOURCE = "irena_api"
 CAPACITY_FALLBACK_SOURCE = "irena_curated_fallback"
+MISSING_FILE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def read_capacity(spark: SparkSession, path: str | None) -> tuple[DataFrame, str]:
@@ -72,12 +97,15 @@ def read_capacity(spark: SparkSession, path: str | None) -> tuple[DataFrame, str
         try:
             df = read_csv(spark, path)
             df = df.toDF(*[c.lower().replace(" ", "_") for c in df.columns])
-            missing = [c for c in CAPACITY_REQUIRED if c not in df.columns]
-            if missing:
-                raise ValueError(f"capacity file lacks {missing}")
+        except AnalysisException as exc:
+            if exc.getCondition() not in MISSING_FILE:       # storage faults and the like are not "no file"
+                raise
+            log.warning("no capacity file (%s); using curated fallback", exc.getCondition())
+            return fallback_capacity(spark), CAPACITY_FALLBACK_SOURCE
+        missing = [c for c in CAPACITY_REQUIRED if c not in df.columns]
+        if not missing:
             return df, CAPACITY_FILE_SOURCE
-        except Exception as exc:  # unreadable or incomplete file: use curated data
-            log.warning("capacity file unusable (%s); using curated fallback", exc)
+        log.warning("capacity file lacks %s; using curated fallback", missing)
     return fallback_capacity(spark), CAPACITY_FALLBACK_SOURCE
 
 
@@ -95,17 +123,44 @@ def features_to_rows(feats: DataFrame) -> DataFrame:
     )
 
 
+class BrokenGeoJson(ValueError):
+    """A GeoJSON document that is cut off or is no FeatureCollection."""
+
+
+def _geojson_records(spark: SparkSession, path: str, line_delimited: bool) -> DataFrame:
+    """Parsed documents (or lines) with ``_broken``: not JSON of the expected kind."""
+    schema = FEATURE_SCHEMA if line_delimited else COLLECTION_SCHEMA
+    kind = "Feature" if line_delimited else "FeatureCollection"
+    df = (spark.read.schema(T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())]))
+          .option("multiLine", not line_delimited).option("columnNameOfCorruptRecord", "_corrupt_record").json(path))
+    sound = F.col("_corrupt_record").isNull() & F.coalesce(F.col("type") == kind, F.lit(False))
+    return df.withColumn("_broken", ~sound)
+
+
+def broken_records(spark: SparkSession, path: str, line_delimited: bool = False) -> int:
+    """How many documents (or lines) of a GeoJSON resource are not what they should be."""
+    return _geojson_records(spark, path, line_delimited).agg(F.sum(F.col("_broken").cast("long"))).first()[0] or 0
+
+
 def read_geojson(spark: SparkSession, path: str, line_delimited: bool = False) -> DataFrame:
     """GeoJSON -> (properties, geometry_type, geometry_wkt) rows.
 
     A FeatureCollection document is read with ``multiLine`` (one task per file,
     the format is not splittable); land large layers as one Feature per line and
     pass ``line_delimited=True`` for a fully parallel read.
+
+    A broken document raises :class:`BrokenGeoJson`, so that a layer never vanishes
+    unseen; broken lines are counted in a warning and never land as features.
     """
+    broken = broken_records(spark, path, line_delimited)
+    records = _geojson_records(spark, path, line_delimited).filter(~F.col("_broken"))
     if line_delimited:
-        return features_to_rows(spark.read.schema(FEATURE_SCHEMA).json(path))
-    fc = spark.read.schema(COLLECTION_SCHEMA).option("multiLine", True).json(path)
-    return explode_features(fc).repartition(spark.sparkContext.defaultParallelism)
+        if broken:
+            log.warning("%d broken lines in %s were left out", broken, path)
+        return features_to_rows(records)
+    if broken:
+        raise BrokenGeoJson(f"{broken} broken document(s) in {path}")
+    return explode_features(records).repartition(spark.sparkContext.defaultParallelism)
 
 
 def station_rows(df: DataFrame) -> DataFrame:
@@ -135,6 +190,7 @@ def read_seed(spark: SparkSession, path: str | None = None) -> DataFrame:
 def select_resources(resources: Sequence[dict], dataset_key: str,
                      csv_datasets: Sequence[str] = ("solar_radiation",)) -> list[tuple[str, dict]]:
     """Choose how to read each landed resource (S9): ``geojson`` for GEOJSON/JSON,
+    ``geojson_lines`` for one Feature per line (JSONL, GEOJSONL, NDJSON: read in parallel),
     ``csv`` only for datasets listed in ``csv_datasets``; others are skipped."""
     chosen = []
     for res in resources:
@@ -143,6 +199,8 @@ def select_resources(resources: Sequence[dict], dataset_key: str,
             continue
         if fmt in ("GEOJSON", "JSON"):
             chosen.append(("geojson", res))
+        elif fmt in ("JSONL", "GEOJSONL", "NDJSON"):
+            chosen.append(("geojson_lines", res))
         elif fmt == "CSV" and any(k in dataset_key for k in csv_datasets):
             chosen.append(("csv", res))
     return chosen

@@ -2,6 +2,8 @@
 
 import json
 import os
+
+import pytest
 from datetime import datetime
 
 from gridmart.plans.bronze import ingest_long
@@ -111,7 +113,6 @@ def test_cli_build_and_checks(spark, tmpdir_path):
 
 
 def test_land_incremental_default_checkpoint(spark, tmpdir_path):
-    from gridmart.session import checkpoint_dir
     src = os.path.join(tmpdir_path, "landing2")
     target = os.path.join(tmpdir_path, "bronze_default_ckpt")
     schema = ("Area string, `Country code` string, Year string, Category string, Subcategory string, "
@@ -119,7 +120,46 @@ def test_land_incremental_default_checkpoint(spark, tmpdir_path):
     _write(os.path.join(src, "a.csv"), LONG_HEADER + "Kenya,KEN,2020,Electricity generation,Fuel,Hydro,TWh,3.2\n")
     land_and_wait(spark, src, schema, target, transform=lambda df: ingest_long(df, RUN))
     assert spark.read.parquet(target).count() == 1
-    assert os.path.isdir(os.path.join(checkpoint_dir(spark).replace("file:", ""), "landing", "bronze_default_ckpt"))
+    assert os.path.isdir(os.path.join(target, "_checkpoint"))
+    # the target's own checkpoint is found again: one new file, one new row
+    _write(os.path.join(src, "b.csv"), LONG_HEADER + "Kenya,KEN,2021,Electricity generation,Fuel,Hydro,TWh,3.0\n")
+    land_and_wait(spark, src, schema, target, transform=lambda df: ingest_long(df, RUN))
+    assert spark.read.parquet(target).count() == 2
+    with pytest.raises(ValueError, match="ends at -1"):
+        land_and_wait(spark, src, schema, target, os.path.join(tmpdir_path, "fresh"), transform=lambda df: ingest_long(df, RUN))
+
+
+def test_an_old_file_is_landed_too(spark, tmpdir_path):
+    src, target = os.path.join(tmpdir_path, "landing3"), os.path.join(tmpdir_path, "bronze_old")
+    schema = ("Area string, `Country code` string, Year string, Category string, Subcategory string, "
+              "Variable string, Unit string, Value string")
+    _write(os.path.join(src, "new.csv"), LONG_HEADER + "Kenya,KEN,2020,Electricity generation,Fuel,Hydro,TWh,3.2\n")
+    land_and_wait(spark, src, schema, target, transform=lambda df: ingest_long(df, RUN))
+    old = _write(os.path.join(src, "old.csv"), LONG_HEADER + "Kenya,KEN,2001,Electricity generation,Fuel,Hydro,TWh,1.0\n")
+    os.utime(old, (1_500_000_000, 1_500_000_000))
+    land_and_wait(spark, src, schema, target, transform=lambda df: ingest_long(df, RUN))
+    assert sorted(r["year"] for r in spark.read.parquet(target).collect()) == [2001, 2020]
+
+
+def test_capacity_of_an_unknown_country_stops_the_build(spark, tmpdir_path):
+    wide = _write(os.path.join(tmpdir_path, "w4.csv"), "iso_code,country,year\nKEN,Kenya,2021\n")
+    cap = _write(os.path.join(tmpdir_path, "c4.csv"), "Country,Technology,Year,Capacity MW\nAtlantis,Hydropower,2020,9\n")
+    with pytest.raises(ValueError, match="Atlantis"):
+        build_all(spark, Inputs(_long_csv(tmpdir_path), wide, cap), os.path.join(tmpdir_path, "wh4"), RUN)
+
+
+def test_build_reads_parallel_features_and_skips_a_broken_layer(spark, tmpdir_path):
+    import json as _json
+    wide = _write(os.path.join(tmpdir_path, "w5.csv"), "iso_code,country,year\nKEN,Kenya,2021\n")
+    feat = _json.dumps({"type": "Feature", "properties": {}, "geometry": {"type": "Point", "coordinates": [257634.5, 9857079.9]}})
+    lines = _write(os.path.join(tmpdir_path, "p.ndjson"), feat + "\n" + feat + "\n" + feat[:-5] + "\n")
+    cut = _write(os.path.join(tmpdir_path, "cut.geojson"), '{"type": "FeatureCollection", "features": [' + feat)
+    res = [{"dataset": "stations", "name": "good", "id": "1", "format": "NDJSON", "path": lines},
+           {"dataset": "stations", "name": "cut", "id": "2", "format": "GEOJSON", "path": cut},
+           {"dataset": "stations", "name": "gone", "id": "3", "format": "GEOJSON", "path": os.path.join(tmpdir_path, "no")}]
+    paths = build_all(spark, Inputs(_long_csv(tmpdir_path), wide, geo_resources=res), os.path.join(tmpdir_path, "wh5"), RUN)
+    got = files.read_table(spark, paths["mart/geo_infrastructure"]).collect()
+    assert [(r["resource_name"], r["feature_count"]) for r in got] == [("good", 2)]
 
 
 def test_year_window_pushed_into_stored_bronze(spark, tmpdir_path):

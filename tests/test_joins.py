@@ -1,26 +1,8 @@
-"""Join operators: bounded broadcast and the keyword (theta) join."""
-
-import contextlib
-import io
+"""Join operators: the keyword (theta) join."""
 
 from pyspark.sql import functions as F
 
-from gridmart.operators.joins import bounded_broadcast, keyword_join
-
-
-def _plan(df):
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain(extended=True)
-    return buf.getvalue()
-
-
-def test_bounded_broadcast_hints_only_within_bound(spark):
-    small = spark.range(3)
-    big = spark.range(10)
-    assert "strategy=broadcast" in _plan(bounded_broadcast(small, max_rows=5))
-    assert "strategy=broadcast" not in _plan(bounded_broadcast(big, max_rows=5))
-    assert bounded_broadcast(big, max_rows=5).count() == 10
+from gridmart.operators.joins import keyword_join
 
 
 def test_keyword_join_residual_like(spark):

@@ -52,3 +52,51 @@ def test_substations_compile_without_fallback(spark):
 def test_scan_counter_sees_context_scan(spark):
     tree, details = _final_plan(spark, "kpis")
     assert _scans(tree, details, "orders") == 1 and _scans(tree, details, "lineitem") == 1
+
+
+@pytest.mark.parametrize("name", ["geo_infrastructure", "geo_totals", "by_dataset", "by_geom", "by_resource"])
+def test_geo_counts_read_events_once(spark, name):
+    tree, details = _final_plan(spark, name)
+    assert _scans(tree, details, "events") == 1
+
+
+@pytest.mark.parametrize("name", ["substations", "substation_table"])
+def test_stations_are_sorted_before_the_grid_series_runs(spark, name):
+    """The sort's sampling pass runs its child: that must not hold the series (SINH appears in it only)."""
+    plan = E.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "SINH" in plan.upper().split("SORT [")[0] and "SINH" not in plan.upper().split("SORT [", 1)[1]
+
+
+def test_building_a_query_starts_no_job(spark):
+    from gridmart.plans.driver import QUERIES
+    for fn in QUERIES.values():
+        fn(spark, SF)                                     # resolves the driver tables (reads Parquet footers)
+    spark.sparkContext.setJobGroup("plan-building", "plans only")
+    for fn in QUERIES.values():
+        fn(spark, SF)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("plan-building")) == []
+
+
+# The served order of each page query; "-" descends.  NULLs come last.
+SERVED_ORDER = {
+    "capacity_trend": ("entity", "year"), "kpis": ("entity", "-year"), "gen_by_source": ("entity", "year", "-generation_twh"),
+    "mix": ("entity", "year"), "geo_infrastructure": ("dataset", "-feature_count"), "substations": ("station_name",),
+    "target_progress": ("entity", "year"), "by_dataset": ("-feature_count",), "by_geom": ("-feature_count",),
+    "by_resource": ("dataset", "-feature_count"), "substation_table": ("county", "station_name"), "renew_vs_fossil": ("entity", "year"),
+}
+
+
+@pytest.mark.parametrize("name", sorted(SERVED_ORDER))
+def test_served_order(spark, name):
+    rows = E.queries()[name](spark, SF).collect()
+
+    def key(row):
+        out = []
+        for k in SERVED_ORDER[name]:
+            v = row[k.lstrip("-")]
+            out.append((v is None, 0 if v is None else -v if k.startswith("-") else v))
+        return out
+
+    keys = [key(r) for r in rows]
+    assert len(keys) > 1 and keys == sorted(keys)

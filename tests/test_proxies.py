@@ -28,3 +28,9 @@ def test_geo_families_scale_with_events(spark):
 def test_geo_marts_scale(spark):
     counts = {sf: (Assets(spark, sf).substations.count(), Assets(spark, sf).lines.count()) for sf in (SMALL, LARGE)}
     assert counts[LARGE][0] > 5 * counts[SMALL][0] and counts[LARGE][1] > 5 * counts[SMALL][1]
+
+
+def test_features_without_a_band_are_kept_and_counted(spark):
+    """Events whose type or band is NULL stay in the one pass over the table."""
+    rows = proxies.geo_feature_rows(spark, SMALL)
+    assert rows.count() == spark.read.parquet(f"{SMALL}/events.parquet").count()

@@ -5,14 +5,15 @@ import os
 from datetime import datetime
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from gridmart.operators.bronze import (
     concat_by_name, drop_all_null_columns, filter_entity, filter_entity_ci, normalize_headers,
-    normalize_name, resolve_column, select_existing,
+    normalize_name, resolve_column, select_existing, uncastable,
 )
 from gridmart.plans import geo, silver
-from gridmart.plans.bronze import ingest_capacity, ingest_geo, ingest_long, ingest_wide
+from gridmart.plans.bronze import country_codes, ingest_capacity, ingest_geo, ingest_long, ingest_wide
 from gridmart.sources import files
 from gridmart.sources.fallback import FALLBACK_CAPACITY
 
@@ -60,6 +61,7 @@ def test_wide_csv_drops_all_null_columns_and_silver_fills(spark, tmpdir_path):
                "KEN,Kenya,2021,160.0,,\n"
                "UGA,Uganda,2021,99.0,50.0,1.0\n")
     raw = ingest_wide(files.read_wide_csv(spark, p), RUN, entities=["KEN"])
+    raw = drop_all_null_columns(raw, keep=("iso_code", "year"))
     assert "access_to_electricity" not in raw.columns          # all NULL for KEN
     stg = silver.stg_owid_energy(raw)
     rows = {r["year"]: r for r in stg.collect()}
@@ -140,7 +142,8 @@ def test_geojson_to_marts(spark, tmpdir_path):
     assert sub[0]["lat"] == pytest.approx(-1.2921, abs=1e-6) and sub[0]["lng"] == pytest.approx(36.8219, abs=1e-6)
     lines = geo.geo_map_lines(raw).collect()
     assert len(lines) == 1                                       # the 1-vertex line is dropped
-    g = json.loads(lines[0]["geojson_wgs84"])
+    assert json.loads(lines[0]["geojson_wgs84"])["coordinates"][0][0] == pytest.approx(36.8219, abs=1e-6)
+    g = json.loads(geo.geo_map_lines(raw, digits=6).first()["geojson_wgs84"])
     assert g["type"] == "LineString"
     assert g["coordinates"] == [[36.8219, -1.2921], [39.6682, -4.0435]]
     assert lines[0]["line_color"] == "#e74c3c" and lines[0]["voltage_kv"] == "132"
@@ -204,3 +207,77 @@ def test_located_only_equals_lat_lng_filter(spark):
     b = sorted((tuple(r) for r in geo.geo_map_substations_view(
         geo.geo_map_substations(raw, located_only=True), located=True).collect()), key=repr)
     assert a == b and len(a) == 2
+
+
+# --- nothing is lost or shifted on the way in --------------------------------
+
+
+def test_missing_value_tokens_and_cells_that_are_no_number(spark, tmpdir_path):
+    p = _write(os.path.join(tmpdir_path, "long.csv"),
+               "Country code,Year,Variable,Unit,Value\nKEN,2020,Gas,TWh,NA\nKEN,2021,Gas,TWh,n/a\nKEN,2022,Gas,TWh,null\n"
+               "KEN,2023,NaN,TWh,1.5\nKEN,2024,Gas,TWh,12 GWh\nKEN,2025,Gas,TWh,2\n")
+    raw = files.read_long_csv(spark, p)
+    rows = {r["year"]: r for r in ingest_long(raw, RUN).collect()}
+    assert set(rows) == {2023, 2025} and rows[2023]["variable"] is None and rows[2025]["value"] == 2.0
+    counts = uncastable(normalize_headers(raw), {"year": "int", "value": "double"})
+    assert {r["column_name"]: r["uncastable"] for r in counts.collect()} == {"year": 0, "value": 1}
+
+
+def test_files_are_matched_by_header_not_position(spark, tmpdir_path):
+    _write(os.path.join(tmpdir_path, "a.csv"), "Country code,Year,Variable,Unit,Value\nKEN,2020,Hydro,TWh,1\n")
+    _write(os.path.join(tmpdir_path, "b.csv"), "Country code,Year,Unit,Variable,Value,Area\nKEN,2021,TWh,Gas,2,Kenya\n")
+    for path in (tmpdir_path, os.path.join(tmpdir_path, "*.csv"), [os.path.join(tmpdir_path, f) for f in ("b.csv", "a.csv")]):
+        rows = sorted((r["year"], r["variable"], r["unit"], r["value"], r["area"])
+                      for r in ingest_long(files.read_long_csv(spark, path), RUN).collect())
+        assert rows == [(2020, "Hydro", "TWh", 1.0, None), (2021, "Gas", "TWh", 2.0, "Kenya")]
+
+
+def test_capacity_by_name_gets_the_long_tables_code(spark, tmpdir_path):
+    long_ = _write(os.path.join(tmpdir_path, "long.csv"),
+                   "Country code,Country,Year,Category,Subcategory,Variable,Unit,Value\n"
+                   "KEN,Kenya,2020,Electricity generation,Fuel,Wind,TWh,1\n")
+    cap = _write(os.path.join(tmpdir_path, "cap.csv"),
+                 "Country,Technology,Year,Capacity MW\n KENYA ,Onshore wind energy,2020,300\nAtlantis,Hydropower,2020,1\n")
+    raw_long = ingest_long(files.read_long_csv(spark, long_), RUN)
+    df, tag = files.read_capacity(spark, cap)
+    with pytest.raises(KeyError):
+        ingest_capacity(df, tag, RUN)
+    raw = ingest_capacity(df, tag, RUN, codes=country_codes(raw_long))
+    assert {r["country"].strip(): r["country_code"] for r in raw.collect()} == {"KENYA": "KEN", "Atlantis": None}
+    stg = silver.stg_irena_capacity(raw).collect()
+    assert [(r["entity"], r["capacity_mw"]) for r in stg] == [("KEN", 300.0)]
+
+
+def test_a_storage_fault_is_not_a_missing_capacity_file(spark, monkeypatch):
+    def fault(*_):
+        raise AnalysisException("denied", errorClass="FAILED_READ_FILE.NO_HINT", messageParameters={})
+    monkeypatch.setattr(files, "read_csv", fault)
+    with pytest.raises(AnalysisException):
+        files.read_capacity(spark, "somewhere")
+
+
+def test_broken_geojson_is_seen(spark, tmpdir_path, caplog):
+    whole = json.dumps(_feature_collection())
+    cut = _write(os.path.join(tmpdir_path, "cut.geojson"), whole[:-40])
+    with pytest.raises(files.BrokenGeoJson):
+        files.read_geojson(spark, cut)
+    other = _write(os.path.join(tmpdir_path, "other.geojson"), '{"type": "Topology"}')
+    with pytest.raises(files.BrokenGeoJson):
+        files.read_geojson(spark, other)
+    good = [json.dumps(f) for f in _feature_collection()["features"]]
+    lines = _write(os.path.join(tmpdir_path, "f.jsonl"), "\n".join([good[0], good[1][:-9], '{"a": 1}', good[2]]))
+    with caplog.at_level("WARNING"):
+        assert files.read_geojson(spark, lines, line_delimited=True).count() == 2
+    assert "2 broken lines" in caplog.text
+
+
+def test_full_precision_is_the_default(spark):
+    raw = spark.createDataFrame([({"name_ims11": "a"}, "Point", "[257634.5018, 9857079.966]")],
+                                "properties map<string,string>, geometry_type string, geometry_wkt string")
+    stations = geo.geo_map_substations(raw)
+    lines = geo.geo_map_lines(raw.withColumn("resource_name", F.lit("66kV Network")))
+    lat, lng = stations.select("lat", "lng").first()
+    point = json.loads(geo.geo_features(lines, stations).first()["feature"])["geometry"]["coordinates"]
+    assert point == [lng, lat]
+    short = json.loads(geo.geo_features(lines, stations, 3).first()["feature"])["geometry"]["coordinates"]
+    assert short == [round(lng, 3), round(lat, 3)]
