@@ -36,10 +36,11 @@ from gridmart.llm.common import Scratch, small_batches
 STATES, CLASSES = 8, 8192
 SAMPLE_DOCS, SAMPLE_ROUNDS, FULL_ROUNDS = 1500, 8, 2
 SEGMENT = 1024
-BATCH_CHARS = 24_000_000
+STEP_TOKENS = 300_000     # that one forward and backward pass handles at once; about 100 MB
+BATCH_CHARS = 16_000_000
 PRIOR = 50.0              # weight of the overall class shares in a state's
 SMOOTH = 0.1              # of the base model
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000
 END = b""                 # no word is empty
 
 
@@ -146,17 +147,27 @@ def baum_welch_round(texts: DataFrame, model: Model) -> Model:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start, moves, emitted = np.zeros(states), np.zeros((states, states)), np.zeros(model.emit.shape)
+        seqs, held = [], 0
+
+        def add() -> None:
+            nonlocal seqs, held
+            if seqs:
+                for total, more in zip((start, moves, emitted), expected_counts(seqs, model), strict=True):
+                    total += more
+            seqs, held = [], 0
+
         for batch in batches:
-            seqs = []
-            for body in batch.column(0).to_pylist():
-                words = words_of(body)
+            for body in batch.column(0):
+                words = words_of(body.as_py())
                 ids = np.empty(len(words) + 1, np.int32)
                 ids[:-1] = np.fromiter(map(_classes.__getitem__, words), np.int32, len(words))
                 ids[-1] = CLASSES
-                seqs += [ids[i: i + SEGMENT] for i in range(0, len(ids), SEGMENT)]
-            if seqs:
-                more = expected_counts(seqs, model)
-                start, moves, emitted = start + more[0], moves + more[1], emitted + more[2]
+                for i in range(0, len(ids), SEGMENT):
+                    seqs.append(ids[i: i + SEGMENT])
+                    held += len(seqs[-1])
+                    if held >= STEP_TOKENS:
+                        add()
+        add()
         rows = np.concatenate([emitted, moves, start[None, :]])
         used = np.flatnonzero(rows.sum(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), *[pa.array(rows[used, j]) for j in range(states)]],
@@ -214,7 +225,7 @@ def score(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str =
     fold = F.crc32(F.col(doc_id).cast("string")) % 10
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"),
                        F.coalesce(fold == 0, F.lit(False)).alias("held_out"), F.coalesce(fold != 0, F.lit(False)).alias("learn"))
-    small_batches(spark, rows=3000, size="12m")
+    small_batches(spark)
     model = train(rows.filter("learn").select("doc_id", "text"), scratch)
 
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
@@ -270,8 +281,8 @@ def score(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str =
             out["base_score"].append(float(base[x].sum()))
             out["inside"].append(float(inside[x].sum()))
         hidden = np.zeros(len(ids))
-        for i in range(0, len(ids), 4096):
-            hidden[i: i + 4096] = log_likelihood([k[x] for x in ids[i: i + 4096]], model)
+        for i in range(0, len(ids), 2048):
+            hidden[i: i + 2048] = log_likelihood([k[x] for x in ids[i: i + 2048]], model)
         return pa.table({
             "doc_id": part.column("doc_id"), "held_out": part.column("held_out"),
             "n_tokens": pa.array(out["n_tokens"], pa.int64()), "n_known": pa.array(out["n_known"], pa.int64()),

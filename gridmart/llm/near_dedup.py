@@ -49,7 +49,7 @@ from gridmart.llm.graph import components
 WORDS = 5
 THRESHOLD = 75            # percent: 100 * intersection >= THRESHOLD * union
 K, MATCH = 64, 32
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
 CHUNK = 1 << 13
 
 _random = np.random.default_rng(20240601)

@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 END_ID = 0
-CACHE_PARTS = 1_000_000   # per worker; about 180 MB
+CACHE_PARTS = 800_000     # per worker; about 150 MB
 LONGEST_CACHED = 32       # characters
 
 # White space other than space and line feed, or two of those side by side, or a line feed at an end.
