@@ -46,12 +46,15 @@ def _lit(x: float) -> Column:
     return F.lit(float(x))
 
 
-def utm_prime(easting, northing, south: bool = True) -> tuple[Column, Column]:
-    """Stage 1: grid coordinates -> (xi', eta') on the conformal sphere."""
+def utm_prime(easting, northing, south: bool | Column = True) -> tuple[Column, Column]:
+    """Stage 1: grid coordinates -> (xi', eta') on the conformal sphere; ``south`` may be a column."""
     e = F.col(easting) if isinstance(easting, str) else easting
     n = F.col(northing) if isinstance(northing, str) else northing
-    n0 = UTM_FALSE_NORTHING_SOUTH if south else 0.0
-    xi = (n - _lit(n0)) / _lit(K0A)
+    if isinstance(south, Column):
+        n0 = F.when(south, _lit(UTM_FALSE_NORTHING_SOUTH)).otherwise(_lit(0.0))
+    else:
+        n0 = _lit(UTM_FALSE_NORTHING_SOUTH if south else 0.0)
+    xi = (n - n0) / _lit(K0A)
     eta = (e - _lit(UTM_FALSE_EASTING)) / _lit(K0A)
     xi_p = xi
     eta_p = eta
@@ -61,14 +64,15 @@ def utm_prime(easting, northing, south: bool = True) -> tuple[Column, Column]:
     return xi_p, eta_p
 
 
-def prime_to_lnglat(xi_p: Column, eta_p: Column, zone: int = 37) -> tuple[Column, Column]:
-    """Stage 2: (xi', eta') -> (lng, lat) in degrees."""
+def prime_to_lnglat(xi_p: Column, eta_p: Column, zone: int | Column = 37) -> tuple[Column, Column]:
+    """Stage 2: (xi', eta') -> (lng, lat) in degrees; ``zone`` may be a column."""
     chi = F.asin(F.sin(xi_p) / F.cosh(eta_p))
     phi = chi
     for j, d in enumerate(DELTA, start=1):
         phi = phi + _lit(d) * F.sin(_lit(2 * j) * chi)
     lam = F.atan2(F.sinh(eta_p), F.cos(xi_p))
-    lng = _lit(central_meridian(zone)) + lam * _lit(RAD_TO_DEG)
+    meridian = (zone * 6 - 183).cast("double") if isinstance(zone, Column) else _lit(central_meridian(zone))
+    lng = meridian + lam * _lit(RAD_TO_DEG)
     lat = phi * _lit(RAD_TO_DEG)
     return lng, lat
 

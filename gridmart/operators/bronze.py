@@ -120,13 +120,17 @@ def add_metadata(df: DataFrame, source: str, run_ts: datetime) -> DataFrame:
 
 
 def tag_resource(df: DataFrame, dataset: str, resource_name: str | None = None,
-                 resource_id: str | None = None) -> DataFrame:
-    """Attach dataset / resource identifiers to landed geo rows."""
-    return df.withColumns({
+                 resource_id: str | None = None, grid: tuple[int, bool] | None = None) -> DataFrame:
+    """Attach dataset / resource identifiers to landed geo rows (P9); ``grid`` is the layer's UTM
+    zone (0: already degrees) and whether it lies south of the equator."""
+    tags = {
         "dataset": F.lit(dataset).cast("string"),
         "resource_name": F.lit(resource_name).cast("string"),
         "resource_id": F.lit(resource_id).cast("string"),
-    })
+    }
+    if grid is not None:
+        tags |= {"grid_zone": F.lit(grid[0]).cast("int"), "grid_south": F.lit(grid[1]).cast("boolean")}
+    return df.withColumns(tags)
 
 
 def concat_by_name(frames: Sequence[DataFrame], empty_schema=None, spark=None) -> DataFrame:

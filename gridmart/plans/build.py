@@ -38,7 +38,9 @@ class Inputs:
     long_csv: str | list[str]
     wide_csv: str | list[str]
     capacity_csv: str | None = None
-    # geo resources: dicts with dataset, name, id, format ("GEOJSON"/"JSON"/"CSV"), path
+    # geo resources: dicts with dataset, name, id, format ("GEOJSON"/"JSON", "JSONL"/"GEOJSONL"/"NDJSON" for one
+    # Feature per line, "CSV"), path; and where it is not the default, the layer's projection: zone (0: the
+    # coordinates are degrees) and south (default true)
     geo_resources: list[dict] = field(default_factory=list)
     seed_csv: str | None = None
     entities: list[str] | None = None           # long/wide codes to keep; None = all
@@ -75,16 +77,28 @@ CHECKS = {
 }
 
 
+# Tables split into folders by year, so a year window reads only its folders.
+PARTITIONED = {"ingestion/raw_ember_generation": "year", "staging/stg_ember_generation": "year",
+               "ingestion/raw_owid_energy": "year", "ingestion/raw_irena_capacity": "year"}
+
+
 class Builder:
-    def __init__(self, spark: SparkSession, out_dir: str):
-        self.spark, self.out_dir = spark, out_dir
+    """Writes assets under ``out_dir`` and registers each in the catalog as ``<prefix><schema>.<table>``."""
+
+    def __init__(self, spark: SparkSession, out_dir: str, prefix: str = ""):
+        self.spark, self.out_dir, self.prefix = spark, out_dir, prefix
 
     def path(self, name: str) -> str:
         return os.path.join(self.out_dir, name)
 
     def save(self, name: str, df: DataFrame) -> DataFrame:
-        files.write_table(df, self.path(name))
-        return files.read_table(self.spark, self.path(name))
+        by = PARTITIONED.get(name)
+        if by:   # rows of a year meet before writing (few files a folder); a large year is split again by its size
+            df = df.hint("rebalance", F.col(by))
+        schema, table = name.split("/")
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.prefix}{schema}`")
+        files.write_table(df, self.path(name), [by] if by else (), table=f"`{self.prefix}{schema}`.`{table}`")
+        return self.spark.table(f"`{self.prefix}{schema}`.`{table}`")
 
 
 def _renamed(raw: DataFrame) -> DataFrame:
@@ -108,17 +122,21 @@ def _geo_frames(spark: SparkSession, resources: list[dict]) -> list[DataFrame]:
             except (AnalysisException, files.BrokenGeoJson) as exc:  # missing or broken: skip it, keep the rest
                 log.warning("skipped geo resource %s (%s)", r.get("path"), exc)
                 continue
-            frames.append(tag_resource(df, dataset, r.get("name"), r.get("id")))
+            grid = (int(r["zone"]), bool(r.get("south", True))) if r.get("zone") is not None else None
+            frames.append(tag_resource(df, dataset, r.get("name"), r.get("id"), grid))
     return frames
 
 
 def build_all(spark: SparkSession, inputs: Inputs, out_dir: str | None = None,
-              run_ts: datetime | None = None, params: Params | None = None) -> dict[str, str]:
-    """Run the whole pipeline; return {table name: stored location}."""
+              run_ts: datetime | None = None, params: Params | None = None, catalog_prefix: str = "") -> dict[str, str]:
+    """Run the whole pipeline; return {table name: stored location}.
+
+    Every table is registered in the catalog by schema and name (``mart.renewable_mix``);
+    ``catalog_prefix`` keeps several builds apart."""
     run_ts = run_ts or datetime.now(timezone.utc).replace(tzinfo=None)
     params = params or Params()
     out_dir = out_dir or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "gridmart")
-    b = Builder(spark, out_dir)
+    b = Builder(spark, out_dir, catalog_prefix)
 
     long_csv = files.read_long_csv(spark, inputs.long_csv)
     raw_long = b.save("ingestion/raw_ember_generation", ingest_long(long_csv, run_ts, inputs.entities))

@@ -33,6 +33,16 @@ def _prop(key: str) -> Column:
     return F.col("properties").getItem(key)
 
 
+DEGREES = 0          # a ``grid_zone`` of layers whose coordinates are longitude and latitude already
+
+
+def _grid(raw_geo: DataFrame, zone: int, south: bool):
+    """Zone and hemisphere of a layer: its own ``grid_zone`` / ``grid_south`` columns where they are given."""
+    if "grid_zone" not in raw_geo.columns:
+        return zone, south
+    return F.coalesce("grid_zone", F.lit(zone)), F.coalesce("grid_south", F.lit(south))
+
+
 def geo_infrastructure(raw_geo: DataFrame) -> DataFrame:
     """Features per (dataset, resource, geometry type); NULL type is a group."""
     return (raw_geo.filter(F.col("dataset").isNotNull())
@@ -59,6 +69,11 @@ def geo_map_substations(raw_geo: DataFrame, zone: int = UTM_ZONE, south: bool =
     pts = raw_geo.filter((F.col("geometry_type") == "Point") & F.col("geometry_wkt").isNotNull()
                          & ~F.col("geometry_wkt").isin(*EMPTY_GEOMETRIES))
     attrs = ["station_name", "county", "owner", "source", "status", "manned", "feature_type"]
+    zone, south = _grid(raw_geo, zone, south)
+    per_layer = isinstance(zone, Column)
+    own = [zone.alias("__zone"), south.alias("__south")] if per_layer else []
+    if per_layer:
+        zone, south = F.col("__zone"), F.col("__south")
     # Three projections (grid xy -> conformal xi'/eta' -> lat/lng): each stage's
     # outputs are reused several times by the next, so Spark keeps them apart
     # instead of inlining, and every generated method stays small.
@@ -68,14 +83,17 @@ def geo_map_substations(raw_geo: DataFrame, zone: int = UTM_ZONE, south: bool =
         _prop(PROP_STATUS).alias("status"), _prop(PROP_MANNED).alias("manned"),
         F.lit(POINT_FEATURE_TYPE).alias("feature_type"),
         F.get_json_object("geometry_wkt", "$[0]").try_cast("double").alias("__x"),
-        F.get_json_object("geometry_wkt", "$[1]").try_cast("double").alias("__y"))
+        F.get_json_object("geometry_wkt", "$[1]").try_cast("double").alias("__y"), *own)
     if located_only:
         xy = xy.filter(F.col("__x").isNotNull() & F.col("__y").isNotNull())
     if order:
         xy = xy.orderBy(*[F.col(c).asc_nulls_last() for c in (*order, "__x", "__y", *attrs)])
     xi_p, eta_p = utm_prime(F.col("__x"), F.col("__y"), south)
-    staged = xy.select(*attrs, xi_p.alias("__xi"), eta_p.alias("__eta"))
+    staged = xy.select(*attrs, xi_p.alias("__xi"), eta_p.alias("__eta"), *(["__x", "__y", "__zone"] if per_layer else []))
     lng, lat = prime_to_lnglat(F.col("__xi"), F.col("__eta"), zone)
+    if per_layer:
+        lng, lat = (F.when(zone == DEGREES, plain).otherwise(series) for plain, series in (
+            (F.col("__x"), lng), (F.col("__y"), lat)))
     return staged.select(*attrs, lat.alias("lat"), lng.alias("lng"))
 
 
@@ -93,12 +111,16 @@ def geo_map_lines(raw_geo: DataFrame, zone: int = UTM_ZONE, south: bool = UTM_SO
                         & F.col("resource_name").isin(*networks)
                         & F.col("geometry_wkt").isNotNull()
                         & (F.json_array_length("geometry_wkt") >= 2))
+    zone, south = _grid(raw_geo, zone, south)
+    per_layer = isinstance(zone, Column)
     coords = F.from_json("geometry_wkt", "array<array<double>>")
-    primes = F.transform(coords, lambda p: F.struct(*[c.alias(n) for c, n in
-                                                       zip(utm_prime(p[0], p[1], south), ("xi", "eta"))]))
+    primes = F.transform(coords, lambda p: F.struct(*[c.alias(n) for c, n in zip(
+        (*utm_prime(p[0], p[1], south), *((p[0], p[1]) if per_layer else ())), ("xi", "eta", "x", "y"))]))
 
     def vertex(p):
         lng, lat = prime_to_lnglat(p["xi"], p["eta"], zone)
+        if per_layer:
+            lng, lat = (F.when(zone == DEGREES, plain).otherwise(series) for plain, series in ((p["x"], lng), (p["y"], lat)))
         return F.concat(F.lit("["), _fixed(lng, digits), F.lit(","), _fixed(lat, digits), F.lit("]"))
 
     geometry = F.concat(F.lit('{"type":"LineString","coordinates":['),

@@ -207,12 +207,16 @@ def select_resources(resources: Sequence[dict], dataset_key: str,
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
-                fmt: str = "parquet") -> None:
-    """Full-refresh materialisation of an asset (S10) on shared storage."""
+                fmt: str = "parquet", table: str | None = None) -> None:
+    """Full-refresh materialisation of an asset (S10) on shared storage; with ``table`` it is also
+    registered in the catalog under that name."""
     w = df.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.save(path)
+    if table:
+        w.option("path", path).saveAsTable(table)
+    else:
+        w.save(path)
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

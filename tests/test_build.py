@@ -173,8 +173,13 @@ def test_year_window_pushed_into_stored_bronze(spark, tmpdir_path):
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         silver.stg_ember_generation(stored).explain("formatted")
-    pushed = [ln for ln in buf.getvalue().splitlines() if ln.startswith("PushedFilters")][0]
-    assert "GreaterThanOrEqual(year,2000)" in pushed and "LessThanOrEqual(year,2030)" in pushed
+    folders = [ln for ln in buf.getvalue().splitlines() if ln.startswith("PartitionFilters")][0]
+    assert "2000" in folders and "2030" in folders
+    pruned = silver.stg_ember_generation(stored, (2021, 2021))
+    assert {r["year"] for r in pruned.collect()} == {2021}
+    # every asset is in the catalog by schema and name
+    assert {"ingestion", "staging", "mart"} <= set(files.list_databases(spark))
+    assert spark.table("mart.renewable_mix").count() == 2 and spark.catalog.tableExists("staging.stg_energy_unified")
 
 
 def test_land_geojson_features_incrementally(spark, tmpdir_path):
@@ -194,3 +199,32 @@ def test_land_geojson_features_incrementally(spark, tmpdir_path):
     assert {r["geometry_wkt"] for r in rows} == {"null", "[257634.5018, 9857079.966]"}
     assert {r["dataset"] for r in rows} == {"transmission_stations"}
     assert [r["properties"]["voltage47"] for r in rows if r["geometry_type"] == "Point"] == ["220"]
+
+
+def test_each_layer_has_its_own_projection(spark, tmpdir_path):
+    """One place as zone 37 south, as zone 36 south and as degrees."""
+    import json as _json
+    wide = _write(os.path.join(tmpdir_path, "w6.csv"), "iso_code,country,year\nKEN,Kenya,2021\n")
+
+    def layer(name, xy):
+        feat = {"type": "Feature", "properties": {"name_ims11": name}, "geometry": {"type": "Point", "coordinates": xy}}
+        line = {"type": "Feature", "properties": {}, "geometry": {"type": "LineString", "coordinates": [xy, xy]}}
+        return _write(os.path.join(tmpdir_path, f"{name}.ndjson"), _json.dumps(feat) + "\n" + _json.dumps(line) + "\n")
+
+    res = [{"dataset": "d", "name": "66kV Network", "id": "a", "format": "NDJSON", "path": layer("z37", [257634.5018, 9857079.966])},
+           {"dataset": "d", "name": "66kV Network", "id": "b", "format": "NDJSON", "path": layer("z37again", [257634.5018, 9857079.966]),
+            "zone": 37},
+           {"dataset": "d", "name": "132kV Network", "id": "c", "format": "NDJSON", "path": layer("north", [257634.5018, 142920.034]),
+            "zone": 37, "south": False},
+           {"dataset": "d", "name": "220kV Network", "id": "d", "format": "NDJSON", "path": layer("deg", [36.8219, -1.2921]), "zone": 0},
+           {"dataset": "d", "name": "220kV Network", "id": "e", "format": "NDJSON", "path": layer("z36", [257634.5018, 9857079.966]),
+            "zone": 36}]
+    paths = build_all(spark, Inputs(_long_csv(tmpdir_path), wide, geo_resources=res), os.path.join(tmpdir_path, "wh6"), RUN)
+    got = {r["station_name"]: (r["lng"], r["lat"]) for r in files.read_table(spark, paths["mart/geo_map_substations"]).collect()}
+    assert got["z37"] == got["z37again"] and got["deg"] == (36.8219, -1.2921)
+    assert got["z37"] == pytest.approx((36.8219, -1.2921), abs=1e-6)
+    assert got["north"] == pytest.approx((36.8219, 1.2921), abs=1e-6)
+    assert got["z36"] == pytest.approx((30.8219, -1.2921), abs=1e-6)
+    lines = files.read_table(spark, paths["mart/geo_map_lines"]).collect()
+    ends = sorted(tuple(json.loads(r["geojson_wgs84"])["coordinates"][0]) for r in lines)
+    assert ends == sorted(got.values())
