@@ -1,16 +1,17 @@
 """Fuzzy line dedup by MinHash, in DataFrame functions only.
 
 A line is compared lower-cased and trimmed.  Its set holds the distinct hashes of its character shingles: up to
-``SHINGLE`` characters from each place where no Latin letter or digit is before (the start of each word; every
+``SHINGLE`` characters from each place where no Western letter or digit is before (the start of each word; every
 character of other scripts).  One permutation gives the signature: the hashes are a sorted list, and coordinate
 ``i`` is the first hash at or after ``i / K`` of the hash range, going round at its end.  Bands of ``ROWS``
-coordinates are posted; ``BANDS`` of them find a pair at similarity 0.75 with a chance of about 0.99, one at 0.85 with 0.9999.
+coordinates are posted; ``BANDS`` of them find a pair at similarity 0.75 with a chance of about 0.99, one at 0.85 with 0.9995.
 
 Lines that are equal have the same key, so a line that a third of all documents repeat is one value after map-side
-combining.  Each bucket with two lines or more links its lines to its smallest key; links are verified by exact
-Jaccard on the full sets and joined into components by contraction (``graph.components``).  Then all pairs of lines of a
-bucket that are in different components are verified, too, so no pair that the bands find is lost, and no group
-makes all its pairs.  Of a component, the line with the smallest (doc_id, line number) stays.
+combining.  Each bucket with two lines or more links its lines to one of them, that which shares most buckets; links are
+verified by exact Jaccard on the full sets and joined into components by contraction (``graph.components``).  The lines
+of buckets that hold several components then meet once more by exact prefixes of their sets (``prefix_join``), and all pairs
+across components that can be similar are verified: no group makes all its pairs.  Of a component, the line with the
+smallest (doc_id, line number) stays.
 
 Keys are 64-bit; of two lines that share one by chance, told apart by a second hash, only one takes part in the links.
 
@@ -26,13 +27,15 @@ from pyspark.sql import functions as F
 
 from gridmart.llm.common import Scratch
 from gridmart.llm.graph import components
+from gridmart.llm.prefix_join import cross_links, open_rows
 
 SHINGLE = 12
-BANDS, ROWS = 10, 3
+BANDS, ROWS = 6, 2
 K = BANDS * ROWS
 THRESHOLD = 75            # percent
 RANGE = 1 << 60
-_STARTS = f"(?s)(?<![a-z0-9])(?=(\\S.{{0,{SHINGLE - 1}}}))"
+_STARTS = f"(?s)(?<![a-z0-9\\u00df-\\u00ff])(?=(\\S.{{0,{SHINGLE - 1}}}))"
+_BLANK = " \t\n\x0b\f\r"
 
 
 def shingle_set(line: Column) -> Column:
@@ -60,7 +63,7 @@ def bands(hashes: str) -> list[tuple[str, Column]]:
 def lines_of(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """``doc_id``, ``line_no`` (from 0), ``norm`` (null for a blank line), ``k1``, ``k2``."""
     lines = docs.select(F.col(doc_id).alias("doc_id"), F.posexplode(F.split(F.coalesce(text, F.lit("")), "\n")).alias("line_no", "line"))
-    norm = F.lower(F.regexp_replace("line", "^\\s+|\\s+$", ""))
+    norm = F.lower(F.btrim("line", F.lit(_BLANK)))
     lines = lines.select("doc_id", "line_no", F.when(norm != "", norm).alias("norm"))
     return lines.select("doc_id", "line_no", "norm", F.when(F.col("norm").isNotNull(), F.xxhash64("norm")).alias("k1"),
                         F.when(F.col("norm").isNotNull(), F.xxhash64(F.lit(1), "norm")).alias("k2"))
@@ -75,44 +78,44 @@ def line_groups(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text:
     signed = scratch.write(signed.select("doc_id", "line_no", "k1", "k2", "bands"), "lines")
 
     posted = signed.filter("bands IS NOT NULL").select("k1", F.explode("bands").alias("band"))
-    buckets = scratch.write(posted.groupBy("band").agg(F.min("k1").alias("hub"), F.max("k1").alias("last"))
-                            .filter("hub < last").select("band", "hub"), "buckets")
+    buckets = scratch.write(posted.groupBy("band").agg(F.min("k1").alias("low"), F.max("k1").alias("high"))
+                            .filter("low < high").select("band"), "buckets")
     members = scratch.write(posted.join(buckets, "band").distinct(), "members")
-    first = scratch.write(members.filter("k1 <> hub").select(F.col("hub").alias("a"), F.col("k1").alias("b")).distinct(), "hub-pairs")
+    # the line that shares most buckets is in the middle of a group, and links most of it
+    shared = members.groupBy("k1").agg(F.count(F.lit(1)).alias("shared"))
+    hubs = members.join(scratch.write(shared, "shared"), "k1").groupBy("band").agg(
+        F.max(F.struct("shared", F.col("k1").alias("hub"))).alias("best"))
+    hubs = scratch.write(hubs.select("band", "best.hub"), "hubs")
+    first = scratch.write(members.join(hubs, "band").filter("k1 <> hub").select(
+        F.least("hub", "k1").alias("a"), F.greatest("hub", "k1").alias("b")).distinct(), "hub-pairs")
+
+    # one line's text for each key that shares a bucket, fetched once: its document finds it by its number
+    nodes = scratch.write(members.select("k1").distinct(), "nodes")
+    places = signed.select("k1", "k2", "doc_id", "line_no").join(nodes, "k1").groupBy("k1").agg(
+        F.min(F.struct("k2", "doc_id", "line_no")).alias("at")).select("k1", "at.doc_id", "at.line_no")
+    places = scratch.write(places, "places").groupBy(F.col("doc_id").alias("_d")).agg(
+        F.collect_list(F.struct("line_no", "k1")).alias("_wanted"))          # lines of one document
+    split = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(
+        places, F.col("_id").eqNullSafe(F.col("_d"))).select("_wanted", F.split("_text", "\n").alias("_lines"))
+    body = F.explode(F.transform("_wanted", lambda w: F.struct(w["k1"].alias("k1"), F.lower(F.btrim(
+        F.element_at("_lines", w["line_no"] + 1), F.lit(_BLANK))).alias("norm"))))
+    found = split.select(body.alias("b")).select("b.k1", "b.norm").filter(F.xxhash64("norm") == F.col("k1"))
+    sets = scratch.write(found.withColumn("set", shingle_set(F.col("norm"))).drop("norm").dropDuplicates(["k1"]), "sets")
 
     def linked(pairs: DataFrame, name: str) -> DataFrame:
-        """The pairs whose sets are similar; a key's text is that of one of its lines."""
-        nodes = pairs.select(F.col("a").alias("k1")).union(pairs.select("b")).distinct()
-        places = signed.select("k1", "k2", "doc_id", "line_no").join(nodes, "k1").groupBy("k1").agg(
-            F.min(F.struct("k2", "doc_id", "line_no")).alias("at"))
-        places = scratch.write(places.select("k1", "at.k2", "at.doc_id", "at.line_no"), f"{name}-places")
-        wanted = places.select("k1", F.col("doc_id").alias("_doc"), "line_no", "k2")
-        source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(
-            wanted.select(F.col("_doc").alias("_d")).distinct(), F.col("doc_id").eqNullSafe(F.col("_d")), "left_semi")
-        bodies = lines_of(source, "doc_id", "text").select("k1", "k2", "norm").join(
-            wanted.select("k1", "k2"), ["k1", "k2"]).groupBy("k1").agg(F.first("norm").alias("norm"))
-        bodies = scratch.write(bodies, f"{name}-bodies")
-        both = pairs.join(bodies.select(F.col("k1").alias("a"), F.col("norm").alias("na")), "a").join(
-            bodies.select(F.col("k1").alias("b"), F.col("norm").alias("nb")), "b")
-        both = both.select("a", "b", shingle_set(F.col("na")).alias("sa"), shingle_set(F.col("nb")).alias("sb"))
+        """The pairs whose sets are similar."""
+        both = pairs.join(sets.select(F.col("k1").alias("a"), F.col("set").alias("sa")), "a").join(
+            sets.select(F.col("k1").alias("b"), F.col("set").alias("sb")), "b")
         both = both.select("a", "b", (F.size("sa") + F.size("sb")).alias("n"), F.size(F.array_intersect("sa", "sb")).alias("common"))
         return scratch.write(both.filter(100 * F.col("common") >= THRESHOLD * (F.col("n") - F.col("common"))).select("a", "b"),
                              f"{name}-links")
 
     links = linked(first, "hub")
-    group = components(links, scratch)
-    grouped = scratch.write(members.join(group.withColumnRenamed("node", "k1"), "k1", "left").select(
-        "band", "k1", F.coalesce("component", "k1").alias("c")), "grouped")
-    open_ = scratch.write(grouped.groupBy("band").agg(F.min("c").alias("low"), F.max("c").alias("high"))
-                          .filter("low < high").select("band"), "open")
-    rest = scratch.write(grouped.join(open_, "band"), "rest")
-    parts = rest.select("band", "c").distinct()
-    crossing = parts.select("band", F.col("c").alias("ca")).join(parts.select("band", F.col("c").alias("cb")), "band").filter("ca < cb")
-    second = crossing.join(rest.select("band", F.col("c").alias("ca"), F.col("k1").alias("a")), ["band", "ca"]).join(
-        rest.select("band", F.col("c").alias("cb"), F.col("k1").alias("b")), ["band", "cb"])
-    second = second.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    second = scratch.write(second.join(first, ["a", "b"], "left_anti"), "cross-pairs")
-    more = linked(second, "cross")
+    group = scratch.write(components(links, scratch), "groups")
+    # the lines of buckets that hold several components meet once more, by their rarest shingles
+    here = open_rows(members.select(F.col("k1").alias("node"), "band"), group, scratch, "band").select("node").distinct()
+    again = sets.select(F.col("k1").alias("node"), F.col("set").alias("items")).join(scratch.write(here, "here"), "node")
+    more = cross_links(again, links, THRESHOLD, scratch, linked)
 
     label = components(links.unionByName(more), scratch)
     # only lines that are repeated or linked need another line's place
@@ -122,11 +125,11 @@ def line_groups(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text:
     classes = scratch.write(classes.select("k1", "k2", F.coalesce("component", "k1").alias("c"), F.col("at.doc_id").alias("doc_id"),
                                            F.col("at.line_no").alias("line_no")), "classes")
     best = scratch.write(classes.groupBy("c").agg(F.min(F.struct("doc_id", "line_no")).alias("best")), "best")
-    places = scratch.write(classes.join(best, "c").select("k1", "k2", "best"), "stay")
+    stay = scratch.write(classes.join(best, "c").select("k1", "k2", "best"), "stay")
     # a blank line or one alone looks nothing up; its key is spread by its place
     found = signed.select("doc_id", "line_no", "k1", "k2").withColumn(
         "_key", F.coalesce("k1", F.xxhash64("doc_id", "line_no")))
-    joined = found.join(places.select(F.col("k1").alias("_key"), F.col("k2").alias("_k2"), "best"), "_key", "left")
+    joined = found.join(stay.select(F.col("k1").alias("_key"), F.col("k2").alias("_k2"), "best"), "_key", "left")
     hit = F.col("k1").isNotNull() & (F.col("k2") == F.col("_k2")) & F.col("best").isNotNull()
     keep_doc = F.when(hit, F.col("best.doc_id")).otherwise(F.col("doc_id"))
     keep_line = F.when(hit, F.col("best.line_no")).otherwise(F.col("line_no"))

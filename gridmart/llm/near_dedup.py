@@ -40,11 +40,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridmart.llm.common import Scratch, small_batches
 from gridmart.llm.graph import components
+from gridmart.llm.prefix_join import cross_links, open_rows, similar_sizes
 
 WORDS = 5
 THRESHOLD = 75            # percent: 100 * intersection >= THRESHOLD * union
@@ -140,25 +141,14 @@ def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def rare_shingles(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """``doc``, ``n``, ``item``, ``rest``: of each set, ordered from the rarest shingle among these documents on, the first ones,
-    one of which two similar sets must share; ``rest`` is how many shingles of the set are left from that one on."""
+def shingle_sets(docs: DataFrame) -> DataFrame:
+    """``node``, ``items``: the sets of documents (``doc_id``, ``text``)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(
-                [s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["doc", "n", "items"])
-
-    sets = docs.select("doc_id", "text").mapInArrow(run, "doc long, n long, items array<long>")
-    items = scratch.write(sets, "sets").select("doc", "n", F.explode("items").alias("item"))
-    shared = items.groupBy("item").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
-    # shingles that one document alone has come first and meet nothing
-    own = Window.partitionBy("doc", "n")
-    listed = items.join(shared, "item").select(
-        "doc", "n", "item", F.row_number().over(own.orderBy("held", "item")).alias("at"), F.count(F.lit(1)).over(own).alias("listed"))
-    # this one is at place n - listed + at of n; the places up to n - ceil(THRESHOLD% of n) + 1 count
-    return listed.withColumn("rest", F.col("listed") - F.col("at") + 1).filter(
-        F.col("rest") >= F.ceil(F.col("n") * THRESHOLD / 100)).select("doc", "n", "item", "rest")
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(
+                [shingles(t).view(np.int64) for t in batch.column(1).to_pylist()], pa.list_(pa.int64()))], ["node", "items"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "node long, items array<long>")
 
 
 def prefix_postings(sigs: DataFrame, k: int, match: int) -> DataFrame:
@@ -193,15 +183,12 @@ def near_groups(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text:
     postings = scratch.write(prefix_postings(reps, K, MATCH), "postings")
     bodies = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
-    def similar_sizes(x: str, y: str):
-        return 100 * F.least(x, y) >= THRESHOLD * F.greatest(x, y)
-
     # the document that shares most of its postings is in the middle of a group, and links most of it
     hubs = scratch.write(postings.groupBy("token", "step").agg(
         F.max(F.struct("shared", (-F.col("doc")).alias("minus"), "n")).alias("hub"), F.count(F.lit(1)).alias("m")).filter("m > 1").select(
         "token", "step", (-F.col("hub.minus")).alias("hub"), F.col("hub.n").alias("hub_n")), "hubs")
     first = scratch.write(postings.join(hubs, ["token", "step"]).filter(
-        (F.col("doc") != F.col("hub")) & similar_sizes("n", "hub_n")).select(
+        (F.col("doc") != F.col("hub")) & similar_sizes("n", "hub_n", THRESHOLD)).select(
         F.least("hub", "doc").alias("a"), F.greatest("hub", "doc").alias("b")).distinct(), "hub-pairs")
     counted = first.join(reps.select(F.col("doc").alias("a"), F.col("sig").alias("sa")), "a").join(
         reps.select(F.col("doc").alias("b"), F.col("sig").alias("sb")), "b")
@@ -209,32 +196,13 @@ def near_groups(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text:
     candidates = scratch.write(counted.filter(same >= MATCH).select("a", "b").distinct(), "candidates")
     links = scratch.write(confirm(candidates, bodies).distinct(), "links")
 
-    group = scratch.write(components(links, scratch).withColumnRenamed("node", "doc"), "groups")
-
-    def in_open_postings(rows: DataFrame, *posting: str) -> DataFrame:
-        """The rows whose posting has documents of more than one component ``c``."""
-        placed = scratch.write(rows.join(group, "doc", "left").withColumn("c", F.coalesce("component", "doc")).drop("component"), "placed")
-        open_ = placed.groupBy(*posting).agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low < high").select(*posting)
-        return placed.join(scratch.write(open_, "open"), list(posting))
-
-    # the documents of such postings once more, by their rarest shingles
-    here = scratch.write(in_open_postings(postings, "token", "step").select(F.col("doc").alias("doc_id")).distinct(), "here")
-    rare = scratch.write(in_open_postings(rare_shingles(bodies.join(here, "doc_id"), scratch), "item"), "rare")
-
-    def possible(rest_x: str, n_x: str, rest_y: str, n_y: str):
-        """Whether sets that first meet with so much left can be similar."""
-        return (100 + THRESHOLD) * F.least(rest_x, rest_y) >= THRESHOLD * (F.col(n_x) + F.col(n_y))
-
-    parts = rare.groupBy("item", "c").agg(F.max("rest").alias("rest"), F.min("n").alias("n"))
-    side = lambda x, frame: frame.select("item", *[F.col(c).alias(c + x) for c in frame.columns if c != "item"])
-    crossing = side("_1", parts).join(side("_2", parts), "item").filter(
-        (F.col("c_1") < F.col("c_2")) & possible("rest_1", "n_1", "rest_2", "n_2")).drop("rest_1", "n_1")
-    crossing = crossing.join(side("_1", rare), ["item", "c_1"]).filter(possible("rest_1", "n_1", "rest_2", "n_2")).drop("rest_2", "n_2")
-    crossing = crossing.join(side("_2", rare), ["item", "c_2"]).filter(
-        possible("rest_1", "n_1", "rest_2", "n_2") & similar_sizes("n_1", "n_2"))
-    second = crossing.select(F.least("doc_1", "doc_2").alias("a"), F.greatest("doc_1", "doc_2").alias("b")).distinct()
-    second = scratch.write(second.join(first, ["a", "b"], "left_anti"), "cross-pairs")
-    more = scratch.write(confirm(second, bodies).distinct(), "cross-links")
+    group = scratch.write(components(links, scratch), "groups")
+    # the documents of postings that hold several components meet once more, by their rarest shingles
+    here = open_rows(postings.select(F.col("doc").alias("node"), "token", "step"), group, scratch, "token", "step")
+    here = scratch.write(here.select(F.col("node").alias("doc_id")).distinct(), "here")
+    sets = scratch.write(shingle_sets(bodies.join(here, "doc_id")), "sets")
+    more = cross_links(sets, links, THRESHOLD, scratch, lambda pairs, name: scratch.write(
+        confirm(pairs, bodies).distinct(), f"{name}-links"))
 
     component = components(copies.unionByName(links).unionByName(more), scratch)
     return rows.select("doc_id", "n_shingles").join(component.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(

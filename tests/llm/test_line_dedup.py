@@ -10,7 +10,7 @@ SPACE = " \t\n\x0b\f\r"
 
 def shingle_set(norm):
     return {norm[i: i + SHINGLE] for i in range(len(norm))
-            if norm[i] not in SPACE and not (i and re.match("[a-z0-9]", norm[i - 1]))}
+            if norm[i] not in SPACE and not (i and re.match("[a-z0-9\u00df-\u00ff]", norm[i - 1]))}
 
 
 def brute(rows):
