@@ -40,7 +40,6 @@ STEP_TOKENS = 300_000     # that one forward and backward pass handles at once;
 BATCH_CHARS = 16_000_000
 PRIOR = 50.0              # weight of the overall class shares in a state's
 SMOOTH = 0.1              # of the base model
-CACHED_WORDS = 200_000
 END = b""                 # no word is empty
 
 
@@ -60,17 +59,6 @@ class Model:
     emit: np.ndarray        # classes and the end x states
 
 
-class _Classes(dict):
-    def __missing__(self, word: bytes) -> int:
-        value = word_hash(word) % CLASSES
-        if len(self) < CACHED_WORDS and len(word) <= 32:
-            self[word] = value
-        return value
-
-
-_classes = _Classes()
-
-
 def by_time(seqs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Sequences, longest first, laid out by time: order, symbols, start of each time, rows active at each time."""
     lengths = np.array([len(s) for s in seqs])
@@ -101,29 +89,37 @@ def log_likelihood(seqs: list[np.ndarray], model: Model) -> np.ndarray:
 
 
 def expected_counts(seqs: list[np.ndarray], model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Expected starts, moves and emissions of the states over these sequences."""
+    """Expected starts, moves and emissions of the states over these sequences, in the model's own precision."""
     _, symbols, begin, active = by_time(seqs)
     n_all, states = len(symbols), len(model.start)
-    alpha, scale = np.empty((n_all, states)), np.empty(n_all)
-    seen = model.emit[symbols]
+    steps = list(zip(begin.tolist(), active.tolist(), strict=True))
+    seen = model.emit.take(symbols, axis=0)
+    alpha, scale = np.empty_like(seen), np.empty((n_all, 1), seen.dtype)
     last = None
-    for at, n in zip(begin.tolist(), active.tolist(), strict=True):
-        now = seen[at: at + n] * (model.start if last is None else last[:n] @ model.move)
-        sums = now.sum(axis=1)
-        last = now / sums[:, None]
-        alpha[at: at + n], scale[at: at + n] = last, sums
-    beta = np.ones((n_all, states))
-    seen /= scale[:, None]
-    back = model.move.T
-    for t in range(len(begin) - 2, -1, -1):
-        at, nxt, n = begin[t], begin[t + 1], active[t + 1]
-        beta[at: at + n] = (seen[nxt: nxt + n] * beta[nxt: nxt + n]) @ back
-    gamma = alpha * beta
+    for at, n in steps:
+        now = alpha[at: at + n]
+        if last is None:
+            np.multiply(seen[at: at + n], model.start, out=now)
+        else:
+            np.matmul(last[:n], model.move, out=now)
+            now *= seen[at: at + n]
+        now.sum(axis=1, keepdims=True, out=scale[at: at + n])
+        now /= scale[at: at + n]
+        last = now
+    seen /= scale
+    # seen becomes what the backward recursion sends back from each place: emission, scale and beta together
+    gamma, back = alpha.copy(), np.ascontiguousarray(model.move.T)
+    for t in range(len(steps) - 2, -1, -1):
+        (at, _), (nxt, n) = steps[t], steps[t + 1]
+        beta = seen[nxt: nxt + n] @ back
+        gamma[at: at + n] *= beta
+        seen[at: at + n] *= beta
     rest = np.arange(begin[1], n_all) if len(begin) > 1 else np.arange(0)
     before = rest - np.repeat(active[:-1], active[1:])
-    moves = model.move * (alpha[before].T @ (seen[rest] * beta[rest]))
-    emitted = np.stack([np.bincount(symbols, weights=gamma[:, j], minlength=len(model.emit)) for j in range(states)], axis=1)
-    return gamma[: active[0]].sum(axis=0), moves, emitted
+    moves = model.move * (alpha.take(before, axis=0).T @ seen[begin[1]:] if len(begin) > 1 else 0.0)
+    weights = np.ascontiguousarray(gamma.T)
+    emitted = np.stack([np.bincount(symbols, weights=w, minlength=len(model.emit)) for w in weights], axis=1)
+    return gamma[: active[0]].sum(axis=0, dtype=np.float64), moves.astype(np.float64), emitted
 
 
 def estimate(start: np.ndarray, moves: np.ndarray, emitted: np.ndarray) -> Model:
@@ -144,6 +140,7 @@ def baum_welch_round(texts: DataFrame, model: Model) -> Model:
     """One round over ``texts`` (``text``): expected counts of each task, added up by Spark."""
     states = len(model.start)
     names = [f"s{j}" for j in range(states)]
+    model = Model(*[x.astype(np.float32) for x in (model.start, model.move, model.emit)])   # counts add up in double
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start, moves, emitted = np.zeros(states), np.zeros((states, states)), np.zeros(model.emit.shape)
@@ -157,11 +154,11 @@ def baum_welch_round(texts: DataFrame, model: Model) -> Model:
             seqs, held = [], 0
 
         for batch in batches:
-            for body in batch.column(0):
-                words = words_of(body.as_py())
-                ids = np.empty(len(words) + 1, np.int32)
-                ids[:-1] = np.fromiter(map(_classes.__getitem__, words), np.int32, len(words))
-                ids[-1] = CLASSES
+            words, texts = indexed(batch.column(0).to_pylist())
+            k = (np.fromiter(map(word_hash, words), np.uint64, len(words)) % CLASSES).astype(np.int32)
+            k[0] = CLASSES
+            for x in texts:
+                ids = k[x]
                 for i in range(0, len(ids), SEGMENT):
                     seqs.append(ids[i: i + SEGMENT])
                     held += len(seqs[-1])
