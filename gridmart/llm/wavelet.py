@@ -1,10 +1,10 @@
 """Token ids in compressed shard files that answer queries: one wavelet matrix per shard.
 
-File format (little-endian): magic ``GWM1``; documents, tokens, levels (uint64 each); then the
-documents' ids with a null mask, their token counts, the zeros of each level (zstd frames with
-a uint64 length in front), and each level's bit-plane, one zstd frame each.  Level ``l`` holds
-bit ``levels-1-l`` of the tokens, in the order that a stable partition by the bits above
-gives.  On opening, counts of ones before each 64-bit word make rank a lookup and a
+File format (little-endian): magic ``GWM2``; documents, tokens, levels (uint64 each); then the
+documents' ids with a null mask, their token counts, the shard's distinct token ids in order, the zeros of
+each level (zstd frames with a uint64 length in front), and each level's bit-plane, one zstd frame each.
+A token's code is its place among the distinct ids.  Level ``l`` holds bit ``levels-1-l`` of the codes, in
+the order that a stable partition by the bits above gives.  On opening, counts of ones before each 64-bit word make rank a lookup and a
 popcount, and select a binary search; with those, ``access``, ``rank``, ``select`` and
 ``count`` read single tokens and occurrences without decoding the shard.
 
@@ -35,21 +35,29 @@ from pyspark.sql import functions as F
 from gridmart.llm.common import Scratch, small_batches
 from gridmart.llm.tokens import encoder
 
-MAGIC = b"GWM1"
-SHARD_TOKENS = 1 << 20
+MAGIC = b"GWM2"
+SHARD_TOKENS = 1 << 18    # so that a shard is built and decoded in a core's own cache
 WORD = 64
+DENSE = 1 << 20           # below this, distinct ids are found by counting
 
 
 class WaveletMatrix:
-    def __init__(self, planes: list[np.ndarray], zeros: list[int], n: int):
-        """``planes``: bits of each level, packed (first bit highest) and padded to whole 64-bit words."""
-        self.planes, self.zeros, self.n = planes, zeros, n
+    def __init__(self, planes: list[np.ndarray], zeros: list[int], n: int, symbols: np.ndarray):
+        """``planes``: bits of each level, packed (first bit highest) and padded to whole 64-bit words;
+        ``symbols``: the distinct tokens in order, whose places are the codes."""
+        self.planes, self.zeros, self.n, self.symbols = planes, zeros, n, symbols
         self._before: list[np.ndarray | None] = [None] * len(planes)
 
     @classmethod
     def build(cls, ids: np.ndarray) -> WaveletMatrix:
-        levels = max(1, int(ids.max()).bit_length()) if len(ids) else 1
-        now = ids.astype(np.uint16 if levels <= 16 else np.uint32)
+        if len(ids) and ids.max() < DENSE:
+            held = np.bincount(ids, minlength=1) > 0
+            symbols = np.flatnonzero(held).astype(np.uint32)
+            now = (np.cumsum(held) - 1).astype(np.uint32).take(ids)
+        else:
+            symbols, now = np.unique(ids, return_inverse=True)
+        levels = max(1, (len(symbols) - 1).bit_length())
+        now = now.astype(np.uint16 if levels <= 16 else np.uint32)
         planes, zeros = [], []
         for level in range(levels):
             bits = (now & now.dtype.type(1 << (levels - 1 - level))) != 0
@@ -58,7 +66,7 @@ class WaveletMatrix:
             low = now.compress(~bits)
             zeros.append(len(low))
             now = np.concatenate([low, now.compress(bits)])
-        return cls(planes, zeros, len(ids))
+        return cls(planes, zeros, len(ids), symbols.astype(np.uint32))
 
     def decode(self) -> np.ndarray:
         """All tokens, undoing the levels from the last to the first."""
@@ -70,7 +78,7 @@ class WaveletMatrix:
             up[np.flatnonzero(~bits)] = now[: self.zeros[level]]
             up[np.flatnonzero(bits)] = now[self.zeros[level]:] | now.dtype.type(1 << (levels - 1 - level))
             now = up
-        return now.astype(np.uint32)
+        return self.symbols.take(now) if self.n else now.astype(np.uint32)
 
     def _rank1(self, level: int, i: int) -> int:
         """Ones among the first ``i`` bits of a level."""
@@ -93,19 +101,24 @@ class WaveletMatrix:
         for level in range(len(self.planes)):
             bit, ones = self._bit(level, i), self._rank1(level, i)
             value, i = value << 1 | bit, self.zeros[level] + ones if bit else i - ones
-        return value
+        return int(self.symbols[value])
 
     def rank(self, token: int, i: int) -> int:
         """Occurrences of ``token`` among the first ``i`` tokens."""
-        begin, end = self._range(token, i)
+        code = self._code(token)
+        if code is None:
+            return 0
+        begin, end = self._range(code, i)
         return end - begin
 
+    def _code(self, token: int) -> int | None:
+        at = int(np.searchsorted(self.symbols, token))
+        return at if at < len(self.symbols) and self.symbols[at] == token else None
+
     def count(self, token: int) -> int:
         return self.rank(token, self.n)
 
     def _range(self, token: int, i: int) -> tuple[int, int]:
-        if token < 0 or token >> len(self.planes):
-            return 0, 0
         begin, end = 0, i
         for level in range(len(self.planes)):
             a, b = self._rank1(level, begin), self._rank1(level, end)
@@ -117,6 +130,9 @@ class WaveletMatrix:
 
     def select(self, token: int, k: int) -> int:
         """Place of the ``k``-th occurrence (from 0) of ``token``; -1 when there are fewer."""
+        token = self._code(token)
+        if token is None:
+            return -1
         begin, end = self._range(token, self.n)
         if not 0 <= k < end - begin:
             return -1
@@ -149,7 +165,7 @@ def write_shard(doc_ids: list[int | None], blobs: list[bytes]) -> bytes:
     matrix = WaveletMatrix.build(np.frombuffer(b"".join(blobs), dtype="<u4"))
     known = np.array([d is not None for d in doc_ids], dtype=np.uint8)
     ids = np.array([d or 0 for d in doc_ids], dtype="<i8")
-    frames = [pack(x.tobytes()) for x in (ids, known, lengths, np.array(matrix.zeros, dtype="<u8"), *matrix.planes)]
+    frames = [pack(x.tobytes()) for x in (ids, known, lengths, matrix.symbols.astype("<u4"), np.array(matrix.zeros, dtype="<u8"), *matrix.planes)]
     head = np.array([len(doc_ids), matrix.n, len(matrix.planes)], dtype="<u8").tobytes()
     return MAGIC + head + b"".join(len(f).to_bytes(8, "little") + f for f in frames)
 
@@ -160,12 +176,13 @@ def open_shard(data: bytes) -> tuple[list[int | None], np.ndarray, WaveletMatrix
         raise ValueError("not a shard file")
     docs, n, levels = (int(x) for x in np.frombuffer(data, "<u8", 3, 4))
     unpack, at, parts = zstandard.ZstdDecompressor().decompress, 28, []
-    for _ in range(4 + levels):
+    for _ in range(5 + levels):
         size = int.from_bytes(data[at: at + 8], "little")
         parts.append(unpack(data[at + 8: at + 8 + size]))
         at += 8 + size
     ids, known = np.frombuffer(parts[0], "<i8").tolist(), np.frombuffer(parts[1], np.uint8)
-    matrix = WaveletMatrix([np.frombuffer(p, np.uint8) for p in parts[4:]], np.frombuffer(parts[3], "<u8").tolist(), n)
+    matrix = WaveletMatrix([np.frombuffer(p, np.uint8) for p in parts[5:]], np.frombuffer(parts[4], "<u8").tolist(), n,
+                           np.frombuffer(parts[3], "<u4"))
     return [d if k else None for d, k in zip(ids, known, strict=True)], np.frombuffer(parts[2], "<u8"), matrix
 
 
