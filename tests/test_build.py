@@ -179,7 +179,7 @@ def test_year_window_pushed_into_stored_bronze(spark, tmpdir_path):
     assert {r["year"] for r in pruned.collect()} == {2021}
     # every asset is in the catalog by schema and name
     assert {"ingestion", "staging", "mart"} <= set(files.list_databases(spark))
-    assert spark.table("mart.renewable_mix").count() == 2 and spark.catalog.tableExists("staging.stg_energy_unified")
+    assert spark.table("mart.renewable_mix").count() == 3 and spark.catalog.tableExists("staging.stg_energy_unified")
 
 
 def test_land_geojson_features_incrementally(spark, tmpdir_path):
