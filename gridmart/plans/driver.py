@@ -225,9 +225,9 @@ QUERIES = {
     "by_resource": _q(lambda p: serving.by_resource(p.geo_infrastructure)),
     "substations": _q(lambda p: serving.geo_map_substations_source(
         geo.geo_map_substations_view(geo.geo_map_substations(
-            p.raw_geo, located_only=True, order=serving.SUBSTATION_ORDER), located=True))),
+            p.raw_geo, located_only=True, order=serving.SUBSTATION_ORDER), located=True), ordered=True)),
     "substation_table": _q(lambda p: serving.substation_table(
-        geo.geo_map_substations(p.raw_geo, order=serving.SUBSTATION_TABLE_ORDER))),
+        geo.geo_map_substations(p.raw_geo, order=serving.SUBSTATION_TABLE_ORDER), ordered=True)),
     "lines": _q(lambda p: p.lines),
     "layer_counts": _q(lambda p: geo.layer_counts(p.lines, p.located_substations, located=True)),
     "geojson_features": _q(lambda p: geo.geo_features(p.lines, p.located_substations, PROXY_DIGITS, located=True)),

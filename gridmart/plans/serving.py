@@ -41,8 +41,17 @@ SUBSTATION_ORDER = ("station_name",)                             # Q6
 SUBSTATION_TABLE_ORDER = ("county", "station_name")              # Q28
 
 
-def geo_map_substations_source(view: DataFrame) -> DataFrame:    # Q6 (view built by geo.G5 over stations
-    return view                                                  # in SUBSTATION_ORDER; projections keep it)
+def _in_order(df: DataFrame, names, ordered: bool) -> DataFrame:
+    """Served order, NULLs last, the other columns breaking ties; ``ordered``: the stations were sorted before the
+    grid series ran (``geo_map_substations(order=...)``), and projections kept that order."""
+    if ordered:
+        return df
+    rest = [c for c in df.columns if c not in names]
+    return df.orderBy(*[F.col(c).asc_nulls_last() for c in (*names, *rest)])
+
+
+def geo_map_substations_source(view: DataFrame, ordered: bool = False) -> DataFrame:    # Q6 (view built by geo.G5)
+    return _in_order(view, SUBSTATION_ORDER, ordered)
 
 
 # --- Q7-Q11: overview page --------------------------------------------------
@@ -158,9 +167,10 @@ def geo_totals(geo: DataFrame) -> DataFrame:                       # Q27 / A10
                    F.sum("feature_count").cast("bigint").alias("total_features"))
 
 
-def substation_table(subst: DataFrame) -> DataFrame:               # Q28 (stations in SUBSTATION_TABLE_ORDER)
-    return (subst.select("station_name", "county", "owner", "manned",
-                         R("lat", 4).alias("latitude"), R("lng", 4).alias("longitude")))
+def substation_table(subst: DataFrame, ordered: bool = False) -> DataFrame:               # Q28
+    table = subst.select("station_name", "county", "owner", "manned",
+                         R("lat", 4).alias("latitude"), R("lng", 4).alias("longitude"))
+    return _in_order(table, SUBSTATION_TABLE_ORDER, ordered)
 
 
 def by_dataset(geo: DataFrame) -> DataFrame:                       # Q29 / A11
