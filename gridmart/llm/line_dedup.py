@@ -89,10 +89,12 @@ def line_groups(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text:
     first = scratch.write(members.join(hubs, "band").filter("k1 <> hub").select(
         F.least("hub", "k1").alias("a"), F.greatest("hub", "k1").alias("b")).distinct(), "hub-pairs")
 
+    # each key's first line, and how many lines have it: combined map-side, so a very common line is a row for each task
+    keys = scratch.write(signed.filter("k1 IS NOT NULL").groupBy("k1").agg(
+        F.min(F.struct("k2", "doc_id", "line_no")).alias("at"), F.count(F.lit(1)).alias("n")), "keys")
     # one line's text for each key that shares a bucket, fetched once: its document finds it by its number
     nodes = scratch.write(members.select("k1").distinct(), "nodes")
-    places = signed.select("k1", "k2", "doc_id", "line_no").join(nodes, "k1").groupBy("k1").agg(
-        F.min(F.struct("k2", "doc_id", "line_no")).alias("at")).select("k1", "at.doc_id", "at.line_no")
+    places = keys.join(nodes, "k1").select("k1", "at.doc_id", "at.line_no")
     places = scratch.write(places, "places").groupBy(F.col("doc_id").alias("_d")).agg(
         F.collect_list(F.struct("line_no", "k1")).alias("_wanted"))          # lines of one document
     split = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(
@@ -119,9 +121,7 @@ def line_groups(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text:
 
     label = components(links.unionByName(more), scratch)
     # only lines that are repeated or linked need another line's place
-    classes = signed.filter("k1 IS NOT NULL").groupBy("k1").agg(
-        F.min("k2").alias("k2"), F.min(F.struct("k2", "doc_id", "line_no")).alias("at"), F.count(F.lit(1)).alias("n"))
-    classes = classes.join(label.withColumnRenamed("node", "k1"), "k1", "left").filter("n > 1 OR component IS NOT NULL")
+    classes = keys.withColumn("k2", F.col("at.k2")).join(label.withColumnRenamed("node", "k1"), "k1", "left").filter("n > 1 OR component IS NOT NULL")
     classes = scratch.write(classes.select("k1", "k2", F.coalesce("component", "k1").alias("c"), F.col("at.doc_id").alias("doc_id"),
                                            F.col("at.line_no").alias("line_no")), "classes")
     best = scratch.write(classes.groupBy("c").agg(F.min(F.struct("doc_id", "line_no")).alias("best")), "best")
