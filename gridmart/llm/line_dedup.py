@@ -1,8 +1,7 @@
 """Fuzzy line dedup by MinHash, in DataFrame functions only.
 
-A line is compared lower-cased and trimmed.  Its set holds the distinct hashes of its character shingles: up to
-``SHINGLE`` characters from each place where no Western letter or digit is before (the start of each word; every
-character of other scripts).  One permutation gives the signature: the hashes are a sorted list, and coordinate
+A line is compared lower-cased and trimmed.  Its set holds the distinct hashes of its character shingles: ``SHINGLE``
+characters from each place, so every character counts; a shorter line is one shingle.  One permutation gives the signature: the hashes are a sorted list, and coordinate
 ``i`` is the first hash at or after ``i / K`` of the hash range, going round at its end.  Bands of ``ROWS``
 coordinates are posted; ``BANDS`` of them find a pair at similarity 0.75 with a chance of about 0.99, one at 0.85 with 0.9995.
 
@@ -29,18 +28,19 @@ from gridmart.llm.common import Scratch
 from gridmart.llm.graph import components
 from gridmart.llm.prefix_join import cross_links, open_rows
 
-SHINGLE = 12
+SHINGLE = 5
 BANDS, ROWS = 6, 2
 K = BANDS * ROWS
 THRESHOLD = 75            # percent
 RANGE = 1 << 60
-_STARTS = f"(?s)(?<![a-z0-9\\u00df-\\u00ff])(?=(\\S.{{0,{SHINGLE - 1}}}))"
+# one match a character (not a UTF-16 unit), which looks ahead; linear in a line's length
+_SHINGLES = f"(?s)(?=(.{{{SHINGLE}}}|\\A.{{1,{SHINGLE - 1}}}\\z))."
 _BLANK = " \t\n\x0b\f\r"
 
 
 def shingle_set(line: Column) -> Column:
     """Sorted distinct shingle hashes of a normalised line, below ``RANGE``."""
-    found = F.regexp_extract_all(line, F.lit(_STARTS), F.lit(1))
+    found = F.regexp_extract_all(line, F.lit(_SHINGLES), F.lit(1))
     return F.sort_array(F.array_distinct(F.transform(found, lambda s: F.xxhash64(s).bitwiseAND(F.lit(RANGE - 1)))))
 
 
