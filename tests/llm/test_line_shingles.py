@@ -48,3 +48,13 @@ def test_one_changed_letter_of_short_lines(spark, scratch):
     got, want = got_of(line_groups(frame(spark, rows), scratch)), brute(rows)
     assert sum(a != b for a, b in want) > 100
     assert got == want
+
+
+def test_long_unbroken_lines_with_a_common_head(spark, scratch):
+    r = random.Random(5)
+    lines = ["20240101120000123456", "20240101120099887766", "iVBORw0KGgo" + "A" * 9 + "SUhEUgAAAB4", "iVBORw0KGgoxk92mPq0LrT7uYhZ", "ivborw0kggoQwErTyUiOp1234567890"]
+    lines += ["ivborw0kggoa" + "".join(r.choice("abcdefghijklmnop0123456789") for _ in range(80)) for _ in range(20)]
+    lines.append(lines[-1][:50] + "#" + lines[-1][51:])             # one letter changed: a duplicate
+    rows = [(i, x, None, "s") for i, x in enumerate(lines)]
+    got = got_of(line_groups(frame(spark, rows), scratch))
+    assert got == brute(rows) and sum(a != b for a, b in got) == 1
