@@ -3,14 +3,15 @@
 A line is compared lower-cased and trimmed.  Its set holds the distinct hashes of its character shingles: ``SHINGLE``
 characters from each place, so every character counts; a shorter line is one shingle.  One permutation gives the signature: the hashes are a sorted list, and coordinate
 ``i`` is the first hash at or after ``i / K`` of the hash range, going round at its end.  Bands of ``ROWS``
-coordinates are posted; ``BANDS`` of them find a pair at similarity 0.75 with a chance of about 0.99, one at 0.85 with 0.9995.
+coordinates are posted; a pair at similarity 0.75 shares none of ``BANDS`` bands with a chance below 1e-4, one at 0.85 below 1e-7.
 
 Lines that are equal have the same key, so a line that a third of all documents repeat is one value after map-side
-combining.  Each bucket with two lines or more links its lines to one of them, that which shares most buckets; links are
-verified by exact Jaccard on the full sets and joined into components by contraction (``graph.components``).  The lines
-of buckets that hold several components then meet once more by exact prefixes of their sets (``prefix_join``), and all pairs
-across components that can be similar are verified: no group makes all its pairs.  Of a component, the line with the
-smallest (doc_id, line number) stays.
+combining.  Each bucket with two lines or more links its lines to a few of them: that which shares most buckets, and some
+picked by a hash; links are verified by exact Jaccard on the full sets and joined into components by contraction
+(``graph.components``).  Then all pairs of a bucket that are in different components still are verified, too, so no pair that
+the bands find is lost, and no group that is linked makes its pairs.  Before a text is fetched, larger sets are compared by a
+sketch, one bit of each coordinate: at similarity 0.75 an eighth of the bits differ, and ``DIFFER`` of ``K`` is more than four deviations off.
+Of a component, the line with the smallest (doc_id, line number) stays.
 
 Keys are 64-bit; of two lines that share one by chance, told apart by a second hash, only one takes part in the links.
 
@@ -26,38 +27,51 @@ from pyspark.sql import functions as F
 
 from gridmart.llm.common import Scratch
 from gridmart.llm.graph import components
-from gridmart.llm.prefix_join import cross_links, open_rows
+from gridmart.llm.prefix_join import open_rows
 
 SHINGLE = 5
-BANDS, ROWS = 6, 2
+BANDS, ROWS = 25, 4
 K = BANDS * ROWS
 THRESHOLD = 75            # percent
 RANGE = 1 << 60
+SKETCHED, DIFFER = 100, 32      # sets of this size or more are compared by sketches, and differ in at most so many bits
+PICKED = 2                # lines of a bucket that all others are compared with, besides the one in the middle
 # one match a character (not a UTF-16 unit), which looks ahead; linear in a line's length
 _SHINGLES = f"(?s)(?=(.{{{SHINGLE}}}|\\A.{{1,{SHINGLE - 1}}}\\z))."
 _BLANK = " \t\n\x0b\f\r"
 
 
 def shingle_set(line: Column) -> Column:
-    """Sorted distinct shingle hashes of a normalised line, below ``RANGE``."""
+    """Sorted distinct shingle hashes of a normalised line, below ``RANGE``; odd."""
     found = F.regexp_extract_all(line, F.lit(_SHINGLES), F.lit(1))
-    return F.sort_array(F.array_distinct(F.transform(found, lambda s: F.xxhash64(s).bitwiseAND(F.lit(RANGE - 1)))))
+    return F.sort_array(F.array_distinct(F.transform(found, lambda s: F.xxhash64(s).bitwiseAND(F.lit(RANGE - 1)).bitwiseOR(F.lit(1)))))
 
 
 def bands(hashes: str) -> list[tuple[str, Column]]:
-    """Steps (column, expression) from a set's sorted hashes to its band keys."""
-    marks = F.array(*[F.lit(i * (RANGE // K)) for i in range(K)])
+    """Steps (column, expression) from a set's sorted hashes to its band keys and its sketch."""
+    marks = F.array(*[F.lit(i * (RANGE // K) & ~1) for i in range(K)])       # even, so no hash
     merged = F.sort_array(F.concat(hashes, marks))
+    places = F.filter(F.transform("_merged", lambda x, i: F.when(x.bitwiseAND(F.lit(1)) == 0, i)), lambda at: at.isNotNull())
 
-    def coordinate(mark: Column, i: Column) -> Column:
-        at = F.array_position(F.col("_merged"), mark).cast("int") - i      # place of the first hash at or after the mark
-        return F.element_at(hashes, F.when(at > F.size(hashes), 1).otherwise(at))
+    def coordinate(at: Column, i: Column) -> Column:
+        return F.get(hashes, F.when(at - i >= F.size(hashes), 0).otherwise(at - i))      # the first hash at or after the mark
 
     def band(j: Column) -> Column:
-        return F.xxhash64(j, *[F.element_at("_signature", j * ROWS + r + 1) for r in range(ROWS)])
+        return F.xxhash64(j, *[F.get("_signature", j * ROWS + r) for r in range(ROWS)]).bitwiseAND(F.lit((1 << 40) - 1))
 
-    return [("_merged", merged), ("_signature", F.transform(marks, coordinate)),
-            ("bands", F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), band))]
+    def sketch(part: int) -> Column:
+        bits = F.aggregate(F.slice("_signature", part * (K // 2) + 1, K // 2), F.lit(0).cast("long"),
+                           lambda acc, x: F.shiftleft(acc, 1).bitwiseOR(F.shiftright(x, 1).bitwiseAND(F.lit(1))))
+        return F.when(F.size(hashes) >= SKETCHED, bits)
+
+    return [("_merged", merged), ("_places", places), ("_signature", F.transform("_places", coordinate)),
+            ("bands", F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), band)), ("s1", sketch(0)), ("s2", sketch(1))]
+
+
+def alike(x: str, y: str) -> Column:
+    """Whether the sketches of two sets can be those of similar sets; a small set has none, and can."""
+    differ = sum(F.bit_count(F.col(f"{x}.{c}").bitwiseXOR(F.col(f"{y}.{c}"))) for c in ("s1", "s2"))
+    return F.coalesce(differ <= DIFFER, F.lit(True))
 
 
 def lines_of(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -75,49 +89,55 @@ def line_groups(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text:
     signed = lines.withColumn("_set", shingle_set(F.col("norm")))
     for name, step in bands("_set"):
         signed = signed.withColumn(name, F.when(F.size("_set") > 0, step))
-    signed = scratch.write(signed.select("doc_id", "line_no", "k1", "k2", "bands"), "lines")
+    signed = scratch.write(signed.select("doc_id", "line_no", "k1", "k2", "bands", "s1", "s2"), "lines")
 
     posted = signed.filter("bands IS NOT NULL").select("k1", F.explode("bands").alias("band"))
-    buckets = scratch.write(posted.groupBy("band").agg(F.min("k1").alias("low"), F.max("k1").alias("high"))
+    half = F.shiftright("k1", 32)             # tells the keys of a bucket apart
+    buckets = scratch.write(posted.groupBy("band").agg(F.min(half).alias("low"), F.max(half).alias("high"))
                             .filter("low < high").select("band"), "buckets")
     members = scratch.write(posted.join(buckets, "band").distinct(), "members")
-    # the line that shares most buckets is in the middle of a group, and links most of it
-    shared = members.groupBy("k1").agg(F.count(F.lit(1)).alias("shared"))
-    hubs = members.join(scratch.write(shared, "shared"), "k1").groupBy("band").agg(
-        F.max(F.struct("shared", F.col("k1").alias("hub"))).alias("best"))
-    hubs = scratch.write(hubs.select("band", "best.hub"), "hubs")
-    first = scratch.write(members.join(hubs, "band").filter("k1 <> hub").select(
-        F.least("hub", "k1").alias("a"), F.greatest("hub", "k1").alias("b")).distinct(), "hub-pairs")
-
     # each key's first line, and how many lines have it: combined map-side, so a very common line is a row for each task
     keys = scratch.write(signed.filter("k1 IS NOT NULL").groupBy("k1").agg(
-        F.min(F.struct("k2", "doc_id", "line_no")).alias("at"), F.count(F.lit(1)).alias("n")), "keys")
-    # one line's text for each key that shares a bucket, fetched once: its document finds it by its number
-    nodes = scratch.write(members.select("k1").distinct(), "nodes")
-    places = keys.join(nodes, "k1").select("k1", "at.doc_id", "at.line_no")
-    places = scratch.write(places, "places").groupBy(F.col("doc_id").alias("_d")).agg(
-        F.collect_list(F.struct("line_no", "k1")).alias("_wanted"))          # lines of one document
-    split = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(
-        places, F.col("_id").eqNullSafe(F.col("_d"))).select("_wanted", F.split("_text", "\n").alias("_lines"))
-    body = F.explode(F.transform("_wanted", lambda w: F.struct(w["k1"].alias("k1"), F.lower(F.btrim(
-        F.element_at("_lines", w["line_no"] + 1), F.lit(_BLANK))).alias("norm"))))
-    found = split.select(body.alias("b")).select("b.k1", "b.norm").filter(F.xxhash64("norm") == F.col("k1"))
-    sets = scratch.write(found.withColumn("set", shingle_set(F.col("norm"))).drop("norm").dropDuplicates(["k1"]), "sets")
+        F.min(F.struct("k2", "doc_id", "line_no", "s1", "s2")).alias("at"), F.count(F.lit(1)).alias("n")), "keys")
+    # the line that shares most buckets is in the middle of a group, and links most of it
+    shared = scratch.write(members.groupBy("k1").agg(F.count(F.lit(1)).alias("shared")), "shared")
+    marked = members.join(keys.join(shared, "k1").select("k1", "shared", "at.s1", "at.s2"), "k1")
+    marked = scratch.write(marked.select("band", "shared", F.struct("k1", "s1", "s2").alias("x")), "marked")
+    picks = [F.col("shared"), *[F.xxhash64("x.k1", F.lit(i)) for i in range(PICKED)]]
+    hubs = marked.groupBy("band").agg(*[F.max(F.struct(p.alias("by"), "x")).alias(f"h{i}") for i, p in enumerate(picks)])
+    hubs = scratch.write(hubs.select("band", F.array_distinct(F.array(*[f"h{i}.x" for i in range(len(picks))])).alias("hubs")), "hubs")
+
+    def ordered(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.least("x.k1", "y.k1").alias("a"), F.greatest("x.k1", "y.k1").alias("b")).distinct()
+
+    first = marked.join(hubs, "band").select("x", F.explode("hubs").alias("y")).filter("x.k1 <> y.k1").filter(alike("x", "y"))
+    first = scratch.write(ordered(first), "hub-pairs")
 
     def linked(pairs: DataFrame, name: str) -> DataFrame:
-        """The pairs whose sets are similar."""
-        both = pairs.join(sets.select(F.col("k1").alias("a"), F.col("set").alias("sa")), "a").join(
-            sets.select(F.col("k1").alias("b"), F.col("set").alias("sb")), "b")
+        """The pairs whose sets are similar; a line's text is fetched once: its document finds it by its number."""
+        nodes = pairs.select(F.col("a").alias("k1")).union(pairs.select("b")).distinct()
+        places = keys.join(nodes, "k1").select("k1", "at.doc_id", "at.line_no")
+        places = scratch.write(places, f"{name}-places").groupBy(F.col("doc_id").alias("_d")).agg(
+            F.collect_list(F.struct("line_no", "k1")).alias("_wanted"))          # lines of one document
+        split = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(
+            places, F.col("_id").eqNullSafe(F.col("_d"))).select("_wanted", F.split("_text", "\n").alias("_lines"))
+        body = F.explode(F.transform("_wanted", lambda w: F.struct(w["k1"].alias("k1"), F.lower(F.btrim(
+            F.element_at("_lines", w["line_no"] + 1), F.lit(_BLANK))).alias("norm"))))
+        found = split.select(body.alias("b")).select("b.k1", "b.norm").filter(F.xxhash64("norm") == F.col("k1"))
+        norms = scratch.write(found.dropDuplicates(["k1"]), f"{name}-norms")
+        both = pairs.join(norms.select(F.col("k1").alias("a"), F.col("norm").alias("na")), "a").join(
+            norms.select(F.col("k1").alias("b"), F.col("norm").alias("nb")), "b")
+        both = both.select("a", "b", shingle_set(F.col("na")).alias("sa"), shingle_set(F.col("nb")).alias("sb"))
         both = both.select("a", "b", (F.size("sa") + F.size("sb")).alias("n"), F.size(F.array_intersect("sa", "sb")).alias("common"))
         return scratch.write(both.filter(100 * F.col("common") >= THRESHOLD * (F.col("n") - F.col("common"))).select("a", "b"),
                              f"{name}-links")
 
     links = linked(first, "hub")
     group = scratch.write(components(links, scratch), "groups")
-    # the lines of buckets that hold several components meet once more, by their rarest shingles
-    here = open_rows(members.select(F.col("k1").alias("node"), "band"), group, scratch, "band").select("node").distinct()
-    again = sets.select(F.col("k1").alias("node"), F.col("set").alias("items")).join(scratch.write(here, "here"), "node")
-    more = cross_links(again, links, THRESHOLD, scratch, linked)
+    # the lines of buckets that still hold several components: all pairs across them
+    rest = scratch.write(open_rows(marked.select("band", "x", F.col("x.k1").alias("node")), group, scratch, "band").select("band", "c", "x"), "rest")
+    cross = rest.join(rest.select("band", F.col("c").alias("cy"), F.col("x").alias("y")), "band").filter(F.col("c") < F.col("cy")).filter(alike("x", "y"))
+    more = linked(scratch.write(ordered(cross).join(first, ["a", "b"], "left_anti"), "cross-pairs"), "cross")
 
     label = components(links.unionByName(more), scratch)
     # only lines that are repeated or linked need another line's place

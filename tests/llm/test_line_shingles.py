@@ -2,7 +2,7 @@
 
 import random
 
-from gridmart.llm.line_dedup import line_groups
+from gridmart.llm.line_dedup import BANDS, ROWS, line_groups
 from tests.llm.conftest import frame
 
 SPACE = " \t\n\x0b\f\r"
@@ -58,3 +58,16 @@ def test_long_unbroken_lines_with_a_common_head(spark, scratch):
     rows = [(i, x, None, "s") for i, x in enumerate(lines)]
     got = got_of(line_groups(frame(spark, rows), scratch))
     assert got == brute(rows) and sum(a != b for a, b in got) == 1
+
+
+def test_bands_find_pairs_at_the_threshold():
+    assert (1 - 0.75 ** ROWS) ** BANDS < 1e-4
+
+
+def test_accented_lines(spark, scratch):
+    r, rows = random.Random(6), []
+    for i in range(120):
+        line = "".join(r.choice("éàüßçñöêabcde ") for _ in range(60)).strip()
+        rows += [(2 * i, line, None, "s"), (2 * i + 1, line[:20] + "ø" + line[21:], None, "s")]
+    got = got_of(line_groups(frame(spark, rows), scratch))
+    assert got == brute(rows) and sum(a != b for a, b in got) > 100
