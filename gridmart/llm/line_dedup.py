@@ -16,7 +16,7 @@ Of a component, the line with the smallest (doc_id, line number) stays.
 Keys are 64-bit; of two lines that share one by chance, told apart by a second hash, only one takes part in the links.
 
 Defined results: null text is one empty line; empty and blank lines are never duplicates; rows that repeat a doc_id repeat its
-lines, and those that stay, stay in each; a null doc_id is smaller than any other; very long lines only have larger sets; an
+lines, and those that stay, stay in each row that has them; a null doc_id is smaller than any other; very long lines only have larger sets; an
 empty table gives no rows; other columns are not read.
 """
 
@@ -74,22 +74,32 @@ def alike(x: str, y: str) -> Column:
     return F.coalesce(differ <= DIFFER, F.lit(True))
 
 
+def row_key(doc_id: str, text: str) -> Column:
+    """Tells rows apart that share a doc_id or have none; the same for rows with equal doc_id and text, whose lines are the same."""
+    return F.xxhash64(F.col(doc_id), F.col(text))
+
+
 def lines_of(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``doc_id``, ``line_no`` (from 0), ``norm`` (null for a blank line), ``k1``, ``k2``."""
-    lines = docs.select(F.col(doc_id).alias("doc_id"), F.posexplode(F.split(F.coalesce(text, F.lit("")), "\n")).alias("line_no", "line"))
+    """``doc_id``, ``row``, ``line_no`` (from 0), ``norm`` (null for a blank line), ``k1``, ``k2``."""
+    lines = docs.select(F.col(doc_id).alias("doc_id"), row_key(doc_id, text).alias("row"), F.posexplode(F.split(F.coalesce(text, F.lit("")), "\n")).alias("line_no", "line"))
     norm = F.lower(F.btrim("line", F.lit(_BLANK)))
-    lines = lines.select("doc_id", "line_no", F.when(norm != "", norm).alias("norm"))
-    return lines.select("doc_id", "line_no", "norm", F.when(F.col("norm").isNotNull(), F.xxhash64("norm")).alias("k1"),
+    lines = lines.select("doc_id", "row", "line_no", F.when(norm != "", norm).alias("norm"))
+    return lines.select("doc_id", "row", "line_no", "norm", F.when(F.col("norm").isNotNull(), F.xxhash64("norm")).alias("k1"),
                         F.when(F.col("norm").isNotNull(), F.xxhash64(F.lit(1), "norm")).alias("k2"))
 
 
 def line_groups(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per line: ``doc_id``, ``line_no``, ``keep_doc_id``, ``keep_line_no``, ``kept``."""
+    return grouped_lines(docs, scratch, doc_id, text).drop("row")
+
+
+def grouped_lines(docs: DataFrame, scratch: Scratch, doc_id: str, text: str) -> DataFrame:
+    """``line_groups`` with the key of each line's ``row``."""
     lines = lines_of(docs, doc_id, text)
     signed = lines.withColumn("_set", shingle_set(F.col("norm")))
     for name, step in bands("_set"):
         signed = signed.withColumn(name, F.when(F.size("_set") > 0, step))
-    signed = scratch.write(signed.select("doc_id", "line_no", "k1", "k2", "bands", "s1", "s2"), "lines")
+    signed = scratch.write(signed.select("doc_id", "row", "line_no", "k1", "k2", "bands", "s1", "s2"), "lines")
 
     posted = signed.filter("bands IS NOT NULL").select("k1", F.explode("bands").alias("band"))
     half = F.shiftright("k1", 32)             # tells the keys of a bucket apart
@@ -98,7 +108,7 @@ def line_groups(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text:
     members = scratch.write(posted.join(buckets, "band").distinct(), "members")
     # each key's first line, and how many lines have it: combined map-side, so a very common line is a row for each task
     keys = scratch.write(signed.filter("k1 IS NOT NULL").groupBy("k1").agg(
-        F.min(F.struct("k2", "doc_id", "line_no", "s1", "s2")).alias("at"), F.count(F.lit(1)).alias("n")), "keys")
+        F.min(F.struct("k2", "doc_id", "line_no", "row", "s1", "s2")).alias("at"), F.count(F.lit(1)).alias("n")), "keys")
     # the line that shares most buckets is in the middle of a group, and links most of it
     shared = scratch.write(members.groupBy("k1").agg(F.count(F.lit(1)).alias("shared")), "shared")
     marked = members.join(keys.join(shared, "k1").select("k1", "shared", "at.s1", "at.s2"), "k1")
@@ -114,15 +124,15 @@ def line_groups(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text:
     first = scratch.write(ordered(first), "hub-pairs")
 
     def linked(pairs: DataFrame, name: str) -> DataFrame:
-        """The pairs whose sets are similar; a line's text is fetched once: its document finds it by its number."""
+        """The pairs whose sets are similar; a line's text is fetched once: its row finds it by its number."""
         nodes = pairs.select(F.col("a").alias("k1")).union(pairs.select("b")).distinct()
-        places = keys.join(nodes, "k1").select("k1", "at.doc_id", "at.line_no")
-        places = scratch.write(places, f"{name}-places").groupBy(F.col("doc_id").alias("_d")).agg(
-            F.collect_list(F.struct("line_no", "k1")).alias("_wanted"))          # lines of one document
-        split = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(
-            places, F.col("_id").eqNullSafe(F.col("_d"))).select("_wanted", F.split("_text", "\n").alias("_lines"))
+        places = keys.join(nodes, "k1").select("k1", "at.row", "at.line_no")
+        places = scratch.write(places, f"{name}-places").groupBy(F.col("row").alias("_r")).agg(
+            F.collect_list(F.struct("line_no", "k1")).alias("_wanted"))          # lines of one row
+        split = docs.select(row_key(doc_id, text).alias("_row"), F.col(text).alias("_text")).join(
+            places, F.col("_row") == F.col("_r")).select("_wanted", F.split("_text", "\n").alias("_lines"))
         body = F.explode(F.transform("_wanted", lambda w: F.struct(w["k1"].alias("k1"), F.lower(F.btrim(
-            F.element_at("_lines", w["line_no"] + 1), F.lit(_BLANK))).alias("norm"))))
+            F.get("_lines", w["line_no"]), F.lit(_BLANK))).alias("norm"))))
         found = split.select(body.alias("b")).select("b.k1", "b.norm").filter(F.xxhash64("norm") == F.col("k1"))
         norms = scratch.write(found.dropDuplicates(["k1"]), f"{name}-norms")
         both = pairs.join(norms.select(F.col("k1").alias("a"), F.col("norm").alias("na")), "a").join(
@@ -147,24 +157,24 @@ def line_groups(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text:
     best = scratch.write(classes.groupBy("c").agg(F.min(F.struct("doc_id", "line_no")).alias("best")), "best")
     stay = scratch.write(classes.join(best, "c").select("k1", "k2", "best"), "stay")
     # a blank line or one alone looks nothing up; its key is spread by its place
-    found = signed.select("doc_id", "line_no", "k1", "k2").withColumn(
-        "_key", F.coalesce("k1", F.xxhash64("doc_id", "line_no")))
+    found = signed.select("doc_id", "row", "line_no", "k1", "k2").withColumn(
+        "_key", F.coalesce("k1", F.xxhash64("row", "line_no")))
     joined = found.join(stay.select(F.col("k1").alias("_key"), F.col("k2").alias("_k2"), "best"), "_key", "left")
     hit = F.col("k1").isNotNull() & (F.col("k2") == F.col("_k2")) & F.col("best").isNotNull()
     keep_doc = F.when(hit, F.col("best.doc_id")).otherwise(F.col("doc_id"))
     keep_line = F.when(hit, F.col("best.line_no")).otherwise(F.col("line_no"))
-    return joined.select("doc_id", "line_no", keep_doc.alias("keep_doc_id"), keep_line.alias("keep_line_no")).withColumn(
+    return joined.select("doc_id", "row", "line_no", keep_doc.alias("keep_doc_id"), keep_line.alias("keep_line_no")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("keep_doc_id")) & (F.col("line_no") == F.col("keep_line_no")))
 
 
 def dedup_lines(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with the lines that go taken out of its texts; a text that loses all its lines is empty, a null text stays null.
-    A document's dropped line numbers come back to it, never its lines."""
-    groups = line_groups(docs, scratch, doc_id, text)
-    gone = scratch.write(groups.filter("NOT kept").groupBy(F.col("doc_id").alias("_gone_id")).agg(
+    A row's dropped line numbers come back to it, never its lines."""
+    groups = grouped_lines(docs, scratch, doc_id, text)
+    gone = scratch.write(groups.filter("NOT kept").groupBy(F.col("row").alias("_gone_row")).agg(
         F.collect_set("line_no").alias("_gone")), "gone")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(doc_id).alias("_id"))
-    joined = rows.join(gone, F.col("_id").eqNullSafe(F.col("_gone_id")), "left")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), row_key(doc_id, text).alias("_row"))
+    joined = rows.join(gone, F.col("_row") == F.col("_gone_row"), "left")
     body = F.array_join(F.filter(F.split(F.col(f"row.`{text}`"), "\n"), lambda x, i: ~F.array_contains("_gone", i)), "\n")
     body = F.when(F.col("_gone").isNotNull(), body).otherwise(F.col(f"row.`{text}`"))
     return joined.select(*[(body if c == text else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

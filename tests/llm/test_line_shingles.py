@@ -2,7 +2,7 @@
 
 import random
 
-from gridmart.llm.line_dedup import BANDS, ROWS, line_groups
+from gridmart.llm.line_dedup import BANDS, ROWS, dedup_lines, line_groups
 from tests.llm.conftest import frame
 
 SPACE = " \t\n\x0b\f\r"
@@ -71,3 +71,12 @@ def test_accented_lines(spark, scratch):
         rows += [(2 * i, line, None, "s"), (2 * i + 1, line[:20] + "ø" + line[21:], None, "s")]
     got = got_of(line_groups(frame(spark, rows), scratch))
     assert got == brute(rows) and sum(a != b for a, b in got) > 100
+
+
+def test_rows_without_id_are_rows_of_their_own(spark, scratch):
+    a, b = "the quick brown fox jumps over the dog", "an entirely different line of words here"
+    rows = [(None, a, None, "s"), (None, "\n".join(["alone one two three", "x1 y2 z3 something", b]), None, "s"), (None, "short\nonly in this row\nnothing like it", None, "s"),
+            (1, a + "!", None, "s"), (2, "first\n" + b + "!", None, "s"), (-5, "\n\n" + b, None, "s")]
+    out = sorted((r.doc_id is not None, r.doc_id or 0, r.text) for r in dedup_lines(frame(spark, rows), scratch).collect())
+    assert out == sorted([(False, 0, rows[0][1]), (False, 0, rows[1][1]), (False, 0, rows[2][1]), (True, 1, ""), (True, 2, "first"),
+                          (True, -5, "\n")])
