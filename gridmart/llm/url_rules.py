@@ -2,9 +2,9 @@
 
 Explicit rules name a host (with its subdomains) and a path prefix; the longest that fits
 decides.  Where none fits, mined rules decide: a URL is a set of tokens (host labels and
-path segments by place, digits replaced, query keys, a fragment), FP-growth finds the frequent sets among
-labelled URLs together with their label, and sets whose label is the bad one with enough
-support and confidence become rules.  A rule with a shorter rule inside it that is as confident
+path segments by place, digits replaced, query keys, a fragment), FP-growth finds the sets that
+enough bad URLs have, an absolute number however many are labelled; how many labelled URLs have each of
+them is counted by one join, and sets with enough confidence become rules.  A rule with a shorter rule inside it that is as confident
 says nothing new and is dropped.
 
 Matching is by inverted index: each rule is posted under its rarest token; the distinct token sets
@@ -19,17 +19,18 @@ no mined rules; an empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridmart.llm.common import LOWER, UPPER, Scratch
 
-MIN_SUPPORT, MIN_CONFIDENCE = 0.002, 0.6
-MIN_HITS = 10             # bad urls a rule must have, however few are labelled
+MIN_CONFIDENCE = 0.6
+MIN_HITS = 10             # bad urls a rule must have, however many are labelled
 MAX_TOKENS = 3            # in a rule
 MAX_EXPLICIT = 1000       # explicit rules; they are part of the plan
-BAD = "label=bad"
 
 #: Verdict, host, path prefix.
 EXPLICIT = (
@@ -73,25 +74,32 @@ def tokens_of(url: Column) -> Column:
     return F.coalesce(F.sort_array(F.array_distinct(tokens)), F.array().cast("array<string>"))
 
 
-def mine(labelled: DataFrame, scratch: Scratch, min_support: float = MIN_SUPPORT,
+def mine(labelled: DataFrame, scratch: Scratch, min_support: float = 0.0,
          min_confidence: float = MIN_CONFIDENCE, min_hits: int = MIN_HITS) -> DataFrame | None:
     """``labelled``: ``url``, ``bad`` (boolean).  Returns ``antecedent`` (sorted tokens), ``anchor`` (the rarest),
-    ``support``, ``confidence``; None without labelled urls."""
+    ``support``, ``confidence``; None without labelled urls.  ``min_support`` asks for a share of the labelled urls besides ``min_hits``."""
     sets = scratch.write(labelled.filter("url IS NOT NULL AND bad IS NOT NULL").select(
-        F.concat(tokens_of(F.col("url")), F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(
-            F.array().cast("array<string>"))).alias("items")).filter(F.size("items") > 0), "sets")
+        tokens_of(F.col("url")).alias("tokens"), "bad").filter((F.size("tokens") > 0) | F.col("bad")), "sets")
     n = sets.count()
     if not n:
         return None
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(sets)
-    frequent = scratch.write(model.freqItemsets.filter(F.size("items") <= MAX_TOKENS + 1).select(
-        F.sort_array("items").alias("items"), "freq"), "frequent")
-    bad = frequent.filter(F.array_contains("items", BAD) & (F.size("items") > 1)).select(
-        F.array_remove("items", BAD).alias("antecedent"), F.col("freq").alias("hits"))
-    good = frequent.filter(~F.array_contains("items", BAD))
-    rules = bad.join(good.select(F.col("items").alias("antecedent"), "freq"), "antecedent").withColumn(
-        "confidence", F.col("hits") / F.col("freq")).filter(
-        (F.col("confidence") >= min_confidence) & (F.col("hits") >= min_hits))
+    wrong = sets.filter(F.col("bad") & (F.size("tokens") > 0)).select(F.col("tokens").alias("items"))
+    need = max(1, min_hits, math.ceil(min_support * n))
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, (need - 0.5) / max(wrong.count(), 1)), minConfidence=min_confidence).fit(wrong)
+    frequent = scratch.write(model.freqItemsets.filter((F.size("items") <= MAX_TOKENS) & (F.col("freq") >= need)).select(
+        F.sort_array("items").alias("antecedent"), F.col("freq").alias("hits")), "frequent")
+    # how many labelled urls have each of them: found by their rarest token
+    kinds = scratch.write(sets.groupBy("tokens").agg(F.count(F.lit(1)).alias("urls")), "kinds")
+    used = frequent.filter(F.size("antecedent") == 1).select(F.col("antecedent")[0].alias("token"))
+    single = scratch.write(kinds.select(F.explode("tokens").alias("token"), "urls").join(used, "token").groupBy("token").agg(
+        F.sum("urls").alias("token_freq")), "single")
+    anchored = frequent.select("antecedent", "hits", F.explode("antecedent").alias("token")).join(single, "token").groupBy(
+        "antecedent", "hits").agg(F.min(F.struct("token_freq", "token")).alias("least"))
+    anchored = anchored.select("antecedent", "hits", F.col("least.token").alias("anchor"))
+    having = kinds.select("tokens", "urls", F.explode("tokens").alias("anchor")).join(anchored, "anchor").filter(
+        F.size(F.array_except("antecedent", "tokens")) == 0)
+    rules = having.groupBy("antecedent", "hits").agg(F.sum("urls").alias("freq")).withColumn(
+        "confidence", F.col("hits") / F.col("freq")).filter(F.col("confidence") >= min_confidence)
     rules = scratch.write(rules.withColumn("support", F.col("hits") / F.lit(float(n))), "confident")
     # rules with a shorter one inside that is as confident
     shorter = rules.select(F.col("antecedent").alias("inner"), F.col("confidence").alias("inner_confidence"))
@@ -102,7 +110,6 @@ def mine(labelled: DataFrame, scratch: Scratch, min_support: float = MIN_SUPPORT
             "antecedent", "confidence", F.explode(F.transform("antecedent", lambda x: F.array(x))).alias("inner")).join(shorter, "inner"))
     idle = pairs.filter("inner_confidence >= confidence").select("antecedent").distinct()
     kept = rules.join(idle, "antecedent", "left_anti")
-    single = good.filter(F.size("items") == 1).select(F.col("items")[0].alias("token"), F.col("freq").alias("token_freq"))
     posted = kept.select("antecedent", "support", "confidence", F.explode("antecedent").alias("token")).join(single, "token")
     return scratch.write(posted.groupBy("antecedent", "support", "confidence").agg(
         F.min_by("token", F.struct("token_freq", "token")).alias("anchor")), "rules")

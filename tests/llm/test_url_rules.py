@@ -84,3 +84,12 @@ def test_nothing_labelled(spark, scratch):
     assert mine(spark.createDataFrame([], "url string, bad boolean"), scratch) is None
     few = mine(spark.createDataFrame([("http://a.net/x", True)], "url string, bad boolean"), scratch)
     assert few.count() == 0
+
+
+def test_a_bad_host_is_blocked_however_many_urls_are_labelled(spark, scratch):
+    good = spark.range(30000).select(F.concat(F.lit("http://h"), F.col("id") % 3000, F.lit(".net/a/"), "id").alias("url"), F.lit(False).alias("bad"))
+    wrong = spark.range(12).select(F.concat(F.lit("http://worst.net/a/"), "id").alias("url"), F.lit(True).alias("bad"))
+    few = spark.range(9).select(F.concat(F.lit("http://fewer.net/b/"), "id").alias("url"), F.lit(True).alias("bad"))
+    rules = mine(good.unionByName(wrong).unionByName(few), scratch)
+    assert [(r.antecedent, r.confidence, r.support) for r in rules.collect()] == [(["h1:worst"], 1.0, 12 / 30021)]
+    assert mine(good.limit(20), scratch).count() == 0
