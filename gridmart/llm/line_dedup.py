@@ -9,8 +9,9 @@ Lines that are equal have the same key, so a line that a third of all documents
 combining.  Each bucket with two lines or more links its lines to a few of them: that which shares most buckets, and some
 picked by a hash; links are verified by exact Jaccard on the full sets and joined into components by contraction
 (``graph.components``).  Then all pairs of a bucket that are in different components still are verified, too, so no pair that
-the bands find is lost, and no group that is linked makes its pairs.  Before a text is fetched, larger sets are compared by a
-sketch, one bit of each coordinate: at similarity 0.75 an eighth of the bits differ, and ``DIFFER`` of ``K`` is more than four deviations off.
+the bands find is lost, and no group that is linked makes its pairs.  Before a text is fetched, sets are compared by size and
+sketch.  A smaller set's sketch is the parity of its hashes in 128 places: no more places differ than the sets differ in hashes, so no
+pair is lost.  A larger one's is one bit of each coordinate: at similarity 0.75 an eighth of them differ, and ``DIFFER`` of ``K`` is more than four deviations off.
 Of a component, the line with the smallest (doc_id, line number) stays.
 
 Keys are 64-bit; of two lines that share one by chance, told apart by a second hash, only one takes part in the links.
@@ -34,7 +35,7 @@ BANDS, ROWS = 25, 4
 K = BANDS * ROWS
 THRESHOLD = 75            # percent
 RANGE = 1 << 60
-SKETCHED, DIFFER = 100, 32      # sets of this size or more are compared by sketches, and differ in at most so many bits
+SMALL, DIFFER = 150, 32   # sets are compared by parities if one is smaller than this, by coordinates' bits otherwise
 PICKED = 2                # lines of a bucket that all others are compared with, besides the one in the middle
 # one match a character (not a UTF-16 unit), which looks ahead; linear in a line's length
 _SHINGLES = f"(?s)(?=(.{{{SHINGLE}}}|\\A.{{1,{SHINGLE - 1}}}\\z))."
@@ -59,19 +60,31 @@ def bands(hashes: str) -> list[tuple[str, Column]]:
     def band(j: Column) -> Column:
         return F.xxhash64(j, *[F.get("_signature", j * ROWS + r) for r in range(ROWS)]).bitwiseAND(F.lit((1 << 40) - 1))
 
-    def sketch(part: int) -> Column:
-        bits = F.aggregate(F.slice("_signature", part * (K // 2) + 1, K // 2), F.lit(0).cast("long"),
-                           lambda acc, x: F.shiftleft(acc, 1).bitwiseOR(F.shiftright(x, 1).bitwiseAND(F.lit(1))))
-        return F.when(F.size(hashes) >= SKETCHED, bits)
+    def bits(part: int) -> Column:
+        of = F.aggregate(F.slice("_signature", part * (K // 2) + 1, K // 2), F.lit(0).cast("long"),
+                         lambda acc, x: F.shiftleft(acc, 1).bitwiseOR(F.shiftright(x, 1).bitwiseAND(F.lit(1))))
+        return F.when(F.size(hashes) >= SMALL, of)
+
+    def parity(part: int) -> Column:
+        place = F.filter(hashes, lambda x: F.shiftright(x, 7).bitwiseAND(F.lit(1)) == part)
+        of = F.aggregate(place, F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(F.call_function(
+            "shiftleft", F.lit(1).cast("long"), F.shiftright(x, 1).bitwiseAND(F.lit(63)).cast("int"))))
+        return F.when(F.size(hashes) * 3 <= SMALL * 4, of)
 
     return [("_merged", merged), ("_places", places), ("_signature", F.transform("_places", coordinate)),
-            ("bands", F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), band)), ("s1", sketch(0)), ("s2", sketch(1))]
+            ("bands", F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), band)),
+            ("mark", F.struct(F.size(hashes).alias("n"), *[bits(i).alias(f"b{i}") for i in (0, 1)], *[parity(i).alias(f"p{i}") for i in (0, 1)]))]
 
 
 def alike(x: str, y: str) -> Column:
-    """Whether the sketches of two sets can be those of similar sets; a small set has none, and can."""
-    differ = sum(F.bit_count(F.col(f"{x}.{c}").bitwiseXOR(F.col(f"{y}.{c}"))) for c in ("s1", "s2"))
-    return F.coalesce(differ <= DIFFER, F.lit(True))
+    """Whether two sets can be similar, by their marks."""
+    def differ(kind: str) -> Column:
+        return sum(F.bit_count(F.col(f"{x}.{kind}{i}").bitwiseXOR(F.col(f"{y}.{kind}{i}"))) for i in (0, 1))
+
+    n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
+    sizes = 100 * F.least(n, m) >= THRESHOLD * F.greatest(n, m)
+    small = (100 + THRESHOLD) * differ("p") <= (100 - THRESHOLD) * (n + m)
+    return sizes & F.coalesce(F.when(F.least(n, m) < SMALL, small).otherwise(differ("b") <= DIFFER), F.lit(True))
 
 
 def row_key(doc_id: str, text: str) -> Column:
@@ -99,7 +112,7 @@ def grouped_lines(docs: DataFrame, scratch: Scratch, doc_id: str, text: str) ->
     signed = lines.withColumn("_set", shingle_set(F.col("norm")))
     for name, step in bands("_set"):
         signed = signed.withColumn(name, F.when(F.size("_set") > 0, step))
-    signed = scratch.write(signed.select("doc_id", "row", "line_no", "k1", "k2", "bands", "s1", "s2"), "lines")
+    signed = scratch.write(signed.select("doc_id", "row", "line_no", "k1", "k2", "bands", "mark"), "lines")
 
     posted = signed.filter("bands IS NOT NULL").select("k1", F.explode("bands").alias("band"))
     half = F.shiftright("k1", 32)             # tells the keys of a bucket apart
@@ -108,11 +121,11 @@ def grouped_lines(docs: DataFrame, scratch: Scratch, doc_id: str, text: str) ->
     members = scratch.write(posted.join(buckets, "band").distinct(), "members")
     # each key's first line, and how many lines have it: combined map-side, so a very common line is a row for each task
     keys = scratch.write(signed.filter("k1 IS NOT NULL").groupBy("k1").agg(
-        F.min(F.struct("k2", "doc_id", "line_no", "row", "s1", "s2")).alias("at"), F.count(F.lit(1)).alias("n")), "keys")
+        F.min(F.struct("k2", "doc_id", "line_no", "row", "mark")).alias("at"), F.count(F.lit(1)).alias("n")), "keys")
     # the line that shares most buckets is in the middle of a group, and links most of it
     shared = scratch.write(members.groupBy("k1").agg(F.count(F.lit(1)).alias("shared")), "shared")
-    marked = members.join(keys.join(shared, "k1").select("k1", "shared", "at.s1", "at.s2"), "k1")
-    marked = scratch.write(marked.select("band", "shared", F.struct("k1", "s1", "s2").alias("x")), "marked")
+    marks = scratch.write(keys.join(shared, "k1").select("k1", "shared", F.struct("k1", "at.mark.*").alias("x")), "marks")
+    marked = scratch.write(members.join(marks, "k1").select("band", "shared", "x"), "marked")
     picks = [F.col("shared"), *[F.xxhash64("x.k1", F.lit(i)) for i in range(PICKED)]]
     hubs = marked.groupBy("band").agg(*[F.max(F.struct(p.alias("by"), "x")).alias(f"h{i}") for i, p in enumerate(picks)])
     hubs = scratch.write(hubs.select("band", F.array_distinct(F.array(*[f"h{i}.x" for i in range(len(picks))])).alias("hubs")), "hubs")
@@ -122,6 +135,7 @@ def grouped_lines(docs: DataFrame, scratch: Scratch, doc_id: str, text: str) ->
 
     first = marked.join(hubs, "band").select("x", F.explode("hubs").alias("y")).filter("x.k1 <> y.k1").filter(alike("x", "y"))
     first = scratch.write(ordered(first), "hub-pairs")
+    scratch.drop(marked)
 
     def linked(pairs: DataFrame, name: str) -> DataFrame:
         """The pairs whose sets are similar; a line's text is fetched once: its row finds it by its number."""
@@ -145,7 +159,8 @@ def grouped_lines(docs: DataFrame, scratch: Scratch, doc_id: str, text: str) ->
     links = linked(first, "hub")
     group = scratch.write(components(links, scratch), "groups")
     # the lines of buckets that still hold several components: all pairs across them
-    rest = scratch.write(open_rows(marked.select("band", "x", F.col("x.k1").alias("node")), group, scratch, "band").select("band", "c", "x"), "rest")
+    rest = open_rows(members.select(F.col("k1").alias("node"), "band"), group, scratch, "band")
+    rest = scratch.write(rest.join(marks, F.col("node") == F.col("k1")).select("band", "c", "x"), "rest")
     cross = rest.join(rest.select("band", F.col("c").alias("cy"), F.col("x").alias("y")), "band").filter(F.col("c") < F.col("cy")).filter(alike("x", "y"))
     more = linked(scratch.write(ordered(cross).join(first, ["a", "b"], "left_anti"), "cross-pairs"), "cross")
 

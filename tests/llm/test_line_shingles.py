@@ -2,7 +2,9 @@
 
 import random
 
-from gridmart.llm.line_dedup import BANDS, ROWS, dedup_lines, line_groups
+from pyspark.sql import functions as F
+
+from gridmart.llm.line_dedup import BANDS, ROWS, alike, bands, dedup_lines, line_groups, shingle_set
 from tests.llm.conftest import frame
 
 SPACE = " \t\n\x0b\f\r"
@@ -80,3 +82,21 @@ def test_rows_without_id_are_rows_of_their_own(spark, scratch):
     out = sorted((r.doc_id is not None, r.doc_id or 0, r.text) for r in dedup_lines(frame(spark, rows), scratch).collect())
     assert out == sorted([(False, 0, rows[0][1]), (False, 0, rows[1][1]), (False, 0, rows[2][1]), (True, 1, ""), (True, 2, "first"),
                           (True, -5, "\n")])
+
+
+def test_unlike_pairs_of_a_bucket_are_sifted_and_similar_ones_are_not(spark):
+    r, rows = random.Random(7), []
+    for i in range(300):
+        line = "".join(r.choice("abcdefghijklmnop") for _ in range(10 + 2 * i))
+        cut = len(line) - r.randrange(len(line) // 7 + 1)
+        rows.append((line, line[:cut], "".join(r.choice("abcdefghijklmnop") for _ in range(len(line)))))
+    df = spark.createDataFrame(rows, "x string, y string, z string")
+    for c in "xyz":
+        df = df.withColumn("_set", shingle_set(F.col(c)))
+        for name, step in bands("_set"):
+            df = df.withColumn(name, step)
+        df = df.withColumn(c + "m", F.struct("mark.*"))
+    for (x, y, _), got in zip(rows, df.select(alike("xm", "ym").alias("near"), alike("xm", "zm").alias("far")).collect(), strict=True):
+        a, b = full_set(x), full_set(y)
+        assert got.near or 100 * len(a & b) < 75 * len(a | b)
+        assert not got.far
