@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from gridmart.llm.line_dedup import BANDS, ROWS, alike, bands, dedup_lines, line_groups, shingle_set
+from tests.llm import test_line_dedup as old
 from tests.llm.conftest import frame
 
 SPACE = " \t\n\x0b\f\r"
@@ -100,3 +101,12 @@ def test_unlike_pairs_of_a_bucket_are_sifted_and_similar_ones_are_not(spark):
         a, b = full_set(x), full_set(y)
         assert got.near or 100 * len(a & b) < 75 * len(a | b)
         assert not got.far
+
+
+def test_edges_and_fuzzy_lines_by_the_full_definition(spark, scratch, monkeypatch):
+    """The cases of test_line_dedup.py against all pairs, with shingles at every character."""
+    monkeypatch.setattr(old, "shingle_set", full_set)
+    edges = old.edge_rows() + [(50, "Same line here\nsame LINE here \n\n  \nother 日本語の文章です", None, "s"), (51, "日本語の文章です\n日本語の文章", None, "s")]
+    assert old.got_of(line_groups(frame(spark, edges), scratch)) == old.brute(edges)
+    rows = old.corpus()
+    assert old.got_of(line_groups(frame(spark, rows), scratch)) == old.brute(rows)
