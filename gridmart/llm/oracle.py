@@ -30,4 +30,30 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, text_sha256
         FROM t WINDOW w AS (PARTITION BY norm)""",
+    # codebooks hold one row for each (part, entry); parts are 0-15, entries 0-63
+    "op12_vector_codes": """
+        WITH kept AS (SELECT vec_id, label, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+                      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        parts AS (SELECT vec_id, label, p, v[p * (len(v) // 16) + 1:(p + 1) * (len(v) // 16)] AS x FROM kept, range(16) AS r(p)),
+        seeds AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept QUALIFY e < 64),
+        book0 AS (SELECT p, e, x FROM parts JOIN seeds USING (vec_id)),
+        near1 AS (SELECT vec_id, p, any_value(t.x) AS x, arg_min(e, (list_sum([(a[1] - a[2]) ** 2 FOR a IN list_zip(t.x, b.x)]), e)) AS e
+                  FROM parts t JOIN book0 b USING (p) GROUP BY vec_id, p),
+        mean1 AS (SELECT p, e, list(m ORDER BY i) AS x FROM (
+                      SELECT p, e, i, floor(sum(x[i]) / count(*))::BIGINT AS m FROM near1, range(1, len(x) + 1) AS r(i) GROUP BY p, e, i)
+                  GROUP BY p, e),
+        book1 AS (SELECT p, e, coalesce(m.x, b.x) AS x FROM book0 b LEFT JOIN mean1 m USING (p, e)),
+        near2 AS (SELECT vec_id, p, any_value(t.x) AS x, arg_min(e, (list_sum([(a[1] - a[2]) ** 2 FOR a IN list_zip(t.x, b.x)]), e)) AS e
+                  FROM parts t JOIN book1 b USING (p) GROUP BY vec_id, p),
+        mean2 AS (SELECT p, e, list(m ORDER BY i) AS x FROM (
+                      SELECT p, e, i, floor(sum(x[i]) / count(*))::BIGINT AS m FROM near2, range(1, len(x) + 1) AS r(i) GROUP BY p, e, i)
+                  GROUP BY p, e),
+        book2 AS (SELECT p, e, coalesce(m.x, b.x) AS x FROM book1 b LEFT JOIN mean2 m USING (p, e)),
+        last AS (SELECT vec_id, any_value(label) AS label, p, min((list_sum([(a[1] - a[2]) ** 2 FOR a IN list_zip(t.x, b.x)]), e)) AS best
+                 FROM parts t JOIN book2 b USING (p) GROUP BY vec_id, p),
+        coded AS (SELECT vec_id, any_value(label) AS label, string_agg(lower(lpad(hex(best[2]), 2, '0')), '' ORDER BY p) AS code,
+                         sum(best[1])::BIGINT AS error FROM last GROUP BY vec_id)
+        SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+               (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) FROM book2) AS codebooks_sha256
+        FROM coded""",
 }

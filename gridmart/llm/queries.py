@@ -20,6 +20,7 @@ from gridmart.llm.mixing import mix
 from gridmart.llm.near_dedup import near_groups
 from gridmart.llm.packing import pack
 from gridmart.llm.url_rules import judge, mine
+from gridmart.llm.vector_codes import books_sha256, compress
 from gridmart.llm.wavelet import read_tokens, write_tokens
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -77,6 +78,18 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_groups(load(spark, sf_dir, "documents"), Scratch(spark, "op10"))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_of(load(spark, sf_dir, "embeddings"), Scratch(spark, "op12"))
+
+
+def op12_of(vectors: DataFrame, scratch: Scratch) -> DataFrame:
+    codes, books = compress(vectors, scratch)
+    code = F.lower(F.array_join(F.transform("places", lambda x: F.lpad(F.hex(x), 2, "0")), ""))
+    totals = codes.groupBy(F.col("label").alias("of")).agg(F.sum("error").alias("label_error"))
+    return codes.join(totals, F.col("label").eqNullSafe(F.col("of"))).select(
+        "vec_id", code.alias("code"), "error", "label_error", F.lit("" if books is None else books_sha256(books)).alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_rules": op1_url_rules,
     "op2_near_dedup": op2_near_dedup,
@@ -88,5 +101,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_wavelet_tokens": op9_wavelet_tokens,
     "op10_line_dedup": op10_line_dedup,
+    "op12_vector_codes": op12_vector_codes,
     "pipeline": corpus_pipeline.run,
 }
