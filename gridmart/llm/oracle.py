@@ -56,4 +56,11 @@ ORACLE_SQL: dict[str, str] = {
         SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
                (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) FROM book2) AS codebooks_sha256
         FROM coded""",
+    "op13_warc": """
+        WITH t AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+        u AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS payload_digest,
+                     max(page_id) OVER (PARTITION BY payload) AS first FROM t),
+        v AS (SELECT *, payload_bytes >= 1000 AND first IS NOT NULL AND page_id IS DISTINCT FROM first AS again FROM u)
+        SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN again THEN first END AS refers_to, NULL::VARCHAR AS error FROM v""",
 }

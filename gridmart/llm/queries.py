@@ -21,6 +21,7 @@ from gridmart.llm.near_dedup import near_groups
 from gridmart.llm.packing import pack
 from gridmart.llm.url_rules import judge, mine
 from gridmart.llm.vector_codes import books_sha256, compress
+from gridmart.llm.warc import read_archives, resolved, write_archives
 from gridmart.llm.wavelet import read_tokens, write_tokens
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -90,6 +91,17 @@ def op12_of(vectors: DataFrame, scratch: Scratch) -> DataFrame:
         "vec_id", code.alias("code"), "error", "label_error", F.lit("" if books is None else books_sha256(books)).alias("codebooks_sha256"))
 
 
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_of(load(spark, sf_dir, "pages"), Scratch(spark, "op13"))
+
+
+def op13_of(pages: DataFrame, scratch: Scratch) -> DataFrame:
+    path = write_archives(pages, scratch.path("archives"), scratch)
+    back = resolved(read_archives(pages.sparkSession, path, payload=False))
+    return back.select(F.col("id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"),
+                       F.col("refers_to_id").cast("long").alias("refers_to"), "error")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_rules": op1_url_rules,
     "op2_near_dedup": op2_near_dedup,
@@ -102,5 +114,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_wavelet_tokens": op9_wavelet_tokens,
     "op10_line_dedup": op10_line_dedup,
     "op12_vector_codes": op12_vector_codes,
+    "op13_warc": op13_warc,
     "pipeline": corpus_pipeline.run,
 }
