@@ -30,6 +30,30 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, text_sha256
         FROM t WINDOW w AS (PARTITION BY norm)""",
+    # the crc32 is taken bit by bit; equal words at a distance of p are joined into stretches
+    "op11_runs": r"""
+        WITH coded AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, CASE WHEN doc_id IS NULL THEN 1 ELSE
+                 xor(4294967295::BIGINT, list_reduce([4294967295::BIGINT] || [ascii(c) + 4294967296 FOR c IN string_split(doc_id::VARCHAR, '')], lambda crc, c:
+                     list_reduce([xor(crc, c - 4294967296)] || [0::BIGINT FOR _ IN range(8)], lambda x, y:
+                         CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::BIGINT) ELSE x // 2 END))) END AS h FROM documents),
+        sized AS (SELECT row_number() OVER () AS row, doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS turned, h // 10 AS g FROM coded),
+        cut AS (SELECT *, CASE WHEN turned THEN g % n END AS a FROM sized),
+        timed AS (SELECT *, CASE WHEN turned THEN 1 + (n - a) // (3 + g % 8) END AS q FROM cut),
+        texts AS (SELECT row, doc_id, n, CASE WHEN turned THEN [w[CASE WHEN i >= a THEN a + (i - a) % q ELSE i END + 1] FOR i IN range(n)] ELSE w END AS w
+                  FROM timed),
+        words AS (SELECT row, n, unnest(w) AS word, unnest(range(n)) AS i FROM texts),
+        equal AS (SELECT row, x.i, y.i - x.i AS p FROM words x JOIN words y USING (row, word) WHERE x.i < y.i AND 2 * (y.i - x.i) <= x.n),
+        stretches AS (SELECT row, p, min(i) AS start, count(*) + p AS length
+                      FROM (SELECT *, i - row_number() OVER (PARTITION BY row, p ORDER BY i) AS island FROM equal)
+                      GROUP BY row, p, island HAVING count(*) >= p AND count(*) + p >= 12),
+        runs AS (SELECT row, start, length, min(p) AS period FROM stretches GROUP BY row, start, length),
+        gone AS (SELECT DISTINCT row, unnest(range(start + period, start + length)) AS i FROM runs),
+        listed AS (SELECT row, count(*) AS n_runs, string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS lines,
+                          max((length, -start, -period)) AS best FROM runs GROUP BY row),
+        stay AS (SELECT row, string_agg(word, ' ' ORDER BY i) AS body FROM words ANTI JOIN gone USING (row, i) GROUP BY row)
+        SELECT doc_id, coalesce(n_runs, 0) AS n_runs, -best[2] AS start, best[1] AS length, -best[3] AS period,
+               1000 * best[1] // -best[3] AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(body, '')) AS collapsed_sha256
+        FROM texts LEFT JOIN listed USING (row) LEFT JOIN stay USING (row)""",
     # codebooks hold one row for each (part, entry); parts are 0-15, entries 0-63
     "op12_vector_codes": """
         WITH kept AS (SELECT vec_id, label, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings

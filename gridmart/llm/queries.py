@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 import corpus_pipeline
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmart.llm.ann import nearest
@@ -19,6 +19,7 @@ from gridmart.llm.line_dedup import line_groups
 from gridmart.llm.mixing import mix
 from gridmart.llm.near_dedup import near_groups
 from gridmart.llm.packing import pack
+from gridmart.llm.runs import periodic_runs
 from gridmart.llm.url_rules import judge, mine
 from gridmart.llm.vector_codes import books_sha256, compress
 from gridmart.llm.warc import read_archives, resolved, write_archives
@@ -79,6 +80,32 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_groups(load(spark, sf_dir, "documents"), Scratch(spark, "op10"))
 
 
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_of(load(spark, sf_dir, "documents"))
+
+
+def op11_of(docs: DataFrame) -> DataFrame:
+    """Every tenth text or so (by the crc32 of its id; a null id changes nothing) goes on periodically from one of its words on."""
+    h = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(1))
+    words = F.filter(F.split("text", "[ \\t\\n\\x0B\\f\\r]+"), lambda w: w != "")
+
+    def altered(w: Column) -> Column:
+        n, g = F.size(w).cast("long"), F.floor(h / 10)
+        a = F.pmod(g, F.greatest(n, F.lit(1)))
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        tail = F.transform(F.sequence(F.lit(0).cast("long"), n - a - 1), lambda k: F.get(w, (a + k % p).cast("int")))
+        return F.when(n > 0, F.array_join(F.concat(F.slice(w, F.lit(1), a.cast("int")), tail), " "))
+
+    text = F.when(h % 10 == 0, F.get(F.transform(F.array(words), altered), F.lit(0))).otherwise(F.col("text"))
+    found = periodic_runs(docs.select("doc_id", text.alias("text")), carry=["doc_id"])
+    listed = F.array_join(F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"])), "")
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    return found.withColumn("_best", best).select(
+        "row.doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("_best.s")).alias("start"), F.col("_best.length").alias("length"),
+        (-F.col("_best.p")).alias("period"), F.floor(1000 * F.col("_best.length") / -F.col("_best.p")).alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op12_of(load(spark, sf_dir, "embeddings"), Scratch(spark, "op12"))
 
@@ -97,7 +124,7 @@ def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_of(pages: DataFrame, scratch: Scratch) -> DataFrame:
     path = write_archives(pages, scratch.path("archives"), scratch)
-    back = resolved(read_archives(pages.sparkSession, path, payload=False))
+    back = resolved(scratch.write(read_archives(pages.sparkSession, path, payload=False), "records"))
     return back.select(F.col("id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"),
                        F.col("refers_to_id").cast("long").alias("refers_to"), "error")
 
@@ -113,6 +140,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_wavelet_tokens": op9_wavelet_tokens,
     "op10_line_dedup": op10_line_dedup,
+    "op11_runs": op11_runs,
     "op12_vector_codes": op12_vector_codes,
     "op13_warc": op13_warc,
     "pipeline": corpus_pipeline.run,

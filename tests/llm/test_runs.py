@@ -1,0 +1,153 @@
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from gridmart.llm import runs as R
+from gridmart.llm.queries import op11_of
+from tests.llm.conftest import edge_rows, frame, words
+
+
+def brute(w, least=12):
+    """Every period, every stretch of words that agree with those a period on."""
+    n, best = len(w), {}
+    for p in range(1, n // 2 + 1):
+        i = 0
+        while i + p < n:
+            start = i
+            while i + p < n and w[i] == w[i + p]:
+                i += 1
+            if i - start >= p and i - start + p >= least:
+                best.setdefault((start, i - start + p), p)
+            i += 1
+    return sorted(((s, n, p) for (s, n), p in best.items()), key=lambda r: (r[0], r[2]))
+
+
+def collapsed(w, found):
+    gone = {i for s, n, p in found for i in range(s + p, s + n)}
+    return " ".join(x for i, x in enumerate(w) if i not in gone)
+
+
+def turned(w, doc_id):
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or not w:
+        return w
+    g, n = h // 10, len(w)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w[a + (i - a) % p] if i >= a else w[i] for i in range(n)]
+
+
+def expected(doc_id, text):
+    w = turned(re.findall(r"[^\x20\x09-\x0D]+", text or ""), doc_id)
+    found = brute(w)
+    best = min(found, key=lambda r: (-r[1], r[0], r[2]), default=None)
+    longest = (best[0], best[1], best[2], 1000 * best[1] // best[2]) if best else (None,) * 4
+    sha = [hashlib.sha256(x.encode()).hexdigest() for x in ("".join(f"{s},{n},{p}\n" for s, n, p in found), collapsed(w, found))]
+    return (doc_id, len(found), *longest, *sha)
+
+
+def check(spark, rows):
+    got = op11_of(frame(spark, rows).repartition(3))
+    names = ("doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
+    assert sorted((tuple(r[c] for c in names) for r in got.collect()), key=str) == sorted((expected(r[0], r[1]) for r in rows), key=str)
+
+
+def test_query_against_brute_force(spark):
+    """Among 150 ids about 15 are turned periodic."""
+    r = random.Random(8)
+    rows = [(i, words(i, r.choice([1, 2, 5, 11, 12, 13, 40, 200, 600]), r.choice([1, 2, 5, 400])), "aa", "s") for i in range(-20, 130)]
+    check(spark, rows)
+
+
+def test_edges(spark):
+    line = " ".join(["again and again the same line"] * 40)
+    rows = edge_rows() + [(50, line, "aa", "s"), (51, "\x0b\x0c".join(["a b"] * 9), None, None), (52, " ".join(["x\xa0y z\x85"] * 8), None, None),
+                          (53, "ab " * 12, None, None), (54, "ab " * 11, None, None), (None, line, None, None), (0, line, None, None)]
+    check(spark, rows)
+
+
+def test_empty_table(spark):
+    assert op11_of(frame(spark, [])).collect() == []
+
+
+def test_general_interface(spark):
+    rows = [(1, "a b c " * 6 + "d", "aa", "s1"), (2, None, None, None)]
+    got = {r["row"]["doc_id"]: r for r in R.periodic_runs(frame(spark, rows)).collect()}
+    assert got[1]["runs"] == [(0, 18, 3)] and got[1]["collapsed"] == "a b c d" and got[1]["n_words"] == 19
+    assert got[2]["runs"] == [] and got[2]["collapsed"] == "" and got[2]["row"]["_key"] == "x"
+    short = R.periodic_runs(frame(spark, [(1, "a b a b", "aa", "s")]), carry=["doc_id"], least=4).collect()
+    assert short[0]["runs"] == [(0, 4, 2)]
+
+
+def nested(draw_seed):
+    """Powers inside powers, with single words changed."""
+    r = random.Random(draw_seed)
+    w = [r.randrange(3) for _ in range(r.randrange(1, 5))]
+    while len(w) < 300:
+        w = w * r.randrange(2, 5) + [r.randrange(3) for _ in range(r.randrange(3))]
+    for _ in range(r.randrange(3)):
+        w[r.randrange(len(w))] = 9
+    return w
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_nested_powers(seed):
+    texts = [nested(100 * seed + k) for k in range(6)]
+    for t, got in zip(texts, R.find_runs([np.array(t, np.int32) for t in texts]), strict=True):
+        assert [tuple(x) for x in got.tolist()] == brute(t)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 3), max_size=90), max_size=6), st.integers(2, 14))
+def test_any_texts(texts, least):
+    got = R.find_runs([np.array(t, np.int32) for t in texts], least)
+    assert [[tuple(x) for x in g.tolist()] for g in got] == [brute(t, least) for t in texts]
+
+
+def test_portions_do_not_matter(monkeypatch):
+    texts = [np.array(nested(k), np.int32) for k in range(20)]
+    whole = R.find_runs(texts)
+    monkeypatch.setattr(R, "GRID", 50)
+    for a, b in zip(whole, R.find_runs(texts), strict=True):
+        assert a.tolist() == b.tolist()
+
+
+def test_extensions_against_comparing():
+    r = np.random.default_rng(1)
+    texts = [np.array(nested(k), np.int32) for k in range(4)]
+    sizes = np.array([len(t) for t in texts])
+    starts = np.cumsum(sizes + 1) - sizes - 1
+    flat = np.concatenate([x for k, t in enumerate(texts) for x in (t, [100 + k])]).astype(np.int32)
+    ext = R.Extensions(flat, starts, sizes)
+    doc = r.integers(0, 4, 4000)
+    a, b = (starts[doc] + (r.random(4000) * sizes[doc]).astype(np.int64) for _ in range(2))
+    keep = a != b
+    doc, a, b = doc[keep], a[keep], b[keep]
+    got = ext.lengths(doc, a, b)
+    assert ext.sorted is not None and got.max() > 2 * R.MODULUS
+    for x, y, n in zip(a.tolist(), b.tolist(), got.tolist(), strict=True):
+        k = 0
+        while flat[x + k] == flat[y + k]:
+            k += 1
+        assert k == n
+
+
+def test_only_sampled_suffixes_are_sorted():
+    t = np.concatenate([np.tile(np.arange(50, dtype=np.int32), 20), [99]])
+    assert len(R.SampledSuffixes([t]).rank) <= len(t) * len(R.COVER) / R.MODULUS + len(R.COVER)
+
+
+def test_one_long_text():
+    """Half a million words, a passage of 1500 that follows itself, and 30,000 equal words."""
+    r = np.random.default_rng(2)
+    body = r.integers(0, 100_000, 500_000).astype(np.int32)
+    body[1000:4000] = np.tile(body[1000:2500], 2)
+    body[200_000:230_000] = 7
+    got = [x for x in R.find_runs([body])[0].tolist() if x[1] > 100]
+    assert got == [[1000, 3000, 1500], [200_000, 30_000, 1]]
