@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from gridmart.operators import checks as C
 from gridmart.operators.bronze import drop_all_null_columns, normalize_headers, tag_resource, uncastable
 from gridmart.plans import geo, gold, silver
+from gridmart.plans import incremental as inc
 from gridmart.plans.bronze import country_codes, ingest_capacity, ingest_geo, ingest_long, ingest_wide
 from gridmart.sources import files
 
@@ -79,7 +80,10 @@ CHECKS = {
 
 # Tables split into folders by year, so a year window reads only its folders.
 PARTITIONED = {"ingestion/raw_ember_generation": "year", "staging/stg_ember_generation": "year",
-               "ingestion/raw_owid_energy": "year", "ingestion/raw_irena_capacity": "year"}
+               "ingestion/raw_owid_energy": "year", "ingestion/raw_irena_capacity": "year",
+               "staging/stg_irena_capacity": "year", "staging/stg_owid_energy": "year", "staging/stg_energy_unified": "year",
+               "mart/renewable_mix": "year", "mart/capacity_trend": "year", "mart/energy_kpis": "year",
+               "mart/generation_by_source": "year"}
 
 
 class Builder:
@@ -91,14 +95,17 @@ class Builder:
     def path(self, name: str) -> str:
         return os.path.join(self.out_dir, name)
 
+    def table(self, name: str) -> str:
+        schema, table = name.split("/")
+        return f"`{self.prefix}{schema}`.`{table}`"
+
     def save(self, name: str, df: DataFrame) -> DataFrame:
         by = PARTITIONED.get(name)
         if by:   # rows of a year meet before writing (few files a folder); a large year is split again by its size
             df = df.hint("rebalance", F.col(by))
-        schema, table = name.split("/")
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.prefix}{schema}`")
-        files.write_table(df, self.path(name), [by] if by else (), table=f"`{self.prefix}{schema}`.`{table}`")
-        return self.spark.table(f"`{self.prefix}{schema}`.`{table}`")
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.prefix}{name.split('/')[0]}`")
+        files.write_table(df, self.path(name), [by] if by else (), table=self.table(name))
+        return files.read_table(self.spark, self.path(name))
 
 
 def _renamed(raw: DataFrame) -> DataFrame:
@@ -192,6 +199,34 @@ def build_all(spark: SparkSession, inputs: Inputs, out_dir: str | None = None,
     return {n: b.path(n) for n in names}
 
 
+def refresh_marts(spark: SparkSession, out_dir: str, changed: DataFrame, params: Params | None = None,
+                  catalog_prefix: str = "") -> dict[str, list[int]]:
+    """Brings the unified table and the marts of a build up to date with its staging tables (generation, capacity, context), of which
+    the rows of the ``changed`` keys (entity, year) are new, altered or gone.  Returns the years rewritten of each table."""
+    params = params or Params()
+    b = Builder(spark, out_dir, catalog_prefix)
+
+    def stored(name: str) -> inc.Stored:
+        return inc.Stored(spark, b.path(name), b.table(name))
+
+    def source(name: str) -> DataFrame:
+        return files.read_table(spark, b.path(f"staging/{name}"))
+
+    ember, cap, ctx, cats = (source(n) for n in ("stg_ember_generation", "stg_irena_capacity", "stg_owid_energy",
+                                                 "stg_source_categories"))
+    changed = inc.fixed(changed.select("entity", F.col("year").cast("int").alias("year")).dropna().distinct())
+    unified = stored("staging/stg_energy_unified")
+    done = {"staging/stg_energy_unified": inc.refresh_by_key(
+        unified, lambda e, c, o: silver.stg_energy_unified(e, c, o, cats), [ember, cap, ctx], changed)}
+    mix = stored("mart/renewable_mix")
+    done["mart/renewable_mix"] = inc.refresh_mix(mix, unified.read(), changed)
+    done["mart/capacity_trend"] = inc.refresh_capacity_trend(stored("mart/capacity_trend"), cap, unified.read(), changed)
+    done["mart/energy_kpis"] = inc.refresh_kpis(stored("mart/energy_kpis"), ctx, mix.read(), changed, done["mart/renewable_mix"],
+                                                params.kpi_min_year, *params.decades)
+    done["mart/generation_by_source"] = inc.refresh_generation_by_source(stored("mart/generation_by_source"), unified.read(), changed)
+    return {name: inc.years_of(keys) for name, keys in done.items()}
+
+
 def run_checks_only(spark: SparkSession, out_dir: str) -> DataFrame:
     """C4: re-run the declared checks on already stored tables."""
     tables = {name: files.read_table(spark, os.path.join(out_dir, name)) for name in CHECKS}

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridmart.operators.bronze import concat_by_name, null_tokens
+from gridmart.sources import tables
 from gridmart.sources.fallback import fallback_capacity
 from gridmart.sources.literal import literal_frame
 
@@ -206,22 +207,16 @@ def select_resources(resources: Sequence[dict], dataset_key: str,
     return chosen
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
-                fmt: str = "parquet", table: str | None = None) -> None:
-    """Full-refresh materialisation of an asset (S10) on shared storage; with ``table`` it is also
-    registered in the catalog under that name."""
-    w = df.write.mode("overwrite").format(fmt)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    if table:
-        w.option("path", path).saveAsTable(table)
-    else:
-        w.save(path)
+def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet", table: str | None = None,
+                buckets: tuple[int, Sequence[str]] | None = None) -> None:
+    """Full-refresh materialisation of an asset (S10) on shared storage: a new version, published in one step
+    (see ``sources.tables``); with ``table`` it is also registered in the catalog under that name."""
+    tables.publish(df, path, partition_by, fmt, table, buckets)
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Read an upstream asset by location."""
-    return spark.read.format(fmt).load(path)
+    """Read an upstream asset by location (S11): its current version."""
+    return tables.read(spark, path, fmt)
 
 
 def write_geojson(features: DataFrame, path: str) -> None:

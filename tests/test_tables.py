@@ -1,0 +1,115 @@
+"""Published tables: refreshes that fail, partition-wise refreshes, catalog, buckets."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from gridmart.sources import files, tables
+
+
+def rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def frame(spark, n, years=3, step=0):
+    return spark.range(n).select((F.col("id") % 5).alias("entity"), (2020 + F.col("id") % years).cast("int").alias("year"),
+                                 (F.col("id") + step).alias("v"))
+
+
+def versions(path):
+    return sorted(f for f in os.listdir(path) if f.startswith("v-"))
+
+
+@pytest.mark.parametrize("by", [(), ("year",)])
+def test_a_failed_refresh_leaves_the_old_table(spark, tmpdir_path, by):
+    path, name = os.path.join(tmpdir_path, "t"), f"failed_{len(by)}"
+    files.write_table(frame(spark, 100), path, by, table=name)
+    before, named = rows(files.read_table(spark, path)), rows(spark.table(name).select("entity", "year", "v"))
+    halfway = frame(spark, 1000, step=7).repartition(8).withColumn(
+        "v", F.when(F.col("v") == 500, F.raise_error(F.lit("lost")).cast("long")).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="lost"):
+        files.write_table(halfway, path, by, table=name)
+    assert rows(files.read_table(spark, path)) == before == named == rows(spark.table(name).select("entity", "year", "v"))
+    files.write_table(frame(spark, 50, step=9), path, by, table=name)
+    assert rows(files.read_table(spark, path)) == rows(frame(spark, 50, step=9)) == rows(spark.table(name).select("entity", "year", "v"))
+
+
+def test_a_reader_that_began_before_a_switch_ends(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "t")
+    files.write_table(frame(spark, 100), path)
+    old = files.read_table(spark, path)
+    files.write_table(frame(spark, 10), path)
+    assert old.count() == 100 and files.read_table(spark, path).count() == 10
+    files.write_table(frame(spark, 5), path)
+    assert len(versions(path)) == 2                             # the current one and the one before
+
+
+def test_replaced_partitions(spark, tmpdir_path):
+    path, name = os.path.join(tmpdir_path, "t"), "replaced"
+    files.write_table(frame(spark, 90), path, ["year"], table=name)
+    want = {y: rows(frame(spark, 90).filter(f"year = {y}")) for y in (2020, 2021, 2022)}
+
+    def check():
+        all_ = sorted(r for y in want for r in want[y])
+        assert rows(files.read_table(spark, path)) == all_ == rows(spark.table(name).select("entity", "year", "v"))
+
+    tables.replace_partitions(frame(spark, 30, step=1000), path, "year", [2021], name)
+    want[2021] = rows(frame(spark, 30, step=1000).filter("year = 2021"))
+    check()
+    tables.replace_partitions(frame(spark, 40, years=5, step=5).filter("year <> 2022"), path, "year", [2021, 2022, 2024], name)
+    want |= {y: rows(frame(spark, 40, years=5, step=5).filter(f"year = {y}")) for y in (2021, 2024)} | {2022: []}
+    check()
+    assert not tables.compact(spark, path, table=name) and tables.compact(spark, path, most=1, table=name)
+    assert len(tables.pointer(spark, path).segments) == 1
+    check()
+    with pytest.raises(ValueError):
+        tables.replace_partitions(frame(spark, 3), path, "entity", [1])
+    with pytest.raises(ValueError):
+        tables.replace_partitions(frame(spark, 3), path, "year", [2020, None])
+
+
+def test_only_replaced_partitions_are_written(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "t")
+    files.write_table(frame(spark, 90), path, ["year"])
+    old, = versions(path)
+    tables.replace_partitions(frame(spark, 90, step=1), path, "year", [2022])
+    new, = set(versions(path)) - {old}
+    assert [f for f in os.listdir(os.path.join(path, new)) if "=" in f] == ["year=2022"]
+    kept = rows(files.read_table(spark, path).filter("year < 2022"))
+    assert kept == rows(frame(spark, 90).filter("year < 2022"))
+
+
+def test_text_partitions_keep_their_type(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "t")
+    df = spark.createDataFrame([("01", 1), ("1", 2), ("it's", 3), (None, 4)], "k string, v int")
+    files.write_table(df, path, ["k"], table="texts")
+    assert rows(files.read_table(spark, path).filter("k is not null")) == [("01", 1), ("1", 2), ("it's", 3)]
+    tables.replace_partitions(spark.createDataFrame([("01", 9)], "k string, v int"), path, "k", ["01"])
+    assert rows(files.read_table(spark, path).filter("k is not null")) == [("01", 9), ("1", 2), ("it's", 3)]
+    assert rows(files.read_table(spark, path).filter("k is null").select("v")) == [(4,)]
+
+
+def test_a_changed_schema(spark, tmpdir_path):
+    path, name = os.path.join(tmpdir_path, "t"), "widened"
+    files.write_table(frame(spark, 9), path, ["year"], table=name)
+    files.write_table(frame(spark, 9).withColumn("w", F.lit("x")), path, table=name)
+    assert spark.table(name).columns == ["entity", "year", "v", "w"] and spark.table(name).count() == 9
+
+
+def test_plain_folders_are_still_read(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "plain")
+    frame(spark, 5).write.parquet(path)
+    assert files.read_table(spark, path).count() == 5
+
+
+def test_buckets_spare_the_exchange(spark, tmpdir_path):
+    for name, step in (("bucketed_a", 0), ("bucketed_b", 1)):
+        files.write_table(frame(spark, 300, step=step), os.path.join(tmpdir_path, name), table=name, buckets=(4, ("entity", "year")))
+        files.write_table(frame(spark, 200, step=step), os.path.join(tmpdir_path, name), table=name, buckets=(4, ("entity", "year")))
+    a, b = (spark.table(n).groupBy("entity", "year").agg(F.sum("v").alias(n)) for n in ("bucketed_a", "bucketed_b"))
+    joined = a.hint("merge").join(b, ["entity", "year"])
+    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.count() == 15
+    with pytest.raises(ValueError):
+        files.write_table(frame(spark, 3), tmpdir_path, buckets=(4, ("entity",)))
