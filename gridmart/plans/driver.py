@@ -25,7 +25,9 @@ from gridmart.plans import incremental as inc
 from gridmart.plans.bronze import country_codes, ingest_capacity, ingest_geo, ingest_long, ingest_wide
 from gridmart.plans.build import CHECKS
 from gridmart.session import checkpoint_dir
-from gridmart.sources.files import CAPACITY_FILE_SOURCE, FEATURE_SCHEMA, features_to_rows, read_seed, station_rows
+from gridmart.sources.files import (
+    CAPACITY_FILE_SOURCE, FEATURE_SCHEMA, features_to_rows, read_geojson, read_seed, station_rows, write_geojson,
+)
 from gridmart.sources.tables import publish
 
 PROXY_YEARS = (1996, 2030)
@@ -93,6 +95,13 @@ class Assets:
         parsed = proxies.feature_lines(self.spark, self.sf_dir).select(F.from_json("line", FEATURE_SCHEMA).alias("f"))
         return tag_resource(features_to_rows(parsed.select("f.*")), "events", "Event layer", "ev-1")
 
+    def landed_collection(self) -> DataFrame:
+        """The event layer written as one FeatureCollection and read back in ranges."""
+        path = f"{checkpoint_dir(self.spark)}/events-{uuid.uuid4().hex}.geojson"
+        lines = proxies.feature_lines(self.spark, self.sf_dir).withColumnRenamed("line", "feature")
+        write_geojson(lines, path, document=True, order=["event_id"])
+        return tag_resource(read_geojson(self.spark, path, length=1 << 20), "events", "Event layer", "ev-1")
+
     @cached_property
     def raw_geo(self) -> DataFrame:
         feats = proxies.geo_feature_rows(self.spark, self.sf_dir)
@@ -209,6 +218,11 @@ class Assets:
 CHECK_SPECS = {name.split("/")[1]: checks for name, checks in CHECKS.items()}
 
 
+def _feature_table(landed: DataFrame) -> DataFrame:
+    return landed.select(F.col("properties")["name"].alias("name"), F.col("properties")["level"].alias("level"), "geometry_type",
+                         "geometry_wkt", "dataset", "resource_name", "resource_id")
+
+
 def _q(fn):
     return lambda spark, sf_dir: fn(Assets(spark, sf_dir))
 
@@ -236,9 +250,8 @@ QUERIES = {
     "capacity_countries": _q(lambda p: silver.stg_irena_capacity(p.raw_brand_capacity)),
     "unified_by_name": _q(lambda p: p.unified_by_name),
     "source_categories": _q(lambda p: silver.stg_source_categories(proxies.seed_rows(p.spark, p.sf_dir))),
-    "landed_features": _q(lambda p: p.landed_features.select(
-        F.col("properties")["name"].alias("name"), F.col("properties")["level"].alias("level"), "geometry_type", "geometry_wkt",
-        "dataset", "resource_name", "resource_id")),
+    "landed_features": _q(lambda p: _feature_table(p.landed_features)),
+    "landed_collection": _q(lambda p: _feature_table(p.landed_collection())),
     "map_technology": _q(lambda p: silver.stg_irena_capacity(p.raw_labelled_capacity)),
     # overview / capacity / KPI / sources pages
     "latest": _q(lambda p: serving.latest(p.kpis)),

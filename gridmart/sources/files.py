@@ -10,6 +10,7 @@ from __future__ import annotations
 import csv
 import logging
 import os
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -18,9 +19,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridmart.operators.bronze import concat_by_name, null_tokens
-from gridmart.sources import tables
+from gridmart.session import checkpoint_dir
+from gridmart.sources import geojson, tables
 from gridmart.sources.fallback import fallback_capacity
+from gridmart.sources.geojson import BrokenGeoJson
 from gridmart.sources.literal import literal_frame
+from gridmart.sources.storage import readable
 
 log = logging.getLogger(__name__)
 
@@ -124,10 +128,6 @@ def features_to_rows(feats: DataFrame) -> DataFrame:
     )
 
 
-class BrokenGeoJson(ValueError):
-    """A GeoJSON document that is cut off or is no FeatureCollection."""
-
-
 def _geojson_records(spark: SparkSession, path: str, line_delimited: bool) -> DataFrame:
     """Parsed documents (or lines) with ``_broken``: not JSON of the expected kind."""
     schema = FEATURE_SCHEMA if line_delimited else COLLECTION_SCHEMA
@@ -143,16 +143,23 @@ def broken_records(spark: SparkSession, path: str, line_delimited: bool = False)
     return _geojson_records(spark, path, line_delimited).agg(F.sum(F.col("_broken").cast("long"))).first()[0] or 0
 
 
-def read_geojson(spark: SparkSession, path: str, line_delimited: bool = False) -> DataFrame:
+COMPRESSED = (".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate")
+
+
+def read_geojson(spark: SparkSession, path: str, line_delimited: bool = False, length: int = geojson.RANGE) -> DataFrame:
     """GeoJSON -> (properties, geometry_type, geometry_wkt) rows.
 
-    A FeatureCollection document is read with ``multiLine`` (one task per file,
-    the format is not splittable); land large layers as one Feature per line and
-    pass ``line_delimited=True`` for a fully parallel read.
+    FeatureCollections are read in ranges of ``length`` bytes by many tasks, however long one document is
+    (``sources.geojson``); compressed ones, and those in stores that Arrow does not know, in one task a document.
+    ``line_delimited=True`` reads one Feature per line.
 
     A broken document raises :class:`BrokenGeoJson`, so that a layer never vanishes
     unseen; broken lines are counted in a warning and never land as features.
     """
+    if not line_delimited:
+        found = _files(spark, path)
+        if found and all(readable(f) and not f.lower().endswith(COMPRESSED) for f in found):
+            return _read_ranges(spark, path, length)
     broken = broken_records(spark, path, line_delimited)
     records = _geojson_records(spark, path, line_delimited).filter(~F.col("_broken"))
     if line_delimited:
@@ -164,6 +171,19 @@ def read_geojson(spark: SparkSession, path: str, line_delimited: bool = False) -
     return explode_features(records).repartition(spark.sparkContext.defaultParallelism)
 
 
+def _read_ranges(spark: SparkSession, path: str, length: int) -> DataFrame:
+    """The features' texts go to the shared checkpoint folder as lines, so they are cut out once and parsed by the
+    reader that also reads landed lines: texts of numbers stay as they are."""
+    lines = f"{checkpoint_dir(spark)}/features-{uuid.uuid4().hex}"
+    feats = geojson.read_features(spark, path, length)
+    feats.select(F.translate("feature", "\n\r", "  ")).write.text(lines)      # line ends lie outside strings only
+    records = _geojson_records(spark, lines, True)
+    broken = records.agg(F.count("_corrupt_record"), F.count("type")).first()[0]     # Spark refuses to read the first column alone
+    if broken:
+        raise BrokenGeoJson(f"{broken} broken feature(s) in {path}")
+    return features_to_rows(records)
+
+
 def station_rows(df: DataFrame) -> DataFrame:
     """Station rows carry no geometry: add NULL geometry columns."""
     return df.withColumns({
@@ -219,12 +239,16 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return tables.read(spark, path, fmt)
 
 
-def write_geojson(features: DataFrame, path: str) -> None:
-    """Write one GeoJSON Feature per line (S12), in parallel, one file per task.
+def write_geojson(features: DataFrame, path: str, document: bool = False, order: Sequence[str] = ()) -> None:
+    """Features as GeoJSON (S12): one Feature per line, in parallel, one file per task; or, as ``document``, one valid
+    FeatureCollection at ``path``, in the order of the columns ``order`` and then of the text.
 
-    ``features`` has a single string column holding each Feature's JSON.
+    ``features`` has each Feature's JSON in a string column (``feature`` for a document).
     """
-    features.write.mode("overwrite").text(path)
+    if document:
+        geojson.write_document(features, path, order)
+    else:
+        features.write.mode("overwrite").text(path)
 
 
 def list_databases(spark: SparkSession) -> list[str]:
