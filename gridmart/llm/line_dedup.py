@@ -1,18 +1,25 @@
-"""Fuzzy line dedup by MinHash, in DataFrame functions only.
-
-A line is compared lower-cased and trimmed.  Its set holds the distinct hashes of its character shingles: ``SHINGLE``
-characters from each place, so every character counts; a shorter line is one shingle.  One permutation gives the signature: the hashes are a sorted list, and coordinate
-``i`` is the first hash at or after ``i / K`` of the hash range, going round at its end.  Bands of ``ROWS``
-coordinates are posted; a pair at similarity 0.75 shares none of ``BANDS`` bands with a chance below 1e-4, one at 0.85 below 1e-7.
-
-Lines that are equal have the same key, so a line that a third of all documents repeat is one value after map-side
-combining.  Each bucket with two lines or more links its lines to a few of them: that which shares most buckets, and some
-picked by a hash; links are verified by exact Jaccard on the full sets and joined into components by contraction
-(``graph.components``).  Then all pairs of a bucket that are in different components still are verified, too, so no pair that
-the bands find is lost, and no group that is linked makes its pairs.  Before a text is fetched, sets are compared by size and
-sketch.  A smaller set's sketch is the parity of its hashes in 128 places: no more places differ than the sets differ in hashes, so no
-pair is lost.  A larger one's is one bit of each coordinate: at similarity 0.75 an eighth of them differ, and ``DIFFER`` of ``K`` is more than four deviations off.
-Of a component, the line with the smallest (doc_id, line number) stays.
+"""Fuzzy line dedup by MinHash.
+
+A line is compared lower-cased and trimmed.  Its set holds its character shingles: ``SHINGLE`` characters from each place, so every
+character counts; a shorter line is one shingle.
+
+Signing (numpy, in one pass over the texts).  The signature has ``ROWS * BANDS`` coordinates in ``BANDS`` bands; a pair at similarity 0.75
+shares no band with a chance below 1e-4.  The rows of a band come from permutations of their own, so two unlike lines
+share a band with the chance that it should have.  Lines of ``LONG`` shingles and more take ``ROWS`` permutations, each of which gives every
+band a coordinate (the least hash in each of ``BANDS`` parts of its range; an empty part takes the next one's); shorter ones, which would leave
+parts empty, take a permutation for each coordinate.  Lines that can be similar to one on the other side of that limit are signed in both ways.
+
+Banding.  A posting is a band's key, the line's key and a sketch of 32 signature bits.  Equal lines of a batch are signed and posted once.
+Postings travel as packed blocks, dealt by the band key; a task streams its blocks, keeps each band's first line as its hub, and
+gives the members of bands with two lines or more.  What is held is the bands of a slot, never a band's members.
+
+Verification.  Members are compared with their hub, first by sketch (at similarity 0.75 an eighth of the bits differ; ``DIFFER`` is more
+than five deviations off), then by exact Jaccard on the full sets, and joined into components by contraction (``graph.components``).  Bands whose
+members are in different components still are looked at again, so no pair that the bands find is lost: in those of up to ``SMALL_BAND``
+members all pairs across components pass the sketch and the exact comparison; the lines of larger ones are joined by
+exact prefixes of rare shingles (``prefix_join``), which needs no pairs of a band.  A text is fetched for lines in candidate pairs only, by one more
+pass over the texts that a bitmap of ``BITMAP`` bits (of fixed size) thins out.  Of a component, the line with the smallest
+(doc_id, line number) stays.
 
 Keys are 64-bit; of two lines that share one by chance, told apart by a second hash, only one takes part in the links.
 
@@ -23,69 +30,365 @@ empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridmart.llm.common import Scratch
+from gridmart.llm.common import Scratch, small_batches
 from gridmart.llm.graph import components
-from gridmart.llm.prefix_join import open_rows
+from gridmart.llm.prefix_join import cross_links, open_rows
 
 SHINGLE = 5
 BANDS, ROWS = 25, 4
-K = BANDS * ROWS
 THRESHOLD = 75            # percent
-RANGE = 1 << 60
-SMALL, DIFFER = 150, 32   # sets are compared by parities if one is smaller than this, by coordinates' bits otherwise
-PICKED = 2                # lines of a bucket that all others are compared with, besides the one in the middle
-# one match a character (not a UTF-16 unit), which looks ahead; linear in a line's length
-_SHINGLES = f"(?s)(?=(.{{{SHINGLE}}}|\\A.{{1,{SHINGLE - 1}}}\\z))."
+LONG = 64                 # shingles
+DIFFER = 13               # of 32 sketch bits
+SMALL_BAND = 256          # members; pairs of larger bands are found by prefixes
+BITMAP = 1 << 26          # bits
+SLOT_POSTINGS = 4_000_000     # held at once by a task that reads blocks
+FLUSH = 1_000_000         # postings, before a task gives blocks
+CHARACTERS = 1_000_000    # signed side by side
 _BLANK = " \t\n\x0b\f\r"
-
-
-def shingle_set(line: Column) -> Column:
-    """Sorted distinct shingle hashes of a normalised line, below ``RANGE``; odd."""
-    found = F.regexp_extract_all(line, F.lit(_SHINGLES), F.lit(1))
-    return F.sort_array(F.array_distinct(F.transform(found, lambda s: F.xxhash64(s).bitwiseAND(F.lit(RANGE - 1)).bitwiseOR(F.lit(1)))))
-
-
-def bands(hashes: str) -> list[tuple[str, Column]]:
-    """Steps (column, expression) from a set's sorted hashes to its band keys and its sketch."""
-    marks = F.array(*[F.lit(i * (RANGE // K) & ~1) for i in range(K)])       # even, so no hash
-    merged = F.sort_array(F.concat(hashes, marks))
-    places = F.filter(F.transform("_merged", lambda x, i: F.when(x.bitwiseAND(F.lit(1)) == 0, i)), lambda at: at.isNotNull())
-
-    def coordinate(at: Column, i: Column) -> Column:
-        return F.get(hashes, F.when(at - i >= F.size(hashes), 0).otherwise(at - i))      # the first hash at or after the mark
-
-    def band(j: Column) -> Column:
-        return F.xxhash64(j, *[F.get("_signature", j * ROWS + r) for r in range(ROWS)]).bitwiseAND(F.lit((1 << 40) - 1))
-
-    def bits(part: int) -> Column:
-        of = F.aggregate(F.slice("_signature", part * (K // 2) + 1, K // 2), F.lit(0).cast("long"),
-                         lambda acc, x: F.shiftleft(acc, 1).bitwiseOR(F.shiftright(x, 1).bitwiseAND(F.lit(1))))
-        return F.when(F.size(hashes) >= SMALL, of)
-
-    def parity(part: int) -> Column:
-        place = F.filter(hashes, lambda x: F.shiftright(x, 7).bitwiseAND(F.lit(1)) == part)
-        of = F.aggregate(place, F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(F.call_function(
-            "shiftleft", F.lit(1).cast("long"), F.shiftright(x, 1).bitwiseAND(F.lit(63)).cast("int"))))
-        return F.when(F.size(hashes) * 3 <= SMALL * 4, of)
-
-    return [("_merged", merged), ("_places", places), ("_signature", F.transform("_places", coordinate)),
-            ("bands", F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), band)),
-            ("mark", F.struct(F.size(hashes).alias("n"), *[bits(i).alias(f"b{i}") for i in (0, 1)], *[parity(i).alias(f"p{i}") for i in (0, 1)]))]
-
-
-def alike(x: str, y: str) -> Column:
-    """Whether two sets can be similar, by their marks."""
-    def differ(kind: str) -> Column:
-        return sum(F.bit_count(F.col(f"{x}.{kind}{i}").bitwiseXOR(F.col(f"{y}.{kind}{i}"))) for i in (0, 1))
-
-    n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
-    sizes = 100 * F.least(n, m) >= THRESHOLD * F.greatest(n, m)
-    small = (100 + THRESHOLD) * differ("p") <= (100 - THRESHOLD) * (n + m)
-    return sizes & F.coalesce(F.when(F.least(n, m) < SMALL, small).otherwise(differ("b") <= DIFFER), F.lit(True))
-
+_random = np.random.default_rng(20)
+_STEP = _random.integers(1 << 62, 1 << 63, SHINGLE, dtype=np.uint64) | np.uint64(1)
+_TURN = _random.integers(1 << 30, 1 << 32, (ROWS + ROWS * BANDS, 2), dtype=np.uint32) | np.uint32(1)
+_EMPTY = np.uint32(0xFFFFFFFF)
+# of a band's key 40 bits, the slot is the rest; a line's key; its sketch
+_POSTING = np.dtype([("low", "<u4"), ("high", "u1"), ("key", "<i8"), ("sketch", "<u4")])
+
+
+# Lines and their sets
+
+def normal(line: str) -> str:
+    return line.strip(_BLANK).lower()
+
+
+def keys_of(norm: str) -> tuple[int, int]:
+    """Two 64-bit keys of a line."""
+    h = xxhash.xxh3_128_intdigest(norm.encode("utf-8", "surrogatepass"))
+    return (h & (1 << 64) - 1) - (1 << 63), (h >> 64) - (1 << 63)
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
+    return h ^ (h >> np.uint64(32))
+
+
+def shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the shingles of non-empty lines, line after line, and how many each line has (repeats counted)."""
+    codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + np.uint64(1)
+    sizes = np.fromiter(map(len, lines), np.int64, len(lines))
+    ends = np.cumsum(sizes)
+    wide = np.concatenate([codes, np.zeros(SHINGLE - 1, np.uint64)])
+    h = codes * _STEP[0]
+    for k in range(1, SHINGLE):
+        h += wide[k: k + len(codes)] * _STEP[k]
+    whole, long = np.ones(len(codes), bool), sizes >= SHINGLE
+    for k in range(1, SHINGLE):
+        whole[ends[long] - k] = False
+    for end, size in zip(ends[~long].tolist(), sizes[~long].tolist(), strict=True):
+        h[end - size] = (codes[end - size: end] * _STEP[:size]).sum(dtype=np.uint64)
+        whole[end - size + 1: end] = False
+    return _mixed(h[whole]), np.maximum(sizes - SHINGLE + 1, 1)
+
+
+def sets_of(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct shingle hashes (60 bits) of each line, line after line, and how many each has."""
+    h, sizes = shingles(lines)
+    line = np.repeat(np.arange(len(lines)), sizes)
+    h >>= np.uint64(4)
+    order = np.lexsort((h, line))
+    h, line = h[order], line[order]
+    first = np.ones(len(h), bool)
+    first[1:] = (h[1:] != h[:-1]) | (line[1:] != line[:-1])
+    return h[first], np.bincount(line[first], minlength=len(lines))
+
+
+def similar(xs: list[str], ys: list[str]) -> np.ndarray:
+    """Whether the sets of two lines have a Jaccard similarity of ``THRESHOLD`` percent, pair by pair."""
+    h, sizes = sets_of([*xs, *ys])
+    n = len(xs)
+    pair = np.repeat(np.concatenate([np.arange(n), np.arange(n)]), sizes)
+    order = np.lexsort((h, pair))
+    h, pair = h[order], pair[order]
+    both = (h[1:] == h[:-1]) & (pair[1:] == pair[:-1])
+    common = np.bincount(pair[1:][both], minlength=n)
+    return 100 * common >= THRESHOLD * (sizes[:n] + sizes[n:] - common)
+
+
+# Signatures
+
+def _permuted(h: np.ndarray, k: int) -> np.ndarray:
+    """A 32-bit permutation of 64-bit hashes."""
+    x = h.astype(np.uint32) * _TURN[k, 0] + (h >> np.uint64(32)).astype(np.uint32) * _TURN[k, 1]
+    x ^= x >> np.uint32(15)
+    x *= np.uint32(0x2C1B3C6D)
+    return x ^ (x >> np.uint32(13))
+
+
+def _long_signature(h: np.ndarray, line: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(lines, BANDS, ROWS): for each row's permutation, the least hash in each of BANDS parts of the range; and whether a part was empty."""
+    out, gaps = np.empty((n, BANDS, ROWS), np.uint32), np.zeros(n, bool)
+    base = line * BANDS
+    for row in range(ROWS):
+        x = _permuted(h, row)
+        least = np.full(n * BANDS, _EMPTY)
+        np.minimum.at(least, base + (((x >> np.uint32(16)) * np.uint32(BANDS)) >> np.uint32(16)), x)
+        least = least.reshape(n, BANDS)
+        gaps |= (least == _EMPTY).any(axis=1)
+        while (empty := least == _EMPTY).any():
+            least = np.where(empty, np.roll(least, -1, axis=1), least)
+        out[:, :, row] = least
+    return out, gaps
+
+
+def _short_signature(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """(lines, BANDS, ROWS): a permutation for each coordinate."""
+    out = np.empty((len(starts), BANDS, ROWS), np.uint32)
+    for k in range(BANDS * ROWS):
+        out[:, k // ROWS, k % ROWS] = np.minimum.reduceat(_permuted(h, ROWS + k), starts)
+    return out
+
+
+def _posted(signature: np.ndarray, way: int) -> tuple[np.ndarray, np.ndarray]:
+    """Band keys (lines, BANDS) and sketches of signatures."""
+    key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(way), signature.shape[:2])
+    for row in range(ROWS):
+        key = _mixed((key + np.uint64(1)) * _STEP[0] ^ signature[:, :, row])
+    bits = signature[:, :16, :2].reshape(len(signature), 32) & np.uint32(1)
+    return key, (bits << np.arange(32, dtype=np.uint32)).sum(axis=1, dtype=np.uint32)
+
+
+def signed(lines: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Places in ``lines`` (distinct, non-empty), band keys (places, BANDS) and sketches, in portions of bounded size."""
+    at = 0
+    while at < len(lines):
+        stop, held = at, 0
+        while stop < len(lines) and (stop == at or held + len(lines[stop]) <= CHARACTERS):
+            held += len(lines[stop])
+            stop += 1
+        for places, keys, sketches in _signed(lines[at:stop]):
+            yield places + at, keys, sketches
+        at = stop
+
+
+def _signed(lines: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    h, sizes = shingles(lines)
+    line = np.repeat(np.arange(len(lines)), sizes)
+    distinct = sizes.copy()
+    chosen = np.flatnonzero(sizes >= LONG)
+    if len(chosen):
+        of, part = _of(line, chosen, len(lines)), (sizes >= LONG)[line]
+        signature, gaps = _long_signature(h[part], of[line[part]], len(chosen))
+        # sets count, not places: a line that is not much longer than the limit, or leaves a part empty, has its set counted
+        count = chosen[gaps | (sizes[chosen] < 4 * LONG * 100 // THRESHOLD)]
+        if len(count):
+            distinct[count] = sets_of([lines[k] for k in count.tolist()])[1]
+        enough = distinct[chosen] >= LONG
+        if enough.any():
+            yield chosen[enough], *_posted(signature[enough], 0)
+    chosen = np.flatnonzero(distinct * THRESHOLD < LONG * 100)
+    if len(chosen):
+        few = np.zeros(len(lines), bool)
+        few[chosen] = True
+        part = few[line]
+        yield chosen, *_posted(_short_signature(h[part], np.flatnonzero(np.diff(line[part], prepend=-1))), 1)
+
+
+def _of(line: np.ndarray, chosen: np.ndarray, n: int) -> np.ndarray:
+    """Number of each line among the chosen ones."""
+    of = np.zeros(n, np.int64)
+    of[chosen] = np.arange(len(chosen))
+    return of
+
+
+# Banding
+
+def _blocks(lines: dict[int, str], slots: int) -> pa.RecordBatch:
+    """Postings of lines by slot, one packed block each."""
+    keys, texts = np.fromiter(lines, np.int64, len(lines)), list(lines.values())
+    found = []
+    for places, bands, sketches in signed(texts):
+        found.append((bands.ravel(), np.repeat(keys[places], BANDS), np.repeat(sketches, BANDS)))
+    band, key, sketch = (np.concatenate(x) for x in zip(*found, strict=True))
+    slot = ((band >> np.uint64(40)) % np.uint64(slots)).astype(np.int32)
+    order = np.argsort(slot, kind="stable")
+    rows = np.empty(len(order), _POSTING)
+    band = band[order]
+    rows["low"], rows["high"] = band.astype(np.uint32), (band >> np.uint64(32)).astype(np.uint8)
+    rows["key"], rows["sketch"] = key[order], sketch[order]
+    used, first = np.unique(slot[order], return_index=True)
+    bounds = [*first.tolist(), len(rows)]
+    return pa.RecordBatch.from_pydict({
+        "slot": pa.array(used, pa.int32()),
+        "block": pa.array([rows[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())})
+
+
+def postings(docs: DataFrame, text: str, slots: int) -> DataFrame:
+    """``slot``, ``block``: the postings of all lines; equal lines of some batches once."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, str] = {}
+        for batch in batches:
+            for one in batch.column(0).to_pylist():
+                for line in (one or "").split("\n"):
+                    norm = normal(line)
+                    if norm:
+                        held.setdefault(keys_of(norm)[0], norm)
+                if len(held) * BANDS >= FLUSH:
+                    yield _blocks(held, slots)
+                    held = {}
+        if held:
+            yield _blocks(held, slots)
+
+    return docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(run, "slot int, block binary")
+
+
+def _sorted_postings(blocks: list[bytes], slot: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Band keys (within the slot), line keys and sketches in order, each line once in a band."""
+    rows = np.frombuffer(b"".join(blocks), _POSTING)
+    band = rows["low"].astype(np.int64) | (rows["high"].astype(np.int64) << 32)
+    order = np.lexsort((rows["key"], band))
+    band, key, sketch = band[order], rows["key"][order], rows["sketch"][order]
+    new = np.ones(len(band), bool)
+    new[1:] = (band[1:] != band[:-1]) | (key[1:] != key[:-1])
+    return band[new], key[new], sketch[new]
+
+
+def _members(slot: int, band: np.ndarray, key: np.ndarray, sketch: np.ndarray, hub: np.ndarray, near: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({
+        "band": pa.array(band | (np.int64(slot & 0x3FFFFF) << 40), pa.int64()), "k1": pa.array(key, pa.int64()),
+        "sketch": pa.array(sketch.view(np.int32), pa.int32()), "hub": pa.array(hub, pa.int64()), "near": pa.array(near)})
+
+
+def meet(slot: int, portions: Iterator[list[bytes]]) -> Iterator[pa.RecordBatch]:
+    """The members of a slot's bands: all of those with three lines or more; of two lines, the second one if it is near the first.
+    ``near``: the sketches allow that it is similar to the band's hub, whose own row says so of itself.
+
+    The first portion is usually the whole slot.  Where others follow, bands are kept with their hubs (and what has not been given yet)
+    and the rest streams past them."""
+    known = hubs = marks = None
+    waiting = next(portions, None)
+    while waiting is not None:
+        now, waiting = waiting, next(portions, None)
+        band, key, sketch = _sorted_postings(now, slot)
+        first = np.ones(len(band), bool)
+        first[1:] = band[1:] != band[:-1]
+        start = np.flatnonzero(first)
+        size = np.diff(np.append(start, len(band)))
+        hub, mark = np.repeat(key[start], size), np.repeat(sketch[start], size)
+        alone = np.repeat(size == 1, size)
+        if known is not None:
+            at = np.minimum(np.searchsorted(known, band), len(known) - 1)
+            old = known[at] == band
+            hub[old], mark[old] = hubs[at[old]], marks[at[old]]
+            alone &= ~old
+        near = np.bitwise_count(sketch ^ mark) <= DIFFER
+        streamed = waiting is not None or known is not None       # a band may go on in a portion to come, so all are given
+        give = ~alone if not streamed else np.ones(len(band), bool)
+        if not streamed:
+            two = np.repeat(size == 2, size)
+            give &= ~two | (near & (key != hub))
+        if give.any():
+            yield _members(slot, band[give], key[give], sketch[give], hub[give], near[give])
+        if waiting is not None:
+            new = start if known is None else start[~old[start]]
+            merged = np.concatenate([*([known] if known is not None else []), band[new]])
+            order = np.argsort(merged, kind="stable")
+            hubs = np.concatenate([*([hubs] if hubs is not None else []), key[new]])[order]
+            marks = np.concatenate([*([marks] if marks is not None else []), sketch[new]])[order]
+            known = merged[order]
+
+
+def members(blocks: DataFrame) -> DataFrame:
+    """``band``, ``k1``, ``sketch``, ``hub``, ``near`` of the bands that lines share."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = ((s, b) for batch in batches for s, b in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        following = next(rows, None)
+
+        def portions(slot: int) -> Iterator[list[bytes]]:
+            nonlocal following
+            while following is not None and following[0] == slot:
+                held, size = [], 0
+                while following is not None and following[0] == slot and size < SLOT_POSTINGS * _POSTING.itemsize:
+                    held.append(following[1])
+                    size += len(following[1])
+                    following = next(rows, None)
+                yield held
+
+        while following is not None:
+            slot = following[0]
+            yield from meet(slot, portions(slot))
+
+    dealt = blocks.repartition("slot").sortWithinPartitions("slot")
+    return dealt.mapInArrow(run, "band long, k1 long, sketch int, hub long, near boolean")
+
+
+# Texts of single lines
+
+def norms(docs: DataFrame, text: str, nodes: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """``k1``, ``norm`` of the lines ``nodes`` (``k1``, each once)."""
+    spark, at = docs.sparkSession, F.pmod("k1", F.lit(BITMAP)).cast("long")
+    bits = nodes.groupBy(F.shiftright(at, 15).alias("part")).agg(
+        F.bitmap_construct_agg(at.bitwiseAND(F.lit(32767).cast("long"))).alias("bits"))
+    bitmap = np.zeros(BITMAP // 8, np.uint8)
+    for r in bits.collect():                                         # BITMAP bits at most
+        bitmap[r["part"] * 4096: (r["part"] + 1) * 4096] = np.frombuffer(r["bits"], np.uint8)
+    wanted = spark.sparkContext.broadcast(bitmap)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = wanted.value
+        for batch in batches:
+            found: dict[int, str] = {}
+            for one in batch.column(0).to_pylist():
+                for line in (one or "").split("\n"):
+                    norm = normal(line)
+                    if norm:
+                        key = keys_of(norm)[0]
+                        if held[key % BITMAP >> 3] >> (key & 7) & 1:
+                            found[key] = norm
+            yield pa.RecordBatch.from_pydict({"k1": pa.array(found.keys(), pa.int64()), "norm": pa.array(found.values(), pa.string())})
+
+    every = docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(run, "k1 long, norm string")
+    return scratch.write(every.join(nodes, "k1").dropDuplicates(["k1"]), name)
+
+
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (``a``, ``b``) whose lines' sets are similar; ``texts``: ``k1``, ``norm``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            sizes = [len(x) + len(y) for x, y in zip(*(batch.column(k).to_pylist() for k in (2, 3)), strict=True)]
+            while at < len(batch):                                   # portions of bounded size
+                stop, held = at, 0
+                while stop < len(batch) and (stop == at or held + sizes[stop] <= CHARACTERS):
+                    held += sizes[stop]
+                    stop += 1
+                part = batch.slice(at, stop - at)
+                good = similar(part.column(2).to_pylist(), part.column(3).to_pylist())
+                yield part.select(["a", "b"]).filter(pa.array(good))
+                at = stop
+
+    both = pairs.join(texts.select(F.col("k1").alias("a"), F.col("norm").alias("na")), "a").join(
+        texts.select(F.col("k1").alias("b"), F.col("norm").alias("nb")), "b")
+    return both.select("a", "b", "na", "nb").mapInArrow(run, "a long, b long")
+
+
+def sets_frame(texts: DataFrame) -> DataFrame:
+    """``node``, ``items``: lines with their sets."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h, sizes = sets_of(batch.column(1).to_pylist())
+            items = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes.tolist()]), pa.int32()), pa.array(h.astype(np.int64), pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), items], ["node", "items"])
+
+    return texts.select("k1", "norm").mapInArrow(run, "node long, items array<long>")
+
+
+# Lines and groups
 
 def row_key(doc_id: str, text: str) -> Column:
     """Tells rows apart that share a doc_id or have none; the same for rows with equal doc_id and text, whose lines are the same."""
@@ -93,12 +396,23 @@ def row_key(doc_id: str, text: str) -> Column:
 
 
 def lines_of(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``doc_id``, ``row``, ``line_no`` (from 0), ``norm`` (null for a blank line), ``k1``, ``k2``."""
-    lines = docs.select(F.col(doc_id).alias("doc_id"), row_key(doc_id, text).alias("row"), F.posexplode(F.split(F.coalesce(text, F.lit("")), "\n")).alias("line_no", "line"))
-    norm = F.lower(F.btrim("line", F.lit(_BLANK)))
-    lines = lines.select("doc_id", "row", "line_no", F.when(norm != "", norm).alias("norm"))
-    return lines.select("doc_id", "row", "line_no", "norm", F.when(F.col("norm").isNotNull(), F.xxhash64("norm")).alias("k1"),
-                        F.when(F.col("norm").isNotNull(), F.xxhash64(F.lit(1), "norm")).alias("k2"))
+    """``doc_id``, ``row``, ``line_no`` (from 0), ``k1``, ``k2`` (null for a blank line)."""
+    source = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), row_key(doc_id, text).alias("row"), F.col(f"`{text}`").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            split = [(t or "").split("\n") for t in batch.column(2).to_pylist()]
+            counts = np.fromiter(map(len, split), np.int64, len(split))
+            of = pa.array(np.repeat(np.arange(len(split)), counts))
+            numbers = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+            keys = [keys_of(n) if (n := normal(x)) else (None, None) for lines in split for x in lines]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(of), batch.column(1).take(of), pa.array(numbers, pa.int32()),
+                 *(pa.array(c, pa.int64()) for c in zip(*keys, strict=True))] if keys else
+                [batch.column(0), batch.column(1), *(pa.array([], t) for t in (pa.int32(), pa.int64(), pa.int64()))],
+                ["doc_id", "row", "line_no", "k1", "k2"])
+
+    return source.mapInArrow(run, f"doc_id {dict(source.dtypes)['doc_id']}, row long, line_no int, k1 long, k2 long")
 
 
 def line_groups(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -106,74 +420,57 @@ def line_groups(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text:
     return grouped_lines(docs, scratch, doc_id, text).drop("row")
 
 
-def grouped_lines(docs: DataFrame, scratch: Scratch, doc_id: str, text: str) -> DataFrame:
-    """``line_groups`` with the key of each line's ``row``."""
-    lines = lines_of(docs, doc_id, text)
-    signed = lines.withColumn("_set", shingle_set(F.col("norm")))
-    for name, step in bands("_set"):
-        signed = signed.withColumn(name, F.when(F.size("_set") > 0, step))
-    signed = scratch.write(signed.select("doc_id", "row", "line_no", "k1", "k2", "bands", "mark"), "lines")
-
-    posted = signed.filter("bands IS NOT NULL").select("k1", F.explode("bands").alias("band"))
-    half = F.shiftright("k1", 32)             # tells the keys of a bucket apart
-    buckets = scratch.write(posted.groupBy("band").agg(F.min(half).alias("low"), F.max(half).alias("high"))
-                            .filter("low < high").select("band"), "buckets")
-    members = scratch.write(posted.join(buckets, "band").distinct(), "members")
-    # each key's first line, and how many lines have it: combined map-side, so a very common line is a row for each task
-    keys = scratch.write(signed.filter("k1 IS NOT NULL").groupBy("k1").agg(
-        F.min(F.struct("k2", "doc_id", "line_no", "row", "mark")).alias("at"), F.count(F.lit(1)).alias("n")), "keys")
-    # the line that shares most buckets is in the middle of a group, and links most of it
-    shared = scratch.write(members.groupBy("k1").agg(F.count(F.lit(1)).alias("shared")), "shared")
-    marks = scratch.write(keys.join(shared, "k1").select("k1", "shared", F.struct("k1", "at.mark.*").alias("x")), "marks")
-    marked = scratch.write(members.join(marks, "k1").select("band", "shared", "x"), "marked")
-    picks = [F.col("shared"), *[F.xxhash64("x.k1", F.lit(i)) for i in range(PICKED)]]
-    hubs = marked.groupBy("band").agg(*[F.max(F.struct(p.alias("by"), "x")).alias(f"h{i}") for i, p in enumerate(picks)])
-    hubs = scratch.write(hubs.select("band", F.array_distinct(F.array(*[f"h{i}.x" for i in range(len(picks))])).alias("hubs")), "hubs")
+def line_links(docs: DataFrame, text: str, scratch: Scratch) -> DataFrame:
+    """Pairs (``a``, ``b``) of keys of lines whose sets are similar, enough to join all that the bands find."""
+    spark = docs.sparkSession
+    slots = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    met = scratch.write(members(postings(docs, text, slots)), "members")
 
     def ordered(pairs: DataFrame) -> DataFrame:
-        return pairs.select(F.least("x.k1", "y.k1").alias("a"), F.greatest("x.k1", "y.k1").alias("b")).distinct()
-
-    first = marked.join(hubs, "band").select("x", F.explode("hubs").alias("y")).filter("x.k1 <> y.k1").filter(alike("x", "y"))
-    first = scratch.write(ordered(first), "hub-pairs")
-    scratch.drop(marked)
-
-    def linked(pairs: DataFrame, name: str) -> DataFrame:
-        """The pairs whose sets are similar; a line's text is fetched once: its row finds it by its number."""
-        nodes = pairs.select(F.col("a").alias("k1")).union(pairs.select("b")).distinct()
-        places = keys.join(nodes, "k1").select("k1", "at.row", "at.line_no")
-        places = scratch.write(places, f"{name}-places").groupBy(F.col("row").alias("_r")).agg(
-            F.collect_list(F.struct("line_no", "k1")).alias("_wanted"))          # lines of one row
-        split = docs.select(row_key(doc_id, text).alias("_row"), F.col(text).alias("_text")).join(
-            places, F.col("_row") == F.col("_r")).select("_wanted", F.split("_text", "\n").alias("_lines"))
-        body = F.explode(F.transform("_wanted", lambda w: F.struct(w["k1"].alias("k1"), F.lower(F.btrim(
-            F.get("_lines", w["line_no"]), F.lit(_BLANK))).alias("norm"))))
-        found = split.select(body.alias("b")).select("b.k1", "b.norm").filter(F.xxhash64("norm") == F.col("k1"))
-        norms = scratch.write(found.dropDuplicates(["k1"]), f"{name}-norms")
-        both = pairs.join(norms.select(F.col("k1").alias("a"), F.col("norm").alias("na")), "a").join(
-            norms.select(F.col("k1").alias("b"), F.col("norm").alias("nb")), "b")
-        both = both.select("a", "b", shingle_set(F.col("na")).alias("sa"), shingle_set(F.col("nb")).alias("sb"))
-        both = both.select("a", "b", (F.size("sa") + F.size("sb")).alias("n"), F.size(F.array_intersect("sa", "sb")).alias("common"))
-        return scratch.write(both.filter(100 * F.col("common") >= THRESHOLD * (F.col("n") - F.col("common"))).select("a", "b"),
-                             f"{name}-links")
-
-    links = linked(first, "hub")
+        return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    def nodes_of(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("a").alias("k1")).union(pairs.select("b")).distinct()
+
+    first = scratch.write(ordered(met.filter("near AND k1 <> hub").select(F.col("k1").alias("a"), F.col("hub").alias("b"))), "hub-pairs")
+    texts = norms(docs, text, nodes_of(first), scratch, "hub-norms")
+    links = scratch.write(verified(first, texts), "hub-links")
+    scratch.drop(texts)
     group = scratch.write(components(links, scratch), "groups")
-    # the lines of buckets that still hold several components: all pairs across them
-    rest = open_rows(members.select(F.col("k1").alias("node"), "band"), group, scratch, "band")
-    rest = scratch.write(rest.join(marks, F.col("node") == F.col("k1")).select("band", "c", "x"), "rest")
-    cross = rest.join(rest.select("band", F.col("c").alias("cy"), F.col("x").alias("y")), "band").filter(F.col("c") < F.col("cy")).filter(alike("x", "y"))
-    more = linked(scratch.write(ordered(cross).join(first, ["a", "b"], "left_anti"), "cross-pairs"), "cross")
 
-    label = components(links.unionByName(more), scratch)
+    rest = open_rows(met.select(F.col("k1").alias("node"), "band", "sketch"), group, scratch, "band")
+    sizes = rest.groupBy("band").agg(F.count(F.lit(1)).alias("held"))
+    rest = scratch.write(rest.join(sizes, "band"), "rest")
+    small = rest.filter(F.col("held") <= SMALL_BAND).select("band", "c", "node", "sketch")
+    other = small.select("band", F.col("c").alias("cy"), F.col("node").alias("other"), F.col("sketch").alias("sy"))
+    near = F.bit_count(F.col("sketch").bitwiseXOR(F.col("sy"))) <= DIFFER
+    cross = small.join(other, "band").filter((F.col("c") < F.col("cy")) & near).select(F.col("node").alias("a"), F.col("other").alias("b"))
+    cross = scratch.write(ordered(cross).join(first, ["a", "b"], "left_anti"), "cross-pairs")
+    large = scratch.write(rest.filter(F.col("held") > SMALL_BAND).select(F.col("node").alias("k1")).distinct(), "large")
+    texts = norms(docs, text, nodes_of(cross).union(large).distinct(), scratch, "cross-norms")
+    links = scratch.write(links.unionByName(verified(cross, texts)), "links")
+    if not large.isEmpty():
+        sets = scratch.write(sets_frame(texts.join(large, "k1")), "large-sets")
+        more = cross_links(sets, links, THRESHOLD, scratch, lambda pairs, name: scratch.write(verified(pairs, texts), name))
+        links = links.unionByName(more)
+    return links
+
+
+def grouped_lines(docs: DataFrame, scratch: Scratch, doc_id: str, text: str) -> DataFrame:
+    """``line_groups`` with the key of each line's ``row``."""
+    small_batches(docs.sparkSession, rows=1000, size="8m")
+    lines = scratch.write(lines_of(docs, doc_id, text), "lines")
+    label = components(line_links(docs, text, scratch), scratch)
+    # each key's first line, and how many lines have it: combined map-side, so a very common line is a row for each task
+    keys = lines.filter("k1 IS NOT NULL").groupBy("k1").agg(F.min(F.struct("k2", "doc_id", "line_no")).alias("at"), F.count(F.lit(1)).alias("n"))
     # only lines that are repeated or linked need another line's place
-    classes = keys.withColumn("k2", F.col("at.k2")).join(label.withColumnRenamed("node", "k1"), "k1", "left").filter("n > 1 OR component IS NOT NULL")
-    classes = scratch.write(classes.select("k1", "k2", F.coalesce("component", "k1").alias("c"), F.col("at.doc_id").alias("doc_id"),
+    classes = keys.join(label.withColumnRenamed("node", "k1"), "k1", "left").filter("n > 1 OR component IS NOT NULL")
+    classes = scratch.write(classes.select("k1", F.col("at.k2").alias("k2"), F.coalesce("component", "k1").alias("c"), F.col("at.doc_id").alias("doc_id"),
                                            F.col("at.line_no").alias("line_no")), "classes")
-    best = scratch.write(classes.groupBy("c").agg(F.min(F.struct("doc_id", "line_no")).alias("best")), "best")
+    best = classes.groupBy("c").agg(F.min(F.struct("doc_id", "line_no")).alias("best"))
     stay = scratch.write(classes.join(best, "c").select("k1", "k2", "best"), "stay")
     # a blank line or one alone looks nothing up; its key is spread by its place
-    found = signed.select("doc_id", "row", "line_no", "k1", "k2").withColumn(
-        "_key", F.coalesce("k1", F.xxhash64("row", "line_no")))
+    found = lines.withColumn("_key", F.coalesce("k1", F.xxhash64("row", "line_no")))
     joined = found.join(stay.select(F.col("k1").alias("_key"), F.col("k2").alias("_k2"), "best"), "_key", "left")
     hit = F.col("k1").isNotNull() & (F.col("k2") == F.col("_k2")) & F.col("best").isNotNull()
     keep_doc = F.when(hit, F.col("best.doc_id")).otherwise(F.col("doc_id"))

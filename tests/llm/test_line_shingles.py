@@ -2,10 +2,9 @@
 
 import random
 
-from pyspark.sql import functions as F
+import numpy as np
 
-from gridmart.llm.line_dedup import BANDS, ROWS, alike, bands, dedup_lines, line_groups, shingle_set
-from tests.llm import test_line_dedup as old
+from gridmart.llm.line_dedup import BANDS, DIFFER, LONG, ROWS, dedup_lines, line_groups, meet, shingles, signed, similar
 from tests.llm.conftest import frame
 
 SPACE = " \t\n\x0b\f\r"
@@ -85,28 +84,88 @@ def test_rows_without_id_are_rows_of_their_own(spark, scratch):
                           (True, -5, "\n")])
 
 
-def test_unlike_pairs_of_a_bucket_are_sifted_and_similar_ones_are_not(spark):
-    r, rows = random.Random(7), []
+def test_unlike_pairs_of_a_bucket_are_sifted_and_similar_ones_are_not():
+    r, near, far, alike = random.Random(7), 0, 0, 0
     for i in range(300):
         line = "".join(r.choice("abcdefghijklmnop") for _ in range(10 + 2 * i))
         cut = len(line) - r.randrange(len(line) // 7 + 1)
-        rows.append((line, line[:cut], "".join(r.choice("abcdefghijklmnop") for _ in range(len(line)))))
-    df = spark.createDataFrame(rows, "x string, y string, z string")
-    for c in "xyz":
-        df = df.withColumn("_set", shingle_set(F.col(c)))
-        for name, step in bands("_set"):
-            df = df.withColumn(name, step)
-        df = df.withColumn(c + "m", F.struct("mark.*"))
-    for (x, y, _), got in zip(rows, df.select(alike("xm", "ym").alias("near"), alike("xm", "zm").alias("far")).collect(), strict=True):
+        x, y, z = line, line[:cut], "".join(r.choice("abcdefghijklmnop") for _ in range(len(line)))
+        found = [{int(w): (set(k[n].tolist()), int(s[n])) for w, (p, k, s) in enumerate(signed([t])) for n in range(len(p))} for t in (x, y, z)]
         a, b = full_set(x), full_set(y)
-        assert got.near or 100 * len(a & b) < 75 * len(a | b)
-        assert not got.far
-
-
-def test_edges_and_fuzzy_lines_by_the_full_definition(spark, scratch, monkeypatch):
-    """The cases of test_line_dedup.py against all pairs, with shingles at every character."""
-    monkeypatch.setattr(old, "shingle_set", full_set)
-    edges = old.edge_rows() + [(50, "Same line here\nsame LINE here \n\n  \nother 日本語の文章です", None, "s"), (51, "日本語の文章です\n日本語の文章", None, "s")]
-    assert old.got_of(line_groups(frame(spark, edges), scratch)) == old.brute(edges)
-    rows = old.corpus()
-    assert old.got_of(line_groups(frame(spark, rows), scratch)) == old.brute(rows)
+        like = 100 * len(a & b) >= 75 * len(a | b)
+        assert like == bool(similar([x], [y])[0]) and not similar([x], [z])[0]
+        alike += like
+        shared = [s for k, s in found[0].values() for l, t in found[1].values() if k & l and bin(s ^ t).count("1") <= DIFFER]
+        near += like and bool(shared)
+        far += any(bin(s ^ t).count("1") <= DIFFER for _, s in found[0].values() for _, t in found[2].values())
+    assert alike > 150 and near == alike and far < 100
+
+
+def test_recall_of_the_bands_on_both_sides_of_the_limit():
+    """Pairs near the threshold, with sets around the size where the way of signing changes."""
+    r, lost, pairs = random.Random(8), 0, 0
+    for _ in range(1500):
+        n = r.randrange(30, 130)
+        x = "".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n)).strip() or "x"
+        cut = r.randrange(n // 5 + 1)
+        y = x[cut:] if r.random() < 0.5 else x + "".join(r.choice("abcdefgh") for _ in range(n // 4))
+        a, b = full_set(x), full_set(y)
+        if not y or 100 * len(a & b) < 75 * len(a | b):
+            continue
+        pairs += 1
+        keys = [{int(k) for _, ks, _ in signed([t]) for k in ks.ravel()} for t in (x, y)]
+        lost += not keys[0] & keys[1]
+    assert pairs > 500 and lost <= 1
+
+
+def test_lines_of_few_shingles_meet_whatever_their_length():
+    lines = ["=" * 8, "=" * 5000, "-=" * 40, "-=" * 900]
+    keys = [{int(k) for _, ks, _ in signed([t]) for k in ks.ravel()} for t in lines]
+    assert keys[0] & keys[1] and keys[2] & keys[3] and not keys[0] & keys[2]
+
+
+def test_shingles_do_not_reach_into_the_next_line():
+    alone = [shingles([x])[0].tolist() for x in ("abcd", "abcdefg", "x", "ab")]
+    h, sizes = shingles(["abcd", "abcdefg", "x", "ab"])
+    assert h.tolist() == [y for x in alone for y in x] and sizes.tolist() == [1, 3, 1, 1]
+    assert LONG == 64
+
+
+def blocks_of(rows, per):
+    dtype = np.dtype([("low", "<u4"), ("high", "u1"), ("key", "<i8"), ("sketch", "<u4")])
+    return [np.array([(b, 0, k, s) for b, k, s in rows[i: i + per]], dtype).tobytes() for i in range(0, len(rows), per)]
+
+
+def test_a_slot_that_streams_gives_the_same_members():
+    r = random.Random(9)
+    rows = [(r.randrange(400), r.randrange(10 ** 6), r.getrandbits(32)) for _ in range(1500)] + [(7, k, 0) for k in range(500)]
+    rows += rows[:100]
+    whole = [x for b in meet(3, iter([blocks_of(rows, 10 ** 6)])) for x in b.to_pylist()]
+    parts = [x for b in meet(3, iter([[b] for b in blocks_of(rows, 150)])) for x in b.to_pylist()]
+    wanted = {}
+    for b, k, _ in rows:
+        wanted.setdefault(b, set()).add(k)
+
+    def by_band(found, least):
+        out = {}
+        for x in found:
+            out.setdefault(x["band"] & (1 << 40) - 1, set()).add(x["k1"])
+        return {b: k for b, k in out.items() if len(k) >= least}
+
+    assert by_band(whole, 3) == by_band(parts, 3) == {b: k for b, k in wanted.items() if len(k) >= 3}
+    for found in (whole, parts):                                 # every member is compared with one hub of its band
+        assert all(len({x["hub"] for x in found if x["band"] & (1 << 40) - 1 == b}) == 1 for b in (7, 8, 9))
+
+
+def test_large_bands_are_joined_by_prefixes(spark, scratch, monkeypatch):
+    """Lines of one template, of which some are near copies of others, with no pairs of a band allowed."""
+    from gridmart.llm import line_dedup
+    monkeypatch.setattr(line_dedup, "SMALL_BAND", 2)
+    r, rows = random.Random(10), []
+    for i in range(120):
+        tail = "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(34))
+        rows += [(i, "one template that many lines share, and behind it " + tail, None, "s")]
+        if i % 3 == 0:
+            rows += [(1000 + i, "one template that many lines share, and behind it " + tail[:-2] + "##", None, "s")]
+    got = got_of(line_groups(frame(spark, rows), scratch))
+    assert got == brute(rows) and sum(a != b for a, b in got) >= 40
