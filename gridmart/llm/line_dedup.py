@@ -9,19 +9,21 @@ share a band with the chance that it should have.  Lines of ``LONG`` shingles an
 band a coordinate (the least hash in each of ``BANDS`` parts of its range; an empty part takes the next one's); shorter ones, which would leave
 parts empty, take a permutation for each coordinate.  Lines that can be similar to one on the other side of that limit are signed in both ways.
 
-Banding.  A posting is a band's key, the line's key and a sketch of 32 signature bits.  Equal lines of a batch are signed and posted once.
+Banding.  A posting is a band's key, the line's key and a sketch of 64 signature bits.  Equal lines of a batch are signed and posted once.
 Postings travel as packed blocks, dealt by the band key; a task streams its blocks, keeps each band's first line as its hub, and
 gives the members of bands with two lines or more.  What is held is the bands of a slot, never a band's members.
 
-Verification.  Members are compared with their hub, first by sketch (at similarity 0.75 an eighth of the bits differ; ``DIFFER`` is more
-than five deviations off), then by exact Jaccard on the full sets, and joined into components by contraction (``graph.components``).  Bands whose
-members are in different components still are looked at again, so no pair that the bands find is lost: in those of up to ``SMALL_BAND``
-members all pairs across components pass the sketch and the exact comparison; the lines of larger ones are joined by
-exact prefixes of rare shingles (``prefix_join``), which needs no pairs of a band.  A text is fetched for lines in candidate pairs only, by one more
+Verification.  Members are compared with their hub, first by sketch (at similarity 0.75 an eighth of the bits differ; ``DIFFER`` is five
+deviations off), then by exact Jaccard on the full sets, and joined into components by contraction (``graph.components``).  Bands whose
+members are in different components still are looked at again, so no pair that the bands find is lost.  In those of up to ``SMALL_BAND``
+members all pairs across components pass the sketch and the exact comparison.  The members of a larger one are posted again
+under pairs of bands, that one and each of their others (a similar pair that shares one band shares another with a chance of 0.9999), and go
+through the same steps; lines of bands that are large even so are joined by exact prefixes of rare shingles (``prefix_join``).  So the
+work for a band is linear in its members.  A text is fetched for lines in candidate pairs only, by one more
 pass over the texts that a bitmap of ``BITMAP`` bits (of fixed size) thins out.  Of a component, the line with the smallest
 (doc_id, line number) stays.
 
-Keys are 64-bit; of two lines that share one by chance, told apart by a second hash, only one takes part in the links.
+Keys are 56-bit; of two lines that share one by chance, told apart by a second hash, only one takes part in the links.
 
 Defined results: null text is one empty line; empty and blank lines are never duplicates; rows that repeat a doc_id repeat its
 lines, and those that stay, stay in each row that has them; a null doc_id is smaller than any other; very long lines only have larger sets; an
@@ -46,19 +48,20 @@ SHINGLE = 5
 BANDS, ROWS = 25, 4
 THRESHOLD = 75            # percent
 LONG = 64                 # shingles
-DIFFER = 13               # of 32 sketch bits
+DIFFER = 21               # of 64 sketch bits
 SMALL_BAND = 256          # members; pairs of larger bands are found by prefixes
 BITMAP = 1 << 26          # bits
 SLOT_POSTINGS = 4_000_000     # held at once by a task that reads blocks
 FLUSH = 1_000_000         # postings, before a task gives blocks
-CHARACTERS = 1_000_000    # signed side by side
+CHARACTERS = 100_000      # signed or compared side by side, in a core's own cache
+TAGS = 1 << 14            # lines or pairs, too
 _BLANK = " \t\n\x0b\f\r"
 _random = np.random.default_rng(20)
 _STEP = _random.integers(1 << 62, 1 << 63, SHINGLE, dtype=np.uint64) | np.uint64(1)
 _TURN = _random.integers(1 << 30, 1 << 32, (ROWS + ROWS * BANDS, 2), dtype=np.uint32) | np.uint32(1)
 _EMPTY = np.uint32(0xFFFFFFFF)
-# of a band's key 40 bits, the slot is the rest; a line's key; its sketch
-_POSTING = np.dtype([("low", "<u4"), ("high", "u1"), ("key", "<i8"), ("sketch", "<u4")])
+# 32 bits of a band's key, of which the slot is the rest; a line's key; its sketch
+_POSTING = np.dtype([("band", "<u4"), ("low", "<u4"), ("middle", "<u2"), ("high", "u1"), ("sketch", "<u8")])
 
 
 # Lines and their sets
@@ -68,9 +71,9 @@ def normal(line: str) -> str:
 
 
 def keys_of(norm: str) -> tuple[int, int]:
-    """Two 64-bit keys of a line."""
+    """A line's key, and a second one that tells apart lines which share it."""
     h = xxhash.xxh3_128_intdigest(norm.encode("utf-8", "surrogatepass"))
-    return (h & (1 << 64) - 1) - (1 << 63), (h >> 64) - (1 << 63)
+    return h & (1 << 56) - 1, (h >> 64) - (1 << 63)
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -96,46 +99,58 @@ def shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return _mixed(h[whole]), np.maximum(sizes - SHINGLE + 1, 1)
 
 
+def _tagged(h: np.ndarray, tag: np.ndarray) -> np.ndarray:
+    """Sorted distinct numbers of the tag (14 bits) and 50 bits of the hash."""
+    both = (tag.astype(np.uint64) << np.uint64(50)) | (h >> np.uint64(14))
+    both.sort()
+    first = np.ones(len(both), bool)
+    first[1:] = both[1:] != both[:-1]
+    return both[first]
+
+
 def sets_of(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct shingle hashes (60 bits) of each line, line after line, and how many each has."""
+    """Sorted distinct shingle hashes (50 bits) of each line (``TAGS`` at most), line after line, and how many each has."""
     h, sizes = shingles(lines)
-    line = np.repeat(np.arange(len(lines)), sizes)
-    h >>= np.uint64(4)
-    order = np.lexsort((h, line))
-    h, line = h[order], line[order]
-    first = np.ones(len(h), bool)
-    first[1:] = (h[1:] != h[:-1]) | (line[1:] != line[:-1])
-    return h[first], np.bincount(line[first], minlength=len(lines))
+    both = _tagged(h, np.repeat(np.arange(len(lines)), sizes))
+    return both & np.uint64((1 << 50) - 1), np.bincount((both >> np.uint64(50)).astype(np.int64), minlength=len(lines))
 
 
 def similar(xs: list[str], ys: list[str]) -> np.ndarray:
-    """Whether the sets of two lines have a Jaccard similarity of ``THRESHOLD`` percent, pair by pair."""
-    h, sizes = sets_of([*xs, *ys])
-    n = len(xs)
-    pair = np.repeat(np.concatenate([np.arange(n), np.arange(n)]), sizes)
-    order = np.lexsort((h, pair))
-    h, pair = h[order], pair[order]
-    both = (h[1:] == h[:-1]) & (pair[1:] == pair[:-1])
-    common = np.bincount(pair[1:][both], minlength=n)
-    return 100 * common >= THRESHOLD * (sizes[:n] + sizes[n:] - common)
+    """Whether the sets of two lines have a Jaccard similarity of ``THRESHOLD`` percent, pair by pair (``TAGS`` at most)."""
+    n, sides = len(xs), []
+    for lines in (xs, ys):
+        h, sizes = shingles(lines)
+        sides.append(_tagged(h, np.repeat(np.arange(n), sizes)))
+    nx, ny = (np.bincount((s >> np.uint64(50)).astype(np.int64), minlength=n) for s in sides)
+    merged = np.concatenate(sides)
+    merged.sort(kind="stable")                                   # two sorted runs
+    twice = merged[1:][merged[1:] == merged[:-1]]
+    common = np.bincount((twice >> np.uint64(50)).astype(np.int64), minlength=n)
+    return 100 * common >= THRESHOLD * (nx + ny - common)
 
 
 # Signatures
 
-def _permuted(h: np.ndarray, k: int) -> np.ndarray:
-    """A 32-bit permutation of 64-bit hashes."""
-    x = h.astype(np.uint32) * _TURN[k, 0] + (h >> np.uint64(32)).astype(np.uint32) * _TURN[k, 1]
+def _permuted(low: np.ndarray, high: np.ndarray, k: int) -> np.ndarray:
+    """A 32-bit permutation of hashes, of which ``low`` and ``high`` are the halves."""
+    x = low * _TURN[k, 0]
+    x += high * _TURN[k, 1]
     x ^= x >> np.uint32(15)
     x *= np.uint32(0x2C1B3C6D)
-    return x ^ (x >> np.uint32(13))
+    x ^= x >> np.uint32(13)
+    return x
+
+
+def _halves(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return h.astype(np.uint32), (h >> np.uint64(32)).astype(np.uint32)
 
 
 def _long_signature(h: np.ndarray, line: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """(lines, BANDS, ROWS): for each row's permutation, the least hash in each of BANDS parts of the range; and whether a part was empty."""
     out, gaps = np.empty((n, BANDS, ROWS), np.uint32), np.zeros(n, bool)
-    base = line * BANDS
+    base, halves = line * BANDS, _halves(h)
     for row in range(ROWS):
-        x = _permuted(h, row)
+        x = _permuted(*halves, row)
         least = np.full(n * BANDS, _EMPTY)
         np.minimum.at(least, base + (((x >> np.uint32(16)) * np.uint32(BANDS)) >> np.uint32(16)), x)
         least = least.reshape(n, BANDS)
@@ -148,9 +163,9 @@ def _long_signature(h: np.ndarray, line: np.ndarray, n: int) -> tuple[np.ndarray
 
 def _short_signature(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """(lines, BANDS, ROWS): a permutation for each coordinate."""
-    out = np.empty((len(starts), BANDS, ROWS), np.uint32)
+    out, halves = np.empty((len(starts), BANDS, ROWS), np.uint32), _halves(h)
     for k in range(BANDS * ROWS):
-        out[:, k // ROWS, k % ROWS] = np.minimum.reduceat(_permuted(h, ROWS + k), starts)
+        out[:, k // ROWS, k % ROWS] = np.minimum.reduceat(_permuted(*halves, ROWS + k), starts)
     return out
 
 
@@ -159,68 +174,58 @@ def _posted(signature: np.ndarray, way: int) -> tuple[np.ndarray, np.ndarray]:
     key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(way), signature.shape[:2])
     for row in range(ROWS):
         key = _mixed((key + np.uint64(1)) * _STEP[0] ^ signature[:, :, row])
-    bits = signature[:, :16, :2].reshape(len(signature), 32) & np.uint32(1)
-    return key, (bits << np.arange(32, dtype=np.uint32)).sum(axis=1, dtype=np.uint32)
+    bits = (signature[:, :16, :4].reshape(len(signature), 64) & np.uint32(1)).astype(np.uint64)
+    return key, (bits << np.arange(64, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
 
 
-def signed(lines: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Places in ``lines`` (distinct, non-empty), band keys (places, BANDS) and sketches, in portions of bounded size."""
+def _portions(places: np.ndarray, lines: list[str]) -> Iterator[np.ndarray]:
+    """``places`` in portions whose lines are of bounded size."""
+    ends = np.cumsum([len(lines[k]) for k in places.tolist()])
     at = 0
-    while at < len(lines):
-        stop, held = at, 0
-        while stop < len(lines) and (stop == at or held + len(lines[stop]) <= CHARACTERS):
-            held += len(lines[stop])
-            stop += 1
-        for places, keys, sketches in _signed(lines[at:stop]):
-            yield places + at, keys, sketches
+    while at < len(places):
+        stop = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHARACTERS, "right"))
+        stop = min(max(stop, at + 1), at + TAGS)
+        yield places[at:stop]
         at = stop
 
 
-def _signed(lines: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    h, sizes = shingles(lines)
-    line = np.repeat(np.arange(len(lines)), sizes)
-    distinct = sizes.copy()
-    chosen = np.flatnonzero(sizes >= LONG)
-    if len(chosen):
-        of, part = _of(line, chosen, len(lines)), (sizes >= LONG)[line]
-        signature, gaps = _long_signature(h[part], of[line[part]], len(chosen))
+def signed(lines: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Places in ``lines`` (distinct, non-empty), band keys (places, BANDS) and sketches, in portions of bounded size."""
+    distinct = np.fromiter((max(len(x) - SHINGLE + 1, 1) for x in lines), np.int64, len(lines))
+    for places in _portions(np.flatnonzero(distinct >= LONG), lines):
+        part = [lines[k] for k in places.tolist()]
+        h, sizes = shingles(part)
+        signature, gaps = _long_signature(h, np.repeat(np.arange(len(part)), sizes), len(part))
         # sets count, not places: a line that is not much longer than the limit, or leaves a part empty, has its set counted
-        count = chosen[gaps | (sizes[chosen] < 4 * LONG * 100 // THRESHOLD)]
+        count = np.flatnonzero(gaps | (sizes < 4 * LONG * 100 // THRESHOLD))
         if len(count):
-            distinct[count] = sets_of([lines[k] for k in count.tolist()])[1]
-        enough = distinct[chosen] >= LONG
+            distinct[places[count]] = sets_of([part[k] for k in count.tolist()])[1]
+        enough = distinct[places] >= LONG
         if enough.any():
-            yield chosen[enough], *_posted(signature[enough], 0)
-    chosen = np.flatnonzero(distinct * THRESHOLD < LONG * 100)
-    if len(chosen):
-        few = np.zeros(len(lines), bool)
-        few[chosen] = True
-        part = few[line]
-        yield chosen, *_posted(_short_signature(h[part], np.flatnonzero(np.diff(line[part], prepend=-1))), 1)
+            yield places[enough], *_posted(signature[enough], 0)
+    for places in _portions(np.flatnonzero(distinct * THRESHOLD < LONG * 100), lines):
+        h, sizes = shingles([lines[k] for k in places.tolist()])
+        yield places, *_posted(_short_signature(h, np.cumsum(sizes) - sizes), 1)
 
 
-def _of(line: np.ndarray, chosen: np.ndarray, n: int) -> np.ndarray:
-    """Number of each line among the chosen ones."""
-    of = np.zeros(n, np.int64)
-    of[chosen] = np.arange(len(chosen))
-    return of
+# Banding
 
+def _slot(keys: np.ndarray, slots: int) -> np.ndarray:
+    return ((keys >> np.uint64(32)) % np.uint64(slots)).astype(np.int64)
 
-# Banding
 
-def _blocks(lines: dict[int, str], slots: int) -> pa.RecordBatch:
-    """Postings of lines by slot, one packed block each."""
-    keys, texts = np.fromiter(lines, np.int64, len(lines)), list(lines.values())
-    found = []
-    for places, bands, sketches in signed(texts):
-        found.append((bands.ravel(), np.repeat(keys[places], BANDS), np.repeat(sketches, BANDS)))
-    band, key, sketch = (np.concatenate(x) for x in zip(*found, strict=True))
-    slot = ((band >> np.uint64(40)) % np.uint64(slots)).astype(np.int32)
+def _band(keys: np.ndarray, slots: int) -> np.ndarray:
+    """What members call a band: its slot and 32 bits of its key."""
+    return _slot(keys, slots) << 32 | (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+
+def _packed(bands: np.ndarray, keys: np.ndarray, sketches: np.ndarray, slots: int) -> pa.RecordBatch:
+    """Postings by slot, one packed block each."""
+    slot = _slot(bands, slots)
     order = np.argsort(slot, kind="stable")
-    rows = np.empty(len(order), _POSTING)
-    band = band[order]
-    rows["low"], rows["high"] = band.astype(np.uint32), (band >> np.uint64(32)).astype(np.uint8)
-    rows["key"], rows["sketch"] = key[order], sketch[order]
+    rows, key = np.empty(len(order), _POSTING), keys[order]
+    rows["band"], rows["sketch"] = bands[order].astype(np.uint32), sketches[order]
+    rows["low"], rows["middle"], rows["high"] = key & 0xFFFFFFFF, key >> 32 & 0xFFFF, key >> 48
     used, first = np.unique(slot[order], return_index=True)
     bounds = [*first.tolist(), len(rows)]
     return pa.RecordBatch.from_pydict({
@@ -228,6 +233,35 @@ def _blocks(lines: dict[int, str], slots: int) -> pa.RecordBatch:
         "block": pa.array([rows[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())})
 
 
+def _blocks(lines: dict[int, str], slots: int) -> pa.RecordBatch:
+    """Packed postings of lines."""
+    keys, found = np.fromiter(lines, np.int64, len(lines)), []
+    for places, bands, sketches in signed(list(lines.values())):
+        found.append((bands.ravel(), np.repeat(keys[places], BANDS), np.repeat(sketches, BANDS)))
+    return _packed(*(np.concatenate(x) for x in zip(*found, strict=True)), slots)
+
+
+def refined(texts: DataFrame, large: DataFrame, slots: int) -> DataFrame:
+    """Postings of lines under pairs of bands: each of those in ``large`` (``band``, ``node``) with each other one of the line."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in (batch.slice(i, 500) for i in range(0, len(batch), 500)):
+                keys, lines, held = part.column(0).to_numpy(), part.column(1).to_pylist(), part.column(2).to_pylist()
+                found = []
+                for places, bands, sketches in signed(lines):
+                    names = _band(bands, slots)
+                    for at, own, name, sketch in zip(places.tolist(), bands, names, sketches, strict=True):
+                        for band in held[at]:
+                            if band in name:                     # one of the way of signing that it was met in
+                                pairs = _mixed(own[name != band] * _STEP[1] ^ np.uint64(band) * _STEP[2])
+                                found.append((pairs, np.full(len(pairs), keys[at]), np.full(len(pairs), sketch)))
+                if found:
+                    yield _packed(*(np.concatenate(x) for x in zip(*found, strict=True)), slots)
+
+    wanted = large.groupBy(F.col("node").alias("k1")).agg(F.collect_set("band").alias("bands"))     # 2 * BANDS at most
+    return texts.join(wanted, "k1").select("k1", "norm", "bands").mapInArrow(run, "slot int, block binary")
+
+
 def postings(docs: DataFrame, text: str, slots: int) -> DataFrame:
     """``slot``, ``block``: the postings of all lines; equal lines of some batches once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,12 +281,12 @@ def postings(docs: DataFrame, text: str, slots: int) -> DataFrame:
     return docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(run, "slot int, block binary")
 
 
-def _sorted_postings(blocks: list[bytes], slot: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _sorted_postings(blocks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Band keys (within the slot), line keys and sketches in order, each line once in a band."""
     rows = np.frombuffer(b"".join(blocks), _POSTING)
-    band = rows["low"].astype(np.int64) | (rows["high"].astype(np.int64) << 32)
-    order = np.lexsort((rows["key"], band))
-    band, key, sketch = band[order], rows["key"][order], rows["sketch"][order]
+    key = rows["low"].astype(np.int64) | rows["middle"].astype(np.int64) << 32 | rows["high"].astype(np.int64) << 48
+    order = np.lexsort((key, rows["band"]))
+    band, key, sketch = rows["band"][order].astype(np.int64), key[order], rows["sketch"][order]
     new = np.ones(len(band), bool)
     new[1:] = (band[1:] != band[:-1]) | (key[1:] != key[:-1])
     return band[new], key[new], sketch[new]
@@ -260,8 +294,8 @@ def _sorted_postings(blocks: list[bytes], slot: int) -> tuple[np.ndarray, np.nda
 
 def _members(slot: int, band: np.ndarray, key: np.ndarray, sketch: np.ndarray, hub: np.ndarray, near: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({
-        "band": pa.array(band | (np.int64(slot & 0x3FFFFF) << 40), pa.int64()), "k1": pa.array(key, pa.int64()),
-        "sketch": pa.array(sketch.view(np.int32), pa.int32()), "hub": pa.array(hub, pa.int64()), "near": pa.array(near)})
+        "band": pa.array(band | np.int64(slot) << 32, pa.int64()), "k1": pa.array(key, pa.int64()),
+        "sketch": pa.array(sketch.view(np.int64), pa.int64()), "hub": pa.array(hub, pa.int64()), "near": pa.array(near)})
 
 
 def meet(slot: int, portions: Iterator[list[bytes]]) -> Iterator[pa.RecordBatch]:
@@ -274,7 +308,7 @@ def meet(slot: int, portions: Iterator[list[bytes]]) -> Iterator[pa.RecordBatch]
     waiting = next(portions, None)
     while waiting is not None:
         now, waiting = waiting, next(portions, None)
-        band, key, sketch = _sorted_postings(now, slot)
+        band, key, sketch = _sorted_postings(now)
         first = np.ones(len(band), bool)
         first[1:] = band[1:] != band[:-1]
         start = np.flatnonzero(first)
@@ -324,7 +358,7 @@ def members(blocks: DataFrame) -> DataFrame:
             yield from meet(slot, portions(slot))
 
     dealt = blocks.repartition("slot").sortWithinPartitions("slot")
-    return dealt.mapInArrow(run, "band long, k1 long, sketch int, hub long, near boolean")
+    return dealt.mapInArrow(run, "band long, k1 long, sketch long, hub long, near boolean")
 
 
 # Texts of single lines
@@ -364,7 +398,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             sizes = [len(x) + len(y) for x, y in zip(*(batch.column(k).to_pylist() for k in (2, 3)), strict=True)]
             while at < len(batch):                                   # portions of bounded size
                 stop, held = at, 0
-                while stop < len(batch) and (stop == at or held + sizes[stop] <= CHARACTERS):
+                while stop < len(batch) and (stop == at or held + sizes[stop] <= CHARACTERS) and stop - at < TAGS:
                     held += sizes[stop]
                     stop += 1
                 part = batch.slice(at, stop - at)
@@ -381,9 +415,10 @@ def sets_frame(texts: DataFrame) -> DataFrame:
     """``node``, ``items``: lines with their sets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            h, sizes = sets_of(batch.column(1).to_pylist())
-            items = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes.tolist()]), pa.int32()), pa.array(h.astype(np.int64), pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), items], ["node", "items"])
+            for part in (batch.slice(i, 1000) for i in range(0, len(batch), 1000)):
+                h, sizes = sets_of(part.column(1).to_pylist())
+                items = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes.tolist()]), pa.int32()), pa.array(h.astype(np.int64), pa.int64()))
+                yield pa.RecordBatch.from_arrays([part.column(0), items], ["node", "items"])
 
     return texts.select("k1", "norm").mapInArrow(run, "node long, items array<long>")
 
@@ -422,38 +457,47 @@ def line_groups(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text:
 
 def line_links(docs: DataFrame, text: str, scratch: Scratch) -> DataFrame:
     """Pairs (``a``, ``b``) of keys of lines whose sets are similar, enough to join all that the bands find."""
-    spark = docs.sparkSession
-    slots = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    met = scratch.write(members(postings(docs, text, slots)), "members")
+    slots = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    links, large = _linked(postings(docs, text, slots), None, docs, text, scratch)
+    if not large.isEmpty():
+        texts = norms(docs, text, large.select(F.col("node").alias("k1")).distinct(), scratch, "large-norms")
+        links, large = _linked(refined(texts, large, slots), links, docs, text, scratch)
+        if not large.isEmpty():
+            sets = scratch.write(sets_frame(texts.join(large.select(F.col("node").alias("k1")).distinct(), "k1")), "large-sets")
+            more = cross_links(sets, links, THRESHOLD, scratch, lambda pairs, name: scratch.write(verified(pairs, texts), name))
+            links = scratch.write(links.unionByName(more), "links")
+    return links
+
+
+def _linked(blocks: DataFrame, known: DataFrame | None, docs: DataFrame, text: str, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """The links of postings (with those ``known``), and the members (``band``, ``node``) of large bands that still are in several
+    components."""
+    met = scratch.write(members(blocks), "members")
 
     def ordered(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-    def nodes_of(pairs: DataFrame) -> DataFrame:
-        return pairs.select(F.col("a").alias("k1")).union(pairs.select("b")).distinct()
+    def checked(pairs: DataFrame, name: str) -> DataFrame:
+        nodes = pairs.select(F.col("a").alias("k1")).union(pairs.select("b")).distinct()
+        texts = norms(docs, text, nodes, scratch, f"{name}-norms")
+        found = scratch.write(verified(pairs, texts), f"{name}-links")
+        scratch.drop(texts)
+        return found
 
     first = scratch.write(ordered(met.filter("near AND k1 <> hub").select(F.col("k1").alias("a"), F.col("hub").alias("b"))), "hub-pairs")
-    texts = norms(docs, text, nodes_of(first), scratch, "hub-norms")
-    links = scratch.write(verified(first, texts), "hub-links")
-    scratch.drop(texts)
+    links = checked(first, "hub")
+    links = links if known is None else links.unionByName(known)
     group = scratch.write(components(links, scratch), "groups")
-
     rest = open_rows(met.select(F.col("k1").alias("node"), "band", "sketch"), group, scratch, "band")
-    sizes = rest.groupBy("band").agg(F.count(F.lit(1)).alias("held"))
-    rest = scratch.write(rest.join(sizes, "band"), "rest")
+    rest = scratch.write(rest.join(rest.groupBy("band").agg(F.count(F.lit(1)).alias("held")), "band"), "rest")
+    scratch.drop(met)
     small = rest.filter(F.col("held") <= SMALL_BAND).select("band", "c", "node", "sketch")
     other = small.select("band", F.col("c").alias("cy"), F.col("node").alias("other"), F.col("sketch").alias("sy"))
     near = F.bit_count(F.col("sketch").bitwiseXOR(F.col("sy"))) <= DIFFER
     cross = small.join(other, "band").filter((F.col("c") < F.col("cy")) & near).select(F.col("node").alias("a"), F.col("other").alias("b"))
     cross = scratch.write(ordered(cross).join(first, ["a", "b"], "left_anti"), "cross-pairs")
-    large = scratch.write(rest.filter(F.col("held") > SMALL_BAND).select(F.col("node").alias("k1")).distinct(), "large")
-    texts = norms(docs, text, nodes_of(cross).union(large).distinct(), scratch, "cross-norms")
-    links = scratch.write(links.unionByName(verified(cross, texts)), "links")
-    if not large.isEmpty():
-        sets = scratch.write(sets_frame(texts.join(large, "k1")), "large-sets")
-        more = cross_links(sets, links, THRESHOLD, scratch, lambda pairs, name: scratch.write(verified(pairs, texts), name))
-        links = links.unionByName(more)
-    return links
+    links = scratch.write(links.unionByName(checked(cross, "cross")), "links")
+    return links, rest.filter(F.col("held") > SMALL_BAND).select("band", "node")
 
 
 def grouped_lines(docs: DataFrame, scratch: Scratch, doc_id: str, text: str) -> DataFrame:
