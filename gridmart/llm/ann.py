@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from gridmart.llm.common import Scratch
 
 TOP = 20
-SAMPLE = 20_000           # vectors that the index is fitted on, on average
+SAMPLE = 100_000          # vectors that the index is fitted on, on average: a dozen for each list
 MAX_LISTS = 8192
 REPLICAS, REPLICA_RATIO = 4, 0.10
 QUERY_RATIO = 0.20
@@ -181,7 +181,7 @@ def nearest(vectors: DataFrame, scratch: Scratch, every: int, top: int = TOP, ve
         F.pmod(F.xxhash64("qcid"), "nq").cast("int").alias("qblock"), "qcid", "q")
 
     def meet(key: tuple, here: pa.Table, there: pa.Table) -> pa.Table:
-        """The best ``top + 1`` classes of a block for each query of a block."""
+        """The best ``top + 1`` classes of a block for each query of a block, ties to the smaller id."""
         empty = pa.table({"qcid": pa.array([], pa.int64()), "cids": pa.array([], pa.list_(pa.int64())),
                           "scores": pa.array([], pa.list_(pa.float64()))})
         if not len(here) or not len(there):
@@ -189,10 +189,16 @@ def nearest(vectors: DataFrame, scratch: Scratch, every: int, top: int = TOP, ve
         cids = here.column("cid").to_numpy()
         order = cids.argsort()
         cids, v, q = cids[order], matrix(here.column("v"))[order], matrix(there.column("q"))
+        far = float(np.linalg.norm(v, axis=1).max())
         out_ids, out_scores = [], []
         for i in range(0, len(q), 256):
-            rough = q[i: i + 256] @ v.T
-            k = min(top + 5, len(cids))
+            part = q[i: i + 256]
+            rough = part @ v.T
+            # all whose exact score can be among the best: the product's rounding is far below the margin
+            k = min(top + 1, len(cids))
+            least = np.partition(rough, len(cids) - k, axis=1)[:, len(cids) - k]
+            margin = 1e-12 * v.shape[1] * np.linalg.norm(part, axis=1) * far
+            k = int((rough >= (least - margin)[:, None]).sum(axis=1).max())
             best = np.sort(np.argpartition(-rough, k - 1, axis=1)[:, :k], axis=1)
             score = np.zeros(best.shape)
             for d in range(v.shape[1]):

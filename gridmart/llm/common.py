@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridmart.session import checkpoint_dir
@@ -82,8 +82,11 @@ def global_rank(df: DataFrame, by: list[str], name: str, scratch: Scratch) -> Da
             "*", F.spark_partition_id().alias("_part"),
             F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_at")), name)
     counts = local.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    other = counts.select(F.col("_part").alias("_before"), F.col("_n").alias("_m"))
-    offsets = (counts.join(F.broadcast(other), F.col("_before") < F.col("_part"), "left")
-               .groupBy("_part").agg(F.coalesce(F.sum("_m"), F.lit(0)).alias("_offset")))
-    return (local.join(F.broadcast(offsets), "_part")
+    return (local.join(F.broadcast(running_total(counts, "_part", "_n", "_offset")), "_part")
             .withColumn(name, F.col("_at") + F.col("_offset")).drop("_part", "_at", "_offset"))
+
+
+def running_total(parts: DataFrame, part: str, n: str, name: str) -> DataFrame:
+    """``part`` and ``name``: the sum of ``n`` over the parts before.  One row a partition of a job, so one task orders them."""
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    return parts.select(part, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(name))

@@ -1,13 +1,15 @@
 """Hidden Markov language model of whole texts.
 
-Tokens are the words of a text, A-Z lower-cased, and one end token.  Latent states emit word classes (a hash of
-the word, ``CLASSES`` of them, and the end); inside a class a word has its share of the class's
-training tokens, and a word unseen in training the class's share of unseen words, taken from the words
-seen once.  So the parameters of the states have a fixed size, while every word's count is learned.
-
-Training is Baum-Welch: each task runs scaled forward and backward recursions over its documents and gives
-expected counts, which Spark adds up; rounds over a bounded sample set the states apart first, then
-rounds run over all training documents.  For training, a document is cut into sequences of at most
+Tokens are the words of a text, A-Z lower-cased, and one end token.  Latent states emit word classes: the ``FREQUENT`` words with most
+training tokens are classes of their own, other words share ``CLASSES`` classes by a hash, and the end is one; inside a class a word has its
+share of the class's training tokens, and a word unseen in training the class's share of unseen words, taken from the words
+seen once.  So the states' parameters have a fixed size (words beyond the frequent ones tell states apart by their class only),
+while every word's count is learned.
+
+Training is Baum-Welch, and uses every training document: each task runs scaled forward and backward recursions over its documents and gives
+expected counts, which Spark adds up.  In each of ``EPOCHS`` epochs the documents are dealt by a hash into ``PARTS`` parts, and a round runs
+over each part in turn; its counts are blended into the running ones with a weight that falls from round to round.  Last, a
+round runs over all of them.  For training, a document is cut into sequences of at most
 ``SEGMENT`` tokens.  Scoring is the exact scaled forward recursion over each whole document.
 
 Word counts never meet in one place: documents are dealt into batches of bounded size; each batch sends its
@@ -33,8 +35,9 @@ from pyspark.sql import functions as F
 
 from gridmart.llm.common import Scratch, small_batches
 
-STATES, CLASSES = 8, 8192
-SAMPLE_DOCS, SAMPLE_ROUNDS, FULL_ROUNDS = 1500, 8, 2
+STATES, CLASSES, FREQUENT = 8, 8192, 16384
+EPOCHS, PARTS = 2, 6
+FORGET = 0.7              # round t (from 0) weighs (t + 1) ** -FORGET
 SEGMENT = 1024
 STEP_TOKENS = 300_000     # that one forward and backward pass handles at once; about 100 MB
 BATCH_CHARS = 16_000_000
@@ -129,16 +132,27 @@ def estimate(start: np.ndarray, moves: np.ndarray, emitted: np.ndarray) -> Model
                  (emitted + PRIOR * share) / (emitted.sum(axis=0) + PRIOR))
 
 
-def first_model(states: int) -> Model:
+def first_model(states: int, frequent: int = 0) -> Model:
     random = np.random.default_rng(13)
-    emit = random.gamma(1.0, 1.0, (CLASSES + 1, states)) + 0.2
+    emit = random.gamma(1.0, 1.0, (frequent + CLASSES + 1, states)) + 0.2
     stay = 0.9 * np.eye(states) + 0.1 / states
     return Model(np.full(states, 1 / states), stay, emit / emit.sum(axis=0))
 
 
-def baum_welch_round(texts: DataFrame, model: Model) -> Model:
-    """One round over ``texts`` (``text``): expected counts of each task, added up by Spark."""
-    states = len(model.start)
+def classes_of(hashes: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """Classes of words by their hashes (unsigned); ``frequent``: the sorted hashes of words with classes of their own, which come
+    behind the shared ones.  The end token's is the last."""
+    out = (hashes % np.uint64(CLASSES)).astype(np.int32)
+    if len(frequent):
+        at = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
+        out = np.where(frequent[at] == hashes, CLASSES + at, out).astype(np.int32)
+    out[hashes == np.uint64(word_hash(END))] = CLASSES + len(frequent)
+    return out
+
+
+def expected(texts: DataFrame, model: Model, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Expected starts, moves and emissions over ``texts`` (``text``): counts of each task, added up by Spark."""
+    states, symbols = len(model.start), len(model.emit)
     names = [f"s{j}" for j in range(states)]
     model = Model(*[x.astype(np.float32) for x in (model.start, model.move, model.emit)])   # counts add up in double
 
@@ -155,8 +169,7 @@ def baum_welch_round(texts: DataFrame, model: Model) -> Model:
 
         for batch in batches:
             words, texts = indexed(batch.column(0).to_pylist())
-            k = (np.fromiter(map(word_hash, words), np.uint64, len(words)) % CLASSES).astype(np.int32)
-            k[0] = CLASSES
+            k = classes_of(np.fromiter(map(word_hash, words), np.uint64, len(words)), frequent)
             for x in texts:
                 ids = k[x]
                 for i in range(0, len(ids), SEGMENT):
@@ -167,29 +180,31 @@ def baum_welch_round(texts: DataFrame, model: Model) -> Model:
         add()
         rows = np.concatenate([emitted, moves, start[None, :]])
         used = np.flatnonzero(rows.sum(axis=1))
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), *[pa.array(rows[used, j]) for j in range(states)]],
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), *[pa.array(rows[used, j].astype(np.float32)) for j in range(states)]],
                                          ["k", *names])
 
-    sums = (texts.mapInArrow(run, "k int, " + ", ".join(f"{c} double" for c in names)).groupBy("k")
+    sums = (texts.mapInArrow(run, "k int, " + ", ".join(f"{c} float" for c in names)).groupBy("k")
             .agg(*[F.sum(c).alias(c) for c in names]).toPandas())
-    rows = np.zeros((CLASSES + 1 + states + 1, states))
+    rows = np.zeros((symbols + states + 1, states))
     rows[sums["k"].to_numpy()] = sums[names].to_numpy()
-    return estimate(rows[-1], rows[CLASSES + 1: -1], rows[: CLASSES + 1])
+    return rows[-1], rows[symbols: -1], rows[: symbols]
 
 
-def train(texts: DataFrame, scratch: Scratch, states: int = STATES) -> Model:
+def train(texts: DataFrame, frequent: np.ndarray, states: int = STATES) -> Model:
     """``texts``: the training documents' ``doc_id`` and ``text``."""
-    n = texts.count()
-    model = first_model(states)
-    if not n:
-        return model
-    drawn = F.pmod(F.xxhash64("doc_id", F.lit("hmm sample")), F.lit(1 << 30)) <= F.lit(min(1.0, SAMPLE_DOCS / n) * (1 << 30))
-    sample = scratch.write(texts.filter(drawn).select("text"), "sample")
-    for _ in range(SAMPLE_ROUNDS):
-        model = baum_welch_round(sample, model)
-    for _ in range(FULL_ROUNDS):
-        model = baum_welch_round(texts.select("text"), model)
-    return model
+    model, running, t = first_model(states, len(frequent)), None, 0
+    for epoch in range(EPOCHS):
+        for part in range(PARTS):
+            mine = F.pmod(F.xxhash64("doc_id", F.lit(f"hmm epoch {epoch}")), F.lit(PARTS)) == part
+            counts = expected(texts.filter(mine).select("text"), model, frequent)
+            if not counts[0].sum():
+                continue                                   # a part without documents teaches nothing
+            weight = (t + 1) ** -FORGET
+            scaled = [c * PARTS for c in counts]
+            running = scaled if running is None else [(1 - weight) * a + weight * b for a, b in zip(running, scaled, strict=True)]
+            model, t = estimate(*running), t + 1
+    counts = expected(texts.select("text"), model, frequent)
+    return estimate(*counts) if counts[0].sum() else model
 
 
 class _Index(dict):
@@ -223,11 +238,10 @@ def score(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str =
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"),
                        F.coalesce(fold == 0, F.lit(False)).alias("held_out"), F.coalesce(fold != 0, F.lit(False)).alias("learn"))
     small_batches(spark)
-    model = train(rows.filter("learn").select("doc_id", "text"), scratch)
-
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     batches = max(math.ceil(chars / BATCH_CHARS), spark.sparkContext.defaultParallelism)
-    dealt = rows.withColumn("batch", F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches)).cast("int"))
+    # dealt by the row, not by what is in it, and written, so that every reader sees the same batches
+    rows = scratch.write(rows.withColumn("batch", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(batches)).cast("int")), "rows")
 
     def count(part: pa.Table) -> pa.Table:
         words, ids = indexed(part.column("text").to_pylist())
@@ -236,24 +250,39 @@ def score(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str =
         return pa.table({"batch": pa.array(np.full(len(words), part.column("batch")[0].as_py()), pa.int32()),
                          "word": pa.array(hashes), "n": pa.array(n, pa.int64())})
 
-    counted = dealt.select("batch", "text", "learn").groupBy("batch").applyInArrow(count, "batch int, word long, n long")
+    counted = rows.select("batch", "text", "learn").groupBy("batch").applyInArrow(count, "batch int, word long, n long")
     same = Window.partitionBy("word")
     words = scratch.write(counted.select(
         "batch", "word", F.sum("n").over(same).alias("total"), F.count(F.lit(1)).over(same).alias("places"),
         (F.min("batch").over(same) == F.col("batch")).alias("first")), "words")
 
-    # per class: training tokens, distinct words and words seen once; hashes are unsigned
+    # the frequent words; hashes are unsigned, and signed in the tables
     end_word = word_hash(END) - (1 << 64) * (word_hash(END) >> 63)
-    klass = F.when(F.col("word") == end_word, F.lit(CLASSES)).otherwise(
-        F.expr(f"pmod(pmod(word, {CLASSES}) + CASE WHEN word < 0 THEN {(1 << 64) % CLASSES} ELSE 0 END, {CLASSES})"))
-    facts = words.filter("first AND total > 0").groupBy(klass.cast("int").alias("k")).agg(
-        F.sum("total").alias("tokens"), F.count(F.lit(1)).alias("distinct"), F.sum((F.col("total") == 1).cast("long")).alias("once")
-    ).toPandas()
-    tokens, once = np.zeros(CLASSES + 1), np.zeros(CLASSES + 1)
+    top = words.filter((F.col("total") > 0) & F.col("first") & (F.col("word") != end_word)).orderBy(F.desc("total"), "word").limit(FREQUENT)
+    frequent = np.sort(top.select("word").toPandas()["word"].to_numpy(np.int64).view(np.uint64))
+    symbols = len(frequent) + CLASSES + 1
+    model = train(rows.filter("learn").select("doc_id", "text"), frequent)
+
+    # per class: training tokens, distinct words and words seen once
+    def by_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((symbols, 3))
+        for batch in batches:
+            k = classes_of(batch.column(0).to_numpy().view(np.uint64), frequent)
+            total = batch.column(1).to_numpy()
+            for i, x in enumerate((total, np.ones(len(k)), total == 1)):
+                sums[:, i] += np.bincount(k, weights=x, minlength=symbols)
+        used = np.flatnonzero(sums[:, 1])
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), *[pa.array(sums[used, i].astype(np.int64)) for i in range(3)]],
+                                         ["k", "tokens", "distinct", "once"])
+
+    facts = words.filter("first AND total > 0").select("word", "total").mapInArrow(
+        by_class, "k int, tokens long, distinct long, once long").groupBy("k").agg(
+        *[F.sum(c).alias(c) for c in ("tokens", "distinct", "once")]).toPandas()
+    tokens, once = np.zeros(symbols), np.zeros(symbols)
     tokens[facts["k"].to_numpy()], once[facts["k"].to_numpy()] = facts["tokens"].to_numpy(), facts["once"].to_numpy()
     n_all, distinct = int(facts["tokens"].sum()), int(facts["distinct"].sum())
     unseen = np.where(tokens > 0, (once + 1) / (tokens + 2), 1.0)
-    unseen[CLASSES] = 0.0 if tokens[CLASSES] else 1.0        # the end token is the only one of its class
+    unseen[CLASSES:] = np.where(tokens[CLASSES:] > 0, 0.0, 1.0)     # a frequent word, and the end, is the only one of its class
     floor = math.log10(n_all + SMOOTH * (distinct + 1))
 
     def apply(key: tuple, part: pa.Table, totals: pa.Table) -> pa.Table:
@@ -266,8 +295,7 @@ def score(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str =
             known, total = known[order], totals.column("total").to_numpy()[order]
             at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
             count = np.where(known[at] == hashes, total[at], count)
-        k = (hashes % CLASSES).astype(np.int32)
-        k[0] = CLASSES
+        k = classes_of(hashes, frequent)
         base = np.log10(count + SMOOTH) - floor
         with np.errstate(divide="ignore"):
             inside = np.log10(np.where(count > 0, (1 - unseen[k]) * count / np.maximum(tokens[k], 1), unseen[k]))
@@ -291,5 +319,5 @@ def score(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str =
     empty = {f.name: pa.array([], f.type) for f in pa.schema([
         ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
         ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])}
-    return dealt.groupBy("batch").cogroup(shared.groupBy("batch")).applyInArrow(
+    return rows.groupBy("batch").cogroup(shared.groupBy("batch")).applyInArrow(
         lambda key, part, totals: apply(key, part, totals) if len(part) else pa.table(empty), result)

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from gridmart.llm.common import Scratch, small_batches
 
 SAMPLE_ROWS = 2000        # labelled rows of each language, on average
-MAX_LANGUAGES = 512       # more distinct labels than this are an error, as the model would not be small
+MAX_LANGUAGES = 512       # the labels with most rows; others are not learned, so the model stays small
 BUCKET_BITS = 14
 ORDERS = (1, 2, 3)
 CHUNK = 1 << 20           # characters of a long text handled at once
@@ -107,9 +107,8 @@ class Model:
 
 def fit(labelled: DataFrame, scratch: Scratch, sample_rows: int = SAMPLE_ROWS) -> Model:
     """``labelled``: ``doc_id``, ``text``, ``lang``, none null."""
-    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
+    sizes.sort(key=lambda r: r["lang"])
     languages = [r["lang"] for r in sizes]
     if not languages:
         return Model([], *[np.zeros(0)] * 4)
@@ -169,14 +168,18 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
 
 
+def labelled_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """The rows that a model learns from."""
+    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")).filter(
+        F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).dropna()
+
+
 def identify(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
              carry: list[str] | None = None) -> DataFrame:
     """``row`` (the columns ``carry`` of ``docs``; all, when none are named), ``held_out``, ``lang_pred``,
     ``score``, ``ambiguous``."""
     carry = carry or docs.columns
-    labelled = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")).filter(
-        F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).dropna()
-    model = fit(labelled, scratch)
+    model = fit(labelled_rows(docs, doc_id, text, lang), scratch)
     source = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"),
                          held_out(F.col(doc_id)).alias("held_out"),
                          *([] if text in carry else [F.col(text).alias("_text")]))

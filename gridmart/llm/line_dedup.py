@@ -49,7 +49,7 @@ BANDS, ROWS = 25, 4
 THRESHOLD = 75            # percent
 LONG = 64                 # shingles
 DIFFER = 21               # of 64 sketch bits
-SMALL_BAND = 256          # members; pairs of larger bands are found by prefixes
+SMALL_BAND = 32           # members; those of larger bands are posted again under pairs of bands
 BITMAP = 1 << 26          # bits
 SLOT_POSTINGS = 4_000_000     # held at once by a task that reads blocks
 FLUSH = 1_000_000         # postings, before a task gives blocks

@@ -19,7 +19,8 @@ large documents go into a flight first, so those left at its end are seldom larg
 Defined results: a null text has size 0; a source is null, too, as a value of its own, last in order;
 repeated rows and doc_ids are documents of their own; documents of equal size are ordered by a hash;
 sources without words get target 0 and nothing taken; an empty table gives an empty
-result.  Reruns agree: all order and chance comes from hashes of the rows.  Columns other than
+result.  Reruns agree, whatever files and partitions the rows come in: all order and chance comes from hashes of doc_id, source and text, and
+rows that share all three are numbered (which of them gets which number makes no difference).  Columns other than
 the three are carried as they are.
 """
 
@@ -111,6 +112,17 @@ def flight_and_landing(chance: np.ndarray, size: np.ndarray, seed: int) -> np.nd
     return landing(out, size)
 
 
+def numbered(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """``rows`` with ``_copy``: 0, 1, ... among those that share ``_h0`` and ``_h1``, however many they are: their places in the order of
+    all repeated rows, less the first of their own."""
+    key = ["_h0", "_h1"]
+    repeated = scratch.write(rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_times")).filter("_times > 1").select(*key), "repeated")
+    again = scratch.write(global_rank(rows.select(*key, "_row").join(repeated, key), [*key, "_row"], "_place", scratch), "places")
+    first = again.groupBy(*key).agg(F.min("_place").alias("_first"))
+    again = again.join(first, key).select("_row", (F.col("_place") - F.col("_first")).alias("_copy"))
+    return rows.join(again, "_row", "left").withColumn("_copy", F.coalesce("_copy", F.lit(0).cast("long")))
+
+
 def mix(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str = "text", source: str = "source",
         carry: list[str] | None = None, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE,
         most: float = MOST, group_rows: int = GROUP_ROWS) -> DataFrame:
@@ -119,7 +131,8 @@ def mix(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str = "
     row = F.struct(*[F.col(f"`{c}`") for c in (carry or [doc_id])])
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
     rows = scratch.write(docs.select(row.alias("row"), F.col(doc_id).alias("_id"), F.col(source).alias("source"),
-                                     size.alias("size")).withColumn("_row", F.monotonically_increasing_id()), "sizes")
+                                     size.alias("size"), *[F.xxhash64(doc_id, source, text, F.lit(i)).alias(f"_h{i}") for i in (0, 1)]
+                                     ).withColumn("_row", F.monotonically_increasing_id()), "sizes")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_n"))
     goal = targets(sizes.select("source", "source_size"), scratch, weights, share, most)
     goal = scratch.write(goal.withColumnRenamed("source", "_s").join(
@@ -127,8 +140,8 @@ def mix(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str = "
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     sure = F.floor(ratio + 1e-12)
     # the order inside a flight: large first, equals by hash
-    units = rows.drop("row").join(goal, F.col("source").eqNullSafe(F.col("_s"))).select(
-        "_row", F.xxhash64("_id", "_row").alias("_order"), F.hash("source").alias("_source"), "source", "size", "_n",
+    units = numbered(rows.drop("row"), scratch).join(goal, F.col("source").eqNullSafe(F.col("_s"))).select(
+        "_row", F.xxhash64("_h0", "_h1", "_copy").alias("_order"), F.hash("source").alias("_source"), "source", "size", "_n",
         F.greatest(ratio - sure, F.lit(0.0)).alias("chance"))
     units = units.withColumn("_groups", F.ceil(F.col("_n") / group_rows)).drop("_n")
     units = scratch.write(units.withColumn("_waits", F.pmod("_order", "_groups") == 0), "units")

@@ -211,8 +211,20 @@ def near_groups(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text:
 
 
 def near_dedup(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose document stands for its component, with all their columns."""
-    gone = near_groups(docs, scratch, doc_id, text).filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    gone = scratch.write(gone, "gone")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(doc_id).alias("_id"))
-    return rows.join(gone, F.col("_id") == F.col("_gone"), "left_anti").select("row.*")
+    """Of each component of rows the one with the smallest doc_id (a null one comes last), with all its columns.
+
+    Rows are compared each by itself: a doc_id that several rows have, or a null one, gives way to a key of the row's doc_id and text.
+    Rows that share both are one document, and all of them stay if it does."""
+    repeated = docs.groupBy(F.col(doc_id).alias("_twice")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1 AND _twice IS NOT NULL")
+    repeated = scratch.write(repeated.select("_twice"), "repeated")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(doc_id).cast("long").alias("_id"),
+                       F.col(text).alias("_text"))
+    own = F.xxhash64("_id", "_text")
+    rows = rows.join(repeated, F.col("_id") == F.col("_twice"), "left").withColumn(
+        "_key", F.when(F.col("_id").isNull() | F.col("_twice").isNotNull(), own).otherwise(F.col("_id")))
+    groups = near_groups(rows.select("_key", "_text"), scratch, "_key", "_text").select(F.col("doc_id").alias("_key"), "component_id").distinct()
+    named = groups.join(rows.select("_key", "_id").distinct(), "_key")
+    named = scratch.write(named.select("_key", "component_id", F.struct(F.col("_id").isNull().alias("last"), "_id", "_key").alias("place")), "named")
+    best = named.groupBy("component_id").agg(F.min("place").alias("best"))
+    gone = scratch.write(named.join(best, "component_id").filter(F.col("place") != F.col("best")).select(F.col("_key").alias("_gone")), "gone")
+    return rows.join(gone, F.col("_key") == F.col("_gone"), "left_anti").select("row.*")

@@ -5,7 +5,7 @@ between letters and the marks ``. , ; : ! ?``, so a text in which no white space
 feed occurs, and none of them side by side, is the sequence of such parts.  A batch of texts is split and its
 distinct parts are found by Arrow; each distinct part is encoded by the library once, or taken
 from the worker's bounded cache, and numpy puts the ids in order.  A text with any other white
-space, or with a special token's string, is given to the library whole.
+space, or with a special token's string, is given to the library whole (which gives that token's id for the string).
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 END_ID = 0
-CACHE_PARTS = 800_000     # per worker; about 150 MB
+CACHE_PARTS = 500_000     # per worker, of words and of parts each; about 180 MB in all
 LONGEST_CACHED = 32       # characters
 
 # White space other than space and line feed, or two of those side by side, or a line feed at an end.
@@ -47,9 +47,9 @@ class Encoder:
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True    # their strings in a text are ordinary text
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cache = _Cache(self._new)
+        self.parts = _Cache(lambda part: self._part(" " + part))      # by what stands between two spaces
         # one word alone needs no pre-tokenizer, only its bytes in the model's alphabet
         alphabet = ByteLevel(add_prefix_space=False, use_regex=False)
         self.model = self.tokenizer.model
@@ -96,8 +96,8 @@ class Encoder:
         parts = lists.flatten().dictionary_encode()
         codes, known = parts.indices.to_numpy().copy(), parts.dictionary.to_numpy(zero_copy_only=False).tolist()
         firsts = bounds[:-1]                                # a text's first part has no space in front
-        cache, other = self.cache, self._part
-        blobs = [cache[" " + p] if p.isalpha() else other(" " + p) for p in known] + [other(known[c]) for c in codes[firsts]]
+        parts, first = self.parts, self._part
+        blobs = [parts[p] for p in known] + [first(known[c]) for c in codes[firsts]]
         codes[firsts] = np.arange(len(known), len(blobs))
         sizes = np.fromiter(map(len, blobs), np.int32, len(blobs)) // 4
         flat = np.frombuffer(b"".join(blobs), "<u4")

@@ -16,7 +16,7 @@ partition (in the file's row), plus the partitions before (one number per partit
 to all tasks).
 
 Defined results: null text is empty and has the end id alone; null doc_ids come first;
-repeated doc_ids follow one another; an empty table gives no files and no rows; other columns
+repeated doc_ids follow one another, in the order of a hash of their texts, and are spread over tasks; an empty table gives no files and no rows; other columns
 are not read.
 """
 
@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridmart.llm.common import Scratch, small_batches
+from gridmart.llm.common import Scratch, running_total, small_batches
 from gridmart.llm.tokens import encoder
 
 MAGIC = b"GWM2"
@@ -191,8 +191,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, scratch: Scratch, doc_id: str
     """Writes the shard files and returns their table: ``part``, ``shard``, ``before`` (tokens of the
     partition's earlier shards), ``n_tokens``, ``n_docs``, ``file`` (the file's bytes)."""
     small_batches(docs.sparkSession, rows=3000, size="12m")
-    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    source = source.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("_spread"), F.col(text).alias("text"))
+    source = source.repartitionByRange("doc_id", "_spread").sortWithinPartitions("doc_id", "_spread").drop("_spread")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part = encoder(tokenizer).documents, TaskContext.get().partitionId()
@@ -226,9 +226,7 @@ def read_tokens(files: DataFrame) -> DataFrame:
     ``ids_crc32``, ``shard_part``, ``shard``."""
     small_batches(files.sparkSession, rows=8, size="32m")
     parts = files.groupBy("part").agg(F.sum("n_tokens").alias("tokens"))
-    earlier = F.broadcast(parts.select(F.col("part").alias("p"), F.col("tokens").alias("t")))
-    bases = (parts.join(earlier, F.col("p") < F.col("part"), "left").groupBy("part")
-             .agg(F.coalesce(F.sum("t"), F.lit(0)).alias("base")))
+    bases = running_total(parts, "part", "tokens", "base")
     placed = files.join(F.broadcast(bases), "part").select(
         "part", "shard", (F.col("base") + F.col("before")).alias("base"), "file")
 

@@ -78,3 +78,32 @@ def test_graph_search_finds_the_nearest_centroids():
     exact = np.sqrt(((x[:300, None] - centres[None]) ** 2).sum(axis=2))
     assert np.mean(ids[:, 0] == exact.argmin(axis=1)) > 0.98
     assert (np.diff(far, axis=1) >= 0).all() and ann.TOP == 20
+
+
+def test_many_ties_in_a_block_go_to_the_smaller_ids(spark, scratch):
+    """2,000 distinct vectors of +1 and -1: hundreds share each score."""
+    r = np.random.default_rng(7)
+    x = np.unique(r.choice([-1.0, 1.0], (2600, 14)), axis=0)[:2000]
+    ids = r.permutation(len(x) * 3)[: len(x)]
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x, strict=True)], "vec_id long, embedding array<double>")
+    got = collect(nearest(df, scratch, every=100, query_ratio=100.0))
+    scores = x @ x.T
+    for q in got:
+        at = int(np.flatnonzero(ids == q)[0])
+        order = [int(ids[k]) for k in np.lexsort((ids, -scores[at])) if k != at][:20]
+        assert [i for i, _ in got[q]] == order
+
+
+def test_recall_where_the_beam_binds(spark, scratch):
+    """20,000 vectors with mixed norms: more lists than the beam holds."""
+    r = np.random.default_rng(8)
+    centres = r.normal(size=(300, 32))
+    x = (centres[r.integers(0, 300, 20_000)] + 0.4 * r.normal(size=(20_000, 32))) * r.uniform(0.5, 2.0, (20_000, 1))
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = collect(nearest(df, scratch, every=500))
+    hit = 0
+    for q in got:
+        score = x @ x[q]
+        score[q] = -np.inf
+        hit += len({i for i, _ in got[q]} & set(np.argsort(-score)[:20].tolist()))
+    assert round(len(x) ** 0.5) > ann.BEAM and hit / (20 * len(got)) >= 0.95

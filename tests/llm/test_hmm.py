@@ -56,6 +56,68 @@ def test_a_model_is_a_distribution_over_classes():
     assert m.emit.sum(axis=0) == pytest.approx(np.ones(4), rel=1e-3)
 
 
+def test_frequent_words_have_classes_of_their_own():
+    hashes = np.array([hmm.word_hash(w) for w in (b"a", b"b", b"c", hmm.END)], np.uint64)
+    k = hmm.classes_of(hashes, np.sort(hashes[:2]))
+    assert sorted(k[:2].tolist()) == [hmm.CLASSES, hmm.CLASSES + 1] and k[2] < hmm.CLASSES and k[3] == hmm.CLASSES + 2
+    assert hmm.classes_of(hashes, np.zeros(0, np.uint64)).tolist()[3] == hmm.CLASSES
+
+
+def test_every_training_document_is_seen_in_each_epoch(spark, scratch, monkeypatch):
+    seen, whole = [], hmm.expected
+    monkeypatch.setattr(hmm, "expected", lambda texts, *a: seen.append(sorted(r.text for r in texts.collect())) or whole(texts, *a))
+    texts = [f"w{i} x y z" for i in range(60)]
+    hmm.train(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), np.zeros(0, np.uint64))
+    assert len(seen) == hmm.EPOCHS * hmm.PARTS + 1
+    for e in range(hmm.EPOCHS):
+        assert sorted(t for part in seen[e * hmm.PARTS: (e + 1) * hmm.PARTS] for t in part) == sorted(texts)
+    assert seen[-1] == sorted(texts)
+
+
+def test_scores_end_to_end_against_plain_recursions(spark, scratch, monkeypatch):
+    """The whole score, recomputed from the fitted model with a dictionary of all training words."""
+    kept = {}
+    monkeypatch.setattr(hmm, "FREQUENT", 20)
+    fit = hmm.train
+    monkeypatch.setattr(hmm, "train", lambda texts, frequent: kept.update(frequent=frequent, model=fit(texts, frequent)) or kept["model"])
+    rows = edge_rows() + [(200 + i, words(i, 30, 50), None, "s") for i in range(40)]
+    got = hmm.score(frame(spark, rows), scratch).collect()
+    model, frequent = kept["model"], kept["frequent"].tolist()
+    tokens = [[*hmm.words_of(t), hmm.END] for _, t, *_ in rows]
+    learn = [n for n, (i, *_) in enumerate(rows) if i is not None and zlib.crc32(str(i).encode()) % 10]
+    count = Counter(w for n in learn for w in tokens[n])
+
+    def klass(w):
+        if w == hmm.END:
+            return hmm.CLASSES + len(frequent)
+        h = hmm.word_hash(w)
+        return hmm.CLASSES + frequent.index(h) if h in frequent else h % hmm.CLASSES
+
+    held, once = Counter(), Counter()
+    for w, c in count.items():
+        held[klass(w)] += c
+        once[klass(w)] += c == 1
+
+    def inside(w):
+        k = klass(w)
+        if k >= hmm.CLASSES:
+            return 1.0
+        new = (once[k] + 1) / (held[k] + 2) if held[k] else 1.0
+        return (1 - new) * count[w] / held[k] if count[w] else new
+
+    def score(ws):
+        alpha, total = None, 0.0
+        for w in ws:
+            seen = model.emit[klass(w)]
+            alpha = seen * (model.start if alpha is None else alpha @ model.move)
+            total += math.log10(alpha.sum()) + math.log10(inside(w))
+            alpha = alpha / alpha.sum()
+        return total
+
+    want = sorted(score(t) for t in tokens)
+    assert len(frequent) == 20 and sorted(r.score for r in got) == pytest.approx(want, rel=1e-6)
+
+
 def brute_base(rows):
     tokens = {}
     for n, (_, t, *_) in enumerate(rows):

@@ -1,3 +1,5 @@
+import math
+import random
 import zlib
 
 import numpy as np
@@ -63,3 +65,63 @@ def test_one_wrong_bit_is_corrected():
     model.margins = lambda text: np.zeros(7)
     assert model.predict("x")[2]                              # nothing to go by: ambiguous
     assert SAMPLE_ROWS == 2000 and gram_counts("ab").sum() == 4 + 3 + 2
+
+
+def grams(text):
+    """Buckets of a text's n-grams, character by character."""
+    chars = [32, *[ord(c) if c.isalpha() else 32 for c in text.lower()], 32]
+    out = {}
+    for at in range(len(chars)):
+        mixed = 0
+        for order, c in enumerate(chars[at: at + 3], 1):
+            mixed = ((mixed ^ c) * (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35)[order - 1]) & 0xFFFFFFFF
+            bucket = (((mixed ^ mixed >> 15) * 0x9E3779B1) & 0xFFFFFFFF) >> 18
+            out[bucket] = out.get(bucket, 0) + 1
+    return out
+
+
+def test_predictions_against_plain_counting(spark, scratch):
+    """Bit classifiers, their weights and the decoding, once more with dictionaries over all labelled texts."""
+    r = random.Random(3)
+    letters = {"aa": "abcdefgh ", "bb": "defghijk ", "cc": "ghijklmé ", "dd": "ijklmnop "}
+    rows = [(i, "".join(r.choice(letters[lang]) for _ in range(r.randrange(5, 60))), lang, "s")
+            for i in range(160) for lang in [r.choice(sorted(letters))]]
+    languages, code = sorted(letters), codewords(4)
+    learn = [(grams(t), languages.index(lang)) for i, t, lang, _ in rows if zlib.crc32(str(i).encode()) % 3 != 1]
+    share = []
+    for k in range(4):
+        total = {}
+        for g, of in learn:
+            for b, n in g.items() if of == k else ():
+                total[b] = total.get(b, 0) + n
+        size = sum(total.values()) + 0.5 * (1 << 14)
+        share.append(lambda b, total=total, size=size: (total.get(b, 0) + 0.5) / size)
+
+    def margins(g):
+        out = []
+        for bit in range(code.shape[1]):
+            plus, minus = ([s for s, c in zip(share, code[:, bit]) if c == sign] for sign in (1, -1))
+            out.append(sum(n * (math.log(sum(s(b) for s in plus) / len(plus)) - math.log(sum(s(b) for s in minus) / len(minus)))
+                           for b, n in g.items()) / sum(g.values()))
+        return np.array(out)
+
+    found = [(margins(g), k) for g, k in learn]
+    scale = np.mean([abs(m) for m, _ in found], axis=0)
+    trust = np.array([[(sum(m[b] * code[k, b] > 0 for m, of in found if of == k) + 1) / (sum(of == k for _, of in found) + 2)
+                       for b in range(code.shape[1])] for k in range(4)])
+    trust /= trust.sum(axis=1, keepdims=True)
+    for got in identify(frame(spark, rows), scratch, carry=["doc_id", "text"]).collect():
+        if not any(c.isalpha() for c in got["row"].text):
+            continue
+        loss = (trust * np.log1p(np.exp(-2 * code * margins(grams(got["row"].text)) / scale))).sum(axis=1)
+        chance = np.exp(-4 * loss) / np.exp(-4 * loss).sum()
+        assert got.lang_pred == languages[int(chance.argmax())]
+        assert abs(got.score - chance.max()) < 1e-4
+
+
+def test_very_many_labels(spark, scratch):
+    """More labels than are learned: those with most rows are."""
+    rows = [(i, "alpha beta gamma", f"l{i}", "s") for i in range(700)] + [(1000 + i, "delta epsilon", "many", "s") for i in range(30)]
+    got = identify(frame(spark, rows), scratch, carry=["doc_id"]).collect()
+    assert len(got) == len(rows) and all(r.lang_pred != "und" for r in got)
+    assert {r.lang_pred for r in got if r["row"].doc_id >= 1000} == {"many"}

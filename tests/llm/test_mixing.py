@@ -73,3 +73,17 @@ def test_flight_keeps_both_totals():
 def test_empty_table(spark, scratch):
     assert mix(frame(spark, []), scratch).count() == 0
     assert mix(frame(spark, [(1, None, None, None), (2, " ", None, "a")]), scratch).filter("taken = 0 AND target = 0").count() == 2
+
+
+def test_files_and_order_do_not_matter(spark, scratch, tmpdir_path):
+    """The same rows from one file, from five and in another order; some rows are repeated many times."""
+    rows = [(i % 700, words(i % 700, 1 + i % 53), None, f"s{i % 4}") for i in range(1500)] + [(5, "same text here", None, "s1")] * 400 \
+        + [(None, "no id", None, None)] * 30
+    results = []
+    for n, order in ((1, rows), (5, rows), (3, rows[::-1])):
+        path = f"{tmpdir_path}/{n}"
+        frame(spark, order).repartition(n).write.parquet(path)
+        got = mix(spark.read.parquet(path), scratch, carry=["doc_id", "source"], group_rows=100).collect()
+        results.append(sorted((str(r["row"]), r["size"], r["target"], r["copies"], r["taken"]) for r in got))
+    assert results[0] == results[1] == results[2]
+    assert len(set(results[0])) < len(results[0]) == len(rows)

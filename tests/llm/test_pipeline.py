@@ -14,7 +14,6 @@ SF = "/root/testdata/sf0.001"
 
 def library():
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     import numpy as np
     return lambda text: np.array(t.encode(text or "", add_special_tokens=False).ids + [0], dtype="<u4").tobytes()
 
@@ -60,6 +59,28 @@ def test_run_on_the_table_and_on_an_empty_one(spark, scratch, tmpdir_path):
 
 def test_registered_queries():
     names = [n.split("_")[0] for n in QUERIES if n != "pipeline"]
-    assert sorted(names) == sorted(f"op{i}" for i in range(1, 11))
+    assert sorted(names) == sorted(f"op{i}" for i in range(1, 14))
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLE_SQL) <= set(entry.oracle_sql())
     assert [n for n, _ in pipeline.STAGES] == ["language_id", "exact_dedup", "near_dedup", "mixing", "packing"]
+
+
+def test_rows_that_share_an_id_are_told_apart(spark, scratch):
+    """x and y share id 1; x is near the text of 0, y near that of 2 and of a row without id."""
+    from tests.llm.conftest import words
+    x, y = words(50, 100), words(51, 100)
+    rows = [(0, x + " end", "aa", "s"), (1, x, "aa", "s"), (1, y, "aa", "s"), (2, y + " end", "aa", "s"), (None, y + " more", "aa", "s"),
+            (None, words(52, 100), "aa", "s"), (None, words(52, 100) + " z", "aa", "s")]
+    near = pipeline.near_dedup_stage(spark, frame(spark, rows), SF)
+    got = sorted([(r.doc_id, r.text) for r in near.collect()], key=str)
+    assert [g for g in got if g[0] is not None] == [(0, x + " end"), (1, y)]
+    assert len([g for g in got if g[0] is None]) == 1
+
+
+def test_without_labels_texts_with_letters_stay(spark, scratch):
+    rows = [(1, "some text", None, "s"), (2, "12 34", None, "s"), (3, None, None, "s"), (4, "\u65e5\u672c", None, None), (5, "", None, "s")]
+    assert sorted(r.doc_id for r in pipeline.language_id(spark, frame(spark, rows), SF).collect()) == [1, 4]
+
+
+def test_two_runs_agree(spark):
+    rows = [sorted(map(str, pipeline.mixing(spark, spark.read.parquet(f"{SF}/documents.parquet").repartition(n), SF).collect())) for n in (2, 7)]
+    assert rows[0] == rows[1]

@@ -20,7 +20,6 @@ END = b"\0\0\0\0"
 @pytest.fixture(scope="module")
 def library():
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return lambda text: np.array(t.encode(text or "", add_special_tokens=False).ids + [0], dtype="<u4").tobytes()
 
 
@@ -133,3 +132,33 @@ def test_tokens_read_back_in_order(spark, scratch, library):
         assert r.start == at
         at += r.n_tokens
     assert read_tokens(write_tokens(frame(spark, []), PATH, scratch)).count() == 0
+
+
+def test_special_token_strings_are_that_token(spark, scratch, library):
+    text = "a <|endoftext|> b"
+    special = Tokenizer.from_file(PATH).token_to_id("<|endoftext|>")
+    assert special in np.frombuffer(library(text), "<u4").tolist()
+    rows = [(1, text, None, None), (2, "<|endoftext|>", None, None), (3, "plain", None, None)]
+    packed = pack(frame(spark, rows), PATH).collect()
+    check_pieces(packed, [(i, t) for i, t, *_ in rows], library)
+    read = {r.doc_id: r for r in read_tokens(write_tokens(frame(spark, rows), PATH, scratch)).collect()}
+    for i, t, *_ in rows:
+        assert (read[i].n_tokens, read[i].ids_crc32) == (len(library(t)) // 4, zlib.crc32(library(t)))
+
+
+def test_a_hot_or_missing_id_is_spread_over_tasks(spark, scratch, library):
+    rows = [(None, words(i, 40), None, None) for i in range(300)] + [(7, words(1000 + i, 40), None, None) for i in range(300)] \
+        + [(i, words(2000 + i, 10), None, None) for i in range(50)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")       # tables this small would be one task
+    try:
+        files = write_tokens(frame(spark, rows).repartition(8), PATH, scratch, shard_tokens=500)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert files.select("part").distinct().count() > 4
+    got = sorted(read_tokens(files).collect(), key=lambda r: r.start)
+    assert [(-1 if r.doc_id is None else r.doc_id) for r in got] == sorted(-1 if i is None else i for i, *_ in rows)
+    at = 0
+    for r in got:
+        assert r.start == at
+        at += r.n_tokens
+    assert sorted(r.ids_crc32 for r in got) == sorted(zlib.crc32(library(t)) for _, t, *_ in rows)

@@ -1,10 +1,11 @@
 import itertools
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
-from gridmart.llm.url_rules import EXPLICIT, host_of, judge, mine, path_of, tokens_of
+from gridmart.llm.url_rules import EXPLICIT, WHOLE, host_of, judge, mine, parts_of, path_of, tokens_of
 
 AZ = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 URLS = [None, "", "no scheme/x", "http://", "http://A.Org", "https://x.org/", "HTTP://EXAMPLE.ORG/es/1?x#y", "http://a.example.org/en/12",
@@ -93,3 +94,57 @@ def test_a_bad_host_is_blocked_however_many_urls_are_labelled(spark, scratch):
     rules = mine(good.unionByName(wrong).unionByName(few), scratch)
     assert [(r.antecedent, r.confidence, r.support) for r in rules.collect()] == [(["h1:worst"], 1.0, 12 / 30021)]
     assert mine(good.limit(20), scratch).count() == 0
+
+
+def rules_by_brute_force(sets, need=10, confidence=0.6):
+    """(tokens, bad) pairs -> rules of up to three tokens; of tokens in the very same sets the smallest stands for all in combinations."""
+    holders = {}
+    for n, (s, _) in enumerate(sets):
+        for t in s:
+            holders.setdefault(t, []).append(n)
+    stand = {min(ts) for ts in {tuple(h): [t for t in holders if holders[t] == h] for h in holders.values()}.values()}
+    frequent = [t for t in holders if sum(sets[n][1] for n in holders[t]) >= need]
+    want = {}
+    for k in (1, 2, 3):
+        for items in itertools.combinations(sorted(t for t in frequent if k == 1 or t in stand), k):
+            both = set.intersection(*(set(holders[t]) for t in items))
+            bad = sum(sets[n][1] for n in both)
+            if bad >= need and bad / len(both) >= confidence:
+                want[items] = bad / len(both)
+    return {i: round(c, 9) for i, c in want.items() if not any(
+        want.get(j, 0) >= c for k in range(1, len(i)) for j in itertools.combinations(i, k))}
+
+
+def mined_and_wanted(spark, scratch, rows):
+    df = spark.createDataFrame(rows, "url string, bad boolean")
+    got = {tuple(r.antecedent): round(r.confidence, 9) for r in mine(df, scratch).collect()}
+    sets = [(set(r.t), r.bad) for r in df.select(tokens_of(F.col("url")).alias("t"), "bad").collect()]
+    return got, rules_by_brute_force(sets)
+
+
+def test_a_repeated_url_of_many_keys(spark, scratch):
+    """Twelve equal urls share 40 keys: 2**40 sets are frequent."""
+    url = "http://track.net/a?" + "&".join(f"k{i}=1" for i in range(40))
+    began = time.time()
+    got, want = mined_and_wanted(spark, scratch, [(url, True)] * 12 + [(f"http://fine.net/{i}", False) for i in range(40)])
+    assert got == want and len(got) == 42 and time.time() - began < 60
+
+
+def test_random_subsets_of_many_keys(spark, scratch):
+    r, rows = random.Random(5), []
+    for i in range(260):
+        bad = i < 60
+        keys = [k for k in range(40) if r.random() < (0.8 if bad and k % 4 else 0.3)]
+        rows.append((f"http://h{i % 7}.net/?" + "&".join(f"k{k:02d}=1" for k in keys), bad))
+    got, want = mined_and_wanted(spark, scratch, rows)
+    assert got == want and any(len(a) == 3 for a in got)
+
+
+def test_parts_have_any_three_items_together(spark):
+    for n in (0, 1, WHOLE, WHOLE + 1, 30):
+        items = [f"t{i:02d}" for i in range(n)]
+        df = spark.createDataFrame([(items,)], "items array<string>")
+        parts = df.select(parts_of(F.col("items")).alias("p")).first()["p"]
+        assert all(len(p) <= WHOLE for p in parts)
+        held = {c for p in parts for c in itertools.combinations(p, 3)}
+        assert held >= set(itertools.combinations(items, 3))
