@@ -16,16 +16,18 @@ from pyspark.sql import functions as F
 
 from gridmart.llm.common import Scratch, load
 from gridmart.llm.exact_dedup import exact_dedup
-from gridmart.llm.langid import UNKNOWN, identify
+from gridmart.llm.langid import UNKNOWN, identify, labelled_rows
 from gridmart.llm.mixing import mix
 from gridmart.llm.near_dedup import near_dedup
 from gridmart.llm.packing import pack
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in no learned language (no text, or no letter in it) go."""
+    """Documents in no learned language (no text, or no letter in it) go.  Where no label teaches a language, those
+    without a letter go."""
     found = identify(docs, Scratch(spark, "pipeline-language"))
-    return found.filter(F.col("lang_pred") != UNKNOWN).select("row.*")
+    known = F.col("lang_pred") != UNKNOWN if not labelled_rows(docs).isEmpty() else F.col("row.text").rlike("\\p{L}")
+    return found.filter(known).select("row.*")
 
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +36,7 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest doc_id stays."""
+    """Of each group of near-duplicate rows the one with the smallest doc_id stays."""
     return near_dedup(docs, Scratch(spark, "pipeline-near"))
 
 
