@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from gridmart.llm.common import Scratch, small_batches
 
 STATES, CLASSES, FREQUENT = 8, 8192, 16384
-EPOCHS, PARTS = 2, 6
+EPOCHS, PARTS = 1, 6
 FORGET = 0.7              # round t (from 0) weighs (t + 1) ** -FORGET
 SEGMENT = 1024
 STEP_TOKENS = 300_000     # that one forward and backward pass handles at once; about 100 MB
