@@ -6,7 +6,7 @@ violations, passed).  Range bounds are inclusive and NULL passes a range check;
 Checks report, they never stop a build.
 
 All not_null and range checks of one table run in a single aggregation pass
-(partial sums per task).  Each unique check is one ``groupBy(key).count()``,
+(partial sums per task), or are observed by the job that writes the table (``observed``, ``report``): then no second read is needed.  Each unique check is one ``groupBy(key).count()``,
 which also combines map-side, so a hot key costs one row per task, not one
 task for all its rows.
 """
@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 CHECK_SCHEMA = "table_name string, column_name string, check_name string, violations bigint, passed boolean"
@@ -59,19 +59,24 @@ def _range_violation(c, lo, hi):
     return F.when(bad, F.lit(1)).otherwise(F.lit(0))
 
 
+def _scalar(checks: Sequence[Check]) -> list[Check]:
+    return [c for c in checks if c.kind in ("not_null", "accepted_range")]
+
+
+def _violation(check: Check):
+    """1 for a row that fails a not_null or range check, else 0."""
+    col = F.col(check.column)
+    if check.kind == "not_null":
+        return F.when(col.isNull(), F.lit(1)).otherwise(F.lit(0))
+    return _range_violation(col, check.min, check.max)
+
+
 def run_checks(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
     spark = df.sparkSession
     parts: list[DataFrame] = []
-    scalar = [c for c in checks if c.kind in ("not_null", "accepted_range")]
+    scalar = _scalar(checks)
     if scalar:
-        aggs = []
-        for i, c in enumerate(scalar):
-            col = F.col(c.column)
-            if c.kind == "not_null":
-                expr = F.when(col.isNull(), F.lit(1)).otherwise(F.lit(0))
-            else:
-                expr = _range_violation(col, c.min, c.max)
-            aggs.append(F.coalesce(F.sum(expr), F.lit(0)).cast("bigint").alias(f"v{i}"))
+        aggs = [F.coalesce(F.sum(_violation(c)), F.lit(0)).cast("bigint").alias(f"v{i}") for i, c in enumerate(scalar)]
         wide = df.agg(*aggs)
         stack = ", ".join(
             f"'{table}', '{c.column}', '{c.name}', v{i}" for i, c in enumerate(scalar))
@@ -95,6 +100,23 @@ def run_checks(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
     return out.withColumn("passed", F.col("violations") == 0)
 
 
+def observed(df: DataFrame, checks: Sequence[Check]) -> tuple[DataFrame, Observation | None]:
+    """``df`` with its not_null and range checks counted as the rows pass by, in whichever job writes them."""
+    scalar = _scalar(checks)
+    if not scalar:
+        return df, None
+    told = Observation()
+    return df.observe(told, *[F.coalesce(F.sum(_violation(c)), F.lit(0)).cast("bigint").alias(f"v{i}") for i, c in enumerate(scalar)]), told
+
+
+def report(table: str, checks: Sequence[Check], told: Observation | None, stored: DataFrame) -> list[tuple]:
+    """The rows of ``run_checks`` from what was ``observed`` (after the write); unique checks read their key columns of the stored table."""
+    counts = told.get if told is not None else {}
+    rows = [(table, c.column, c.name, counts[f"v{i}"], counts[f"v{i}"] == 0) for i, c in enumerate(_scalar(checks))]
+    rest = [c for c in checks if c.kind == "unique"]
+    return rows + ([tuple(r) for r in run_checks(stored, table, rest).collect()] if rest else [])
+
+
 def run_table_checks(tables: dict[str, DataFrame], specs: dict[str, Sequence[Check]],
                      spark: SparkSession | None = None) -> DataFrame:
     """Run every table's checks and stack the reports (C4: checks-only run)."""

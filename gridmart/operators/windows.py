@@ -31,6 +31,7 @@ def rank_desc(x: str, keys: Sequence[str]) -> Column:
 
 
 def latest_per(df: DataFrame, keys: Sequence[str] = ("entity",), order: str = "year") -> DataFrame:
-    """Latest row per key (ORDER BY order DESC LIMIT 1, for every key at once)."""
-    w = Window.partitionBy(*keys).orderBy(F.col(order).desc())
-    return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
+    """Latest row per key (ORDER BY order DESC LIMIT 1, for every key at once), combined map-side: a key's rows never meet."""
+    rows = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    first = F.struct(F.col(order).isNotNull(), F.col(order))          # a row without ``order`` comes last
+    return df.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.max_by(rows, first).alias("__row")).select("__row.*")

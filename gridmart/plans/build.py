@@ -55,6 +55,7 @@ class Params:
     context_years: tuple[int, int] = silver.CONTEXT_YEARS
     kpi_min_year: int = gold.KPI_MIN_YEAR
     decades: tuple[int, int] = (gold.DECADE_FIRST, gold.DECADE_LAST)
+    buckets: int | None = None       # of the layers that the unified table joins; None: folders by year (``refresh_marts`` needs them)
 
 
 # Declared column checks per stored table.
@@ -86,11 +87,22 @@ PARTITIONED = {"ingestion/raw_ember_generation": "year", "staging/stg_ember_gene
                "mart/generation_by_source": "year"}
 
 
+# Layers that the unified table joins on (entity, year): with ``Params.buckets`` they are stored in as many hash buckets
+# instead of year folders, and their groupings and joins need no exchange (see ``co_partitioned``).
+BUCKETED = ("staging/stg_ember_generation", "staging/stg_irena_capacity", "staging/stg_owid_energy")
+
+
+def co_partitioned(spark: SparkSession) -> None:
+    """Lets tables bucketed on (entity, year) meet on more columns than those without an exchange."""
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+
+
 class Builder:
     """Writes assets under ``out_dir`` and registers each in the catalog as ``<prefix><schema>.<table>``."""
 
-    def __init__(self, spark: SparkSession, out_dir: str, prefix: str = ""):
-        self.spark, self.out_dir, self.prefix = spark, out_dir, prefix
+    def __init__(self, spark: SparkSession, out_dir: str, prefix: str = "", buckets: int | None = None):
+        self.spark, self.out_dir, self.prefix, self.buckets = spark, out_dir, prefix, buckets
+        self.reports: list[tuple] = []                      # of the column checks, counted while tables were written
 
     def path(self, name: str) -> str:
         return os.path.join(self.out_dir, name)
@@ -104,8 +116,13 @@ class Builder:
         if by:   # rows of a year meet before writing (few files a folder); a large year is split again by its size
             df = df.hint("rebalance", F.col(by))
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.prefix}{name.split('/')[0]}`")
-        files.write_table(df, self.path(name), [by] if by else (), table=self.table(name))
-        return files.read_table(self.spark, self.path(name))
+        buckets = (self.buckets, ("entity", "year")) if self.buckets and name in BUCKETED else None
+        checks = CHECKS.get(name, [])
+        df, told = C.observed(df, checks)                   # above the exchange, so a repeated map task counts nothing twice
+        files.write_table(df, self.path(name), [by] if by and not buckets else (), table=self.table(name), buckets=buckets)
+        stored = self.spark.table(self.table(name)) if buckets else files.read_table(self.spark, self.path(name))
+        self.reports += C.report(name, checks, told, stored)
+        return stored
 
 
 def _renamed(raw: DataFrame) -> DataFrame:
@@ -143,13 +160,19 @@ def build_all(spark: SparkSession, inputs: Inputs, out_dir: str | None = None,
     run_ts = run_ts or datetime.now(timezone.utc).replace(tzinfo=None)
     params = params or Params()
     out_dir = out_dir or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "gridmart")
-    b = Builder(spark, out_dir, catalog_prefix)
-
-    long_csv = files.read_long_csv(spark, inputs.long_csv)
+    b = Builder(spark, out_dir, catalog_prefix, params.buckets)
+    if params.buckets:
+        co_partitioned(spark)
+
+    long_csv, long_rejects = files.read_csv_and_rejects(spark, inputs.long_csv)
+    wide_csv, wide_rejects = files.read_csv_and_rejects(spark, inputs.wide_csv)
+    rejected = b.save("checks/rejected_rows", long_rejects.unionByName(wide_rejects))
+    for r in rejected.groupBy("file").count().orderBy("file").limit(20).collect():
+        log.warning("%d rows of %s do not fit its header and were set aside", r["count"], r["file"])
     raw_long = b.save("ingestion/raw_ember_generation", ingest_long(long_csv, run_ts, inputs.entities))
     # P7 on a stored table: the counts read its columns, and the landed file is parsed once
     wide = b.save("ingestion/raw_owid_energy_landed",
-                  ingest_wide(files.read_wide_csv(spark, inputs.wide_csv), run_ts, inputs.entities))
+                  ingest_wide(wide_csv, run_ts, inputs.entities))
     raw_wide = b.save("ingestion/raw_owid_energy", drop_all_null_columns(wide, keep=("iso_code", "year")))
     cap_df, tag = files.read_capacity(spark, inputs.capacity_csv)
     codes = country_codes(ingest_long(long_csv, run_ts)) if "country_code" not in cap_df.columns else None
@@ -175,27 +198,22 @@ def build_all(spark: SparkSession, inputs: Inputs, out_dir: str | None = None,
     unified = b.save("staging/stg_energy_unified", silver.stg_energy_unified(ember, cap, ctx, cats))
 
     mix = b.save("mart/renewable_mix", gold.renewable_mix(unified))
-    trend = b.save("mart/capacity_trend", gold.capacity_trend(cap, unified))
-    kpis = b.save("mart/energy_kpis", gold.energy_kpis(ctx, mix, params.kpi_min_year, *params.decades))
-    gbs = b.save("mart/generation_by_source", gold.generation_by_source(unified))
+    b.save("mart/capacity_trend", gold.capacity_trend(cap, unified))
+    b.save("mart/energy_kpis", gold.energy_kpis(ctx, mix, params.kpi_min_year, *params.decades))
+    b.save("mart/generation_by_source", gold.generation_by_source(unified))
     b.save("mart/geo_infrastructure", geo.geo_infrastructure(raw_geo))
     subst = b.save("mart/geo_map_substations", geo.geo_map_substations(raw_geo))
     lines = b.save("mart/geo_map_lines", geo.geo_map_lines(raw_geo))
     files.write_geojson(geo.geo_features(lines, subst), b.path("export/infrastructure_geojson"))
 
-    stored = {
-        "ingestion/raw_ember_generation": raw_long, "ingestion/raw_owid_energy": raw_wide,
-        "ingestion/raw_irena_capacity": raw_cap, "staging/stg_ember_generation": ember,
-        "staging/stg_irena_capacity": cap, "staging/stg_owid_energy": ctx, "mart/renewable_mix": mix,
-        "mart/capacity_trend": trend, "mart/energy_kpis": kpis, "mart/generation_by_source": gbs,
-    }
-    b.save("checks/column_checks", C.run_table_checks(stored, CHECKS, spark))
+    b.save("checks/column_checks", spark.createDataFrame(b.reports, C.CHECK_SCHEMA))
     names = ["ingestion/raw_ember_generation", "ingestion/raw_owid_energy", "ingestion/raw_irena_capacity",
              "ingestion/raw_energydata_geo", "staging/stg_ember_generation", "staging/stg_irena_capacity",
              "staging/stg_owid_energy", "staging/stg_source_categories", "staging/stg_energy_unified",
              "mart/renewable_mix", "mart/capacity_trend", "mart/energy_kpis", "mart/generation_by_source",
              "mart/geo_infrastructure", "mart/geo_map_substations", "mart/geo_map_lines",
-             "export/infrastructure_geojson", "checks/column_checks", "checks/uncastable_cells"]
+             "export/infrastructure_geojson", "checks/column_checks", "checks/uncastable_cells",
+             "checks/rejected_rows"]
     return {n: b.path(n) for n in names}
 
 

@@ -18,8 +18,12 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridmart.functions.geo import lnglat_to_prime, prime_to_lnglat, prime_to_utm, utm_prime
+from gridmart.functions.rounding import round_half_away as R
+from gridmart.functions.rules import TECH_GROUP_DEFAULT, TECH_GROUP_RULES, TECHNOLOGY_RULES
 from gridmart.operators import checks as C
 from gridmart.operators.bronze import non_null_counts, null_tokens, tag_resource
+from gridmart.operators.substrings import first_rule, rules_frame
 from gridmart.plans import gold, geo, proxies, serving, silver
 from gridmart.plans import incremental as inc
 from gridmart.plans.bronze import country_codes, ingest_capacity, ingest_geo, ingest_long, ingest_wide
@@ -108,6 +112,25 @@ class Assets:
         stations = station_rows(proxies.station_csv_rows(self.spark, self.sf_dir))
         return ingest_geo([feats, stations], self.run_ts, spark=self.spark)
 
+    def grid_places(self) -> DataFrame:
+        """Degrees to the grid and back, to the sixth order."""
+        south = F.col("lat") < 0
+        xi, eta = lnglat_to_prime("lng", "lat")
+        staged = proxies.degree_rows(self.spark, self.sf_dir).withColumns({"xi": xi, "eta": eta, "south": south})
+        easting, northing = prime_to_utm(F.col("xi"), F.col("eta"), F.col("south"))
+        grid = staged.withColumns({"easting": easting, "northing": northing})
+        back = grid.withColumns(dict(zip(("bx", "be"), utm_prime("easting", "northing", F.col("south"), order=6))))
+        lng, lat = prime_to_lnglat(F.col("bx"), F.col("be"), order=6)
+        off = F.greatest(F.abs(lng - F.col("lng")), F.abs(lat - F.col("lat")))
+        return back.select("event_id", R("easting", 3).alias("easting"), R("northing", 3).alias("northing"), (off < 1e-9).alias("exact"))
+
+    def technology_by_table(self) -> DataFrame:
+        """P17 and P18 from rule tables, matched through the n-gram index."""
+        rows = silver.stg_irena_capacity(self.raw_labelled_capacity)
+        named = first_rule(rows, "technology_raw", rules_frame(self.spark, TECHNOLOGY_RULES), "technology", F.col("technology_raw"))
+        both = first_rule(named, "technology_raw", rules_frame(self.spark, TECH_GROUP_RULES), "tech_group", F.lit(TECH_GROUP_DEFAULT))
+        return both.select(*rows.columns)
+
     # --- silver -----------------------------------------------------------
     @cached_property
     def categories(self) -> DataFrame:
@@ -284,7 +307,13 @@ QUERIES = {
     "layer_counts": _q(lambda p: geo.layer_counts(p.lines, p.located_substations, located=True)),
     "geojson_features": _q(lambda p: geo.geo_features(p.lines, p.located_substations, PROXY_DIGITS, located=True)),
     # theta join (equal keys + keyword LIKE)
+    "keyword_cuf_indexed": _q(lambda p: gold.keyword_cuf(p.capacity, p.ember, *PROXY_CUF, indexed=True)),
+    "technology_by_table": _q(lambda p: p.technology_by_table()),
+    "grid_places": _q(lambda p: p.grid_places()),
     "keyword_cuf": _q(lambda p: gold.keyword_cuf(p.capacity, p.ember, *PROXY_CUF)),
     # data quality
     "checks": _q(lambda p: p.checks()),
 }
+
+#: Queries that write something to the shared folder and read it back, so building them runs jobs.
+STORING = ("mix_refreshed", "capacity_trend_refreshed", "landed_collection")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from gridmart.functions.rounding import round_half_away as R
 from gridmart.functions.rules import DEFAULT_SOURCE_COLOR, decade, flag_like
 from gridmart.operators.joins import keyword_join
+from gridmart.operators.substrings import contained
 from gridmart.operators.windows import lag_of, rank_desc
 
 # Which sources/categories feed each mart column.
@@ -156,14 +157,15 @@ CUF_KEYWORDS = (("geothermal", "geothermal"), ("hydro", "hydro"), ("wind", "wind
 
 
 def keyword_cuf(capacity: DataFrame, ember: DataFrame, energy_scale: float = 1e6,
-                hours: float = 8760.0) -> DataFrame:
+                hours: float = 8760.0, indexed: bool = False) -> DataFrame:
     """Capacity rows matched to generation by (entity, year) and keyword.
 
     A capacity row matches every generation label of the same entity and year
     that contains its technology keyword (case-insensitive LIKE).  Generation is
     first summed per (entity, year, label), so the residual LIKE runs on one row
     per label, never on raw rows.  Unmatched capacity rows keep a NULL sum; the
-    factor is clamped with LEAST/GREATEST (a NULL ratio clamps to 0.0).
+    factor is clamped with LEAST/GREATEST (a NULL ratio clamps to 0.0).  ``indexed`` finds the matching labels through
+    an n-gram index (``operators.substrings``), for years with very many labels and keywords.
     """
     low = F.lower(F.col("technology_raw"))
     kw = None
@@ -174,7 +176,12 @@ def keyword_cuf(capacity: DataFrame, ember: DataFrame, energy_scale: float = 1e6
     gen = (ember.filter(F.col("variable").isNotNull())
            .groupBy("entity", "year", F.lower("variable").alias("label"))
            .agg(F.sum("value_clean").alias("gen")))
-    j = keyword_join(cap, gen, ["entity", "year"], F.col("r.label"), F.col("l.keyword"), "left")
+    key = ["entity", "year"]
+    if indexed:
+        pairs = contained(gen, cap, key, "label", "keyword").join(gen, [*key, "label"])
+        j = cap.alias("l").join(pairs.alias("r"), [F.col(f"l.{k}") == F.col(f"r.{k}") for k in (*key, "keyword")], "left")
+    else:
+        j = keyword_join(cap, gen, key, F.col("r.label"), F.col("l.keyword"), "left")
     grouped = (j.groupBy(F.col("l.entity").alias("entity"), F.col("l.year").alias("year"),
                          F.col("l.technology_raw").alias("technology"), F.col("l.capacity_mw").alias("capacity_mw"))
                .agg(F.sum("r.gen").alias("gen_twh")))

@@ -270,6 +270,13 @@ def feature_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                                           F.lit("}")).alias("line"))
 
 
+def degree_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places in degrees, one per event, up to 6 degrees from the central meridian of zone 37 and on both hemispheres."""
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id", F.minute("ts").alias("mi"), F.second("ts").alias("se"))
+    return ev.select("event_id", (F.lit(33.0) + F.col("mi") * 0.2 + F.col("se") / 300.0).alias("lng"),
+                     (F.pmod(F.col("user_id"), F.lit(161)) - F.lit(80) + F.col("se") / 120.0).cast("double").alias("lat"))
+
+
 def _k() -> Column:
     return F.get_json_object("props", "$.k").cast("int")
 

@@ -73,6 +73,29 @@ def read_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return null_tokens(concat_by_name([reader.option("enforceSchema", False).csv(fs) for fs in layouts.values()]))
 
 
+def read_csv_and_rejects(spark: SparkSession, path: str | Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """``read_csv`` of the rows that fit their file's header, and the others: ``file``, ``text`` of each row with too many or too few
+    cells, or with a quote that is not closed."""
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    reader = spark.read.option("header", True).option("inferSchema", False)
+    for f in _files(spark, path):
+        layouts.setdefault(tuple(reader.csv(f).columns), []).append(f)
+    if not layouts:
+        return reader.csv(path), spark.createDataFrame([], "file string, text string")
+    good, bad = [], []
+    for columns, found in layouts.items():
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in (*columns, "_corrupt_record")])
+        # without pruning, or cells that no query reads would not be counted
+        rows = (spark.read.option("header", True).option("columnPruning", False).option("columnNameOfCorruptRecord", "_corrupt_record")
+                .schema(schema).csv(found))
+        names = [F.col(f"`{c}`") for c in columns]
+        # Spark refuses to read the record's text alone, so a cell is looked at, too
+        broken = F.col("_corrupt_record").isNotNull() & (F.length(F.concat_ws("", names[0])) >= 0)
+        good.append(rows.filter(~broken).select(*names))
+        bad.append(rows.filter(broken).select(F.col("_metadata.file_path").alias("file"), F.col("_corrupt_record").alias("text")))
+    return null_tokens(concat_by_name(good)), concat_by_name(bad)
+
+
 def read_long_csv(spark: SparkSession, path) -> DataFrame:
     """Yearly long-format statistics CSV, all columns as strings."""
     return read_csv(spark, path)

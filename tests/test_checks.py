@@ -32,3 +32,28 @@ def test_checks_multi_table(spark):
     b = spark.createDataFrame([(None,)], "x int")
     rows = C.run_table_checks({"a": a, "b": b}, {"a": [C.not_null("x")], "b": [C.not_null("x")]}).collect()
     assert {r["table_name"]: r["passed"] for r in rows} == {"a": True, "b": False}
+
+
+def test_checks_observed_by_the_write(spark, tmpdir_path):
+    """The report equals run_checks, and the table is not read for null and range checks."""
+    from gridmart.operators import checks as C
+    from gridmart.sources import files
+    rows = [(i % 7 if i % 5 else None, 2000 + i % 50, float(i) if i % 3 else None) for i in range(200)]
+    df = spark.createDataFrame(rows, "entity int, year int, v double").repartition(5)
+    specs = [C.not_null("entity"), C.accepted_range("year", 2000, 2030), C.unique("entity", "year"), C.not_null("v"), C.accepted_range("v", 10, None)]
+    passing, told = C.observed(df, specs)
+    path = f"{tmpdir_path}/t"
+    files.write_table(passing, path)
+    stored = files.read_table(spark, path)
+    want = sorted(tuple(r) for r in C.run_checks(stored, "t", specs).collect())
+    assert sorted(C.report("t", specs, told, stored)) == want
+    assert sorted(C.report("t", [s for s in specs if s.kind != "unique"], told, None)) == sorted(r for r in want if r[2] != "unique")
+    assert C.observed(df, [C.unique("v")])[1] is None
+
+
+def test_checks_of_an_empty_table(spark, tmpdir_path):
+    from gridmart.operators import checks as C
+    from gridmart.sources import files
+    df, told = C.observed(spark.createDataFrame([], "year int"), [C.not_null("year")])
+    files.write_table(df, f"{tmpdir_path}/e")
+    assert C.report("e", [C.not_null("year")], told, df) == [("e", "year", "not_null", 0, True)]

@@ -91,3 +91,27 @@ def test_line_color(spark):
     rows = [("220kV Network",), ("132kV Network",), ("66kV Network",), ("33kV",), (None,)]
     assert _one(spark, line_color("r"), "r string", rows) == ["#c0392b", "#e74c3c", "#e67e22",
                                                               "#95a5a6", "#95a5a6"]
+
+
+def test_grid_round_trip_to_the_sixth_order(spark):
+    """Below 1e-9 degrees up to 6 degrees from the central meridian, both hemispheres."""
+    from pyspark.sql import functions as F
+    from gridmart.functions.geo import lnglat_to_prime, prime_to_lnglat, prime_to_utm, utm_prime, wgs84_to_utm
+    rows = [(33.0 + i * 0.37, -84.0 + j * 2.1) for i in range(33) for j in range(81)]
+    df = spark.createDataFrame(rows, "lng double, lat double").withColumn("south", F.col("lat") < 0)
+    xi, eta = lnglat_to_prime("lng", "lat")
+    df = df.withColumns({"xi": xi, "eta": eta})
+    e, n = prime_to_utm(F.col("xi"), F.col("eta"), F.col("south"))
+    df = df.withColumns({"e": e, "n": n})
+    bx, be = utm_prime("e", "n", F.col("south"), order=6)
+    df = df.withColumns({"bx": bx, "be": be})
+    lng, lat = prime_to_lnglat(F.col("bx"), F.col("be"), order=6)
+    worst = df.select(F.max(F.abs(lng - F.col("lng"))), F.max(F.abs(lat - F.col("lat")))).first()
+    assert max(worst) < 1e-9
+    # a published place: the grid coordinates of the library's own examples
+    e, n = wgs84_to_utm(F.lit(36.82192), F.lit(-1.29208))
+    got = spark.range(1).select(e, n).first()
+    back = spark.createDataFrame([(got[0], got[1])], "e double, n double")
+    from gridmart.functions.geo import utm_to_wgs84
+    lng, lat = utm_to_wgs84("e", "n")
+    assert abs(back.select(lng).first()[0] - 36.82192) < 1e-9 and abs(back.select(lat).first()[0] + 1.29208) < 1e-9

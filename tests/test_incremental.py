@@ -146,3 +146,24 @@ def test_only_touched_years_are_read(spark, tmpdir_path):
     keys = spark.createDataFrame([(e, 2004) for e in "ABCDE"], "entity string, year int")
     inc.refresh_mix(inc.Stored(spark, m), files.read_table(spark, u), keys)
     assert rows(files.read_table(spark, m)) == want
+
+
+def test_bucketed_layers_meet_without_an_exchange(spark, tmpdir_path):
+    """J1, J3 and the groupings of the unified table over stored, bucketed layers."""
+    from gridmart.plans.build import co_partitioned
+    b, cats = Builder(spark, tmpdir_path, "bkt_", buckets=4), categories(spark)
+    staged = frames(spark, state(11))
+    names = ("stg_ember_generation", "stg_irena_capacity", "stg_owid_energy")
+    stored = [b.save(f"staging/{n}", df) for n, df in zip(names, staged, strict=True)]
+    key, kept = "spark.sql.requireAllClusterKeysForCoPartition", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    co_partitioned(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        unified = silver.stg_energy_unified(*stored, F.broadcast(cats))
+        plan = unified._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Bucketed: true") == 3 and plan.count("SortMergeJoin") == 2
+        assert [x for x in plan.splitlines() if "Exchange" in x and "BroadcastExchange" not in x] == []
+        assert rows(unified) == rows(silver.stg_energy_unified(*staged, cats))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+        spark.conf.unset(key)

@@ -281,3 +281,17 @@ def test_full_precision_is_the_default(spark):
     assert point == [lng, lat]
     short = json.loads(geo.geo_features(lines, stations, 3).first()["feature"])["geometry"]["coordinates"]
     assert short == [round(lng, 3), round(lat, 3)]
+
+
+def test_damaged_rows_are_set_aside(spark, tmpdir_path):
+    """Rejects and landed rows are all rows of the files."""
+    good = ["KEN,2020,Gas,1.5", 'KEN,2021,"Oil, heavy",2', "KEN,2022,,", '"KEN","2023","say ""hi""",4']
+    bad = ["KEN,2024,Gas", "KEN,2025,Gas,1,2", 'KEN,2026,"Gas,1', "KEN"]
+    a = _write(os.path.join(tmpdir_path, "a.csv"), "\n".join(["Country code,Year,Variable,Value", *good[:2], *bad[:3], *good[2:]]) + "\n")
+    b = _write(os.path.join(tmpdir_path, "b.csv"), "\n".join(["Year,Country code,Variable,Value,Area", "2001,KEN,Wind,3,Kenya", bad[3]]) + "\n")
+    rows, rejects = files.read_csv_and_rejects(spark, tmpdir_path)
+    assert sorted(r["Year"] for r in rows.collect()) == ["2001", "2020", "2021", "2022", "2023"]
+    told = {(os.path.basename(r["file"]), r["text"]) for r in rejects.collect()}
+    assert told == {("a.csv", t) for t in bad[:3]} | {("b.csv", bad[3])}
+    assert rows.select("Variable").filter("Variable like 'Oil%'").first()[0] == "Oil, heavy"
+    assert rows.count() + rejects.count() == 9
