@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 END_ID = 0
-CACHE_PARTS = 500_000     # per worker, of words and of parts each; about 180 MB in all
+CACHE_PARTS = 250_000     # per worker, of words and of parts each; about 90 MB in all
 LONGEST_CACHED = 32       # characters
 
 # White space other than space and line feed, or two of those side by side, or a line feed at an end.
