@@ -131,7 +131,7 @@ def pack(docs: DataFrame, tokenizer: str, max_tokens: int = MAX_TOKENS, max_segm
     limits = (max_tokens, max_segments, max_loss_tokens or max_tokens)
     prompt = F.coalesce(F.col(prompt_tokens).cast("long"), F.lit(0)) if prompt_tokens else F.lit(0).cast("long")
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), prompt.alias("prompt"))
-    small_batches(docs.sparkSession, rows=3000, size="12m")
+    small_batches(docs.sparkSession, rows=6000, size="24m")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer).documents

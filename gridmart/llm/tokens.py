@@ -19,7 +19,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 END_ID = 0
-CACHE_PARTS = 250_000     # per worker, of words and of parts each; about 90 MB in all
+CACHE_WORDS = 400_000     # per worker; about 80 MB
+CACHE_PARTS = 100_000     # per worker, of all that is no word of letters; about 20 MB
 LONGEST_CACHED = 32       # characters
 
 # White space other than space and line feed, or two of those side by side, or a line feed at an end.
@@ -30,13 +31,13 @@ _LETTERS = [chr(c) for c in range(0x250) if chr(c).isalpha()]
 
 
 class _Cache(dict):
-    def __init__(self, encode):
+    def __init__(self, encode, most: int):
         super().__init__()
-        self.encode = encode
+        self.encode, self.most = encode, most
 
     def __missing__(self, part: str) -> bytes:
         ids = self.encode(part)
-        if len(part) <= LONGEST_CACHED and len(self) < CACHE_PARTS:
+        if len(part) <= LONGEST_CACHED and len(self) < self.most:
             self[part] = ids
         return ids
 
@@ -48,13 +49,14 @@ class Encoder:
         from tokenizers.pre_tokenizers import ByteLevel
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.cache = _Cache(self._new)
-        self.parts = _Cache(lambda part: self._part(" " + part))      # by what stands between two spaces
+        self.cache = _Cache(self._new, CACHE_PARTS)
+        self.words = _Cache(self._spaced_word, CACHE_WORDS)           # by the letters after a space
         # one word alone needs no pre-tokenizer, only its bytes in the model's alphabet
         alphabet = ByteLevel(add_prefix_space=False, use_regex=False)
         self.model = self.tokenizer.model
         self.letters = frozenset(_LETTERS)
         self.bytes = {ord(c): alphabet.pre_tokenize_str(c)[0][0] for c in [" ", *_LETTERS]}
+        self.space = self.bytes[ord(" ")]
 
     def whole(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers, by one call of the library."""
@@ -66,6 +68,33 @@ class Encoder:
             return array("I", [t.id for t in self.model.tokenize(part.translate(self.bytes))]).tobytes()
         return self.whole(part)
 
+    def _spaced_word(self, word: str) -> bytes | None:
+        """The ids of a space and a word; None if it is no word of known letters."""
+        if not word.isalpha():
+            return None
+        if not word.isascii():
+            if not self.letters.issuperset(word):
+                return None
+            word = word.translate(self.bytes)       # ASCII letters stand for themselves
+        return array("I", [t.id for t in self.model.tokenize(self.space + word)]).tobytes()
+
+    def _spaced(self, parts: pa.Array) -> list[bytes]:
+        """The ids of each of these distinct parts, after a space if they don't begin with a line feed.  The marks at a part's end are
+        split off first, so that a word is looked up once whatever follows it."""
+        words = pc.ascii_rtrim(parts, characters=_MARKS)
+        marks = pc.subtract(pc.binary_length(parts), pc.binary_length(words)).to_numpy()
+        coded, known = words.dictionary_encode(), self.words
+        found = [known[w] for w in coded.dictionary.to_pylist()]
+        out = [found[c] for c in coded.indices.to_numpy().tolist()]
+        tailed = np.flatnonzero(marks)
+        for at, part, n in zip(tailed.tolist(), parts.take(pa.array(tailed)).to_pylist(), marks[tailed].tolist(), strict=True):
+            if out[at] is not None:
+                out[at] += self.cache[part[-n:]]
+        for at in [i for i, ids in enumerate(out) if ids is None]:
+            part = parts[at].as_py()
+            out[at] = self.cache["\n"] + self._word(part[1:]) if part[:1] == "\n" else self._word(" " + part)
+        return out
+
     def _word(self, part: str) -> bytes:
         if part[-1:] in _MARKS and part:
             word = part.rstrip(_MARKS)
@@ -73,13 +102,6 @@ class Encoder:
                 return self.cache[word] + self.cache[part[len(word):]]
         return self.cache[part]
 
-    def _part(self, part: str) -> bytes:
-        """A part without a space inside, which may have line feeds."""
-        if "\n" not in part:
-            return self._word(part)
-        first, *rest = part.split("\n")
-        return self._word(first) + b"".join(self.cache["\n"] + self._word(p) for p in rest)
-
     def documents(self, texts: pa.Array) -> list[bytes]:
         """For each text its ids, then the end id; null is empty."""
         end = END_ID.to_bytes(4, "little")
@@ -91,13 +113,12 @@ class Encoder:
         plain = texts.filter(pc.invert(odd))
         if not len(plain):
             return out
-        lists = pc.split_pattern(plain, " ")
+        lists = pc.split_pattern(pc.replace_substring(plain, "\n", " \n"), " ")
         bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
         parts = lists.flatten().dictionary_encode()
-        codes, known = parts.indices.to_numpy().copy(), parts.dictionary.to_numpy(zero_copy_only=False).tolist()
+        codes, known = parts.indices.to_numpy().copy(), parts.dictionary
         firsts = bounds[:-1]                                # a text's first part has no space in front
-        parts, first = self.parts, self._part
-        blobs = [parts[p] for p in known] + [first(known[c]) for c in codes[firsts]]
+        blobs = self._spaced(known) + [self._word(p) for p in known.take(pa.array(codes[firsts])).to_pylist()]
         codes[firsts] = np.arange(len(known), len(blobs))
         sizes = np.fromiter(map(len, blobs), np.int32, len(blobs)) // 4
         flat = np.frombuffer(b"".join(blobs), "<u4")

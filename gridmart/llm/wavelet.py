@@ -190,7 +190,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, scratch: Scratch, doc_id: str
                  shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """Writes the shard files and returns their table: ``part``, ``shard``, ``before`` (tokens of the
     partition's earlier shards), ``n_tokens``, ``n_docs``, ``file`` (the file's bytes)."""
-    small_batches(docs.sparkSession, rows=3000, size="12m")
+    small_batches(docs.sparkSession, rows=6000, size="24m")
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("_spread"), F.col(text).alias("text"))
     source = source.repartitionByRange("doc_id", "_spread").sortWithinPartitions("doc_id", "_spread").drop("_spread")
 
