@@ -3,8 +3,8 @@
 The library's byte-level BPE splits a text before every single space, around line feeds, and
 between letters and the marks ``. , ; : ! ?``, so a text in which no white space but space and line
 feed occurs, and none of them side by side, is the sequence of such parts.  A batch of texts is split and its
-distinct parts are found by Arrow; each distinct part is encoded by the library once, or taken
-from the worker's bounded cache, and numpy puts the ids in order.  A text with any other white
+distinct parts are found by Arrow; each distinct part is put together from its words and the marks behind them, which the library
+encodes once or the worker's bounded cache holds, and numpy puts the ids in order.  A text with any other white
 space, or with a special token's string, is given to the library whole (which gives that token's id for the string).
 """
 
@@ -19,7 +19,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 END_ID = 0
-CACHE_PARTS = 250_000     # per worker, of words and of parts each; about 90 MB in all
+CACHE_WORDS = 250_000     # per worker, of words behind a space and of others each; about 90 MB in all
+CACHE_MARKS = 10_000
 TEXTS_AT_ONCE = 64        # whose ids are put in order at once, in a core's own cache
 LONGEST_CACHED = 32       # characters
 
@@ -30,27 +31,51 @@ _MARKS = ".,;:!?"
 _LETTERS = [chr(c) for c in range(0x250) if chr(c).isalpha()]
 
 
-class _Cache(dict):
-    def __init__(self, encode):
+class _Words(dict):
+    """Ids by what stands between two spaces, ``space`` in front.  Words alone are held: a part that ends in marks or has line feeds is put
+    together from them."""
+
+    def __init__(self, encoder: Encoder, space: str, most: int):
         super().__init__()
-        self.encode = encode
+        self.encoder, self.space, self.most = encoder, space, most
 
     def __missing__(self, part: str) -> bytes:
-        ids = self.encode(part)
-        if len(part) <= LONGEST_CACHED and len(self) < CACHE_PARTS:
+        if "\n" in part:
+            first, *rest = part.split("\n")
+            feed, firsts = self.encoder.marks["\n"], self.encoder.firsts
+            return self[first] + b"".join([feed + firsts[p] for p in rest])
+        if part[-1:] in _MARKS and part:
+            word = part.rstrip(_MARKS)
+            if word.isalpha():
+                return self[word] + self.encoder.marks[part[len(word):]]
+        ids = self.encoder.word(part, self.space)
+        if len(part) <= LONGEST_CACHED and len(self) < self.most:
+            self[part] = ids
+        return ids
+
+
+class _Marks(dict):
+    """Ids of marks behind a word, and of a line feed."""
+
+    def __init__(self, encoder: Encoder):
+        super().__init__()
+        self.encoder = encoder
+
+    def __missing__(self, part: str) -> bytes:
+        ids = self.encoder.whole(part)
+        if len(part) <= LONGEST_CACHED and len(self) < CACHE_MARKS:
             self[part] = ids
         return ids
 
 
 class Encoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, words: int = CACHE_WORDS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.cache = _Cache(self._new)
-        self.parts = _Cache(lambda part: self._part(" " + part))      # by what stands between two spaces
+        self.parts, self.firsts, self.marks = _Words(self, " ", words), _Words(self, "", words), _Marks(self)
         # one word alone needs no pre-tokenizer, only its bytes in the model's alphabet
         alphabet = ByteLevel(add_prefix_space=False, use_regex=False)
         self.model = self.tokenizer.model
@@ -61,25 +86,11 @@ class Encoder:
         """The ids of a text as little-endian unsigned 32-bit integers, by one call of the library."""
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes() if text else b""
 
-    def _new(self, part: str) -> bytes:
-        word = part[1:] if part[:1] == " " else part
-        if word.isalpha() and (word.isascii() or self.letters.issuperset(word)):
-            return array("I", [t.id for t in self.model.tokenize(part.translate(self.bytes))]).tobytes()
-        return self.whole(part)
-
-    def _word(self, part: str) -> bytes:
-        if part[-1:] in _MARKS and part:
-            word = part.rstrip(_MARKS)
-            if word.lstrip(" ").isalpha():
-                return self.cache[word] + self.cache[part[len(word):]]
-        return self.cache[part]
-
-    def _part(self, part: str) -> bytes:
-        """A part without a space inside, which may have line feeds."""
-        if "\n" not in part:
-            return self._word(part)
-        first, *rest = part.split("\n")
-        return self._word(first) + b"".join(self.cache["\n"] + self._word(p) for p in rest)
+    def word(self, part: str, space: str) -> bytes:
+        if part.isalpha() and (part.isascii() or self.letters.issuperset(part)):
+            tokens = self.model.tokenize(self.bytes[32] * len(space) + (part if part.isascii() else part.translate(self.bytes)))
+            return array("I", [t.id for t in tokens]).tobytes()
+        return self.whole(space + part)
 
     def documents(self, texts: pa.Array) -> list[bytes]:
         """For each text its ids, then the end id; null is empty."""
@@ -97,8 +108,8 @@ class Encoder:
         parts = lists.flatten().dictionary_encode()
         codes, known = parts.indices.to_numpy().copy(), parts.dictionary.to_numpy(zero_copy_only=False).tolist()
         firsts = bounds[:-1]                                # a text's first part has no space in front
-        parts, first = self.parts, self._part
-        blobs = [parts[p] for p in known] + [first(known[c]) for c in codes[firsts]]
+        parts, first = self.parts, self.firsts
+        blobs = [parts[p] for p in known] + [first[known[c]] for c in codes[firsts]]
         codes[firsts] = np.arange(len(known), len(blobs))
         sizes = np.fromiter(map(len, blobs), np.int32, len(blobs)) // 4
         flat = np.frombuffer(b"".join(blobs), "<u4")
@@ -119,6 +130,6 @@ class Encoder:
 
 
 @functools.lru_cache(maxsize=1)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, words: int = CACHE_WORDS) -> Encoder:
     """One encoder per Python worker."""
-    return Encoder(path)
+    return Encoder(path, words)

@@ -38,6 +38,7 @@ from gridmart.llm.tokens import encoder
 MAGIC = b"GWM2"
 SHARD_TOKENS = 1 << 18    # so that a shard is built and decoded in a core's own cache
 WORD = 64
+CACHE_WORDS = 600_000     # per worker, about 110 MB of the encoder
 DENSE = 1 << 20           # below this, distinct ids are found by counting
 
 
@@ -195,7 +196,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, scratch: Scratch, doc_id: str
     source = source.repartitionByRange("doc_id", "_spread").sortWithinPartitions("doc_id", "_spread").drop("_spread")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part = encoder(tokenizer).documents, TaskContext.get().partitionId()
+        encode, part = encoder(tokenizer, CACHE_WORDS).documents, TaskContext.get().partitionId()
         ids, blobs, size, shard, before = [], [], 0, 0, 0
 
         def flush() -> pa.RecordBatch:

@@ -9,7 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from gridmart.llm.packing import Packer, pack
-from gridmart.llm.tokens import encoder
+from gridmart.llm.tokens import Encoder, encoder
 from gridmart.llm.wavelet import WaveletMatrix, open_shard, read_tokens, write_shard, write_tokens
 from tests.llm.conftest import edge_rows, frame, words
 
@@ -35,6 +35,18 @@ def test_encoder_equals_library(library):
         assert g == library(t), repr(t)
 
 
+def test_a_word_is_encoded_once_whatever_follows_it(library):
+    texts = ["word word. word, word!? word.\nword.\nword: é, é", "word; x a\nword", "word.\nother, word"]
+    one = Encoder(PATH, words=100)
+    asked, encode = [], one.word
+    one.word = lambda part, space: asked.append((part, space)) or encode(part, space)
+    for _ in range(2):
+        assert one.documents(pa.array(texts)) == [library(t) for t in texts]
+    assert sorted(asked) == [("a", " "), ("other", ""), ("word", ""), ("word", " "), ("x", " "), ("é", " ")]
+    full = Encoder(PATH, words=1)                               # a full cache changes no id
+    assert full.documents(pa.array(texts)) == [library(t) for t in texts] and len(full.parts) == len(full.firsts) == 1
+
+
 def check_pieces(rows, docs, library, limit=1024):
     """``docs``: (doc_id, text) in any order; rows with the same id are told apart by their ids."""
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
