@@ -7,6 +7,7 @@ later step needs and every reader sees the same rows.
 
 from __future__ import annotations
 
+import gc
 import uuid
 from functools import reduce
 
@@ -51,6 +52,12 @@ class Scratch:
                 path = jvm.org.apache.hadoop.fs.Path(f)
                 path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
+    def settle(self) -> None:
+        """Spark deletes the shuffle files of steps that have ended once the driver has collected their plans, which a driver with memory
+        to spare does late; a job of many steps asks for it in between."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
 
 def small_batches(spark: SparkSession, rows: int = 1000, size: str = "8m") -> None:
     """Bounds what one Arrow batch of whole texts can hold, for the Python stages that follow."""

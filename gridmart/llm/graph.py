@@ -5,7 +5,8 @@ their ends by pointer jumping, and the edges are rewritten between the ends that
 The number of rounds is logarithmic in the longest chain.  Every step is a join or a
 grouping with map-side combining; each round's tables are written to the shared scratch
 folder, so both sides of a join come straight from an exchange and adaptive execution can
-split a hub that holds a large share of the edges.  No list of neighbours is built.
+split a hub that holds a large share of the edges.  No list of neighbours is built.  A
+round's tables are deleted when the next one has read them.
 """
 
 from __future__ import annotations
@@ -41,11 +42,18 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         b = pointer.select(F.col("node").alias("b"), F.col("component").alias("cb"))
         left = scratch.write(edges.join(a, "a").join(b, "b").filter("ca <> cb").select(
             F.greatest("ca", "cb").alias("a"), F.least("ca", "cb").alias("b")).distinct(), "edges")
+        scratch.drop(edges)
         if labels is None:
             labels = pointer
         else:
             root = pointer.select(F.col("node").alias("component"), F.col("component").alias("root"))
-            labels = scratch.write(labels.join(root, "component", "left").select(
+            further = scratch.write(labels.join(root, "component", "left").select(
                 "node", F.coalesce("root", "component").alias("component")), "labels")
+            scratch.drop(labels)
+            scratch.drop(pointer)
+            labels = further
         edges = left
-    return labels if labels is not None else edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    if labels is None:
+        return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    scratch.drop(edges)
+    return labels

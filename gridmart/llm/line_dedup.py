@@ -242,7 +242,10 @@ def _blocks(lines: dict[int, str], slots: int) -> pa.RecordBatch:
 
 
 def refined(texts: DataFrame, large: DataFrame, slots: int) -> DataFrame:
-    """Postings of lines under pairs of bands: each of those in ``large`` (``band``, ``node``) with each other one of the line."""
+    """Postings of lines under pairs of bands: each of those in ``large`` (``band``, ``node``) with each other one of the line, a pair of two
+    such bands once."""
+    one, other = np.triu_indices(BANDS, 1)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in (batch.slice(i, 500) for i in range(0, len(batch), 500)):
@@ -251,10 +254,11 @@ def refined(texts: DataFrame, large: DataFrame, slots: int) -> DataFrame:
                 for places, bands, sketches in signed(lines):
                     names = _band(bands, slots)
                     for at, own, name, sketch in zip(places.tolist(), bands, names, sketches, strict=True):
-                        for band in held[at]:
-                            if band in name:                     # one of the way of signing that it was met in
-                                pairs = _mixed(own[name != band] * _STEP[1] ^ np.uint64(band) * _STEP[2])
-                                found.append((pairs, np.full(len(pairs), keys[at]), np.full(len(pairs), sketch)))
+                        met = np.isin(name, held[at])            # none in the way of signing that it was not met in
+                        if met.any():
+                            some = met[one] | met[other]
+                            pairs = _mixed(own[one[some]] * _STEP[1] ^ own[other[some]] * _STEP[2])
+                            found.append((pairs, np.full(len(pairs), keys[at]), np.full(len(pairs), sketch)))
                 if found:
                     yield _packed(*(np.concatenate(x) for x in zip(*found, strict=True)), slots)
 
@@ -461,11 +465,17 @@ def line_links(docs: DataFrame, text: str, scratch: Scratch) -> DataFrame:
     links, large = _linked(postings(docs, text, slots), None, docs, text, scratch)
     if not large.isEmpty():
         texts = norms(docs, text, large.select(F.col("node").alias("k1")).distinct(), scratch, "large-norms")
-        links, large = _linked(refined(texts, large, slots), links, docs, text, scratch)
+        known, first = links, large
+        links, large = _linked(refined(texts, first, slots), known, docs, text, scratch)
+        scratch.drop(known)
+        scratch.drop(first)
         if not large.isEmpty():
             sets = scratch.write(sets_frame(texts.join(large.select(F.col("node").alias("k1")).distinct(), "k1")), "large-sets")
+            scratch.drop(large)
             more = cross_links(sets, links, THRESHOLD, scratch, lambda pairs, name: scratch.write(verified(pairs, texts), name))
-            links = scratch.write(links.unionByName(more), "links")
+            links = links.unionByName(more)
+            scratch.drop(sets)
+        scratch.drop(texts)
     return links
 
 
@@ -482,21 +492,30 @@ def _linked(blocks: DataFrame, known: DataFrame | None, docs: DataFrame, text: s
         texts = norms(docs, text, nodes, scratch, f"{name}-norms")
         found = scratch.write(verified(pairs, texts), f"{name}-links")
         scratch.drop(texts)
+        scratch.settle()
         return found
 
     first = scratch.write(ordered(met.filter("near AND k1 <> hub").select(F.col("k1").alias("a"), F.col("hub").alias("b"))), "hub-pairs")
-    links = checked(first, "hub")
-    links = links if known is None else links.unionByName(known)
-    group = scratch.write(components(links, scratch), "groups")
-    rest = open_rows(met.select(F.col("k1").alias("node"), "band", "sketch"), group, scratch, "band")
-    rest = scratch.write(rest.join(rest.groupBy("band").agg(F.count(F.lit(1)).alias("held")), "band"), "rest")
+    hub = checked(first, "hub")
+    links = hub if known is None else hub.unionByName(known)
+    group = components(links, scratch)
+    open_ = open_rows(met.select(F.col("k1").alias("node"), "band", "sketch"), group, scratch, "band")
     scratch.drop(met)
+    scratch.drop(group)
+    rest = scratch.write(open_.join(open_.groupBy("band").agg(F.count(F.lit(1)).alias("held")), "band"), "rest")
+    scratch.drop(open_)
+    scratch.settle()
     small = rest.filter(F.col("held") <= SMALL_BAND).select("band", "c", "node", "sketch")
     other = small.select("band", F.col("c").alias("cy"), F.col("node").alias("other"), F.col("sketch").alias("sy"))
     near = F.bit_count(F.col("sketch").bitwiseXOR(F.col("sy"))) <= DIFFER
     cross = small.join(other, "band").filter((F.col("c") < F.col("cy")) & near).select(F.col("node").alias("a"), F.col("other").alias("b"))
     cross = scratch.write(ordered(cross).join(first, ["a", "b"], "left_anti"), "cross-pairs")
-    links = scratch.write(links.unionByName(checked(cross, "cross")), "links")
+    scratch.drop(first)
+    across = checked(cross, "cross")
+    scratch.drop(cross)
+    links = scratch.write(links.unionByName(across), "links")
+    scratch.drop(hub)
+    scratch.drop(across)
     return links, rest.filter(F.col("held") > SMALL_BAND).select("band", "node")
 
 

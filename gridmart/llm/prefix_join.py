@@ -42,14 +42,17 @@ def open_rows(rows: DataFrame, group: DataFrame, scratch: Scratch, *key: str) ->
     """The rows (``node``, ...) whose ``key`` holds nodes of more than one component, with that as ``c``; ``group``: ``node``,
     ``component`` of nodes that are linked already."""
     placed = scratch.write(rows.join(group, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component"), "placed")
-    open_ = placed.groupBy(*key).agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low < high").select(*key)
-    return placed.join(scratch.write(open_, "open"), list(key))
+    open_ = scratch.write(placed.groupBy(*key).agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low < high").select(*key), "open")
+    out = scratch.write(placed.join(open_, list(key)), "open-rows")
+    scratch.drop(placed)
+    scratch.drop(open_)
+    return out
 
 
 def cross_links(sets: DataFrame, links: DataFrame, threshold: int, scratch: Scratch,
                 verify: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     """Links (``a``, ``b``) that join further components: of all pairs of ``sets`` (``node``, ``items``) across components that can
-    be similar, those that ``verify`` keeps.  ``links`` are the links known so far.
+    be similar, those that ``verify`` keeps and writes.  ``links`` are the links known so far.
 
     First each item links its sets to one of them, ``HUB_ROUNDS`` times (the set with most left from there on, then one picked
     by a hash): a group in which most sets are similar grows together without making its pairs.
@@ -65,17 +68,22 @@ def cross_links(sets: DataFrame, links: DataFrame, threshold: int, scratch: Scra
         return pairs.select(F.least("node_1", "node_2").alias("a"), F.greatest("node_1", "node_2").alias("b")).distinct()
 
     fit = possible("rest_1", "n_1", "rest_2", "n_2") & similar_sizes("n_1", "n_2", threshold)
-    found, group = [], scratch.write(components(links, scratch), "groups")
-    rare = scratch.write(open_rows(rare_items(sets, threshold), group, scratch, "item"), "rare")
+    found, group = [], components(links, scratch)
+    rare = open_rows(rare_items(sets, threshold), group, scratch, "item")
     for i in range(HUB_ROUNDS):
         pick = F.struct((F.col("rest") / F.col("n")) if i == 0 else F.lit(0.0), F.xxhash64("node", F.lit(i)), "node", "n", "rest", "c")
         hubs = scratch.write(rare.groupBy("item").agg(F.max(pick).alias("hub")).select(
             "item", *[F.col(f"hub.{c}").alias(c) for c in ("node", "n", "rest", "c")]), "hubs")
         pairs = side("_1", rare).join(side("_2", hubs), "item").filter(F.col("c_1") != F.col("c_2")).filter(fit)
-        found.append(verify(scratch.write(ordered(pairs), "hub-pairs"), f"hub{i}"))
+        pairs = scratch.write(ordered(pairs), "hub-pairs")
+        found.append(verify(pairs, f"hub{i}"))
         known = union_all([group.select(F.col("node").alias("a"), F.col("component").alias("b")), found[-1]])
-        group = scratch.write(components(known, scratch), "groups")
-        rare = scratch.write(open_rows(rare.drop("c"), group, scratch, "item"), "rare")
+        joined = components(known, scratch)
+        further = open_rows(rare.drop("c"), joined, scratch, "item")
+        for done in (hubs, pairs, group, rare):
+            scratch.drop(done)
+        group, rare = joined, further
+        scratch.settle()
 
     parts = rare.groupBy("item", "c").agg(F.max("rest").alias("rest"), F.min("n").alias("n"))
     crossing = side("_1", parts).join(side("_2", parts), "item").filter(

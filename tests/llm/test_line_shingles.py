@@ -177,3 +177,32 @@ def test_large_bands(spark, scratch, monkeypatch, small):
     rows = templates()
     got = got_of(line_groups(frame(spark, rows), scratch))
     assert got == brute(rows) and sum(a != b for a, b in got) >= 40
+
+
+def test_a_pair_of_large_bands_is_posted_once(spark):
+    from gridmart.llm.line_dedup import _POSTING, _band, refined
+    lines = {1: "a line of which all bands are large ones, and long enough to be signed in one way only " * 4, 2: "a line with one large band"}
+    bands = {k: _band(np.concatenate([b.ravel() for _, b, _ in signed([x])]), 8).tolist() for k, x in lines.items()}
+    texts = spark.createDataFrame(list(lines.items()), "k1 long, norm string")
+    large = spark.createDataFrame([(b, 1) for b in bands[1]] + [(bands[2][0], 2)], "band long, node long")
+    rows = np.frombuffer(b"".join(r.block for r in refined(texts, large, 8).collect()), _POSTING)
+    assert (rows["low"] == 1).sum() == len(np.unique(rows["band"][rows["low"] == 1])) == len(bands[1]) // BANDS * BANDS * (BANDS - 1) // 2
+    assert (rows["low"] == 2).sum() == BANDS - 1
+
+
+def test_tables_that_were_read_are_deleted(spark, scratch):
+    import os
+    from urllib.parse import urlparse
+
+    from gridmart.llm.graph import components
+    chain = spark.createDataFrame([(i, i + 1) for i in range(0, 60)] + [(100 - i, 100 + i) for i in range(1, 20)], "a long, b long")
+    assert components(chain, scratch).select("component").distinct().count() == 20
+
+    def tables():
+        root = urlparse(scratch.root).path
+        return [t for t in os.listdir(root) if os.path.isdir(f"{root}/{t}")]
+
+    assert len(tables()) == 1                                    # the labels
+    before = len(tables())
+    line_groups(frame(spark, templates()), scratch).count()
+    assert len(tables()) - before <= 8
