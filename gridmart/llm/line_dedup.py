@@ -11,14 +11,15 @@ parts empty, take a permutation for each coordinate.  Lines that can be similar
 
 Banding.  A posting is a band's key, the line's key and a sketch of 64 signature bits.  Equal lines of a batch are signed and posted once.
 Postings travel as packed blocks, dealt by the band key; a task streams its blocks, keeps each band's first line as its hub, and
-gives the members of bands with two lines or more.  What is held is the bands of a slot, never a band's members.
+gives the members of bands with two lines or more.  What is held is the bands of a slot, never a band's members.  Members of bands of
+up to ``SIFTED`` that no other member is near by its sketch go there and then: no pair of theirs would pass the sketch.
 
 Verification.  Members are compared with their hub, first by sketch (at similarity 0.75 an eighth of the bits differ; ``DIFFER`` is five
 deviations off), then by exact Jaccard on the full sets, and joined into components by contraction (``graph.components``).  Bands whose
 members are in different components still are looked at again, so no pair that the bands find is lost.  In those of up to ``SMALL_BAND``
-members all pairs across components pass the sketch and the exact comparison.  The members of a larger one are posted again
-under pairs of bands, that one and each of their others (a similar pair that shares one band shares another with a chance of 0.9999), and go
-through the same steps; lines of bands that are large even so are joined by exact prefixes of rare shingles (``prefix_join``).  So the
+members all pairs across components pass the sketch and the exact comparison.  The members of larger ones are posted again
+under pairs of these (a similar pair that shares one band shares another with a chance of 0.9999; one that shares a smaller band too was
+compared there), and go through the same steps; lines of bands that are large even so are joined by exact prefixes of rare shingles (``prefix_join``).  So the
 work for a band is linear in its members.  A text is fetched for lines in candidate pairs only, by one more
 pass over the texts that a bitmap of ``BITMAP`` bits (of fixed size) thins out.  Of a component, the line with the smallest
 (doc_id, line number) stays.
@@ -33,6 +34,7 @@ empty table gives no rows; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +52,7 @@ THRESHOLD = 75            # percent
 LONG = 64                 # shingles
 DIFFER = 21               # of 64 sketch bits
 SMALL_BAND = 32           # members; those of larger bands are posted again under pairs of bands
+SIFTED = 256              # members of a band whose sketches are compared all with all, in the task that has them
 BITMAP = 1 << 26          # bits
 SLOT_POSTINGS = 4_000_000     # held at once by a task that reads blocks
 FLUSH = 1_000_000         # postings, before a task gives blocks
@@ -241,9 +244,9 @@ def _blocks(lines: dict[int, str], slots: int) -> pa.RecordBatch:
     return _packed(*(np.concatenate(x) for x in zip(*found, strict=True)), slots)
 
 
-def refined(texts: DataFrame, large: DataFrame, slots: int) -> DataFrame:
+def refined(texts: DataFrame, large: DataFrame, slots: int, inner: bool = False) -> DataFrame:
     """Postings of lines under pairs of bands: each of those in ``large`` (``band``, ``node``) with each other one of the line, a pair of two
-    such bands once."""
+    such bands once; ``inner``: pairs of two such bands only."""
     one, other = np.triu_indices(BANDS, 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,8 +258,8 @@ def refined(texts: DataFrame, large: DataFrame, slots: int) -> DataFrame:
                     names = _band(bands, slots)
                     for at, own, name, sketch in zip(places.tolist(), bands, names, sketches, strict=True):
                         met = np.isin(name, held[at])            # none in the way of signing that it was not met in
-                        if met.any():
-                            some = met[one] | met[other]
+                        some = met[one] & met[other] if inner else met[one] | met[other]
+                        if some.any():
                             pairs = _mixed(own[one[some]] * _STEP[1] ^ own[other[some]] * _STEP[2])
                             found.append((pairs, np.full(len(pairs), keys[at]), np.full(len(pairs), sketch)))
                 if found:
@@ -341,6 +344,27 @@ def meet(slot: int, portions: Iterator[list[bytes]]) -> Iterator[pa.RecordBatch]
             known = merged[order]
 
 
+def _met(sketches: np.ndarray) -> np.ndarray:
+    """Which members are near another one of their band; a row for each band, all of the same size."""
+    found = np.zeros(sketches.shape, bool)
+    for k in range(1, sketches.shape[1] // 2 + 1):
+        near = np.bitwise_count(sketches ^ np.roll(sketches, -k, axis=1)) <= DIFFER
+        found |= near | np.roll(near, k, axis=1)
+    return found
+
+
+def sifted(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """What ``meet`` gives of a whole slot, without the members of bands of up to ``SIFTED`` that are near no other one."""
+    band, sketch = batch.column(0).to_numpy(), batch.column(2).to_numpy().view(np.uint64)
+    start = np.flatnonzero(np.append(True, band[1:] != band[:-1]))
+    size = np.diff(np.append(start, len(band)))
+    keep = np.ones(len(band), bool)
+    for n in np.unique(size[(size > 1) & (size <= SIFTED)]).tolist():          # of two lines only the second one is given, if it is near
+        at = start[size == n, None] + np.arange(n)
+        keep[at] = _met(sketch[at])
+    return batch.filter(pa.array(keep))
+
+
 def members(blocks: DataFrame) -> DataFrame:
     """``band``, ``k1``, ``sketch``, ``hub``, ``near`` of the bands that lines share."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -359,7 +383,11 @@ def members(blocks: DataFrame) -> DataFrame:
 
         while following is not None:
             slot = following[0]
-            yield from meet(slot, portions(slot))
+            held = portions(slot)
+            first = next(held)
+            whole = following is None or following[0] != slot
+            for batch in meet(slot, chain([first], held)):
+                yield sifted(batch) if whole else batch
 
     dealt = blocks.repartition("slot").sortWithinPartitions("slot")
     return dealt.mapInArrow(run, "band long, k1 long, sketch long, hub long, near boolean")
@@ -464,14 +492,18 @@ def line_links(docs: DataFrame, text: str, scratch: Scratch) -> DataFrame:
     slots = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     links, large = _linked(postings(docs, text, slots), None, docs, text, scratch)
     if not large.isEmpty():
-        texts = norms(docs, text, large.select(F.col("node").alias("k1")).distinct(), scratch, "large-norms")
+        several = large.groupBy(F.col("node").alias("k1")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("k1")
+        texts = norms(docs, text, several, scratch, "large-norms")
         known, first = links, large
-        links, large = _linked(refined(texts, first, slots), known, docs, text, scratch)
+        links, large = _linked(refined(texts, first, slots, inner=True), known, texts, "norm", scratch)
         scratch.drop(known)
         scratch.drop(first)
         if not large.isEmpty():
-            sets = scratch.write(sets_frame(texts.join(large.select(F.col("node").alias("k1")).distinct(), "k1")), "large-sets")
+            further = scratch.write(texts.join(large.select(F.col("node").alias("k1")).distinct(), "k1"), "further-norms")
+            scratch.drop(texts)
             scratch.drop(large)
+            texts = further
+            sets = scratch.write(sets_frame(texts), "large-sets")
             more = cross_links(sets, links, THRESHOLD, scratch, lambda pairs, name: scratch.write(verified(pairs, texts), name))
             links = links.unionByName(more)
             scratch.drop(sets)
@@ -499,11 +531,9 @@ def _linked(blocks: DataFrame, known: DataFrame | None, docs: DataFrame, text: s
     hub = checked(first, "hub")
     links = hub if known is None else hub.unionByName(known)
     group = components(links, scratch)
-    open_ = open_rows(met.select(F.col("k1").alias("node"), "band", "sketch"), group, scratch, "band")
+    rest = open_rows(met.select(F.col("k1").alias("node"), "band", "sketch"), group, scratch, "band", held="held")
     scratch.drop(met)
     scratch.drop(group)
-    rest = scratch.write(open_.join(open_.groupBy("band").agg(F.count(F.lit(1)).alias("held")), "band"), "rest")
-    scratch.drop(open_)
     scratch.settle()
     small = rest.filter(F.col("held") <= SMALL_BAND).select("band", "c", "node", "sketch")
     other = small.select("band", F.col("c").alias("cy"), F.col("node").alias("other"), F.col("sketch").alias("sy"))

@@ -38,11 +38,13 @@ def rare_items(sets: DataFrame, threshold: int) -> DataFrame:
         F.col("rest") >= F.ceil(F.col("n") * threshold / 100)).select("node", "n", "item", "rest")
 
 
-def open_rows(rows: DataFrame, group: DataFrame, scratch: Scratch, *key: str) -> DataFrame:
+def open_rows(rows: DataFrame, group: DataFrame, scratch: Scratch, *key: str, held: str | None = None) -> DataFrame:
     """The rows (``node``, ...) whose ``key`` holds nodes of more than one component, with that as ``c``; ``group``: ``node``,
-    ``component`` of nodes that are linked already."""
+    ``component`` of nodes that are linked already.  ``held``: a column for the number of rows of the key."""
     placed = scratch.write(rows.join(group, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component"), "placed")
-    open_ = scratch.write(placed.groupBy(*key).agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low < high").select(*key), "open")
+    counts = [F.count(F.lit(1)).alias(held)] if held else []
+    open_ = placed.groupBy(*key).agg(F.min("c").alias("low"), F.max("c").alias("high"), *counts).filter("low < high").drop("low", "high")
+    open_ = scratch.write(open_, "open")
     out = scratch.write(placed.join(open_, list(key)), "open-rows")
     scratch.drop(placed)
     scratch.drop(open_)

@@ -206,3 +206,36 @@ def test_tables_that_were_read_are_deleted(spark, scratch):
     before = len(tables())
     line_groups(frame(spark, templates()), scratch).count()
     assert len(tables()) - before <= 8
+
+
+def test_members_near_no_other_one_go_and_no_pair_with_them():
+    from gridmart.llm import line_dedup
+    r, rows = random.Random(11), []
+    for band, size in enumerate([2, 3, 3, 5, 30, 33, 200, line_dedup.SIFTED + 1] * 3):
+        near = r.getrandbits(64)
+        rows += [(band, band * 1000 + k, near ^ (1 << r.randrange(64)) if r.random() < 0.1 else r.getrandbits(64)) for k in range(size)]
+    given = next(meet(3, iter([blocks_of(rows, 10 ** 6)])))
+    got = line_dedup.sifted(given)
+
+    def pairs(batch):
+        by_band = {}
+        for x in batch.to_pylist():
+            by_band.setdefault(x["band"], []).append((x["k1"], x["sketch"] & (1 << 64) - 1))
+        return {(a, b) for m in by_band.values() for a, s in m for b, t in m if a < b and bin(s ^ t).count("1") <= DIFFER}
+
+    assert pairs(got) == pairs(given) and got.num_rows < given.num_rows
+    size = {}
+    for x in given.to_pylist():
+        size.setdefault(x["band"], []).append(x["k1"])
+    in_pairs = {k for p in pairs(given) for k in p}
+    assert {x["k1"] for x in got.to_pylist()} == {k for m in size.values() for k in m if len(m) in (1, line_dedup.SIFTED + 1) or k in in_pairs}
+
+
+def test_lines_are_posted_again_under_pairs_of_large_bands_only(spark):
+    from gridmart.llm.line_dedup import _POSTING, _band, refined
+    lines = {1: "a line of which three bands are large ones, and long enough to be signed in one way only " * 4, 2: "a line with one large band"}
+    bands = {k: _band(np.concatenate([b.ravel() for _, b, _ in signed([x])]), 8).tolist() for k, x in lines.items()}
+    texts = spark.createDataFrame(list(lines.items()), "k1 long, norm string")
+    large = spark.createDataFrame([(b, 1) for b in bands[1][:3]] + [(bands[2][0], 2)], "band long, node long")
+    rows = np.frombuffer(b"".join(r.block for r in refined(texts, large, 8, inner=True).collect()), _POSTING)
+    assert rows["low"].tolist() == [1, 1, 1]
