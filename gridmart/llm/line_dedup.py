@@ -9,18 +9,21 @@ share a band with the chance that it should have.  Lines of ``LONG`` shingles an
 band a coordinate (the least hash in each of ``BANDS`` parts of its range; an empty part takes the next one's); shorter ones, which would leave
 parts empty, take a permutation for each coordinate.  Lines that can be similar to one on the other side of that limit are signed in both ways.
 
-Banding.  A posting is a band's key, the line's key and a sketch of 64 signature bits.  Equal lines of a batch are signed and posted once.
-Postings travel as packed blocks, dealt by the band key; a task streams its blocks, keeps each band's first line as its hub, and
-gives the members of bands with two lines or more.  What is held is the bands of a slot, never a band's members.  Members of bands of
-up to ``SIFTED`` that no other member is near by its sketch go there and then: no pair of theirs would pass the sketch.
-
-Verification.  Members are compared with their hub, first by sketch (at similarity 0.75 an eighth of the bits differ; ``DIFFER`` is five
-deviations off), then by exact Jaccard on the full sets, and joined into components by contraction (``graph.components``).  Bands whose
-members are in different components still are looked at again, so no pair that the bands find is lost.  In those of up to ``SMALL_BAND``
-members all pairs across components pass the sketch and the exact comparison.  The members of larger ones are posted again
+Banding.  A posting is a band's key, the line's key and a sketch of ``WIDE`` signature bits of other bands: the band that two lines share says
+nothing of them, so unlike lines, whose chance meetings grow with the square of the input, pass the sketch about once in a thousand times.  Equal lines
+of a batch are signed and posted once.  Postings travel as packed blocks, dealt by the band key.  The task that has a band compares the
+sketches of all its members (``WHOLE`` at most) and gives the pairs that are near, up to ``PAIRS`` a member.  Bands with more of them
+are dense: their members that are near another one are given, and which are near the hub, the one with most near ones.  Of bands of more than
+``WHOLE`` all members are given; a slot that is too large to be held streams past its bands (``meet``).
+
+Verification.  Near pairs, and members of dense bands with their hub (by sketch: at similarity 0.75 an eighth of the bits differ; ``DIFFER``
+and ``WIDE_DIFFER`` are five deviations off), are compared by exact Jaccard on the full sets, and joined into components by contraction
+(``graph.components``).  Dense bands whose members are in different components still are looked at again, so no pair that the bands find is lost.
+Those of up to ``SMALL_BAND`` members get their lines' texts, and the task that has them compares all pairs across components, by sketch and then
+exactly, on bit sets of the shingles that two of the lines or more hold.  The members of larger ones are posted again
 under pairs of these (a similar pair that shares one band shares another with a chance of 0.9999; one that shares a smaller band too was
-compared there), and go through the same steps; lines of bands that are large even so are joined by exact prefixes of rare shingles (``prefix_join``).  So the
-work for a band is linear in its members.  A text is fetched for lines in candidate pairs only, by one more
+compared there), and go through the same steps; lines of bands that are large even so are joined by exact prefixes of rare shingles (``prefix_join``).  So what
+is given for a band is linear in its members.  Texts are fetched for lines in near pairs and dense bands only, by one more
 pass over the texts that a bitmap of ``BITMAP`` bits (of fixed size) thins out.  Of a component, the line with the smallest
 (doc_id, line number) stays.
 
@@ -33,7 +36,7 @@ empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -49,14 +52,19 @@ from gridmart.llm.prefix_join import cross_links, open_rows
 SHINGLE = 5
 BANDS, ROWS = 25, 4
 THRESHOLD = 75            # percent
+CHARACTERS = 100_000      # signed or compared side by side, in a core's own cache
 LONG = 64                 # shingles
 DIFFER = 21               # of 64 sketch bits
-SMALL_BAND = 32           # members; those of larger bands are posted again under pairs of bands
-SIFTED = 256              # members of a band whose sketches are compared all with all, in the task that has them
+WIDE, WIDE_DIFFER = 88, 26    # bits of the sketches that lines are first posted with, and how many may differ
+PAIRS = 4                 # near pairs that a band gives for each member; a band with more is dense
+WHOLE = 1 << 14           # members of a band whose sketches are compared all with all, in the task that has them
+AREA = 1 << 20            # sketches compared at once
+SMALL_BAND = 4096         # members, TAGS at most; those of larger dense bands are posted again under pairs of bands
+BAND_CHARACTERS = 40 * CHARACTERS     # of the lines of a small band, at most
+SIFTED = 256              # members of a pair of bands whose sketches are compared all with all
 BITMAP = 1 << 26          # bits
 SLOT_POSTINGS = 4_000_000     # held at once by a task that reads blocks
 FLUSH = 1_000_000         # postings, before a task gives blocks
-CHARACTERS = 100_000      # signed or compared side by side, in a core's own cache
 TAGS = 1 << 14            # lines or pairs, too
 _BLANK = " \t\n\x0b\f\r"
 _random = np.random.default_rng(20)
@@ -65,6 +73,10 @@ _TURN = _random.integers(1 << 30, 1 << 32, (ROWS + ROWS * BANDS, 2), dtype=np.ui
 _EMPTY = np.uint32(0xFFFFFFFF)
 # 32 bits of a band's key, of which the slot is the rest; a line's key; its sketch
 _POSTING = np.dtype([("band", "<u4"), ("low", "<u4"), ("middle", "<u2"), ("high", "u1"), ("sketch", "<u8")])
+# as lines are first posted: 24 bits of a band's key, and 24 more bits of the sketch
+_FIRST = np.dtype([("band", "<u2"), ("band_high", "u1"), ("low", "<u4"), ("middle", "<u2"), ("high", "u1"), ("sketch", "<u8"),
+                   ("more", "<u2"), ("more_high", "u1")])
+_BAND_BITS = np.uint64((1 << 24) - 1)
 
 
 # Lines and their sets
@@ -173,12 +185,30 @@ def _short_signature(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def _posted(signature: np.ndarray, way: int) -> tuple[np.ndarray, np.ndarray]:
-    """Band keys (lines, BANDS) and sketches of signatures."""
+    """Band keys (lines, BANDS), and a signature bit of each coordinate: ROWS of a band in a number (lines, BANDS)."""
     key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(way), signature.shape[:2])
     for row in range(ROWS):
         key = _mixed((key + np.uint64(1)) * _STEP[0] ^ signature[:, :, row])
-    bits = (signature[:, :16, :4].reshape(len(signature), 64) & np.uint32(1)).astype(np.uint64)
-    return key, (bits << np.arange(64, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
+    bits = (signature & np.uint32(1)) << np.arange(ROWS, dtype=np.uint32)
+    return key, bits.sum(axis=2, dtype=np.uint64)
+
+
+def _sketch(bits: np.ndarray) -> np.ndarray:
+    """64 bits, of the first bands."""
+    return (bits[:, :16] << np.arange(0, 64, ROWS, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
+
+
+def _wide_sketches(bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each band, WIDE bits of those that follow it (the last one is followed by the first), in two parts (lines, BANDS)."""
+    turned, first, more = np.concatenate([bits, bits], axis=1), np.empty(bits.shape, np.uint64), np.empty(bits.shape, np.uint32)
+    for part, start, count in ((first, 1, 64 // ROWS), (more, 1 + 64 // ROWS, (WIDE - 64) // ROWS)):
+        held = np.zeros(len(bits), np.uint64)
+        for k in range(count):
+            held |= turned[:, start + k] << np.uint64(ROWS * k)
+        for band in range(BANDS):
+            part[:, band] = held
+            held = held >> np.uint64(ROWS) | turned[:, (start + count + band) % (2 * BANDS)] << np.uint64(ROWS * (count - 1))
+    return first, more
 
 
 def _portions(places: np.ndarray, lines: list[str]) -> Iterator[np.ndarray]:
@@ -194,6 +224,11 @@ def _portions(places: np.ndarray, lines: list[str]) -> Iterator[np.ndarray]:
 
 def signed(lines: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Places in ``lines`` (distinct, non-empty), band keys (places, BANDS) and sketches, in portions of bounded size."""
+    return ((places, bands, _sketch(bits)) for places, bands, bits in _signed(lines))
+
+
+def _signed(lines: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``signed``, with the bits of ``_posted`` for sketches."""
     distinct = np.fromiter((max(len(x) - SHINGLE + 1, 1) for x in lines), np.int64, len(lines))
     for places in _portions(np.flatnonzero(distinct >= LONG), lines):
         part = [lines[k] for k in places.tolist()]
@@ -202,7 +237,10 @@ def signed(lines: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarra
         # sets count, not places: a line that is not much longer than the limit, or leaves a part empty, has its set counted
         count = np.flatnonzero(gaps | (sizes < 4 * LONG * 100 // THRESHOLD))
         if len(count):
-            distinct[places[count]] = sets_of([part[k] for k in count.tolist()])[1]
+            chosen = np.zeros(len(part), bool)
+            chosen[count] = True
+            both = _tagged(h[np.repeat(chosen, sizes)], np.repeat(np.arange(len(count)), sizes[count]))
+            distinct[places[count]] = np.bincount((both >> np.uint64(50)).astype(np.int64), minlength=len(count))
         enough = distinct[places] >= LONG
         if enough.any():
             yield places[enough], *_posted(signature[enough], 0)
@@ -218,18 +256,23 @@ def _slot(keys: np.ndarray, slots: int) -> np.ndarray:
 
 
 def _band(keys: np.ndarray, slots: int) -> np.ndarray:
-    """What members call a band: its slot and 32 bits of its key."""
-    return _slot(keys, slots) << 32 | (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    """What members call a band: its slot and the bits of its key that lines are first posted with."""
+    return _slot(keys, slots) << 32 | (keys & _BAND_BITS).astype(np.int64)
 
 
-def _packed(bands: np.ndarray, keys: np.ndarray, sketches: np.ndarray, slots: int) -> pa.RecordBatch:
-    """Postings by slot, one packed block each."""
+def _packed(bands: np.ndarray, keys: np.ndarray, sketches: np.ndarray, slots: int, more: np.ndarray | None = None) -> pa.RecordBatch:
+    """Postings by slot, one packed block each; ``more``: the second parts of wide sketches."""
     slot = _slot(bands, slots)
-    order = np.argsort(slot, kind="stable")
-    rows, key = np.empty(len(order), _POSTING), keys[order]
-    rows["band"], rows["sketch"] = bands[order].astype(np.uint32), sketches[order]
+    order = np.argsort(slot.astype(np.uint16) if slots <= 1 << 16 else slot, kind="stable")
+    rows, key, band = np.empty(len(order), _POSTING if more is None else _FIRST), keys[order], bands[order].astype(np.uint32)
+    rows["band"], rows["sketch"] = band if more is None else band & 0xFFFF, sketches[order]
+    if more is not None:
+        further = more[order]
+        rows["band_high"], rows["more"], rows["more_high"] = band >> 16 & 0xFF, further & 0xFFFF, further >> 16
     rows["low"], rows["middle"], rows["high"] = key & 0xFFFFFFFF, key >> 32 & 0xFFFF, key >> 48
-    used, first = np.unique(slot[order], return_index=True)
+    slot = slot[order]
+    first = np.flatnonzero(np.append(True, slot[1:] != slot[:-1]))
+    used = slot[first]
     bounds = [*first.tolist(), len(rows)]
     return pa.RecordBatch.from_pydict({
         "slot": pa.array(used, pa.int32()),
@@ -239,9 +282,11 @@ def _packed(bands: np.ndarray, keys: np.ndarray, sketches: np.ndarray, slots: in
 def _blocks(lines: dict[int, str], slots: int) -> pa.RecordBatch:
     """Packed postings of lines."""
     keys, found = np.fromiter(lines, np.int64, len(lines)), []
-    for places, bands, sketches in signed(list(lines.values())):
-        found.append((bands.ravel(), np.repeat(keys[places], BANDS), np.repeat(sketches, BANDS)))
-    return _packed(*(np.concatenate(x) for x in zip(*found, strict=True)), slots)
+    for places, bands, bits in _signed(list(lines.values())):
+        first, more = _wide_sketches(bits)
+        found.append((bands.ravel(), np.repeat(keys[places], BANDS), first.ravel(), more.ravel()))
+    bands, keys, first, more = (np.concatenate(x) for x in zip(*found, strict=True))
+    return _packed(bands, keys, first, slots, more)
 
 
 def refined(texts: DataFrame, large: DataFrame, slots: int, inner: bool = False) -> DataFrame:
@@ -288,10 +333,14 @@ def postings(docs: DataFrame, text: str, slots: int) -> DataFrame:
     return docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(run, "slot int, block binary")
 
 
+def _line_keys(rows: np.ndarray) -> np.ndarray:
+    return rows["low"].astype(np.int64) | rows["middle"].astype(np.int64) << 32 | rows["high"].astype(np.int64) << 48
+
+
 def _sorted_postings(blocks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Band keys (within the slot), line keys and sketches in order, each line once in a band."""
     rows = np.frombuffer(b"".join(blocks), _POSTING)
-    key = rows["low"].astype(np.int64) | rows["middle"].astype(np.int64) << 32 | rows["high"].astype(np.int64) << 48
+    key = _line_keys(rows)
     order = np.lexsort((key, rows["band"]))
     band, key, sketch = rows["band"][order].astype(np.int64), key[order], rows["sketch"][order]
     new = np.ones(len(band), bool)
@@ -365,8 +414,89 @@ def sifted(batch: pa.RecordBatch) -> pa.RecordBatch:
     return batch.filter(pa.array(keep))
 
 
-def members(blocks: DataFrame) -> DataFrame:
-    """``band``, ``k1``, ``sketch``, ``hub``, ``near`` of the bands that lines share."""
+def _narrow(blocks: list[bytes]) -> list[bytes]:
+    """First postings as ``_POSTING``, with the first part of their sketches."""
+    rows = np.frombuffer(b"".join(blocks), _FIRST)
+    out = np.empty(len(rows), _POSTING)
+    out["band"] = rows["band"] | rows["band_high"].astype(np.uint32) << np.uint32(16)
+    for name in ("low", "middle", "high", "sketch"):
+        out[name] = rows[name]
+    return [out.tobytes()]
+
+
+def _shared(blocks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Band keys (within the slot), line keys and both parts of the sketches of first postings in order, each line once in a band, without
+    those of bands with one line."""
+    rows = np.frombuffer(b"".join(blocks), _FIRST)
+    band = rows["band"] | rows["band_high"].astype(np.uint32) << np.uint32(16)
+    order = np.argsort(band)
+    again = np.diff(band[order]) == 0
+    at = order[np.append(again, False) | np.append(False, again)] if len(order) else order
+    rows, band = rows[at], band[at].astype(np.int64)
+    key = _line_keys(rows)
+    order = np.lexsort((key, band))
+    band, key = band[order], key[order]
+    new = np.ones(len(band), bool)
+    new[1:] = (band[1:] != band[:-1]) | (key[1:] != key[:-1])
+    band, key, rows = band[new], key[new], rows[order[new]]
+    return band, key, rows["sketch"].copy(), rows["more"] | rows["more_high"].astype(np.uint32) << np.uint32(16)
+
+
+def _near_pairs(sketch: np.ndarray, more: np.ndarray, start: np.ndarray, n: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (the earlier one first) of near pairs within bands of ``n`` members from ``start`` on; some bands, or some members of one, at a time."""
+    many = max(1, AREA // (n * n))
+    for a in range(0, len(start), many):
+        at = start[a: a + many, None] + np.arange(n)
+        x = sketch[at]
+        step = max(1, AREA // n)
+        for row in range(0, n, step):
+            near = np.bitwise_count(x[:, row: row + step, None] ^ x[:, None, row:]) <= DIFFER
+            band, one, other = np.nonzero(near)
+            later = other > one
+            one, other = at[band[later], row + one[later]], at[band[later], row + other[later]]
+            differ = np.bitwise_count(sketch[one] ^ sketch[other]) + np.bitwise_count(more[one] ^ more[other])
+            yield one[differ <= WIDE_DIFFER], other[differ <= WIDE_DIFFER]
+
+
+def near_pairs(slot: int, blocks: list[bytes], per: int, whole: int) -> pa.RecordBatch:
+    """Of a slot's first postings: near pairs (``k1``, ``hub``; ``band`` null) of bands with up to ``per`` of them a member; of denser bands the members
+    that are near another one, of those with more than ``whole`` members all."""
+    band, key, sketch, more = _shared(blocks)
+    start = np.flatnonzero(np.append(True, band[1:] != band[:-1])) if len(band) else np.array([], np.int64)
+    size = np.diff(np.append(start, len(band)))
+    of = np.repeat(np.arange(len(start)), size)
+    degree, pairs, dense = np.zeros(len(band), np.int64), [], size > whole
+    for n in np.unique(size[(size > 1) & ~dense]).tolist():
+        for one, other in _near_pairs(sketch, more, start[size == n], n):
+            counted, where = np.unique(np.concatenate([one, other]), return_inverse=True)
+            degree[counted] += np.bincount(where, minlength=len(counted))
+            if n * n > AREA and len(one):                        # the pairs of one band
+                dense[of[one[0]]] |= degree[start[of[one[0]]]: start[of[one[0]]] + n].sum() > 2 * per * n
+            pairs.append((one[(stay := ~dense[of[one]])], other[stay]))
+    dense |= np.bincount(of, degree, minlength=len(start)) > 2 * per * size
+    one, other = (np.concatenate(x) if pairs else np.array([], np.int64) for x in (list(zip(*pairs, strict=True)) or ([], [])))
+    stay = ~dense[of[one]]
+    one, other = one[stay], other[stay]
+    # a dense band's hub is its first member of those with most near ones
+    held = np.flatnonzero(dense[of] & ((degree > 0) | (size > whole)[of]))
+    order = held[np.lexsort((held, -degree[held], of[held]))]
+    first = np.ones(len(order), bool)
+    first[1:] = of[order[1:]] != of[order[:-1]]
+    hub = np.zeros(len(start), np.int64)
+    hub[of[order[first]]] = order[first]
+    hub = hub[of[held]]
+    near = np.bitwise_count(sketch[held] ^ sketch[hub]) + np.bitwise_count(more[held] ^ more[hub]) <= WIDE_DIFFER
+    found = _members(slot, band[held], key[held], sketch[held], key[hub], near)
+    alone = pa.RecordBatch.from_pydict({
+        "band": pa.nulls(len(one), pa.int64()), "k1": pa.array(key[one], pa.int64()), "sketch": pa.nulls(len(one), pa.int64()),
+        "hub": pa.array(key[other], pa.int64()), "near": pa.array(np.ones(len(one), bool))})
+    return pa.concat_batches([found, alone])
+
+
+def members(blocks: DataFrame, first: bool = False) -> DataFrame:
+    """``band``, ``k1``, ``sketch``, ``hub``, ``near`` of the bands that lines share; of ``first`` postings, near pairs as in ``near_pairs``."""
+    itemsize, per, most = (_FIRST if first else _POSTING).itemsize, PAIRS, WHOLE
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = ((s, b) for batch in batches for s, b in zip(*(c.to_pylist() for c in batch.columns), strict=True))
         following = next(rows, None)
@@ -375,7 +505,7 @@ def members(blocks: DataFrame) -> DataFrame:
             nonlocal following
             while following is not None and following[0] == slot:
                 held, size = [], 0
-                while following is not None and following[0] == slot and size < SLOT_POSTINGS * _POSTING.itemsize:
+                while following is not None and following[0] == slot and size < SLOT_POSTINGS * itemsize:
                     held.append(following[1])
                     size += len(following[1])
                     following = next(rows, None)
@@ -384,9 +514,12 @@ def members(blocks: DataFrame) -> DataFrame:
         while following is not None:
             slot = following[0]
             held = portions(slot)
-            first = next(held)
+            now = next(held)
             whole = following is None or following[0] != slot
-            for batch in meet(slot, chain([first], held)):
+            if first and whole:
+                yield near_pairs(slot, now, per, most)
+                continue
+            for batch in meet(slot, map(_narrow, chain([now], held)) if first else chain([now], held)):
                 yield sifted(batch) if whole else batch
 
     dealt = blocks.repartition("slot").sortWithinPartitions("slot")
@@ -443,6 +576,108 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "na", "nb").mapInArrow(run, "a long, b long")
 
 
+def _bit_sets(lines: list[str]) -> tuple[np.ndarray, Callable[[], Iterator[np.ndarray]]]:
+    """How many shingles each line (``TAGS`` at most) has, and bit sets of those that two lines or more hold, some shingles at a time."""
+    found = []
+    for part in _portions(np.arange(len(lines)), lines):
+        h, sizes = shingles([lines[k] for k in part.tolist()])
+        found.append(h >> np.uint64(14) << np.uint64(14) | np.repeat(part, sizes).astype(np.uint64))
+    both = np.concatenate(found)
+    both.sort()
+    both = both[np.append(True, both[1:] != both[:-1])]
+    line = (both & np.uint64(TAGS - 1)).astype(np.int64)
+    size = np.bincount(line, minlength=len(lines))
+    new = np.append(True, both[1:] >> np.uint64(14) != both[:-1] >> np.uint64(14))
+    shared = np.diff(np.append(np.flatnonzero(new), len(both))) > 1
+    of = np.cumsum(new) - 1
+    line, of = line[shared[of]], (np.cumsum(shared) - 1)[of[shared[of]]]
+    items, step = int(shared.sum()), max(64, 32 * AREA // len(lines) // 64 * 64)
+
+    def portion(at: int) -> np.ndarray:
+        now = slice(*np.searchsorted(of, (at, at + step)).tolist())
+        has = np.zeros((len(lines), min(step, -(-(items - at) // 64) * 64)), bool)
+        has[line[now], of[now] - at] = True
+        return np.packbits(has, axis=1).view(np.uint64)
+
+    held = [portion(0)] if 0 < items <= step else None
+    return size, lambda: iter(held) if held else map(portion, range(0, items, step))
+
+
+def _near_across(c: np.ndarray, sketch: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of members of one band in different components that are near by sketch, those of some members at a time."""
+    step = max(1, AREA // len(c))
+    for row in range(0, len(c), step):
+        near = np.bitwise_count(sketch[row: row + step, None] ^ sketch) <= DIFFER
+        one, other = np.nonzero(near & (c[row: row + step, None] < c))
+        yield one + row, other
+
+
+def across(c: np.ndarray, node: np.ndarray, sketch: np.ndarray, lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Of one band's members in components ``c``: similar pairs across them, as few as join all components that such pairs join."""
+    used = np.zeros(len(c), bool)
+    for one, other in _near_across(c, sketch):
+        used[one] = used[other] = True
+    a, b = [node[:0]], [node[:0]]
+    if not used.any():
+        return a[0], b[0]
+    c, node, sketch = c[used], node[used], sketch[used]
+    size, sets = _bit_sets([lines[k] for k in np.flatnonzero(used).tolist()])
+    group = np.unique(c, return_inverse=True)[1]                 # components, joined as far as is known
+    for one, other in _near_across(c, sketch):
+        stay = group[one] != group[other]
+        one, other = one[stay], other[stay]
+        common = np.zeros(len(one), np.int64)
+        for bits in sets():
+            many = max(1, AREA // bits.shape[1])
+            for k in range(0, len(one), many):
+                common[k: k + many] += np.bitwise_count(bits[one[k: k + many]] & bits[other[k: k + many]]).sum(axis=1, dtype=np.int64)
+        good = 100 * common >= THRESHOLD * (size[one] + size[other] - common)
+        one, other = one[good], other[good]
+        _, first = np.unique(group[one] * len(group) + group[other], return_index=True)
+        for x, y in zip(one[first].tolist(), other[first].tolist(), strict=True):
+            if group[x] != group[y]:
+                a.append(node[x: x + 1])
+                b.append(node[y: y + 1])
+                group[group == group[y]] = group[x]
+    return np.concatenate(a), np.concatenate(b)
+
+
+def open_links(rows: DataFrame) -> DataFrame:
+    """``rows``: ``band``, ``c``, ``node``, ``sketch``, ``norm`` of members of bands that are open across components ``c``.  Gives similar pairs
+    ``a``, ``b`` that join all that each band can (``band`` null), and as ``a`` the members of bands with more than ``BAND_CHARACTERS``."""
+    most = BAND_CHARACTERS
+
+    def links(band: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        part = pa.Table.from_batches(held)
+        a, b = across(*(part.column(k).to_numpy() for k in (1, 2)), part.column(3).to_numpy().view(np.uint64), part.column(4).to_pylist())
+        return pa.RecordBatch.from_pydict({"band": pa.nulls(len(a), pa.int64()), "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    def too_large(part: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"band": part.column(0), "a": part.column(2), "b": pa.nulls(len(part), pa.int64())})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        band, held, size = None, [], 0                           # of the band that has begun; its size is over the limit when its rows go out at once
+        for batch in batches:
+            bands = batch.column(0).to_numpy()
+            bounds = np.append(np.flatnonzero(np.append(True, bands[1:] != bands[:-1])), len(bands)).tolist() if len(bands) else []
+            for start, stop in zip(bounds[:-1], bounds[1:], strict=True):
+                part = batch.slice(start, stop - start)
+                if bands[start] != band:
+                    if held:
+                        yield links(band, held)
+                    band, held, size = int(bands[start]), [], 0
+                size += sum(map(len, part.column(4).to_pylist()))
+                held.append(part)
+                if size > most:
+                    yield from map(too_large, held)
+                    held = []
+        if held:
+            yield links(band, held)
+
+    dealt = rows.select("band", "c", "node", "sketch", "norm").repartition("band").sortWithinPartitions("band")
+    return dealt.mapInArrow(run, "band long, a long, b long")
+
+
 def sets_frame(texts: DataFrame) -> DataFrame:
     """``node``, ``items``: lines with their sets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -490,12 +725,19 @@ def line_groups(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text:
 def line_links(docs: DataFrame, text: str, scratch: Scratch) -> DataFrame:
     """Pairs (``a``, ``b``) of keys of lines whose sets are similar, enough to join all that the bands find."""
     slots = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    links, large = _linked(postings(docs, text, slots), None, docs, text, scratch)
+    met = scratch.write(members(postings(docs, text, slots), first=True), "members")
+    nodes = met.select("k1").union(met.filter("near").select("hub")).distinct()
+    texts = norms(docs, text, nodes, scratch, "norms")
+    scratch.settle()
+    links, large = _linked(met, None, texts, scratch)
     if not large.isEmpty():
         several = large.groupBy(F.col("node").alias("k1")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("k1")
-        texts = norms(docs, text, several, scratch, "large-norms")
+        held = scratch.write(texts.join(several, "k1"), "large-norms")
+        scratch.drop(texts)
+        texts = held
         known, first = links, large
-        links, large = _linked(refined(texts, first, slots, inner=True), known, texts, "norm", scratch)
+        met = scratch.write(members(refined(texts, first, slots, inner=True)), "members")
+        links, large = _linked(met, known, texts, scratch)
         scratch.drop(known)
         scratch.drop(first)
         if not large.isEmpty():
@@ -507,46 +749,37 @@ def line_links(docs: DataFrame, text: str, scratch: Scratch) -> DataFrame:
             more = cross_links(sets, links, THRESHOLD, scratch, lambda pairs, name: scratch.write(verified(pairs, texts), name))
             links = links.unionByName(more)
             scratch.drop(sets)
-        scratch.drop(texts)
+    scratch.drop(texts)
     return links
 
 
-def _linked(blocks: DataFrame, known: DataFrame | None, docs: DataFrame, text: str, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """The links of postings (with those ``known``), and the members (``band``, ``node``) of large bands that still are in several
-    components."""
-    met = scratch.write(members(blocks), "members")
-
+def _linked(met: DataFrame, known: DataFrame | None, texts: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """The links that ``members`` have (with those ``known``), and the members (``band``, ``node``) of large bands that still are in several
+    components; ``texts``: ``k1``, ``norm`` of all of them."""
     def ordered(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-    def checked(pairs: DataFrame, name: str) -> DataFrame:
-        nodes = pairs.select(F.col("a").alias("k1")).union(pairs.select("b")).distinct()
-        texts = norms(docs, text, nodes, scratch, f"{name}-norms")
-        found = scratch.write(verified(pairs, texts), f"{name}-links")
-        scratch.drop(texts)
-        scratch.settle()
-        return found
-
     first = scratch.write(ordered(met.filter("near AND k1 <> hub").select(F.col("k1").alias("a"), F.col("hub").alias("b"))), "hub-pairs")
-    hub = checked(first, "hub")
+    hub = scratch.write(verified(first, texts), "hub-links")
+    scratch.settle()
     links = hub if known is None else hub.unionByName(known)
+    banded = met.filter("band IS NOT NULL").select(F.col("k1").alias("node"), "band", "sketch")
+    if banded.isEmpty():
+        scratch.drop(first)
+        return (links if known is None else scratch.write(links, "links")), banded.select("band", "node")
     group = components(links, scratch)
-    rest = open_rows(met.select(F.col("k1").alias("node"), "band", "sketch"), group, scratch, "band", held="held")
+    rest = open_rows(banded, group, scratch, "band", held="held")
     scratch.drop(met)
     scratch.drop(group)
     scratch.settle()
-    small = rest.filter(F.col("held") <= SMALL_BAND).select("band", "c", "node", "sketch")
-    other = small.select("band", F.col("c").alias("cy"), F.col("node").alias("other"), F.col("sketch").alias("sy"))
-    near = F.bit_count(F.col("sketch").bitwiseXOR(F.col("sy"))) <= DIFFER
-    cross = small.join(other, "band").filter((F.col("c") < F.col("cy")) & near).select(F.col("node").alias("a"), F.col("other").alias("b"))
-    cross = scratch.write(ordered(cross).join(first, ["a", "b"], "left_anti"), "cross-pairs")
+    small = rest.filter(F.col("held") <= SMALL_BAND).join(texts.withColumnRenamed("k1", "node"), "node")
+    found = scratch.write(open_links(small), "across")
     scratch.drop(first)
-    across = checked(cross, "cross")
-    scratch.drop(cross)
-    links = scratch.write(links.unionByName(across), "links")
+    scratch.settle()
+    links = scratch.write(links.unionByName(found.filter("band IS NULL").select("a", "b")), "links")
     scratch.drop(hub)
-    scratch.drop(across)
-    return links, rest.filter(F.col("held") > SMALL_BAND).select("band", "node")
+    large = rest.filter(F.col("held") > SMALL_BAND).select("band", "node")
+    return links, large.unionByName(found.filter("band IS NOT NULL").select("band", F.col("a").alias("node")))
 
 
 def grouped_lines(docs: DataFrame, scratch: Scratch, doc_id: str, text: str) -> DataFrame:
