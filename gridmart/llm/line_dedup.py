@@ -14,7 +14,7 @@ nothing of them, so unlike lines, whose chance meetings grow with the square of
 of a batch are signed and posted once.  Postings travel as packed blocks, dealt by the band key.  The task that has a band compares the
 sketches of all its members (``WHOLE`` at most) and gives the pairs that are near, up to ``PAIRS`` a member.  Bands with more of them
 are dense: their members that are near another one are given, and which are near the hub, the one with most near ones.  Of bands of more than
-``WHOLE`` all members are given; a slot that is too large to be held streams past its bands (``meet``).
+``WHOLE`` all members are given.  A slot of more than ``SLOT_POSTINGS`` is gone through by parts of its bands.
 
 Verification.  Near pairs, and members of dense bands with their hub (by sketch: at similarity 0.75 an eighth of the bits differ; ``DIFFER``
 and ``WIDE_DIFFER`` are five deviations off), are compared by exact Jaccard on the full sets, and joined into components by contraction
@@ -414,21 +414,22 @@ def sifted(batch: pa.RecordBatch) -> pa.RecordBatch:
     return batch.filter(pa.array(keep))
 
 
-def _narrow(blocks: list[bytes]) -> list[bytes]:
-    """First postings as ``_POSTING``, with the first part of their sketches."""
-    rows = np.frombuffer(b"".join(blocks), _FIRST)
-    out = np.empty(len(rows), _POSTING)
-    out["band"] = rows["band"] | rows["band_high"].astype(np.uint32) << np.uint32(16)
-    for name in ("low", "middle", "high", "sketch"):
-        out[name] = rows[name]
-    return [out.tobytes()]
+def _first_bands(rows: np.ndarray) -> np.ndarray:
+    return rows["band"] | rows["band_high"].astype(np.uint32) << np.uint32(16)
+
+
+def _by_bands(portions: list[list[bytes]]) -> Iterator[list[bytes]]:
+    """First postings of a slot in as many portions, each with bands of its own."""
+    rows, parts = [np.frombuffer(b"".join(x), _FIRST) for x in portions], len(portions)
+    for part in range(parts):
+        yield [x[_first_bands(x) % np.uint32(parts) == part].tobytes() for x in rows]
 
 
 def _shared(blocks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Band keys (within the slot), line keys and both parts of the sketches of first postings in order, each line once in a band, without
     those of bands with one line."""
     rows = np.frombuffer(b"".join(blocks), _FIRST)
-    band = rows["band"] | rows["band_high"].astype(np.uint32) << np.uint32(16)
+    band = _first_bands(rows)
     order = np.argsort(band)
     again = np.diff(band[order]) == 0
     at = order[np.append(again, False) | np.append(False, again)] if len(order) else order
@@ -516,10 +517,11 @@ def members(blocks: DataFrame, first: bool = False) -> DataFrame:
             held = portions(slot)
             now = next(held)
             whole = following is None or following[0] != slot
-            if first and whole:
-                yield near_pairs(slot, now, per, most)
+            if first:
+                for blocks_of in [now] if whole else _by_bands([now, *held]):
+                    yield near_pairs(slot, blocks_of, per, most)
                 continue
-            for batch in meet(slot, map(_narrow, chain([now], held)) if first else chain([now], held)):
+            for batch in meet(slot, chain([now], held)):
                 yield sifted(batch) if whole else batch
 
     dealt = blocks.repartition("slot").sortWithinPartitions("slot")
